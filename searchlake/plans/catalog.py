@@ -114,3 +114,64 @@ def bm25_params(spark, sf_dir):
     return se.search_batch(
         documents_index(spark, sf_dir), bench, TOP_K, qid="item_id", text="text", k1=2.0, b=0.3
     )
+
+
+# --- T1-T6, P1, P4-P6, G1: page ETL -------------------------------------------
+
+from searchlake.functions import urls as _u  # noqa: E402
+from searchlake.operators import pages as _pg  # noqa: E402
+
+ALLOWED_DOMAIN = "example.com"
+
+
+def _parsed_pages(spark, sf_dir):
+    return _pg.parse_pages(read_table(spark, sf_dir, "pages"), keep=("page_id",))
+
+
+@register("page_title")
+def page_title(spark, sf_dir):
+    return _parsed_pages(spark, sf_dir).select("page_id", "title")
+
+
+@register("page_terms")
+def page_terms(spark, sf_dir):
+    p = _parsed_pages(spark, sf_dir).select("page_id", "toks")
+    return ix.postings_from_tokens(p, "page_id").select("page_id", "term", "tf")
+
+
+@register("page_links")
+def page_links(spark, sf_dir):
+    p = _parsed_pages(spark, sf_dir)
+    return p.select("page_id", F.posexplode("links").alias("pos", "link")).select(
+        "page_id", F.col("pos").cast("int").alias("pos"), "link"
+    )
+
+
+@register("link_edges")
+def link_edges(spark, sf_dir):
+    e = _pg.link_edges(_parsed_pages(spark, sf_dir))
+    return e.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n_links"))
+
+
+@register("url_normalize")
+def url_normalize(spark, sf_dir):
+    p = read_table(spark, sf_dir, "pages")
+    return p.select("page_id", _u.normalize("url").alias("norm_url"))
+
+
+@register("url_id")
+def url_id(spark, sf_dir):
+    p = read_table(spark, sf_dir, "pages")
+    return p.select("page_id", _u.url_id("url").alias("url_id"))
+
+
+@register("url_parts")
+def url_parts(spark, sf_dir):
+    p = read_table(spark, sf_dir, "pages")
+    return p.select("page_id", _u.host("url").alias("host"), _u.robots_path("url").alias("robots_path"))
+
+
+@register("domain_filter")
+def domain_filter(spark, sf_dir):
+    p = read_table(spark, sf_dir, "pages")
+    return p.where(_u.domain_allowed("url", ALLOWED_DOMAIN)).select("page_id", "url")

@@ -105,3 +105,111 @@ SELECT * FROM ranked WHERE rank <= 10
 
 ORACLE["bm25_batch_topk"] = _batch(1.2, 0.75)
 ORACLE["bm25_params"] = _batch(2.0, 0.3)
+
+
+# --- page ETL twins -----------------------------------------------------------
+# SQL text builders mirroring the documented rules (not the Spark code).
+
+URL_RX = r"^([a-zA-Z][a-zA-Z0-9+.\-]*)://([^/?#\s]*)([^?#\s]*)(\?[^#\s]*)?(#\S*)?$"
+
+
+def q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def part(u: str, i: int) -> str:
+    return f"regexp_extract({u}, {q(URL_RX)}, {i})"
+
+
+def valid(u: str) -> str:
+    return f"regexp_matches({u}, {q(URL_RX)})"
+
+
+def norm_sql(u: str) -> str:
+    path = f"(CASE WHEN {part(u, 3)} = '' THEN '/' ELSE {part(u, 3)} END)"
+    path2 = f"(CASE WHEN length({path}) > 1 AND ends_with({path}, '/') THEN left({path}, length({path}) - 1) ELSE {path} END)"
+    return f"(CASE WHEN {valid(u)} THEN {part(u, 1)} || '://' || {part(u, 2)} || {path2} || {part(u, 4)} ELSE {u} END)"
+
+
+def dots_sql(p: str) -> str:
+    x = f"regexp_replace({p}, '/(\\./)+', '/', 'g')"
+    x = f"regexp_replace({x}, '/\\.$', '/')"
+    for _ in range(8):
+        x = f"regexp_replace({x}, '/[^/]+/\\.\\.(/|$)', '/')"
+    return f"regexp_replace({x}, '^/\\.\\.(/|$)', '/')"
+
+
+def resolve_sql(b: str, h: str) -> str:
+    origin = f"({part(b, 1)} || '://' || {part(b, 2)})"
+    bpath = part(b, 3)
+    bdir = f"regexp_replace(CASE WHEN {bpath} = '' THEN '/' ELSE {bpath} END, '[^/]*$', '')"
+    return f"""(CASE WHEN regexp_matches({h}, '^[a-zA-Z][a-zA-Z0-9+.\\-]*:') THEN {h}
+      WHEN NOT {valid(b)} THEN NULL
+      WHEN starts_with({h}, '//') THEN {part(b, 1)} || ':' || {h}
+      WHEN starts_with({h}, '/') THEN {origin} || {dots_sql(h)}
+      WHEN starts_with({h}, '?') THEN {origin} || {bpath} || {h}
+      WHEN starts_with({h}, '#') THEN {origin} || {bpath} || {part(b, 4)} || {h}
+      WHEN {h} = '' THEN {origin} || {bpath} || {part(b, 4)}
+      ELSE {origin} || {dots_sql(f"{bdir} || {h}")} END)"""
+
+
+def host_sql(u: str) -> str:
+    h = f"lower(regexp_extract({part(u, 2)}, '^(?:[^@]*@)?(\\[[^\\]]*\\]|[^:]*)', 1))"
+    return f"(CASE WHEN {valid(u)} AND {h} <> '' THEN {h} END)"
+
+
+def robots_path_sql(u: str) -> str:
+    path = f"(CASE WHEN {part(u, 3)} = '' THEN '/' ELSE {part(u, 3)} END)"
+    query = f"substring({part(u, 4)}, 2)"
+    return f"(CASE WHEN {valid(u)} THEN (CASE WHEN trim({query}) <> '' THEN {path} || '?' || {query} ELSE {path} END) END)"
+
+
+INLINE = "a|abbr|b|bdi|bdo|cite|code|em|font|i|kbd|mark|q|s|samp|small|span|strong|sub|sup|u|var"
+
+
+def visible_sql(h: str) -> str:
+    x = f"regexp_replace({h}, {q(r'(?is)<head\b.*?</head\s*>|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->')}, ' ', 'g')"
+    x = f"regexp_replace({x}, {q('(?i)</?(?:' + INLINE + r')(?:\s[^>]*)?>')}, '', 'g')"
+    x = f"regexp_replace({x}, {q(r'(?s)<[^>]*>')}, ' ', 'g')"
+    return f"regexp_replace({x}, {q(r'&(?:[a-zA-Z][a-zA-Z0-9]*|#[0-9]+|#[xX][0-9a-fA-F]+);')}, ' ', 'g')"
+
+
+def title_sql(h: str) -> str:
+    t = f"regexp_extract({h}, {q(r'(?is)<title[^>]*>(.*?)</title')}, 1)"
+    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
+        t = f"replace({t}, {q(ent)}, {q(ch)})"
+    return f"trim(regexp_replace({t}, '\\s+', ' ', 'g'))"
+
+
+def links_sql(u: str, h: str) -> str:
+    code_free = f"regexp_replace({h}, {q(r'(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->')}, ' ', 'g')"
+    hrefs = f"regexp_extract_all({code_free}, {q('''(?i)<a\\s[^>]*?href\\s*=\\s*["']([^"']*)["']''')}, 1)"
+    absl = f"list_transform({hrefs}, lambda x: {resolve_sql(u, 'trim(x)')})"
+    kept = f"list_filter({absl}, lambda x: starts_with(x, 'http://') OR starts_with(x, 'https://'))"
+    return f"list_transform({kept}, lambda x: {norm_sql('x')})"
+
+
+ORACLE["page_title"] = f"SELECT page_id, {title_sql('html')} AS title FROM pages"
+
+ORACLE["page_terms"] = f"""
+WITH t AS (SELECT page_id, unnest({TOKS.format(col=visible_sql('html'))}) AS term FROM pages)
+SELECT page_id, term, CAST(count(*) AS INTEGER) AS tf FROM t GROUP BY page_id, term
+"""
+
+ORACLE["page_links"] = f"""
+WITH l AS (SELECT page_id, {links_sql('url', 'html')} AS links FROM pages)
+SELECT page_id, CAST(generate_subscripts(links, 1) - 1 AS INTEGER) AS pos, unnest(links) AS link FROM l
+"""
+
+ORACLE["link_edges"] = f"""
+WITH l AS (SELECT url AS src, unnest({links_sql('url', 'html')}) AS dst FROM pages)
+SELECT src, dst, count(*) AS n_links FROM l GROUP BY src, dst
+"""
+
+ORACLE["url_normalize"] = f"SELECT page_id, {norm_sql('url')} AS norm_url FROM pages"
+ORACLE["url_id"] = "SELECT page_id, left(sha256(url), 16) AS url_id FROM pages"
+ORACLE["url_parts"] = f"SELECT page_id, {host_sql('url')} AS host, {robots_path_sql('url')} AS robots_path FROM pages"
+ORACLE["domain_filter"] = f"""
+SELECT page_id, url FROM pages
+WHERE coalesce({host_sql('url')} = 'example.com' OR ends_with({host_sql('url')}, '.example.com'), false)
+"""
