@@ -175,3 +175,49 @@ def url_parts(spark, sf_dir):
 def domain_filter(spark, sf_dir):
     p = read_table(spark, sf_dir, "pages")
     return p.where(_u.domain_allowed("url", ALLOWED_DOMAIN)).select("page_id", "url")
+
+
+# --- P9, W2, J3, W1, J7: robots ------------------------------------------------
+
+from searchlake.operators import robots as _rb  # noqa: E402
+
+# Stand-in robots.txt files: one per host found in ``pages``; the template is
+# picked from the first hex digit of sha256(host) and ``{lang}`` is filled
+# from the same hash.  This only supplies rows of the schema robots(domain,
+# content); all parsing, group selection and matching is the operator's.
+ROBOTS_TEMPLATES = (
+    "",
+    "User-agent: *\nDisallow: /{lang}/\nAllow: /{lang}/1\n",
+    "User-agent: ConcurrentCrawler\nDisallow: /*?page=\nAllow: /*?page=1$\n\nUser-agent: *\nDisallow: /\n",
+    "User-agent: concurrentcrawler/1.0\r\nDisallow: /en/  # no english\r\nUser-agent: *\r\nAllow: /\r\nCrawl-delay: 5\r\n",
+    "User-agent: other-bot\nUser-agent: *\nDisallow: /*.pdf$\nDisallow: /fr\nAllow: /fr/2\nSitemap: https://x/s.xml\n",
+    "User-agent: *\nDisallow:\n",
+)
+ROBOTS_LANGS = ("en", "fr", "de", "es")
+
+
+def robots_table(spark, sf_dir):
+    hosts = read_table(spark, sf_dir, "pages").select(_u.host("url").alias("domain")).where("domain IS NOT NULL").distinct()
+    digit = F.expr("instr('0123456789abcdef', substring(sha2(domain, 256), 1, 1)) - 1")
+    tmpl = F.element_at(F.array(*[F.lit(t) for t in ROBOTS_TEMPLATES]), (digit % len(ROBOTS_TEMPLATES)) + 1)
+    lang = F.element_at(F.array(*[F.lit(x) for x in ROBOTS_LANGS]), (digit % len(ROBOTS_LANGS)) + 1)
+    return hosts.select("domain", F.replace(tmpl, F.lit("{lang}"), lang).alias("content"))
+
+
+@register("robots_rules")
+def robots_rules(spark, sf_dir):
+    return _rb.robots_rules(robots_table(spark, sf_dir)).select("domain", "pattern", "allow")
+
+
+@register("robots_allowed")
+def robots_allowed(spark, sf_dir):
+    rules = _rb.robots_rules(robots_table(spark, sf_dir))
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    return _rb.robots_allowed(pages, rules, "url").select("page_id", "allowed")
+
+
+@register("links_allowed")
+def links_allowed(spark, sf_dir):
+    rules = _rb.robots_rules(robots_table(spark, sf_dir))
+    edges = _pg.link_edges(_parsed_pages(spark, sf_dir))
+    return _rb.filter_links(edges, rules, ALLOWED_DOMAIN).select("src", "pos", "dst")

@@ -213,3 +213,90 @@ ORACLE["domain_filter"] = f"""
 SELECT page_id, url FROM pages
 WHERE coalesce({host_sql('url')} = 'example.com' OR ends_with({host_sql('url')}, '.example.com'), false)
 """
+
+
+# --- robots twins ---------------------------------------------------------------
+
+_TEMPLATES = [
+    "",
+    "User-agent: *\nDisallow: /{lang}/\nAllow: /{lang}/1\n",
+    "User-agent: ConcurrentCrawler\nDisallow: /*?page=\nAllow: /*?page=1$\n\nUser-agent: *\nDisallow: /\n",
+    "User-agent: concurrentcrawler/1.0\r\nDisallow: /en/  # no english\r\nUser-agent: *\r\nAllow: /\r\nCrawl-delay: 5\r\n",
+    "User-agent: other-bot\nUser-agent: *\nDisallow: /*.pdf$\nDisallow: /fr\nAllow: /fr/2\nSitemap: https://x/s.xml\n",
+    "User-agent: *\nDisallow:\n",
+]
+
+
+def _sql_text(s: str) -> str:
+    parts = s.split("\n")
+    out = []
+    for i, seg in enumerate(parts):
+        sub = seg.split("\r")
+        pieces = " || chr(13) || ".join(q(x) for x in sub)
+        out.append(pieces)
+    return "(" + " || chr(10) || ".join(out) + ")"
+
+
+_JT = r"'^[\x00-\x20]+|[\x00-\x20]+$'"
+
+ROBOTS_CTES = f"""
+hosts AS (SELECT DISTINCT {host_sql('url')} AS domain FROM pages WHERE {host_sql('url')} IS NOT NULL),
+hd AS (SELECT domain, instr('0123456789abcdef', left(sha256(domain), 1)) - 1 AS digit FROM hosts),
+robots AS (SELECT domain,
+   replace([{', '.join(_sql_text(t) for t in _TEMPLATES)}][digit % 6 + 1], '{{lang}}', ['en','fr','de','es'][digit % 4 + 1]) AS content FROM hd),
+raw AS (SELECT domain, unnest(generate_series(1, len(string_split_regex(content, '\\r?\\n')))) AS line_no,
+               unnest(string_split_regex(content, '\\r?\\n')) AS raw FROM robots),
+l1 AS (SELECT domain, line_no, regexp_replace(split_part(raw, '#', 1), {_JT}, '', 'g') AS line FROM raw),
+l2 AS (SELECT domain, line_no,
+              lower(regexp_replace(split_part(line, ':', 1), {_JT}, '', 'g')) AS directive,
+              regexp_replace(substring(line, instr(line, ':') + 1), {_JT}, '', 'g') AS value
+       FROM l1 WHERE instr(line, ':') > 0),
+l3 AS (SELECT *, sum(CASE WHEN directive = 'user-agent' THEN 1 ELSE 0 END)
+                 OVER (PARTITION BY domain ORDER BY line_no ROWS UNBOUNDED PRECEDING) AS grp
+       FROM l2 WHERE directive IN ('user-agent', 'allow', 'disallow')),
+g AS (SELECT domain, grp, lower(value) AS agent,
+             CASE WHEN lower(value) = '*' THEN 2 WHEN lower(value) = 'concurrentcrawler/1.0' THEN 0
+                  WHEN starts_with('concurrentcrawler/1.0', lower(value)) THEN 1 END AS cls
+      FROM l3 WHERE directive = 'user-agent'),
+chosen AS (SELECT domain, grp FROM (
+      SELECT domain, grp, row_number() OVER (PARTITION BY domain ORDER BY cls,
+             CASE WHEN cls = 1 THEN -length(agent) ELSE 0 END, CASE WHEN cls = 1 THEN grp ELSE -grp END) AS rn
+      FROM g WHERE cls IS NOT NULL) WHERE rn = 1),
+rules AS (SELECT l3.domain, l3.value AS pattern, l3.directive = 'allow' AS allow,
+      '^' || replace(regexp_replace(CASE WHEN ends_with(l3.value, '$') THEN left(l3.value, length(l3.value) - 1) ELSE l3.value END,
+                                    '([\\\\.\\[\\]{{}}()+\\-^?|])', '\\\\\\1', 'g'), '*', '.*')
+          || CASE WHEN ends_with(l3.value, '$') THEN '$' ELSE '.*' END AS rx
+      FROM l3 JOIN chosen ON l3.domain = chosen.domain AND l3.grp = chosen.grp
+      WHERE l3.directive <> 'user-agent')
+"""
+
+
+def _allowed_sql(targets: str, url: str) -> str:
+    path = robots_path_sql(url)
+    npath = f"(CASE WHEN {path} IS NULL OR trim({path}) = '' THEN '/' WHEN starts_with({path}, '/') THEN {path} ELSE '/' || {path} END)"
+    return f"""
+t AS (SELECT *, {host_sql(url)} AS _domain, {npath} AS _path FROM {targets}),
+m AS (SELECT t._rid, max(struct_pack(n := length(r.pattern), allow := r.allow)) AS best
+      FROM t JOIN rules r ON r.domain = t._domain AND regexp_matches(t._path, r.rx) GROUP BY t._rid),
+a AS (SELECT t.*, CASE WHEN t._domain IS NULL THEN false ELSE coalesce(m.best.allow, true) END AS allowed
+      FROM t LEFT JOIN m ON t._rid = m._rid)
+"""
+
+
+ORACLE["robots_rules"] = f"WITH {ROBOTS_CTES} SELECT domain, pattern, allow FROM rules"
+
+ORACLE["robots_allowed"] = f"""
+WITH {ROBOTS_CTES}, tg AS (SELECT page_id AS _rid, page_id, url FROM pages),
+{_allowed_sql('tg', 'url')}
+SELECT page_id, allowed FROM a
+"""
+
+ORACLE["links_allowed"] = f"""
+WITH {ROBOTS_CTES},
+e0 AS (SELECT url AS src, {links_sql('url', 'html')} AS links FROM pages),
+e AS (SELECT src, CAST(generate_subscripts(links, 1) - 1 AS INTEGER) AS pos, unnest(links) AS dst FROM e0),
+tg AS (SELECT row_number() OVER () AS _rid, * FROM e
+       WHERE coalesce({host_sql('dst')} = 'example.com' OR ends_with({host_sql('dst')}, '.example.com'), false)),
+{_allowed_sql('tg', 'dst')}
+SELECT src, pos, dst FROM a WHERE allowed
+"""
