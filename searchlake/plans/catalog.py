@@ -221,3 +221,123 @@ def links_allowed(spark, sf_dir):
     rules = _rb.robots_rules(robots_table(spark, sf_dir))
     edges = _pg.link_edges(_parsed_pages(spark, sf_dir))
     return _rb.filter_links(edges, rules, ALLOWED_DOMAIN).select("src", "pos", "dst")
+
+
+# --- J4, G2, G3: frontier ----------------------------------------------------------
+
+from searchlake.operators import frontier as _fr  # noqa: E402
+
+BFS_SEED = "s1"
+BFS_MAX_DEPTH = 3
+BFS_MAX_PAGES = 100
+
+
+def supplier_part_edges(spark, sf_dir):
+    """Undirected supplier <-> part graph from lineitem (s{suppkey}, p{partkey})."""
+    li = read_table(spark, sf_dir, "lineitem")
+    s = F.concat(F.lit("s"), F.col("l_suppkey").cast("string"))
+    p = F.concat(F.lit("p"), F.col("l_partkey").cast("string"))
+    return li.select(s.alias("src"), p.alias("dst")).unionByName(li.select(p.alias("src"), s.alias("dst")))
+
+
+def _seeds(spark):
+    return spark.createDataFrame([(BFS_SEED,)], "url string")
+
+
+@register("frontier_offer")
+def frontier_offer(spark, sf_dir):
+    """Offers = every discovered link at its position as depth; visited =
+    the normalised URLs of the pages already stored."""
+    edges = _pg.link_edges(_parsed_pages(spark, sf_dir))
+    visited = read_table(spark, sf_dir, "pages").select(_u.normalize("url").alias("url"))
+    return _fr.offer(edges.select(F.col("dst").alias("url"), F.col("pos").alias("depth")), visited)
+
+
+@register("bfs_depth")
+def bfs_depth(spark, sf_dir):
+    v = _fr.bfs(supplier_part_edges(spark, sf_dir), _seeds(spark), BFS_MAX_DEPTH)
+    return v.select("url", "depth")
+
+
+@register("bfs_capped")
+def bfs_capped(spark, sf_dir):
+    v = _fr.bfs(supplier_part_edges(spark, sf_dir), _seeds(spark), BFS_MAX_DEPTH, max_pages=BFS_MAX_PAGES)
+    return v.where("fetched").select("url", "depth")
+
+
+@register("frontier_counts")
+def frontier_counts(spark, sf_dir):
+    v = _fr.bfs(supplier_part_edges(spark, sf_dir), _seeds(spark), BFS_MAX_DEPTH)
+    return _fr.frontier_counts(v)
+
+
+# --- W4, L1-L3, A8, A9: politeness and logs over events -------------------------
+
+from searchlake.operators import fetchlog as _fl  # noqa: E402
+from searchlake.operators import politeness as _po  # noqa: E402
+from searchlake.operators import reports as _rp  # noqa: E402
+
+LEASE_MS = 12 * 3_600_000
+
+
+def _events(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events")
+    return ev.withColumn("ts_ms", _rp.epoch_ms("ts"))
+
+
+@register("politeness_schedule")
+def politeness_schedule(spark, sf_dir):
+    """Every event is a request to host ``user_id`` arriving at ``ts``."""
+    ev = _events(spark, sf_dir).select(
+        F.col("event_id").alias("id"), F.col("user_id").alias("host"), F.col("ts_ms").alias("arrival_ms")
+    )
+    out = _po.schedule(ev, "host", "arrival_ms", "id")
+    return out.select(F.col("id").alias("event_id"), F.col("host").alias("user_id"), "wait_ms")
+
+
+def fetch_log(spark, sf_dir):
+    """Stand-in attempt log: events grouped three at a time into one URL of
+    host ``user_id % 50``; status and content type from ``event_type``."""
+    ev = read_table(spark, sf_dir, "events")
+    url = F.concat(
+        F.lit("https://h"), (F.col("user_id") % 50).cast("string"), F.lit(".example.com/item/"),
+        F.floor(F.col("event_id") / 3).cast("string"),
+    )
+    status = (
+        F.when(F.col("event_type").isin("view", "purchase"), F.lit(200))
+        .when(F.col("event_type") == "click", F.lit(503))
+        .when(F.col("event_type") == "signup", F.lit(404))
+    )
+    ct = F.when(F.col("event_type") == "purchase", F.lit("application/json")).otherwise(F.lit("text/html; charset=UTF-8"))
+    return ev.select(
+        url.alias("url"), ((F.col("event_id") % 3) + 1).cast("int").alias("attempt"),
+        status.cast("int").alias("status"), ct.alias("contentType"),
+    )
+
+
+@register("fetch_attempts")
+def fetch_attempts(spark, sf_dir):
+    return _fl.resolve_attempts(fetch_log(spark, sf_dir))
+
+
+@register("lease_recovery")
+def lease_recovery(spark, sf_dir):
+    """Task log stand-in: user ``u{user_id}`` is the task; view = poll,
+    purchase = finish."""
+    ev = _events(spark, sf_dir)
+    kind = F.when(F.col("event_type") == "view", F.lit("poll")).when(F.col("event_type") == "purchase", F.lit("finish"))
+    log = ev.select(
+        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("task"), kind.alias("kind"),
+        "ts_ms", F.col("event_id").alias("id"),
+    ).where(F.col("kind").isNotNull())
+    return _fl.lease_recovery(log, LEASE_MS)
+
+
+@register("latency_percentiles")
+def latency_percentiles(spark, sf_dir):
+    return _rp.latency_report(_events(spark, sf_dir), "event_type", "value", "ts_ms")
+
+
+@register("search_metrics")
+def search_metrics(spark, sf_dir):
+    return _rp.request_metrics(_events(spark, sf_dir), "ts_ms", "value")

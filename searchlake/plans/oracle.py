@@ -300,3 +300,89 @@ tg AS (SELECT row_number() OVER () AS _rid, * FROM e
 {_allowed_sql('tg', 'dst')}
 SELECT src, pos, dst FROM a WHERE allowed
 """
+
+
+# --- frontier twins ---------------------------------------------------------------
+
+_BFS = """
+WITH RECURSIVE e AS (
+  SELECT DISTINCT 's' || CAST(l_suppkey AS VARCHAR) AS src, 'p' || CAST(l_partkey AS VARCHAR) AS dst FROM lineitem
+  UNION SELECT DISTINCT 'p' || CAST(l_partkey AS VARCHAR), 's' || CAST(l_suppkey AS VARCHAR) FROM lineitem),
+walk(url, depth) AS (SELECT 's1', 0 UNION SELECT e.dst, w.depth + 1 FROM walk w JOIN e ON e.src = w.url WHERE w.depth < 3),
+v AS (SELECT url, CAST(min(depth) AS INTEGER) AS depth FROM walk GROUP BY url)
+"""
+
+ORACLE["bfs_depth"] = _BFS + "SELECT url, depth FROM v"
+ORACLE["bfs_capped"] = _BFS + "SELECT url, depth FROM v ORDER BY depth, url LIMIT 100"
+ORACLE["frontier_counts"] = _BFS + "SELECT depth, count(*) AS n_offered, count(*) AS n_fetched FROM v GROUP BY depth"
+
+ORACLE["frontier_offer"] = f"""
+WITH e0 AS (SELECT {links_sql('url', 'html')} AS links FROM pages),
+e AS (SELECT CAST(generate_subscripts(links, 1) - 1 AS INTEGER) AS pos, unnest(links) AS dst FROM e0),
+best AS (SELECT dst AS url, min(pos) AS depth FROM e GROUP BY dst)
+SELECT url, depth FROM best WHERE url NOT IN (SELECT {norm_sql('url')} FROM pages)
+"""
+
+
+# --- politeness and log twins -------------------------------------------------------
+
+ORACLE["politeness_schedule"] = """
+WITH r AS (SELECT event_id, user_id, (epoch_us(ts) // 1000) AS a,
+                  row_number() OVER (PARTITION BY user_id ORDER BY (epoch_us(ts) // 1000), event_id) AS i
+           FROM events WHERE user_id IS NOT NULL),
+g AS (SELECT event_id, user_id, a,
+             i * 1000 + max(a - i * 1000) OVER (PARTITION BY user_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS grant_ms
+      FROM r)
+SELECT event_id, user_id, CAST(grant_ms - a AS BIGINT) AS wait_ms FROM g
+UNION ALL SELECT event_id, user_id, CAST(0 AS BIGINT) FROM events WHERE user_id IS NULL
+"""
+
+ORACLE["fetch_attempts"] = """
+WITH log AS (
+  SELECT 'https://h' || CAST(user_id % 50 AS VARCHAR) || '.example.com/item/' || CAST(floor(event_id / 3) AS BIGINT) AS url,
+         CAST(event_id % 3 + 1 AS INTEGER) AS attempt,
+         CAST(CASE WHEN event_type IN ('view', 'purchase') THEN 200 WHEN event_type = 'click' THEN 503
+                   WHEN event_type = 'signup' THEN 404 END AS INTEGER) AS status,
+         CASE WHEN event_type = 'purchase' THEN 'application/json' ELSE 'text/html; charset=UTF-8' END AS ct
+  FROM events),
+a AS (SELECT *, (status IS NOT NULL AND status <> 429 AND status < 500) OR attempt = 3 AS terminal FROM log WHERE attempt <= 3),
+t AS (SELECT url, min(CASE WHEN terminal THEN attempt END) AS ta, max(attempt) AS la FROM a GROUP BY url),
+f AS (SELECT t.url, coalesce(t.ta, t.la) AS fa FROM t)
+SELECT f.url, CAST(f.fa AS INTEGER) AS attempts, coalesce(a.status, 0) AS final_status,
+       coalesce(a.status >= 200 AND a.status < 300 AND (contains(coalesce(a.ct, ''), 'text/html') OR contains(coalesce(a.ct, ''), 'application/xhtml')), false) AS accepted,
+       CAST((SELECT coalesce(sum(200 * pow(2, least(x - 1, 10))), 0) FROM range(1, f.fa) r(x)) AS BIGINT) AS backoff_ms
+FROM f JOIN a ON a.url = f.url AND a.attempt = f.fa
+"""
+
+ORACLE["lease_recovery"] = """
+WITH ev AS (SELECT 'u' || CAST(user_id AS VARCHAR) AS task,
+                   CASE WHEN event_type = 'view' THEN 'poll' WHEN event_type = 'purchase' THEN 'finish' END AS kind,
+                   (epoch_us(ts) // 1000) AS ts_ms, event_id FROM events),
+e AS (SELECT * FROM ev WHERE kind IS NOT NULL),
+n AS (SELECT task, kind, ts_ms,
+             min(CASE WHEN kind = 'finish' THEN ts_ms END) OVER (PARTITION BY task
+                 ORDER BY ts_ms, CASE WHEN kind = 'finish' THEN 0 ELSE 1 END, event_id
+                 ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS finish_ms
+      FROM e)
+SELECT task, ts_ms AS poll_ms, CAST(ts_ms + 43200000 AS BIGINT) AS recover_ms, finish_ms IS NOT NULL AS late_finish
+FROM n WHERE kind = 'poll' AND (finish_ms IS NULL OR finish_ms > ts_ms + 43200000)
+"""
+
+ORACLE["latency_percentiles"] = """
+WITH r AS (SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY value) AS idx,
+                  count(*) OVER (PARTITION BY event_type) AS n FROM events),
+p AS (SELECT event_type, n,
+             max(CASE WHEN idx = greatest(1, least(n, ceil(0.5 * n))) THEN value END) AS p50,
+             max(CASE WHEN idx = greatest(1, least(n, ceil(0.95 * n))) THEN value END) AS p95,
+             max(CASE WHEN idx = greatest(1, least(n, ceil(0.99 * n))) THEN value END) AS p99
+      FROM r GROUP BY event_type, n),
+s AS (SELECT event_type, (max((epoch_us(ts) // 1000)) - min((epoch_us(ts) // 1000))) / 1000.0 AS el FROM events GROUP BY event_type)
+SELECT p.event_type, p.n, p50, p95, p99, round(p.n / greatest(CAST(s.el AS DOUBLE), 1e-6), 6) AS qps
+FROM p JOIN s USING (event_type)
+"""
+
+ORACLE["search_metrics"] = """
+SELECT CAST(floor((epoch_us(ts) // 1000) / 3600000) AS BIGINT) AS bucket, count(*) AS n_requests,
+       round(sum(value), 6) AS total_ms, max(value) AS max_ms
+FROM events GROUP BY 1
+"""
