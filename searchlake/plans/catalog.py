@@ -341,3 +341,98 @@ def latency_percentiles(spark, sf_dir):
 @register("search_metrics")
 def search_metrics(spark, sf_dir):
     return _rp.request_metrics(_events(spark, sf_dir), "ts_ms", "value")
+
+
+# --- S1-S5, P2, W5, J5, A6, A7: Bronze / Silver / Gold --------------------------
+
+from searchlake.sources import bronze as _br  # noqa: E402
+from searchlake.sources import gold as _gd  # noqa: E402
+
+FETCH_EPOCH_MS = 1_704_067_200_000  # 2024-01-01T00:00:00Z
+
+
+def fetched_pages(spark, sf_dir):
+    """Stand-in fetch results for ``pages``: status and content type are
+    picked from the first hex digit of sha256(url); fetch time is one page
+    per second in page order from 2024-01-01."""
+    p = read_table(spark, sf_dir, "pages")
+    digit = F.expr("instr('0123456789abcdef', substring(sha2(url, 256), 1, 1)) - 1")
+    status = F.element_at(F.array(*[F.lit(x) for x in (200, 200, 200, 200, 200, 200, 200, 200, 200, 200, 301, 404, 500, 503, 200, 204)]), digit + 1)
+    ctype = F.element_at(
+        F.array(*[F.lit(x) for x in ("text/html; charset=utf-8", "text/html", "application/xhtml+xml", "TEXT/HTML", "application/json")]),
+        (digit % 5) + 1,
+    )
+    return p.select(
+        "page_id", "url", "html", status.cast("int").alias("statusCode"), ctype.alias("contentType"),
+        (F.lit(FETCH_EPOCH_MS) + F.col("page_id") * 1000).alias("fetched_ms"),
+    )
+
+
+@register("bronze_accept")
+def bronze_accept(spark, sf_dir):
+    f = fetched_pages(spark, sf_dir)
+    return f.select("page_id", _fl.accepted("statusCode", "contentType").alias("accepted"))
+
+
+@register("bronze_latest")
+def bronze_latest(spark, sf_dir):
+    """W5 on the event log: the latest record per user (as if each user id
+    were one URL fetched repeatedly)."""
+    ev = _events(spark, sf_dir).select(
+        F.col("user_id").alias("id"), F.col("ts_ms").alias("fetchedAt"), "event_id", "event_type"
+    )
+    return _br.keep_latest(ev, "id", "fetchedAt").select(
+        F.col("id").alias("user_id"), F.col("fetchedAt").alias("ts_ms"), "event_id", "event_type"
+    )
+
+
+def _changed_documents(spark, sf_dir):
+    """Second version of the corpus: French documents are re-crawled; long
+    ones now hold their text twice, short ones became empty."""
+    docs = read_table(spark, sf_dir, "documents").where(F.col("lang") == "fr")
+    text = F.when(F.col("n_chars") > 1000, F.concat_ws(" ", "text", "text")).otherwise(F.lit(""))
+    return docs.select("doc_id", text.alias("text"))
+
+
+@register("index_replace")
+def index_replace(spark, sf_dir):
+    idx = documents_index(spark, sf_dir)
+    changed = ix.text_tokens(_changed_documents(spark, sf_dir), "doc_id", "text")
+    new = ix.replace_documents(idx, changed)
+    c = new.corpus.select(F.col("n_docs").alias("df"), F.lit("__n_docs__").alias("term"))
+    return new.term_stats.select("term", "df").unionByName(c.select("term", "df"))
+
+
+@register("index_export")
+def index_export(spark, sf_dir):
+    rows = _gd.export_rows(documents_index(spark, sf_dir))
+    return rows.select("term", "df", F.explode("postings").alias("doc", "tf"))
+
+
+@register("pipeline_counts")
+def pipeline_counts(spark, sf_dir):
+    """Silver documents (latest fetch per URL id) and Gold documents
+    (Silver documents with at least one term)."""
+    f = fetched_pages(spark, sf_dir)
+    b = _br.keep_latest(
+        _br.bronze_records(f.withColumn("headers", F.lit(None).cast("map<string,string>")),
+                           F.timestamp_millis("fetched_ms")), "id", "fetchedAt",
+    )
+    parsed = _pg.parse_pages(b.where(_fl.accepted("statusCode", "contentType")))
+    return parsed.agg(
+        F.count(F.lit(1)).alias("silver_documents"),
+        F.count(F.when(F.col("doc_len") > 0, 1)).alias("gold_documents"),
+    )
+
+
+@register("crawl_summary")
+def crawl_summary(spark, sf_dir):
+    f = fetched_pages(spark, sf_dir)
+    parsed = _parsed_pages(spark, sf_dir)
+    offered = parsed.select(_u.normalize("url").alias("url")).unionByName(
+        _pg.link_edges(parsed).select(F.col("dst").alias("url"))
+    ).distinct()
+    post = ix.postings_from_tokens(parsed.select("page_id", "toks"), "page_id")
+    gold_docs = post.select("page_id").distinct()
+    terms = post.select("term").distinct()
+    return _rp.crawl_summary(f, offered, parsed, gold_docs, terms)

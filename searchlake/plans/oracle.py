@@ -386,3 +386,66 @@ SELECT CAST(floor((epoch_us(ts) // 1000) / 3600000) AS BIGINT) AS bucket, count(
        round(sum(value), 6) AS total_ms, max(value) AS max_ms
 FROM events GROUP BY 1
 """
+
+
+# --- Bronze / Silver / Gold twins ------------------------------------------------------
+
+_FETCHED = """
+fetched AS (SELECT page_id, url, html,
+   [200,200,200,200,200,200,200,200,200,200,301,404,500,503,200,204][instr('0123456789abcdef', left(sha256(url), 1))] AS status,
+   ['text/html; charset=utf-8','text/html','application/xhtml+xml','TEXT/HTML','application/json'][(instr('0123456789abcdef', left(sha256(url), 1)) - 1) % 5 + 1] AS ct,
+   1704067200000 + page_id * 1000 AS fetched_ms FROM pages)
+"""
+
+ORACLE["bronze_accept"] = f"""
+WITH {_FETCHED}
+SELECT page_id, coalesce(status >= 200 AND status < 300 AND (contains(ct, 'text/html') OR contains(ct, 'application/xhtml')), false) AS accepted
+FROM fetched
+"""
+
+ORACLE["bronze_latest"] = """
+SELECT user_id, ts_ms, event_id, event_type FROM (
+  SELECT user_id, (epoch_us(ts) // 1000) AS ts_ms, event_id, event_type,
+         row_number() OVER (PARTITION BY user_id ORDER BY (epoch_us(ts) // 1000) DESC, event_id DESC, event_type DESC) AS rn
+  FROM events) WHERE rn = 1
+"""
+
+ORACLE["index_replace"] = f"""
+WITH v2 AS (
+  SELECT doc_id, CASE WHEN lang = 'fr' THEN (CASE WHEN n_chars > 1000 THEN text || ' ' || text ELSE '' END) ELSE text END AS text
+  FROM documents),
+d AS (SELECT doc_id, {TOKS.format(col='text')} AS toks FROM v2)
+SELECT term, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest(toks) AS term FROM d) GROUP BY term
+UNION ALL SELECT '__n_docs__', count(*) FROM d WHERE len(toks) > 0
+"""
+
+ORACLE["index_export"] = f"""
+WITH d AS ({DOC_TOKS}),
+post AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(toks) AS term FROM d) GROUP BY doc_id, term),
+dfs AS (SELECT term, count(*) AS df FROM post GROUP BY term)
+SELECT p.term, CAST(dfs.df AS VARCHAR) AS df, CAST(p.doc_id AS VARCHAR) AS doc, CAST(p.tf AS VARCHAR) AS tf
+FROM post p JOIN dfs USING (term)
+"""
+
+ORACLE["pipeline_counts"] = f"""
+WITH {_FETCHED},
+acc AS (SELECT * FROM fetched WHERE coalesce(status >= 200 AND status < 300 AND (contains(ct, 'text/html') OR contains(ct, 'application/xhtml')), false)),
+latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY left(sha256(url), 16) ORDER BY fetched_ms DESC, url DESC, html DESC) AS rn FROM fetched) WHERE rn = 1),
+kept AS (SELECT * FROM latest WHERE coalesce(status >= 200 AND status < 300 AND (contains(ct, 'text/html') OR contains(ct, 'application/xhtml')), false))
+SELECT count(*) AS silver_documents,
+       count(CASE WHEN len({TOKS.format(col=visible_sql('html'))}) > 0 THEN 1 END) AS gold_documents
+FROM kept
+"""
+
+ORACLE["crawl_summary"] = f"""
+WITH {_FETCHED},
+toks AS (SELECT page_id, unnest({TOKS.format(col=visible_sql('html'))}) AS term FROM pages),
+offered AS (SELECT {norm_sql('url')} AS u FROM pages UNION SELECT unnest({links_sql('url', 'html')}) FROM pages)
+SELECT (SELECT count(*) FROM fetched) AS pages_stored,
+       (SELECT count(*) FROM offered) AS urls_discovered,
+       (SELECT count(*) FROM pages) AS silver_docs,
+       (SELECT count(DISTINCT page_id) FROM toks) AS gold_docs,
+       (SELECT count(DISTINCT term) FROM toks) AS terms,
+       (SELECT CAST(max(fetched_ms) - min(fetched_ms) AS BIGINT) FROM fetched) AS elapsed_ms,
+       round((SELECT count(*) FROM fetched) / greatest((SELECT (max(fetched_ms) - min(fetched_ms)) / 1000.0 FROM fetched), 0.001), 6) AS pages_per_second
+"""
