@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from searchlake.operators import index as ix
 from searchlake.operators import search as se
+from searchlake.functions.text import tokens
 from searchlake.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -436,3 +437,88 @@ def crawl_summary(spark, sf_dir):
     gold_docs = post.select("page_id").distinct()
     terms = post.select("term").distinct()
     return _rp.crawl_summary(f, offered, parsed, gold_docs, terms)
+
+
+# --- ST1-ST5: streaming ----------------------------------------------------------------
+
+from searchlake.session import scratch_path  # noqa: E402
+from searchlake.streaming import jobs as _st  # noqa: E402
+
+STREAM_CHUNKS = 4
+
+
+def _table_stream(spark, sf_dir, name):
+    schema = read_table(spark, sf_dir, name).schema
+    return (
+        spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+        .option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir.rstrip("/"))
+    )
+
+
+def staged_events(spark, sf_dir) -> str:
+    """Stage ``events`` as STREAM_CHUNKS files in event-time order (one
+    append per time range) so a file stream replays them as successive
+    micro-batches.  Returns the folder."""
+    ev = _events(spark, sf_dir)
+    lo, hi = ev.agg(F.min("ts_ms"), F.max("ts_ms")).first()
+    span = max(1, (hi - lo + 1))
+    path = scratch_path(spark, "events-stream")
+    chunk = F.least(F.floor((F.col("ts_ms") - F.lit(lo)) * STREAM_CHUNKS / F.lit(span)), F.lit(STREAM_CHUNKS - 1))
+    for c in range(STREAM_CHUNKS):
+        ev.where(chunk == c).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def _events_stream(spark, sf_dir):
+    path = staged_events(spark, sf_dir)
+    schema = spark.read.parquet(path).schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@register("stream_silver")
+def stream_silver(spark, sf_dir):
+    out, ck = scratch_path(spark, "silver-out"), scratch_path(spark, "silver-ck")
+    s = _st.silver_stream(_table_stream(spark, sf_dir, "pages"), keep=("page_id",))
+    _st.run_available(s.select("page_id", "id", "title", "doc_len"), out, ck)
+    return spark.read.parquet(out)
+
+
+@register("stream_gold")
+def stream_gold(spark, sf_dir):
+    gold_base, ck = scratch_path(spark, "gold"), scratch_path(spark, "gold-ck")
+    docs = _table_stream(spark, sf_dir, "documents")
+    tok = docs.select("doc_id", F.lit(None).cast("string").alias("title"), tokens("text").alias("toks"))
+    _st.run_foreach_batch(tok, _st.gold_upsert_batch(spark, gold_base, "doc_id"), ck)
+    return _gd.read_index(spark, gold_base, "doc_id").term_stats
+
+
+@register("stream_dedup")
+def stream_dedup(spark, sf_dir):
+    out, ck = scratch_path(spark, "dedup-out"), scratch_path(spark, "dedup-ck")
+    ev = _events_stream(spark, sf_dir)
+    offers = ev.select(F.concat(F.lit("https://u"), F.col("user_id").cast("string"), F.lit(".example.com/")).alias("url"),
+                       F.timestamp_millis("ts_ms").alias("ts"))
+    _st.run_available(_st.dedup_stream(offers, "url", "ts", "3650 days").select("url"), out, ck)
+    return spark.read.parquet(out)
+
+
+@register("stream_lease")
+def stream_lease(spark, sf_dir):
+    out, ck = scratch_path(spark, "lease-out"), scratch_path(spark, "lease-ck")
+    ev = _events_stream(spark, sf_dir)
+    kind = F.when(F.col("event_type") == "view", F.lit("poll")).when(F.col("event_type") == "purchase", F.lit("finish"))
+    log = ev.select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("task"), kind.alias("kind"),
+                    "ts_ms", F.col("event_id").alias("id"))
+    _st.run_available(_st.lease_stream(log, LEASE_MS), out, ck)
+    return spark.read.parquet(out)
+
+
+@register("stream_politeness")
+def stream_politeness(spark, sf_dir):
+    out, ck = scratch_path(spark, "polite-out"), scratch_path(spark, "polite-ck")
+    ev = _events_stream(spark, sf_dir)
+    req = ev.select(F.col("event_id").alias("id"), F.col("user_id").alias("host"), F.col("ts_ms").alias("arrival_ms"))
+    _st.run_available(_st.politeness_stream(req), out, ck)
+    r = spark.read.parquet(out)
+    return r.select(F.col("id").alias("event_id"), F.col("host").alias("user_id"),
+                    (F.col("grant_ms") - F.col("arrival_ms")).alias("wait_ms"))

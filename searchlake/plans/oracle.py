@@ -449,3 +449,16 @@ SELECT (SELECT count(*) FROM fetched) AS pages_stored,
        (SELECT CAST(max(fetched_ms) - min(fetched_ms) AS BIGINT) FROM fetched) AS elapsed_ms,
        round((SELECT count(*) FROM fetched) / greatest((SELECT (max(fetched_ms) - min(fetched_ms)) / 1000.0 FROM fetched), 0.001), 6) AS pages_per_second
 """
+
+
+# --- streaming twins (same results as the batch operators) --------------------------------
+
+ORACLE["stream_silver"] = f"""
+SELECT page_id, left(sha256(url), 16) AS id, {title_sql('html')} AS title,
+       CAST(len({TOKS.format(col=visible_sql('html'))}) AS INTEGER) AS doc_len
+FROM pages
+"""
+ORACLE["stream_gold"] = ORACLE["doc_freq"]
+ORACLE["stream_dedup"] = "SELECT DISTINCT 'https://u' || CAST(user_id AS VARCHAR) || '.example.com/' AS url FROM events"
+ORACLE["stream_politeness"] = ORACLE["politeness_schedule"].replace(
+    "UNION ALL SELECT event_id, user_id, CAST(0 AS BIGINT) FROM events WHERE user_id IS NULL", "")
