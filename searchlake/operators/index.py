@@ -19,7 +19,16 @@ from pyspark.sql import functions as F
 
 from searchlake.functions.text import html_title, html_visible_text, snippet, tokens
 from searchlake.session import materialize as _materialize
-from searchlake.session import one_row, spread
+from searchlake.session import one_row, scratch_path, spread
+
+TERM_BUCKETS = 64
+
+
+def term_bucket(term, buckets: int = TERM_BUCKETS) -> Column:
+    """Storage bucket of a term: postings are partitioned by it, so a search
+    reads only the buckets of its query terms."""
+    t = F.col(term) if isinstance(term, str) else term
+    return F.pmod(F.xxhash64(t), F.lit(buckets)).cast("int")
 
 
 def text_tokens(docs: DataFrame, key: str, text: str | Column, title: Column | None = None) -> DataFrame:
@@ -77,6 +86,10 @@ class Index:
     term_stats: DataFrame  # (term, df)
     corpus: DataFrame  # one row
 
+    @property
+    def bucketed(self) -> bool:
+        return "term_bucket" in self.postings.columns
+
     def materialize(self) -> "Index":
         """Checkpoint every table so repeated searches reuse them."""
         return Index(
@@ -88,6 +101,35 @@ class Index:
         )
 
 
+def write_gold(postings: DataFrame, key: str, titles: DataFrame | None, base: str, buckets: int = TERM_BUCKETS) -> Index:
+    """Write the Gold tables as Parquet under ``base`` and return the index
+    read back from them.
+
+    Postings are hash-partitioned by term bucket and sorted by term inside
+    each file, then written partitioned by ``term_bucket``: a search prunes
+    whole buckets (statically for literal terms, through dynamic partition
+    pruning for a broadcast query table) and skips row groups by the term
+    min/max statistics.  The statistics are derived from the written
+    postings, reading only the columns they need.
+    """
+    spark = postings.sparkSession
+    root = base.rstrip("/")
+    (
+        postings.withColumn("term_bucket", term_bucket("term", buckets))
+        .repartition("term_bucket")
+        .sortWithinPartitions("term_bucket", "term")
+        .write.mode("errorifexists").partitionBy("term_bucket").parquet(f"{root}/postings")
+    )
+    post = spark.read.parquet(f"{root}/postings")
+    idx = index_from_postings(post, key, titles)
+    idx.doc_stats.write.mode("errorifexists").parquet(f"{root}/doc_stats")
+    idx.term_stats.write.mode("errorifexists").parquet(f"{root}/term_stats")
+    ds = spark.read.parquet(f"{root}/doc_stats")
+    ts = spark.read.parquet(f"{root}/term_stats")
+    corpus_statistics(ds, ts).write.mode("errorifexists").parquet(f"{root}/corpus")
+    return Index(key, post, ds, ts, spark.read.parquet(f"{root}/corpus"))
+
+
 def index_from_postings(postings: DataFrame, key: str, titles: DataFrame | None = None) -> Index:
     """Derive doc/term/corpus statistics from postings (P7: documents
     without terms have no posting and do not count)."""
@@ -104,16 +146,17 @@ def index_from_postings(postings: DataFrame, key: str, titles: DataFrame | None
 def build_index(tok: DataFrame, key: str, materialize: bool = True) -> Index:
     """Gold tables from tokenized rows ``(<key>, title, toks)``.
 
-    With ``materialize`` the postings are checkpointed first, so the text is
-    tokenized once however many tables derive from it.
+    With ``materialize`` the tables are written as Parquet under the
+    session's checkpoint folder (a shared folder on a cluster) and read
+    back, so the text is tokenized once and searches get column pruning,
+    partition pruning and filter push-down.
     """
     postings = postings_from_tokens(tok, key)
-    if materialize:
-        postings = _materialize(postings)
     has_titles = "title" in tok.columns
     titles = tok.select(key, "title").where(F.col("title").isNotNull()) if has_titles else None
-    idx = index_from_postings(postings, key, titles)
-    return idx.materialize() if materialize else idx
+    if materialize:
+        return write_gold(postings, key, titles, scratch_path(postings.sparkSession, "gold"))
+    return index_from_postings(postings, key, titles)
 
 
 def posting_list(index: Index, term: str) -> DataFrame:
@@ -152,8 +195,9 @@ def replace_documents(index: Index, changed_tok: DataFrame, materialize: bool =
     key = index.key
     changed_keys = changed_tok.select(key).distinct()
     new_post = postings_from_tokens(changed_tok, key)
-    old_post = index.postings.join(changed_keys, key, "left_semi")
-    postings = index.postings.join(changed_keys, key, "left_anti").unionByName(new_post)
+    base = index.postings.select(key, "doc_len", "term", "tf")
+    old_post = base.join(changed_keys, key, "left_semi")
+    postings = base.join(changed_keys, key, "left_anti").unionByName(new_post)
 
     delta = (
         new_post.select("term", F.lit(1).alias("d"))

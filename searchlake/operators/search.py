@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from searchlake.constants import BM25_B, BM25_K1, DEFAULT_LIMIT, MAX_BROADCAST_ROWS, MAX_LIMIT, MIN_LIMIT
 from searchlake.functions.scoring import idf, term_score
 from searchlake.functions.text import query_tokens
-from searchlake.operators.index import Index
+from searchlake.operators.index import TERM_BUCKETS, Index, term_bucket
 from searchlake.session import broadcast_if_bounded, one_row
 
 _INT = re.compile(r"[+-]?[0-9]+")
@@ -38,6 +38,16 @@ def parse_limit(value: str | None) -> int:
     return min(MAX_LIMIT, max(MIN_LIMIT, n))
 
 
+def _bucket_of(term: str) -> int:
+    """Python twin of ``term_bucket`` (xxhash64 with Spark's seed 42)."""
+    import xxhash
+
+    h = xxhash.xxh64_intdigest(term.encode("utf-8"), seed=42)
+    if h >= 1 << 63:
+        h -= 1 << 64
+    return h % TERM_BUCKETS
+
+
 def query_terms(queries: DataFrame, qid: str = "qid", text: str = "query") -> DataFrame:
     """(qid, term) for each distinct token of each query."""
     return queries.select(F.col(qid), F.explode(query_tokens(text)).alias("term"))
@@ -53,9 +63,28 @@ def _term_weights(index: Index, qterms: DataFrame, qid: str) -> DataFrame:
     )
 
 
-def _scored_candidates(index: Index, qterms: DataFrame, qid: str, k1: float, b: float) -> DataFrame:
-    weights = broadcast_if_bounded(_term_weights(index, qterms, qid))
-    cand = index.postings.join(weights, "term")
+def _scored_candidates(
+    index: Index, qterms: DataFrame, qid: str, k1: float, b: float, literal_terms: list[str] | None = None
+) -> DataFrame:
+    weights = _term_weights(index, qterms, qid)
+    postings = index.postings
+    if index.bucketed:
+        # Join on (bucket, term): the broadcast query side prunes bucket
+        # partitions of the postings table at run time.
+        weights = weights.withColumn("term_bucket", term_bucket("term"))
+        keys = ["term_bucket", "term"]
+    else:
+        keys = ["term"]
+    if literal_terms is not None:
+        # A single query: its terms are known, so push them to the scan
+        # (partition pruning + row-group skipping on sorted terms).
+        postings = postings.where(F.col("term").isin(literal_terms))
+        if index.bucketed:
+            postings = postings.where(
+                F.col("term_bucket").isin(sorted({_bucket_of(t) for t in literal_terms}) or [-1])
+            )
+    weights = broadcast_if_bounded(weights)
+    cand = postings.join(weights, keys)
     s = term_score("idf", "tf", "doc_len", "avgdl", k1, b)
     return (
         cand.groupBy(qid, index.key)
@@ -114,7 +143,10 @@ def search(
     """
     spark = index.postings.sparkSession
     q = spark.createDataFrame([(0, query)], "qid int, query string")
-    scored = _scored_candidates(index, query_terms(q), "qid", k1, b).drop("qid")
+    qterms = query_terms(q)
+    # One short string: its distinct tokens are a handful of values.
+    terms = [r.term for r in qterms.collect()]
+    scored = _scored_candidates(index, qterms, "qid", k1, b, literal_terms=terms).drop("qid")
     top = scored.orderBy(F.desc("score"), F.desc("matched"), F.asc(index.key)).limit(limit)
     w = Window.orderBy(F.desc("score"), F.desc("matched"), F.asc(index.key))
     # ``limit`` rows at most, so the unpartitioned window runs on a bounded set.

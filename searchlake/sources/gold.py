@@ -5,25 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from searchlake.operators.index import Index
+from searchlake.operators.index import TERM_BUCKETS, Index, term_bucket
 from searchlake.sources import snapshots
 
-TERM_BUCKETS = 64
 EXPORT_BLOCK = 10_000
 
 
-def term_bucket(term, buckets: int = TERM_BUCKETS) -> F.Column:
-    t = F.col(term) if isinstance(term, str) else term
-    return F.pmod(F.xxhash64(t), F.lit(buckets)).cast("int")
-
-
 def write_index(spark: SparkSession, index: Index, base: str, buckets: int = TERM_BUCKETS) -> str:
     """Write postings partitioned by a term bucket (a search that joins
     broadcast query terms on (bucket, term) reads only their buckets through
     dynamic partition pruning), plus the statistics tables; then publish the
     new version.  Returns the version name."""
     version = snapshots.new_version()
-    post = index.postings.withColumn("term_bucket", term_bucket("term", buckets))
+    post = index.postings.select(index.key, "doc_len", "term", "tf").withColumn("term_bucket", term_bucket("term", buckets))
     snapshots.write_versioned(post.repartition("term_bucket").sortWithinPartitions("term"), base, "postings", version, ["term_bucket"])
     snapshots.write_versioned(index.term_stats, base, "term_stats", version)
     snapshots.write_versioned(index.doc_stats, base, "doc_stats", version)
