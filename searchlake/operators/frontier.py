@@ -6,7 +6,8 @@ is a distributed join.  The edge table is hash-partitioned by source once
 and checkpointed, so each round shuffles only the (new) frontier, and the
 visited set stays partitioned the same way, so the anti join needs no
 shuffle either.  Each round's result is checkpointed (reliable storage) to
-keep lineage flat and survive executor loss.
+keep lineage flat and survive executor loss; the visited set is the union
+of those checkpointed levels.
 """
 
 from __future__ import annotations
@@ -45,7 +46,9 @@ def bfs(
     """
     spark = edges.sparkSession
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    e = materialize(edges.select("src", "dst").distinct().repartition(p, "src"))
+    # One shuffle: hash by source, then de-duplicate inside the partitions
+    # (the distinct is satisfied by the source partitioning).
+    e = materialize(edges.select("src", "dst").repartition(p, "src").distinct())
     ok = None
     if fetchable is not None:
         ok = materialize(fetchable.select(F.col("url")).distinct().repartition(p, "url"))
@@ -80,7 +83,8 @@ def bfs(
         level = materialize(mark(nxt).withColumn("depth", F.lit(d + 1)))
         if level.isEmpty():
             break
-        visited = materialize(visited.unionByName(level))
+        # A union of checkpointed levels: the lineage stays one level deep.
+        visited = visited.unionByName(level)
     return visited.select("url", F.col("depth").cast("int").alias("depth"), "fetched")
 
 

@@ -20,7 +20,7 @@ from searchlake.constants import BM25_B, BM25_K1, DEFAULT_LIMIT, MAX_BROADCAST_R
 from searchlake.functions.scoring import idf, term_score
 from searchlake.functions.text import query_tokens
 from searchlake.operators.index import TERM_BUCKETS, Index, term_bucket
-from searchlake.session import broadcast_if_bounded, one_row
+from searchlake.session import one_row
 
 _INT = re.compile(r"[+-]?[0-9]+")
 
@@ -53,10 +53,15 @@ def query_terms(queries: DataFrame, qid: str = "qid", text: str = "query") -> Da
     return queries.select(F.col(qid), F.explode(query_tokens(text)).alias("term"))
 
 
-def _term_weights(index: Index, qterms: DataFrame, qid: str) -> DataFrame:
-    """(qid, term, idf, avgdl) for query terms that exist in the index."""
-    qterms = broadcast_if_bounded(qterms)
-    stats = qterms.join(index.term_stats, "term")
+def _term_weights(
+    index: Index, qterms: DataFrame, qid: str, literal_terms: list[str] | None = None, small: bool = True
+) -> DataFrame:
+    """(qid, term, idf, avgdl) for query terms that exist in the index
+    (at most one row per query term)."""
+    term_stats = index.term_stats
+    if literal_terms is not None:
+        term_stats = term_stats.where(F.col("term").isin(literal_terms))
+    stats = term_stats.join(F.broadcast(qterms) if small else qterms, "term")
     corpus = one_row(index.corpus.select("n_docs", "avgdl"))
     return stats.crossJoin(corpus).select(
         F.col(qid), "term", idf("n_docs", "df").alias("idf"), "avgdl"
@@ -66,7 +71,14 @@ def _term_weights(index: Index, qterms: DataFrame, qid: str) -> DataFrame:
 def _scored_candidates(
     index: Index, qterms: DataFrame, qid: str, k1: float, b: float, literal_terms: list[str] | None = None
 ) -> DataFrame:
-    weights = _term_weights(index, qterms, qid)
+    # The weights have at most one row per query term.  A single query's
+    # terms are a handful by construction; for a batch the query-term table
+    # is counted once against the broadcast bound (beyond it: shuffle joins).
+    if literal_terms is not None:
+        small = len(literal_terms) <= MAX_BROADCAST_ROWS
+    else:
+        small = qterms.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
+    weights = _term_weights(index, qterms, qid, literal_terms, small)
     postings = index.postings
     if index.bucketed:
         # Join on (bucket, term): the broadcast query side prunes bucket
@@ -83,7 +95,8 @@ def _scored_candidates(
             postings = postings.where(
                 F.col("term_bucket").isin(sorted({_bucket_of(t) for t in literal_terms}) or [-1])
             )
-    weights = broadcast_if_bounded(weights)
+    if small:
+        weights = F.broadcast(weights)
     cand = postings.join(weights, keys)
     s = term_score("idf", "tf", "doc_len", "avgdl", k1, b)
     return (

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,7 +67,12 @@ def materialize(df: DataFrame) -> DataFrame:
     so a frame repartitioned by a key before this call stays co-partitioned.
     """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # Without a persisted copy the eager checkpoint computes the plan twice
+    # (once for the count, once more to write the checkpoint files).
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
