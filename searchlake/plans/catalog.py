@@ -522,3 +522,17 @@ def stream_politeness(spark, sf_dir):
     r = spark.read.parquet(out)
     return r.select(F.col("id").alias("event_id"), F.col("host").alias("user_id"),
                     (F.col("grant_ms") - F.col("arrival_ms")).alias("wait_ms"))
+
+
+@register("silver_documents")
+def silver_documents(spark, sf_dir):
+    """S3/M4: Silver rows for every page (processedAt fixed to the fetch
+    time), flattened for comparison: link count, length and term count."""
+    f = fetched_pages(spark, sf_dir)
+    parsed = _pg.parse_pages(f, keep=("page_id", "fetched_ms"))
+    s = _pg.silver_documents(parsed.drop("fetched_ms"), processed_at=F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    return s.select(
+        "id", "url", "title", F.size("links").cast("int").alias("n_links"), "documentLength",
+        F.size("termFrequencies").cast("int").alias("n_terms"),
+        F.coalesce(F.aggregate(F.map_values("termFrequencies"), F.lit(0), lambda a, x: a + x), F.lit(0)).cast("int").alias("tf_total"),
+    )

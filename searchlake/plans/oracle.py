@@ -462,3 +462,13 @@ ORACLE["stream_gold"] = ORACLE["doc_freq"]
 ORACLE["stream_dedup"] = "SELECT DISTINCT 'https://u' || CAST(user_id AS VARCHAR) || '.example.com/' AS url FROM events"
 ORACLE["stream_politeness"] = ORACLE["politeness_schedule"].replace(
     "UNION ALL SELECT event_id, user_id, CAST(0 AS BIGINT) FROM events WHERE user_id IS NULL", "")
+
+ORACLE["silver_documents"] = f"""
+WITH p AS (SELECT url, html, {TOKS.format(col=visible_sql('html'))} AS toks FROM pages)
+SELECT left(sha256(url), 16) AS id, url, {title_sql('html')} AS title,
+       CAST(len({links_sql('url', 'html')}) AS INTEGER) AS n_links,
+       CAST(len(toks) AS INTEGER) AS documentLength,
+       CAST(len(list_distinct(toks)) AS INTEGER) AS n_terms,
+       CAST(len(toks) AS INTEGER) AS tf_total
+FROM p
+"""

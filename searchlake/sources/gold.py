@@ -9,6 +9,9 @@ from searchlake.operators.index import TERM_BUCKETS, Index, term_bucket
 from searchlake.sources import snapshots
 
 EXPORT_BLOCK = 10_000
+# Read exports back with this schema; inference would turn the posting map
+# into a struct with one field per document.
+EXPORT_SCHEMA = "term string, df string, block int, postings map<string,string>"
 
 
 def write_index(spark: SparkSession, index: Index, base: str, buckets: int = TERM_BUCKETS) -> str:

@@ -51,3 +51,44 @@ def test_bronze_files_roundtrip(spark, tmp_path):
     rows = read_bronze_files(spark, str(d)).collect()
     assert len(rows) == 1 and rows[0].id == "abc" and rows[0].html.count("\n") == 2
     assert rows[0].headers == {"a": "b"} and rows[0].statusCode == 200
+
+
+def test_gold_roundtrip_and_export(spark, tmp_path):
+    from searchlake.operators import index as ix
+    from searchlake.operators import search as se
+    from searchlake.sources import gold
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    idx = ix.build_index(ix.text_tokens(docs, "doc_id", "text"), "doc_id", materialize=False)
+    base = str(tmp_path / "gold")
+    gold.write_index(spark, idx, base)
+    back = gold.read_index(spark, base, "doc_id")
+    assert back.bucketed
+    q = "the of and with"
+    a = sorted(se.search(idx, q, 10).collect())
+    b = sorted(se.search(back, q, 10).collect())
+    assert a == b and len(a) == 10
+    out = str(tmp_path / "export")
+    gold.export_index(back, out)
+    rows = spark.read.schema(gold.EXPORT_SCHEMA).json(out + "/terms")
+    assert rows.select(F.explode("postings")).count() == idx.postings.count()
+    assert spark.read.json(out + "/stats").first().documentCount == idx.corpus.first().n_docs
+
+
+def test_doc_lookup_and_upsert(spark, tmp_path):
+    from searchlake.operators import index as ix
+    from searchlake.sources import bronze
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    idx = ix.build_index(ix.text_tokens(docs, "doc_id", "text"), "doc_id", materialize=False)
+    keys = spark.createDataFrame([(0,), (-5,)], "doc_id long")
+    got = {r.doc_id: r.doc_len for r in ix.doc_lookup(idx, keys).collect()}
+    assert got[-5] == 0 and got[0] > 0
+
+    base = str(tmp_path / "bronze")
+    f1 = spark.createDataFrame([("https://a/x", "<p>one</p>", 200, "text/html", None)], bronze.FETCHED_SCHEMA)
+    f2 = spark.createDataFrame([("https://a/x", "<p>two</p>", 200, "text/html", None)], bronze.FETCHED_SCHEMA)
+    bronze.upsert_bronze(spark, bronze.bronze_records(f1, F.lit("2026-01-01 00:00:00").cast("timestamp")), base)
+    bronze.upsert_bronze(spark, bronze.bronze_records(f2, F.lit("2026-01-02 00:00:00").cast("timestamp")), base)
+    rows = bronze.read_bronze(spark, base).collect()
+    assert len(rows) == 1 and rows[0].html == "<p>two</p>"
