@@ -52,9 +52,9 @@ def text_tokens(
     )
 
 
-def html_tokens(pages: DataFrame, key: str = "url", html: str = "html") -> DataFrame:
+def html_tokens(pages: DataFrame, key: str = "url", html: str = "html", colocate: bool = True) -> DataFrame:
     """``(<key>, title, toks)`` for raw HTML: title and visible body tokens."""
-    return text_tokens(pages, key, html_visible_text(html), html_title(html))
+    return text_tokens(pages, key, html_visible_text(html), html_title(html), colocate)
 
 
 def postings_from_tokens(tok: DataFrame, key: str) -> DataFrame:
@@ -120,8 +120,9 @@ def write_gold(postings: DataFrame, key: str, titles: DataFrame | None, base: st
     """Write the Gold tables as Parquet under ``base`` and return the index
     read back from them.
 
-    Postings are hash-partitioned by term bucket and sorted by term inside
-    each file, then written partitioned by ``term_bucket``: a search prunes
+    Postings are range-partitioned by (term bucket, term, document), sorted
+    by term inside each file and written partitioned by ``term_bucket``: a
+    search prunes
     whole buckets (statically for literal terms, through dynamic partition
     pruning for a broadcast query table) and skips row groups by the term
     min/max statistics.  The statistics are derived from the written
@@ -129,9 +130,13 @@ def write_gold(postings: DataFrame, key: str, titles: DataFrame | None, base: st
     """
     spark = postings.sparkSession
     root = base.rstrip("/")
+    # Range partitioning on (bucket, term, doc) balances the write even when
+    # one term ("the") has a posting in nearly every document: a hot term is
+    # split across tasks by document, and each file covers a contiguous term
+    # range, which keeps the row-group min/max statistics tight.
     (
         postings.withColumn("term_bucket", term_bucket("term", buckets))
-        .repartition("term_bucket")
+        .repartitionByRange("term_bucket", "term", key)
         .sortWithinPartitions("term_bucket", "term")
         .write.mode("errorifexists").partitionBy("term_bucket").parquet(f"{root}/postings")
     )

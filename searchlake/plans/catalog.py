@@ -536,3 +536,18 @@ def silver_documents(spark, sf_dir):
         F.size("termFrequencies").cast("int").alias("n_terms"),
         F.coalesce(F.aggregate(F.map_values("termFrequencies"), F.lit(0), lambda a, x: a + x), F.lit(0)).cast("int").alias("tf_total"),
     )
+
+
+def pages_index(spark, sf_dir) -> ix.Index:
+    key = _cache_key(spark, sf_dir, "pages")
+    if key not in _INDEX_CACHE:
+        pages = read_table(spark, sf_dir, "pages")
+        _INDEX_CACHE[key] = ix.build_index(ix.html_tokens(pages, "url", "html"), "url")
+    return _INDEX_CACHE[key]
+
+
+@register("page_search")
+def page_search(spark, sf_dir):
+    """Q4 + J2 + P8 over the HTML pages index: top 10 with title and snippet
+    joined after the top-k."""
+    return se.search(pages_index(spark, sf_dir), SEARCH_QUERY, TOP_K, with_titles=True)

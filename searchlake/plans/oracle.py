@@ -472,3 +472,23 @@ SELECT left(sha256(url), 16) AS id, url, {title_sql('html')} AS title,
        CAST(len(toks) AS INTEGER) AS tf_total
 FROM p
 """
+
+ORACLE["page_search"] = f"""
+WITH d AS (SELECT url, {title_sql('html')} AS title, {TOKS.format(col=visible_sql('html'))} AS toks FROM pages),
+post AS (SELECT url, term, count(*) AS tf FROM (SELECT url, unnest(toks) AS term FROM d) GROUP BY url, term),
+dl AS (SELECT url, CAST(len(toks) AS DOUBLE) AS doc_len, title FROM d WHERE len(toks) > 0),
+dfs AS (SELECT term, count(*) AS df FROM post GROUP BY term),
+cs AS (SELECT CAST(count(*) AS DOUBLE) AS n, CAST(sum(doc_len) AS DOUBLE) / count(*) AS avgdl FROM dl),
+q AS (SELECT DISTINCT unnest({TOKS.format(col=repr(_SEARCH_QUERY))}) AS term),
+scored AS (
+  SELECT p.url, round(sum(ln(1 + (cs.n - dfs.df + 0.5) / (dfs.df + 0.5)) * (p.tf * 2.2)
+                        / (p.tf + 1.2 * (0.25 + 0.75 * dl.doc_len / cs.avgdl))), 6) AS score,
+         CAST(count(*) AS INTEGER) AS matched
+  FROM post p JOIN q ON p.term = q.term JOIN dfs ON dfs.term = p.term JOIN dl ON dl.url = p.url CROSS JOIN cs
+  GROUP BY p.url),
+top AS (SELECT url, score, matched, CAST(row_number() OVER (ORDER BY score DESC, matched DESC, url) AS INTEGER) AS rank
+        FROM scored ORDER BY rank LIMIT 10)
+SELECT top.url, score, matched, rank, dl.title,
+       CASE WHEN regexp_matches(dl.title, '\\S') THEN dl.title END AS snippet
+FROM top JOIN dl ON dl.url = top.url
+"""
