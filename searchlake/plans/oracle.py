@@ -492,3 +492,14 @@ SELECT top.url, score, matched, rank, dl.title,
        CASE WHEN regexp_matches(dl.title, '\\S') THEN dl.title END AS snippet
 FROM top JOIN dl ON dl.url = top.url
 """
+
+# The stream emits an expired poll once the watermark (max event time of the
+# poll/finish rows, delay 0) has passed its deadline; polls still inside their
+# lease when the input ends stay in state.
+ORACLE["stream_lease"] = ORACLE["lease_recovery"].replace(
+    "SELECT task, ts_ms AS poll_ms, CAST(ts_ms + 43200000 AS BIGINT) AS recover_ms, finish_ms IS NOT NULL AS late_finish",
+    "SELECT task, ts_ms AS poll_ms, CAST(ts_ms + 43200000 AS BIGINT) AS recover_ms",
+).replace(
+    "WHERE kind = 'poll' AND (finish_ms IS NULL OR finish_ms > ts_ms + 43200000)",
+    "WHERE kind = 'poll' AND (finish_ms IS NULL OR finish_ms > ts_ms + 43200000) AND ts_ms + 43200000 + 1 < (SELECT max(ts_ms) FROM e)",
+)
