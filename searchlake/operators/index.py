@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -134,12 +135,16 @@ def write_gold(postings: DataFrame, key: str, titles: DataFrame | None, base: st
     # one term ("the") has a posting in nearly every document: a hot term is
     # split across tasks by document, and each file covers a contiguous term
     # range, which keeps the row-group min/max statistics tight.
+    # The range split samples its input in a separate job; keep the computed
+    # postings for the write so tokenization runs once (recomputed from
+    # lineage if an executor holding them is lost).
+    staged = postings.withColumn("term_bucket", term_bucket("term", buckets)).persist(StorageLevel.MEMORY_AND_DISK)
     (
-        postings.withColumn("term_bucket", term_bucket("term", buckets))
-        .repartitionByRange("term_bucket", "term", key)
+        staged.repartitionByRange("term_bucket", "term", key)
         .sortWithinPartitions("term_bucket", "term")
         .write.mode("errorifexists").partitionBy("term_bucket").parquet(f"{root}/postings")
     )
+    staged.unpersist()
     post = spark.read.parquet(f"{root}/postings")
     idx = index_from_postings(post, key, titles)
     idx.doc_stats.write.mode("errorifexists").parquet(f"{root}/doc_stats")
