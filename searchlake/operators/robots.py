@@ -99,7 +99,10 @@ def _normalize_path(path: F.Column) -> F.Column:
 
 def rules_by_domain(rules: DataFrame) -> DataFrame:
     """One row per domain with its rule list (bounded by one robots file)."""
-    return rules.groupBy("domain").agg(F.collect_list(F.struct("pattern", "allow", "rx")).alias("_rules"))
+    prefix = ~F.col("pattern").contains("*") & ~F.col("pattern").contains("$")
+    return rules.groupBy("domain").agg(
+        F.collect_list(F.struct("pattern", "allow", "rx", prefix.alias("prefix"))).alias("_rules")
+    )
 
 
 def robots_allowed(targets: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
@@ -119,7 +122,14 @@ def robots_allowed(targets: DataFrame, rules: DataFrame, url: str = "url") -> Da
         "_path", _normalize_path(urls.robots_path(url))
     )
     j = t.join(per_domain, "_domain", "left")
-    hits = F.filter(F.coalesce("_rules", F.array()), lambda r: F.regexp_like(F.col("_path"), r["rx"]))
+    # Plain prefixes (no '*', no '$') match with startswith -- the same as
+    # their anchored regex, without compiling a pattern per row.
+    hits = F.filter(
+        F.coalesce("_rules", F.array()),
+        lambda r: F.when(r["prefix"], F.col("_path").startswith(r["pattern"])).otherwise(
+            F.regexp_like(F.col("_path"), r["rx"])
+        ),
+    )
     best = F.array_max(F.transform(hits, lambda r: F.struct(F.length(r["pattern"]).alias("n"), r["allow"].alias("allow"))))
     allowed = F.when(F.col("_domain").isNull(), F.lit(False)).otherwise(F.coalesce(best["allow"], F.lit(True)))
     return j.select(*targets.columns, allowed.alias("allowed"))

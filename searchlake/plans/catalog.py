@@ -551,3 +551,11 @@ def page_search(spark, sf_dir):
     """Q4 + J2 + P8 over the HTML pages index: top 10 with title and snippet
     joined after the top-k."""
     return se.search(pages_index(spark, sf_dir), SEARCH_QUERY, TOP_K, with_titles=True)
+
+
+@register("page_doc_lookup")
+def page_doc_lookup(spark, sf_dir):
+    """Q6 on document keys: length, title and snippet of every distinct link
+    target in the pages index (0 / NULL when the target is not indexed)."""
+    targets = _pg.link_edges(_parsed_pages(spark, sf_dir)).select(F.col("dst").alias("url")).distinct()
+    return ix.doc_lookup(pages_index(spark, sf_dir), targets)

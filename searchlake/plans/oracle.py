@@ -503,3 +503,12 @@ ORACLE["stream_lease"] = ORACLE["lease_recovery"].replace(
     "WHERE kind = 'poll' AND (finish_ms IS NULL OR finish_ms > ts_ms + 43200000)",
     "WHERE kind = 'poll' AND (finish_ms IS NULL OR finish_ms > ts_ms + 43200000) AND ts_ms + 43200000 + 1 < (SELECT max(ts_ms) FROM e)",
 )
+
+ORACLE["page_doc_lookup"] = f"""
+WITH d AS (SELECT url, {title_sql('html')} AS title, {TOKS.format(col=visible_sql('html'))} AS toks FROM pages),
+dl AS (SELECT url, CAST(len(toks) AS INTEGER) AS doc_len, title FROM d WHERE len(toks) > 0),
+t AS (SELECT DISTINCT unnest({links_sql('url', 'html')}) AS url FROM pages)
+SELECT t.url, CAST(coalesce(dl.doc_len, 0) AS INTEGER) AS doc_len, dl.title,
+       CASE WHEN regexp_matches(dl.title, '\\S') THEN dl.title END AS snippet
+FROM t LEFT JOIN dl ON dl.url = t.url
+"""
