@@ -93,3 +93,32 @@ def test_doc_lookup_and_upsert(spark, tmp_path):
     bronze.upsert_bronze(spark, bronze.bronze_records(f2, F.lit("2026-01-02 00:00:00").cast("timestamp")), base)
     rows = bronze.read_bronze(spark, base).collect()
     assert len(rows) == 1 and rows[0].html == "<p>two</p>"
+
+
+def test_pipeline_counts_with_observations(spark, tmp_path):
+    from searchlake.operators.pipeline import run_pipeline
+    from searchlake.sources import bronze
+
+    f = catalog.fetched_pages(spark, SF).withColumn("headers", F.lit(None).cast("map<string,string>"))
+    b = bronze.bronze_records(f, F.timestamp_millis("fetched_ms"))
+    stats, idx = run_pipeline(spark, b, str(tmp_path / "silver"), str(tmp_path / "gold"))
+    expected = catalog.pipeline_counts(spark, SF).first()
+    assert (stats.silver_documents, stats.gold_documents) == (expected.silver_documents, expected.gold_documents)
+    assert idx.term_stats.count() > 0
+
+
+def test_gold_upsert_batch_is_idempotent(spark, tmp_path):
+    from searchlake.functions.text import tokens
+    from searchlake.sources import snapshots
+    from searchlake.streaming.jobs import gold_upsert_batch
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    tok = docs.select("doc_id", F.lit(None).cast("string").alias("title"), tokens("text").alias("toks"))
+    base = str(tmp_path / "gold")
+    run = gold_upsert_batch(spark, base, "doc_id")
+    run(tok, 0)
+    first = snapshots.current_version(spark, base)
+    run(tok, 0)  # replay of the same batch id
+    assert snapshots.current_version(spark, base) == first
+    run(tok.where("doc_id < 0"), 1)  # empty batch: index unchanged, new version
+    assert snapshots.current_version(spark, base) != first
