@@ -498,7 +498,7 @@ def stream_dedup(spark, sf_dir):
     ev = _events_stream(spark, sf_dir)
     offers = ev.select(F.concat(F.lit("https://u"), F.col("user_id").cast("string"), F.lit(".example.com/")).alias("url"),
                        F.timestamp_millis("ts_ms").alias("ts"))
-    _st.run_available(_st.dedup_stream(offers, "url", "ts", "3650 days").select("url"), out, ck)
+    _st.run_available(_st.dedup_stream(offers, "url", "ts", exact=True).select("url"), out, ck)
     return spark.read.parquet(out)
 
 

@@ -62,9 +62,17 @@ def gold_upsert_batch(spark: SparkSession, gold_base: str, key: str):
 
 # --- ST3: URL de-duplication ---------------------------------------------------------
 
-def dedup_stream(offers: DataFrame, url: str = "url", event_time: str = "ts", delay: str = "1 hour") -> DataFrame:
-    """ST3: first offer of a URL wins; state is bounded by the watermark
-    (offers later than the watermark are dropped -- the late-data rule)."""
+def dedup_stream(
+    offers: DataFrame, url: str = "url", event_time: str = "ts", delay: str = "1 hour", exact: bool = False
+) -> DataFrame:
+    """ST3: first offer of a URL wins.
+
+    Default: state bounded by the watermark (a URL offered again after the
+    watermark passed its first offer is let through again, and offers later
+    than the watermark are dropped -- the late-data rule).  ``exact`` keeps
+    every URL ever seen, like the reference's unbounded visited set."""
+    if exact:
+        return offers.dropDuplicates([url])
     return offers.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([url])
 
 
