@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -121,9 +120,9 @@ def write_gold(postings: DataFrame, key: str, titles: DataFrame | None, base: st
     """Write the Gold tables as Parquet under ``base`` and return the index
     read back from them.
 
-    Postings are range-partitioned by (term bucket, term, document), sorted
-    by term inside each file and written partitioned by ``term_bucket``: a
-    search prunes
+    Postings are rebalanced by term bucket (AQE splits a skewed bucket),
+    sorted by term inside each file and written partitioned by
+    ``term_bucket``: a search prunes
     whole buckets (statically for literal terms, through dynamic partition
     pruning for a broadcast query table) and skips row groups by the term
     min/max statistics.  The statistics are derived from the written
@@ -131,20 +130,17 @@ def write_gold(postings: DataFrame, key: str, titles: DataFrame | None, base: st
     """
     spark = postings.sparkSession
     root = base.rstrip("/")
-    # Range partitioning on (bucket, term, doc) balances the write even when
-    # one term ("the") has a posting in nearly every document: a hot term is
-    # split across tasks by document, and each file covers a contiguous term
-    # range, which keeps the row-group min/max statistics tight.
-    # The range split samples its input in a separate job; keep the computed
-    # postings for the write so tokenization runs once (recomputed from
-    # lineage if an executor holding them is lost).
-    staged = postings.withColumn("term_bucket", term_bucket("term", buckets)).persist(StorageLevel.MEMORY_AND_DISK)
+    # REBALANCE on the bucket: AQE coalesces small partitions and splits a
+    # skewed one (the bucket of a term like "the", which has a posting in
+    # nearly every document) across several tasks, without a sampling job.
+    # Each task sorts its rows by term, so every file covers a contiguous
+    # term range and the row-group min/max statistics stay tight.
     (
-        staged.repartitionByRange("term_bucket", "term", key)
+        postings.withColumn("term_bucket", term_bucket("term", buckets))
+        .hint("rebalance", "term_bucket")
         .sortWithinPartitions("term_bucket", "term")
         .write.mode("errorifexists").partitionBy("term_bucket").parquet(f"{root}/postings")
     )
-    staged.unpersist()
     post = spark.read.parquet(f"{root}/postings")
     idx = index_from_postings(post, key, titles)
     idx.doc_stats.write.mode("errorifexists").parquet(f"{root}/doc_stats")

@@ -21,7 +21,7 @@ def write_index(spark: SparkSession, index: Index, base: str, buckets: int = TER
     new version.  Returns the version name."""
     version = snapshots.new_version()
     post = index.postings.select(index.key, "doc_len", "term", "tf").withColumn("term_bucket", term_bucket("term", buckets))
-    post = post.repartitionByRange("term_bucket", "term", index.key).sortWithinPartitions("term_bucket", "term")
+    post = post.hint("rebalance", "term_bucket").sortWithinPartitions("term_bucket", "term")
     snapshots.write_versioned(post, base, "postings", version, ["term_bucket"])
     snapshots.write_versioned(index.term_stats, base, "term_stats", version)
     snapshots.write_versioned(index.doc_stats, base, "doc_stats", version)
