@@ -12,10 +12,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from searchlake.functions import urls as _u
+from searchlake.functions.text import tokens
+from searchlake.operators import fetchlog as _fl
+from searchlake.operators import frontier as _fr
 from searchlake.operators import index as ix
+from searchlake.operators import pages as _pg
+from searchlake.operators import politeness as _po
+from searchlake.operators import reports as _rp
+from searchlake.operators import robots as _rb
 from searchlake.operators import search as se
-from searchlake.functions.text import tokens
+from searchlake.session import scratch_path
+from searchlake.sources import bronze as _br
+from searchlake.sources import gold as _gd
 from searchlake.sources.tables import read_table
+from searchlake.streaming import jobs as _st
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -119,8 +130,6 @@ def bm25_params(spark, sf_dir):
 
 # --- T1-T6, P1, P4-P6, G1: page ETL -------------------------------------------
 
-from searchlake.functions import urls as _u  # noqa: E402
-from searchlake.operators import pages as _pg  # noqa: E402
 
 ALLOWED_DOMAIN = "example.com"
 
@@ -180,7 +189,6 @@ def domain_filter(spark, sf_dir):
 
 # --- P9, W2, J3, W1, J7: robots ------------------------------------------------
 
-from searchlake.operators import robots as _rb  # noqa: E402
 
 # Stand-in robots.txt files: one per host found in ``pages``; the template is
 # picked from the first hex digit of sha256(host) and ``{lang}`` is filled
@@ -226,7 +234,6 @@ def links_allowed(spark, sf_dir):
 
 # --- J4, G2, G3: frontier ----------------------------------------------------------
 
-from searchlake.operators import frontier as _fr  # noqa: E402
 
 BFS_SEED = "s1"
 BFS_MAX_DEPTH = 3
@@ -274,9 +281,6 @@ def frontier_counts(spark, sf_dir):
 
 # --- W4, L1-L3, A8, A9: politeness and logs over events -------------------------
 
-from searchlake.operators import fetchlog as _fl  # noqa: E402
-from searchlake.operators import politeness as _po  # noqa: E402
-from searchlake.operators import reports as _rp  # noqa: E402
 
 LEASE_MS = 12 * 3_600_000
 
@@ -346,8 +350,6 @@ def search_metrics(spark, sf_dir):
 
 # --- S1-S5, P2, W5, J5, A6, A7: Bronze / Silver / Gold --------------------------
 
-from searchlake.sources import bronze as _br  # noqa: E402
-from searchlake.sources import gold as _gd  # noqa: E402
 
 FETCH_EPOCH_MS = 1_704_067_200_000  # 2024-01-01T00:00:00Z
 
@@ -441,8 +443,6 @@ def crawl_summary(spark, sf_dir):
 
 # --- ST1-ST5: streaming ----------------------------------------------------------------
 
-from searchlake.session import scratch_path  # noqa: E402
-from searchlake.streaming import jobs as _st  # noqa: E402
 
 STREAM_CHUNKS = 4
 
