@@ -55,6 +55,8 @@ def main() -> None:
         df.write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
 
+    n_queries = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet").count()
+    qps = round(n_queries / max(times["bm25_batch_topk"], 1e-6), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({
         "metric": "total_sec",
@@ -62,6 +64,7 @@ def main() -> None:
         "unit": "sec",
         "queries": times,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
+        "batch_queries_per_sec": qps,
     }))
     spark.stop()
 
