@@ -129,3 +129,14 @@ def test_lease_recovery_fixture(spark):
     )
     got = sorted(fetchlog.lease_recovery(ev, 100).collect())
     assert [(r.task, r.poll_ms, r.recover_ms, r.late_finish) for r in got] == [("t1", 10, 110, True)]
+
+
+def test_hot_key_spans_many_chunks(spark):
+    from searchlake.operators.scan import chunk_rows
+
+    rows = [(i, "hot" if i % 2 == 0 else f"k{i % 97}", i) for i in range(20000)]
+    df = spark.createDataFrame(rows, "id long, k string, t long")
+    c = chunk_rows(df, "k", [F.col("t"), F.col("id")], partitions=16)
+    per_chunk = {r["_chunk"]: r["n"] for r in c.where("k = 'hot'").groupBy("_chunk").agg(F.count("*").alias("n")).collect()}
+    assert len(per_chunk) >= 6
+    assert max(per_chunk.values()) <= 10000 / 4
