@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from searchlake.functions.text import html_title, html_visible_text, snippet, tokens
 from searchlake.session import materialize as _materialize
+from searchlake.constants import MAX_BROADCAST_ROWS
 from searchlake.session import one_row, scratch_path, spread
 
 TERM_BUCKETS = 64
@@ -204,6 +205,30 @@ def doc_lookup(index: Index, docs: DataFrame) -> DataFrame:
     )
 
 
+def apply_df_delta(term_stats: DataFrame, delta: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """term_stats + signed df deltas; terms reaching 0 are dropped.
+
+    When the delta is within the broadcast bound (checked), the vocabulary
+    table is only streamed, never shuffled: existing terms are updated by a
+    broadcast left join, and new terms are the delta terms that a broadcast
+    semi join does not find.  Beyond the bound it is one full outer join.
+    """
+    delta = delta.select("term", "d")
+    if delta.limit(max_rows + 1).count() <= max_rows:
+        small = F.broadcast(delta)
+        updated = term_stats.join(small, "term", "left").select(
+            "term", (F.col("df") + F.coalesce("d", F.lit(0))).cast("long").alias("df")
+        )
+        existing = F.broadcast(term_stats.join(small, "term", "left_semi").select("term"))
+        added = delta.join(existing, "term", "left_anti").select("term", F.col("d").cast("long").alias("df"))
+        merged = updated.unionByName(added)
+    else:
+        merged = term_stats.join(delta, "term", "full").select(
+            "term", (F.coalesce("df", F.lit(0)) + F.coalesce("d", F.lit(0))).cast("long").alias("df")
+        )
+    return merged.where(F.col("df") > 0)
+
+
 def replace_documents(index: Index, changed_tok: DataFrame, materialize: bool = True) -> Index:
     """Re-index changed documents (tokenized rows) in one pass.
 
@@ -215,6 +240,11 @@ def replace_documents(index: Index, changed_tok: DataFrame, materialize: bool =
     """
     key = index.key
     changed_keys = changed_tok.select(key).distinct()
+    # A batch of changed documents is normally small next to the index:
+    # broadcast its keys (after a count check) so the postings and document
+    # tables are streamed through the anti/semi joins, not shuffled.
+    if changed_keys.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
+        changed_keys = F.broadcast(changed_keys)
     new_post = postings_from_tokens(changed_tok, key)
     base = index.postings.select(key, "doc_len", "term", "tf")
     old_post = base.join(changed_keys, key, "left_semi")
@@ -227,11 +257,7 @@ def replace_documents(index: Index, changed_tok: DataFrame, materialize: bool =
         .agg(F.sum("d").alias("d"))
         .where(F.col("d") != 0)
     )
-    term_stats = (
-        index.term_stats.join(delta, "term", "full")
-        .select("term", (F.coalesce("df", F.lit(0)) + F.coalesce("d", F.lit(0))).cast("long").alias("df"))
-        .where(F.col("df") > 0)
-    )
+    term_stats = apply_df_delta(index.term_stats, delta)
     new_titles = changed_tok.select(key, "title") if "title" in changed_tok.columns else None
     doc_stats = index.doc_stats.join(changed_keys, key, "left_anti")
     if new_titles is not None:

@@ -99,3 +99,11 @@ def test_incremental_equals_rebuild(spark):
     # invariants: sum df = postings rows, sum doc_len = total_len
     assert full.term_stats.agg(F.sum("df")).first()[0] == full.postings.count()
     assert full.doc_stats.agg(F.sum("doc_len")).first()[0] == full.corpus.first().total_len
+
+
+def test_df_delta_both_paths(spark):
+    ts = spark.createDataFrame([("a", 3), ("b", 1), ("c", 2)], "term string, df long")
+    delta = spark.createDataFrame([("a", -1), ("b", -1), ("d", 2)], "term string, d long")
+    expected = [("a", 2), ("c", 2), ("d", 2)]
+    assert sorted(ix.apply_df_delta(ts, delta).collect()) == expected
+    assert sorted(ix.apply_df_delta(ts, delta, max_rows=1).collect()) == expected
