@@ -122,3 +122,22 @@ def test_gold_upsert_batch_is_idempotent(spark, tmp_path):
     assert snapshots.current_version(spark, base) == first
     run(tok.where("doc_id < 0"), 1)  # empty batch: index unchanged, new version
     assert snapshots.current_version(spark, base) != first
+
+
+def test_dedup_stream_within_watermark(spark, tmp_path):
+    import datetime as dt
+    import time
+
+    from searchlake.streaming.jobs import dedup_stream, run_available
+
+    src = str(tmp_path / "offers")
+    t0 = dt.datetime(2024, 1, 1)
+    first = [("a", t0), ("a", t0 + dt.timedelta(seconds=1)), ("b", t0 + dt.timedelta(seconds=2))]
+    second = [("a", t0 + dt.timedelta(seconds=10)), ("c", t0 + dt.timedelta(hours=3))]
+    spark.createDataFrame(first, "url string, ts timestamp").coalesce(1).write.parquet(src)
+    time.sleep(1.1)
+    spark.createDataFrame(second, "url string, ts timestamp").coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema("url string, ts timestamp").option("maxFilesPerTrigger", 1).parquet(src)
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    run_available(dedup_stream(stream, "url", "ts", "1 hour").select("url"), out, ck)
+    assert sorted(r.url for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
