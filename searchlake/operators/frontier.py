@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from searchlake.constants import DEFAULT_MAX_DEPTH
+from searchlake.functions import urls
 from searchlake.session import materialize
 
 
@@ -59,7 +60,10 @@ def bfs(
         hit = ok.select("url", F.lit(True).alias("fetched"))
         return frontier.join(hit, "url", "left").withColumn("fetched", F.coalesce("fetched", F.lit(False)))
 
-    level = mark(seeds.select(F.col("url")).distinct().repartition(p, "url").withColumn("depth", F.lit(0)))
+    # Seeds are normalised like discovered links, so "http://x" and
+    # "http://x/" are one URL (values that are not URLs pass unchanged).
+    seed_urls = seeds.select(urls.normalize("url").alias("url")).distinct()
+    level = mark(seed_urls.repartition(p, "url").withColumn("depth", F.lit(0)))
     level = materialize(level)
     visited = level
     taken = 0

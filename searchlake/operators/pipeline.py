@@ -15,6 +15,7 @@ from searchlake.operators import index as ix
 from searchlake.operators.fetchlog import accepted
 from searchlake.operators.pages import parse_pages, silver_documents
 from searchlake.sources.bronze import keep_latest
+from searchlake.sources.silver import silver_postings
 
 
 @dataclass(frozen=True)
@@ -37,12 +38,9 @@ def run_pipeline(spark: SparkSession, bronze: DataFrame, silver_path: str, gold_
 
     written = spark.read.parquet(silver_path)
     # Gold postings come from the written Silver term maps (P7: documents
-    # without terms produce no posting).
-    docs = written.select("url", F.explode_outer(F.map_entries("termFrequencies")).alias("e"), "documentLength", "title")
-    post = docs.where(F.col("e").isNotNull()).select(
-        "url", F.col("documentLength").alias("doc_len"), F.col("e.key").alias("term"), F.col("e.value").alias("tf")
-    )
+    # without terms produce no posting; mixed-case terms are folded).
+    post = silver_postings(written, "url")
     idx = ix.write_gold(post, "url", written.select("url", "title"), gold_path)
-    # doc_stats is a small written table (one row per Gold document).
+    # One-row corpus table of the written index.
     n_gold = idx.corpus.first()["n_docs"]
     return PipelineStats(silver_obs.get["n"], n_gold), idx

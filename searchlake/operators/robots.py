@@ -42,14 +42,16 @@ def robots_lines(robots: DataFrame) -> DataFrame:
     ).where(F.col("directive").isin("user-agent", "allow", "disallow"))
 
 
-def robots_rules(robots: DataFrame, user_agent: str = USER_AGENT) -> DataFrame:
+def robots_rules(robots: DataFrame, user_agent: str = USER_AGENT, empty_disallow_allows: bool = False) -> DataFrame:
     """P9 + W2: the rules of the group chosen for ``user_agent`` per domain:
     ``(domain, pattern, allow, rx)``.
 
     Every ``User-agent`` line opens a group (running sum over line numbers).
     Choice: exact agent (last wins) > longest agent that is a prefix of ours
     (first wins ties) > ``*`` (last wins).  No group or no rules = allow all,
-    i.e. no rows.
+    i.e. no rows.  An empty ``Disallow:`` matches every path and so blocks
+    the site (reference behaviour); ``empty_disallow_allows=True`` follows
+    the robots standard instead and ignores it.
     """
     ua = user_agent.lower()
     lines = robots_lines(robots)
@@ -71,6 +73,8 @@ def robots_rules(robots: DataFrame, user_agent: str = USER_AGENT) -> DataFrame:
     )
     chosen = groups.withColumn("rn", F.row_number().over(order)).where("rn = 1").select("domain", "grp")
     rules = lines.where(F.col("directive") != "user-agent").join(chosen, ["domain", "grp"])
+    if empty_disallow_allows:
+        rules = rules.where(~((F.col("directive") == "disallow") & (F.col("value") == "")))
     return rules.select(
         "domain",
         F.col("value").alias("pattern"),

@@ -140,3 +140,22 @@ def test_hot_key_spans_many_chunks(spark):
     per_chunk = {r["_chunk"]: r["n"] for r in c.where("k = 'hot'").groupBy("_chunk").agg(F.count("*").alias("n")).collect()}
     assert len(per_chunk) >= 6
     assert max(per_chunk.values()) <= 10000 / 4
+
+
+def test_empty_disallow_flag_and_seed_normalisation(spark):
+    rb = spark.createDataFrame([("ex.com", "User-agent: *\nDisallow:\n")], "domain string, content string")
+    t = spark.createDataFrame([("https://ex.com/x",)], "url string")
+    assert robots.robots_allowed(t, robots.robots_rules(rb)).first().allowed is False
+    assert robots.robots_allowed(t, robots.robots_rules(rb, empty_disallow_allows=True)).first().allowed is True
+    e = spark.createDataFrame([("http://x/", "http://y/")], "src string, dst string")
+    seeds = spark.createDataFrame([("http://x",), ("http://x/",)], "url string")
+    got = sorted((r.url, r.depth) for r in frontier.bfs(e, seeds, 2).collect())
+    assert got == [("http://x/", 0), ("http://y/", 1)]
+
+
+def test_silver_postings_fold_case(spark):
+    from searchlake.sources.silver import silver_postings
+
+    s = spark.createDataFrame([("u", {"Java": 2, "java": 1, "go": 1})], "url string, termFrequencies map<string,int>")
+    got = sorted((r.term, r.tf, r.doc_len) for r in silver_postings(s).collect())
+    assert got == [("go", 1, 4), ("java", 3, 4)]
