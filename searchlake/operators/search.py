@@ -23,6 +23,7 @@ from searchlake.operators.index import TERM_BUCKETS, Index, term_bucket
 from searchlake.session import one_row
 
 _INT = re.compile(r"[+-]?[0-9]+")
+MAX_PUSHDOWN_TERMS = 1024
 
 
 def parse_limit(value: str | None) -> int:
@@ -69,13 +70,19 @@ def _term_weights(
 
 
 def _scored_candidates(
-    index: Index, qterms: DataFrame, qid: str, k1: float, b: float, literal_terms: list[str] | None = None
+    index: Index,
+    qterms: DataFrame,
+    qid: str,
+    k1: float,
+    b: float,
+    literal_terms: list[str] | None = None,
+    n_terms: int | None = None,
 ) -> DataFrame:
     # The weights have at most one row per query term.  A single query's
     # terms are a handful by construction; for a batch the query-term table
     # is counted once against the broadcast bound (beyond it: shuffle joins).
-    if literal_terms is not None:
-        small = len(literal_terms) <= MAX_BROADCAST_ROWS
+    if n_terms is not None:
+        small = n_terms <= MAX_BROADCAST_ROWS
     else:
         small = qterms.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
     weights = _term_weights(index, qterms, qid, literal_terms, small)
@@ -157,9 +164,12 @@ def search(
     spark = index.postings.sparkSession
     q = spark.createDataFrame([(0, query)], "qid int, query string")
     qterms = query_terms(q)
-    # One short string: its distinct tokens are a handful of values.
+    # One string: its distinct tokens are bounded by its length.  They are
+    # pushed into the scans as literals unless there are very many (a whole
+    # document used as a query); then the broadcast join alone selects.
     terms = [r.term for r in qterms.collect()]
-    scored = _scored_candidates(index, qterms, "qid", k1, b, literal_terms=terms).drop("qid")
+    literal = terms if len(terms) <= MAX_PUSHDOWN_TERMS else None
+    scored = _scored_candidates(index, qterms, "qid", k1, b, literal_terms=literal, n_terms=len(terms)).drop("qid")
     top = scored.orderBy(F.desc("score"), F.desc("matched"), F.asc(index.key)).limit(limit)
     w = Window.orderBy(F.desc("score"), F.desc("matched"), F.asc(index.key))
     # ``limit`` rows at most, so the unpartitioned window runs on a bounded set.
