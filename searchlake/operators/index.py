@@ -186,10 +186,25 @@ def posting_list(index: Index, term: str) -> DataFrame:
     return index.postings.where(F.col("term") == F.lower(F.lit(term))).select("term", index.key, "tf")
 
 
+def _lookup(keys: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """``keys`` left-joined with ``table`` on ``key``.
+
+    A left outer join can only build its right side, which here is the big
+    table.  When the key set is within the broadcast bound (checked), the
+    big table is instead streamed through a broadcast inner join with the
+    keys, and the small match set is left-joined back to the keys.  No
+    shuffle of the big table happens.
+    """
+    if keys.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
+        matched = table.join(F.broadcast(keys.select(key).distinct()), key)
+        return keys.join(F.broadcast(matched), key, "left")
+    return keys.join(table, key, "left")
+
+
 def term_lookup(index: Index, terms: DataFrame, term_col: str = "term") -> DataFrame:
     """Q6: df for a table of terms; unknown terms get 0."""
     keys = terms.select(F.lower(F.col(term_col)).alias("term"))
-    return keys.join(index.term_stats, "term", "left").select(
+    return _lookup(keys, index.term_stats, "term").select(
         "term", F.coalesce("df", F.lit(0)).cast("long").alias("df")
     )
 
@@ -197,7 +212,7 @@ def term_lookup(index: Index, terms: DataFrame, term_col: str = "term") -> DataF
 def doc_lookup(index: Index, docs: DataFrame) -> DataFrame:
     """Q6: length, title and snippet for a table of document keys
     (missing -> 0 / NULL)."""
-    return docs.select(index.key).join(index.doc_stats, index.key, "left").select(
+    return _lookup(docs.select(index.key), index.doc_stats, index.key).select(
         index.key,
         F.coalesce("doc_len", F.lit(0)).cast("int").alias("doc_len"),
         "title",
