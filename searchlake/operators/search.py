@@ -24,6 +24,7 @@ from searchlake.session import one_row
 
 _INT = re.compile(r"[+-]?[0-9]+")
 MAX_PUSHDOWN_TERMS = 1024
+BATCH_PUSHDOWN_TERMS = 64
 
 
 def parse_limit(value: str | None) -> int:
@@ -136,7 +137,11 @@ def search_batch(
     query that matches every document moves only k rows per partition.
     """
     qterms = query_terms(queries, qid, text)
-    scored = _scored_candidates(index, qterms, qid, k1, b)
+    # A small batch (few distinct terms) pushes its terms into the scans, so
+    # only their buckets are read; a large batch touches most buckets anyway.
+    distinct = [r.term for r in qterms.select("term").distinct().limit(BATCH_PUSHDOWN_TERMS + 1).collect()]
+    literal = distinct if len(distinct) <= BATCH_PUSHDOWN_TERMS else None
+    scored = _scored_candidates(index, qterms, qid, k1, b, literal_terms=literal)
     w = Window.partitionBy(qid).orderBy(F.desc("score"), F.desc("matched"), F.asc(index.key))
     top = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     if with_titles:

@@ -107,3 +107,13 @@ def test_df_delta_both_paths(spark):
     expected = [("a", 2), ("c", 2), ("d", 2)]
     assert sorted(ix.apply_df_delta(ts, delta).collect()) == expected
     assert sorted(ix.apply_df_delta(ts, delta, max_rows=1).collect()) == expected
+
+
+def test_small_batch_pushdown_matches_single(spark):
+    idx = catalog.documents_index(spark, "/root/testdata/sf0.001")
+    q = spark.createDataFrame([(1, "the of"), (2, "and with this"), (3, "")], "qid int, query string")
+    batch = se.search_batch(idx, q, 5).collect()
+    for qid, text in ((1, "the of"), (2, "and with this")):
+        single = sorted((r.doc_id, r.score, r.matched, r.rank) for r in se.search(idx, text, 5).collect())
+        assert sorted((r.doc_id, r.score, r.matched, r.rank) for r in batch if r.qid == qid) == single
+    assert not [r for r in batch if r.qid == 3]
