@@ -22,7 +22,7 @@ from searchlake.operators import politeness as _po
 from searchlake.operators import reports as _rp
 from searchlake.operators import robots as _rb
 from searchlake.operators import search as se
-from searchlake.session import scratch_path
+from searchlake.session import materialize, scratch_path
 from searchlake.sources import bronze as _br
 from searchlake.sources import gold as _gd
 from searchlake.sources.tables import read_table
@@ -431,7 +431,9 @@ def pipeline_counts(spark, sf_dir):
 @register("crawl_summary")
 def crawl_summary(spark, sf_dir):
     f = fetched_pages(spark, sf_dir)
-    parsed = _parsed_pages(spark, sf_dir)
+    # Five report branches read the parsed pages: parse the HTML once and
+    # keep only the parsed columns (reliable checkpoint, no HTML).
+    parsed = materialize(_parsed_pages(spark, sf_dir).select("page_id", "url", "links", "toks"))
     offered = parsed.select(_u.normalize("url").alias("url")).unionByName(
         _pg.link_edges(parsed).select(F.col("dst").alias("url"))
     ).distinct()
