@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from searchlake.operators import index as ix
 from searchlake.operators.fetchlog import accepted
 from searchlake.operators.pages import parse_pages, silver_documents
+from searchlake.session import materialize
 from searchlake.sources.bronze import keep_latest
 from searchlake.sources.silver import silver_postings
 
@@ -30,7 +31,10 @@ def run_pipeline(spark: SparkSession, bronze: DataFrame, silver_path: str, gold_
     the Gold index from the written Silver term maps; the Gold count is the
     corpus row of the written index."""
     latest = keep_latest(bronze, "id", "fetchedAt")
-    parsed = parse_pages(latest.where(accepted("statusCode", "contentType")))
+    # Term maps and metadata both derive from the parse: parse the HTML once.
+    parsed = materialize(
+        parse_pages(latest.where(accepted("statusCode", "contentType"))).select("url", "title", "links", "toks", "doc_len")
+    )
     silver_obs = Observation("silver")
     # sourceBronzeId = url id of the page, which is the Bronze id by construction.
     silver = silver_documents(parsed, processed_at=F.current_timestamp())

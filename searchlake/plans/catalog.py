@@ -531,8 +531,10 @@ def silver_documents(spark, sf_dir):
     """S3/M4: Silver rows for every page (processedAt fixed to the fetch
     time), flattened for comparison: link count, length and term count."""
     f = fetched_pages(spark, sf_dir)
-    parsed = _pg.parse_pages(f, keep=("page_id", "fetched_ms"))
-    s = _pg.silver_documents(parsed.drop("fetched_ms"), processed_at=F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    # The term maps and the page metadata both derive from the parse: parse
+    # the HTML once (reliable checkpoint without the HTML column).
+    parsed = materialize(_pg.parse_pages(f).select("url", "title", "links", "toks", "doc_len"))
+    s = _pg.silver_documents(parsed, processed_at=F.lit("2024-01-01 00:00:00").cast("timestamp"))
     return s.select(
         "id", "url", "title", F.size("links").cast("int").alias("n_links"), "documentLength",
         F.size("termFrequencies").cast("int").alias("n_terms"),
