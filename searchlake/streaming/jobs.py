@@ -7,10 +7,12 @@ foreachBatch), and can run continuously or with ``availableNow``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -37,25 +39,35 @@ def silver_stream(bronze_stream: DataFrame, key: str = "url", html: str = "html"
 
 def gold_upsert_batch(spark: SparkSession, gold_base: str, key: str):
     """A ``foreachBatch`` function: the micro-batch (tokenized rows
-    ``(<key>, title, toks)``) replaces those documents in the current Gold
-    snapshot (keep-latest within the batch, J5 deltas) and publishes a new
-    version named after the batch id, so a replayed batch is a no-op."""
+    ``(<key>, title, toks)``, one row per key kept) replaces those documents
+    in the current Gold snapshot (J5 deltas) and publishes a new version
+    named after the batch id.  A replay of a published batch is a no-op; an
+    attempt that died before publishing is redone in a fresh folder."""
     from searchlake.sources import gold
 
     def run(batch: DataFrame, batch_id: int) -> None:
         version = f"v=batch-{batch_id:012d}"
-        if snapshots.current_version(spark, gold_base) == version:
-            return
         cur = snapshots.current_version(spark, gold_base)
-        batch = batch.dropDuplicates([key])
-        if cur is None:
-            idx = ix.build_index(batch, key, materialize=False)
-        else:
-            idx = ix.replace_documents(gold.read_index(spark, gold_base, key, cur), batch, materialize=False)
-        for name, df in (("postings", idx.postings), ("doc_stats", idx.doc_stats),
-                         ("term_stats", idx.term_stats), ("corpus", idx.corpus)):
-            df.write.mode("overwrite").parquet(f"{gold_base.rstrip('/')}/{version}/{name}")
-        snapshots.publish(spark, gold_base, version)
+        if cur is not None and cur.split(".")[0] == version:
+            return
+        # Several writes read this micro-batch: keep it instead of re-reading
+        # and re-tokenizing the source for each of them.
+        batch = batch.dropDuplicates([key]).persist(StorageLevel.MEMORY_AND_DISK)
+        attempt = f"{version}.{uuid.uuid4().hex[:12]}"
+        root = f"{gold_base.rstrip('/')}/{attempt}"
+        try:
+            if cur is None:
+                titles = batch.select(key, "title") if "title" in batch.columns else None
+                ix.write_gold(ix.postings_from_tokens(batch, key), key, titles, root)
+            else:
+                old = gold.read_index(spark, gold_base, key, cur)
+                idx = ix.replace_documents(old, batch, materialize=False)
+                for name, df in (("postings", idx.postings), ("doc_stats", idx.doc_stats),
+                                 ("term_stats", idx.term_stats), ("corpus", idx.corpus)):
+                    df.write.mode("overwrite").parquet(f"{root}/{name}")
+            snapshots.publish(spark, gold_base, attempt)
+        finally:
+            batch.unpersist()
 
     return run
 
