@@ -117,3 +117,24 @@ def test_small_batch_pushdown_matches_single(spark):
         single = sorted((r.doc_id, r.score, r.matched, r.rank) for r in se.search(idx, text, 5).collect())
         assert sorted((r.doc_id, r.score, r.matched, r.rank) for r in batch if r.qid == qid) == single
     assert not [r for r in batch if r.qid == 3]
+
+
+def test_paths_beyond_broadcast_bound_give_same_results(spark, monkeypatch):
+    idx = catalog.documents_index(spark, "/root/testdata/sf0.001")
+    bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    keys = spark.createDataFrame([("the",), ("nosuchterm",)], "term string")
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    changed = ix.text_tokens(docs.where(F.col("lang") == "de").select("doc_id", F.lit("").alias("text")), "doc_id", "text")
+
+    def run():
+        return (
+            sorted(se.search_batch(idx, bench, 5, qid="item_id", text="text", with_titles=True).select("item_id", "doc_id", "score", "rank").collect()),
+            sorted(se.search(idx, "the of and", 5).collect()),
+            sorted(ix.term_lookup(idx, keys).collect()),
+            sorted(ix.replace_documents(idx, changed, materialize=False).term_stats.collect()),
+        )
+
+    small = run()
+    monkeypatch.setattr(se, "MAX_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(ix, "MAX_BROADCAST_ROWS", 0)
+    assert run() == small
