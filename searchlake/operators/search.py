@@ -137,11 +137,14 @@ def search_batch(
     query that matches every document moves only k rows per partition.
     """
     qterms = query_terms(queries, qid, text)
-    # A small batch (few distinct terms) pushes its terms into the scans, so
-    # only their buckets are read; a large batch touches most buckets anyway.
-    distinct = [r.term for r in qterms.select("term").distinct().limit(BATCH_PUSHDOWN_TERMS + 1).collect()]
-    literal = distinct if len(distinct) <= BATCH_PUSHDOWN_TERMS else None
-    scored = _scored_candidates(index, qterms, qid, k1, b, literal_terms=literal)
+    # One count of the (qid, term) rows serves the broadcast check; a small
+    # batch (at most 64 such rows) also pushes its terms into the scans, so
+    # only their buckets are read.  A large batch touches most buckets anyway.
+    n_qterms = qterms.limit(MAX_BROADCAST_ROWS + 1).count()
+    literal = None
+    if n_qterms <= BATCH_PUSHDOWN_TERMS:
+        literal = [r.term for r in qterms.select("term").distinct().collect()]
+    scored = _scored_candidates(index, qterms, qid, k1, b, literal_terms=literal, n_terms=n_qterms)
     w = Window.partitionBy(qid).orderBy(F.desc("score"), F.desc("matched"), F.asc(index.key))
     top = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     if with_titles:
