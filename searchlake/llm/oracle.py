@@ -64,6 +64,26 @@ SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, w.doc_id =
 FROM w JOIN low USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
 
+OP8 = rf"""
+WITH rules(host, path, verdict) AS (VALUES
+    ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+    ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+), rest AS (
+    SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS r FROM pages
+), parts AS (
+    SELECT page_id, translate(regexp_extract(r, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') AS host,
+        regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM rest
+), keyed AS (SELECT row_number() OVER () AS id, * FROM parts),
+fits AS (
+    SELECT id, r.host || r.path AS rule, verdict,
+        row_number() OVER (PARTITION BY id ORDER BY length(r.host || r.path) DESC, length(r.path) DESC) AS rank
+    FROM keyed k JOIN rules r ON (k.host = r.host OR ends_with(k.host, '.' || r.host)) AND starts_with(k.path, r.path)
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM keyed LEFT JOIN fits ON fits.id = keyed.id AND rank = 1
+"""
+
 OP10 = rf"""
 WITH dw AS (SELECT doc_id, {_words(r'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')} AS words FROM documents),
 bw AS (SELECT item_id, {_words(r'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')} AS words FROM benchmark),

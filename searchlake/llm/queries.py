@@ -2,13 +2,25 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from searchlake.llm import decontaminate, near_dedup, oracle, sharding
+from searchlake.llm import bpe, decontaminate, near_dedup, oracle, sharding, token_count, url_filter
 from searchlake.sources.tables import read_table
 
 SHARDS = 40
+UNIGRAM_PATH = public_tokenizers.path("piece_bpe_32k.model")
+BPE_PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+#: Fixed values of the task: host, path and verdict of the URL rules.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
 
 
 def op2_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,11 +28,37 @@ def op2_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of all documents under the unigram view of a public vocabulary."""
+    return token_count.count_tokens(read_table(spark, sf_dir, "documents"), UNIGRAM_PATH)
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents")).drop("n_links")
 
 
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded to ids, and the ids decoded."""
+    out = bpe.encode(read_table(spark, sf_dir, "documents"), BPE_PATH, public_tokenizers.PATTERN, decode=True)
+    return bpe_digests(out)
+
+
+def bpe_digests(encoded: DataFrame) -> DataFrame:
+    """Lengths and SHA-256 digests of encoded and decoded texts."""
+    return encoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages judged by the rule list."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge(read_table(spark, sf_dir, "pages"), rules)
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in all documents."""
     out = decontaminate.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -32,12 +70,16 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_jump_shards": op2_jump_shards,
+    "op4_token_counts": op4_token_counts,
     "op6_near_dedup": op6_near_dedup,
+    "op7_byte_bpe": op7_byte_bpe,
+    "op8_url_filter": op8_url_filter,
     "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLE: dict[str, str] = {
     "op2_jump_shards": oracle.OP2,
     "op6_near_dedup": oracle.OP6,
+    "op8_url_filter": oracle.OP8,
     "op10_decontaminate": oracle.OP10,
 }
