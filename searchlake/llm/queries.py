@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from searchlake.llm import bpe, decontaminate, near_dedup, oracle, sharding, token_count, url_filter
+from searchlake.llm import bpe, decontaminate, near_dedup, oracle, quality, sharding, token_count, url_filter
 from searchlake.sources.tables import read_table
 
 SHARDS = 40
@@ -59,6 +59,11 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read_table(spark, sf_dir, "pages"), rules)
 
 
+def op9_quality_kn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity and verdict of all documents under the model of trusted text."""
+    return quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in all documents."""
     out = decontaminate.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -74,6 +79,7 @@ QUERIES = {
     "op6_near_dedup": op6_near_dedup,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_url_filter": op8_url_filter,
+    "op9_quality_kn": op9_quality_kn,
     "op10_decontaminate": op10_decontaminate,
 }
 
