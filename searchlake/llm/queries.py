@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from searchlake.llm import bpe, decontaminate, near_dedup, oracle, quality, sharding, token_count, url_filter
+from searchlake.llm import bpe, decontaminate, fingerprint, near_dedup, oracle, quality, sharding, token_count, toxicity, url_filter
 from searchlake.sources.tables import read_table
 
 SHARDS = 40
@@ -28,11 +28,21 @@ def op2_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op3_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents."""
+    return toxicity.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of all documents under the unigram view of a public vocabulary."""
     return token_count.count_tokens(read_table(spark, sf_dir, "documents"), UNIGRAM_PATH)
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents, their edited texts and next documents."""
+    return fingerprint.with_edits(read_table(spark, sf_dir, "documents"))
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents")).drop("n_links")
@@ -75,7 +85,9 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_jump_shards": op2_jump_shards,
+    "op3_toxicity_cnn": op3_toxicity_cnn,
     "op4_token_counts": op4_token_counts,
+    "op5_minhash": op5_minhash,
     "op6_near_dedup": op6_near_dedup,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_url_filter": op8_url_filter,
