@@ -126,6 +126,34 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bits of a membership bitmap: 1 MiB at any number of keys.
+BITMAP_BITS = 23
+
+
+def bitmap(hashes: DataFrame) -> np.ndarray:
+    """One bit for each 64-bit hash in ``hashes(h)``, for a broadcast whose
+    size does not grow.  A key that was not given may pass; more keys only
+    make that likelier."""
+
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.zeros(1 << BITMAP_BITS, bool)
+        for batch in batches:
+            own[place(batch.column("h").to_numpy(zero_copy_only=False).view(np.uint64))] = True
+        packed = np.packbits(own).view("<i8")
+        at = np.flatnonzero(packed)
+        yield pa.RecordBatch.from_pydict({"at": pa.array(at.astype(np.int32)), "bits": pa.array(packed[at])})
+
+    merged = hashes.mapInArrow(bits, "at int, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
+    full = np.zeros(1 << (BITMAP_BITS - 6), "<i8")
+    full[merged.column("at").to_numpy()] = merged.column("bits").to_numpy()
+    return np.unpackbits(full.view(np.uint8)).astype(bool)
+
+
+def place(hashes: np.ndarray) -> np.ndarray:
+    """The bits of 64-bit hashes in a bitmap."""
+    return (hashes >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
+
+
 def crc32_mod(col: str, n: int):
     """crc32 of a column's decimal text, modulo ``n`` (null: that of an empty text)."""
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit(""))) % F.lit(n)

@@ -33,10 +33,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from searchlake.llm.common import ALNUM, WordHash, concat, slices, utf8, written
+from searchlake.llm.common import ALNUM, WordHash, bitmap, concat, place, slices, utf8, written
 
 WINDOW = 10
-BITMAP_BITS = 23
 
 
 def item_words(text: bytes) -> list[bytes]:
@@ -58,28 +57,15 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def bitmap(words: DataFrame) -> np.ndarray:
-    """One bit for the hash of each word of ``words(word)``; 1 MiB at any
-    number of words."""
-
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.zeros(1 << BITMAP_BITS, bool)
-        for batch in batches:
-            for w in batch.column("word").cast(pa.binary()).to_pylist():
-                own[xxhash.xxh3_64_intdigest(w) >> (64 - BITMAP_BITS)] = True
-        at = np.flatnonzero(np.packbits(own).view("<u8"))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(at.astype(np.int32)), pa.array(np.packbits(own).view("<i8")[at])], names=["at", "bits"]
-        )
-
-    merged = words.mapInArrow(bits, "at int, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
-    full = np.zeros(1 << (BITMAP_BITS - 6), "<i8")
-    full[merged.column("at").to_numpy()] = merged.column("bits").to_numpy()
-    return np.unpackbits(full.view(np.uint8)).astype(bool)
+def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        words = batch.column("word").cast(pa.binary()).to_pylist()
+        h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+        yield pa.RecordBatch.from_pydict({"h": pa.array(h.view(np.int64))})
 
 
-def _marked(words: list[bytes], cache: WordHash, bits: np.ndarray) -> np.ndarray:
-    return np.flatnonzero(bits[cache.of(words) >> np.uint64(64 - BITMAP_BITS)])
+def word_bitmap(words: DataFrame) -> np.ndarray:
+    return bitmap(words.select("word").distinct().mapInArrow(_hashes, "h long"))
 
 
 def _count_words(bits):
@@ -96,9 +82,9 @@ def _count_words(bits):
 
         for part in slices(batches):
             here = Counter(concat([item_words(t) for t in utf8(part)])[0])
-            for w, n in here.items():
-                if table[xxhash.xxh3_64_intdigest(w) >> (64 - BITMAP_BITS)]:
-                    total[w] += n
+            known = list(here)
+            for i in np.flatnonzero(table[place(WordHash().of(known))]).tolist():
+                total[known[i]] += here[known[i]]
             if len(total) > 200_000:
                 yield flush()
         if total:
@@ -118,7 +104,7 @@ def _occurrences(bits):
             texts = utf8(part)
             lists = [item_words(t) for t in texts]
             words, ends = concat(lists)
-            at = _marked(words, cache, table)
+            at = np.flatnonzero(table[place(cache.of(words))])
             owner = np.searchsorted(ends, at, "right") - 1
             found: list[list] = [[] for _ in lists]
             for p, d in zip(at.tolist(), owner.tolist()):
@@ -154,7 +140,7 @@ def contaminated_windows(docs: DataFrame, benchmark: DataFrame, id_col: str = "d
         "window", F.size(F.split("window", " ")).alias("size"), F.posexplode(F.split("window", " ")).alias("offset", "word")
     )
 
-    known = spark.sparkContext.broadcast(bitmap(window_words.select("word").distinct()))
+    known = spark.sparkContext.broadcast(word_bitmap(window_words))
     counts = base.select("text").mapInArrow(_count_words(known), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     ranked = window_words.join(counts, "word", "left")
     prefix = ranked.groupBy("window", "size").agg(
@@ -162,7 +148,7 @@ def contaminated_windows(docs: DataFrame, benchmark: DataFrame, id_col: str = "d
     )
     prefix = written(prefix.select("window", "size", "p.word", "p.offset"), "prefixes")
 
-    anchors = spark.sparkContext.broadcast(bitmap(prefix.select("word").distinct()))
+    anchors = spark.sparkContext.broadcast(word_bitmap(prefix))
     schema = f"id {id_type}, digest binary, n_words long, " \
              "found array<struct<word: string, pos: long, around: string, before: long>>"
     rows = written(base.mapInArrow(_occurrences(anchors), schema), "occurrences")
