@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from searchlake.llm import bpe, decontaminate, fingerprint, near_dedup, oracle, quality, sharding, token_count, toxicity, url_filter
+from searchlake.llm import bpe, decontaminate, fingerprint, lm_score, near_dedup, oracle, quality, sharding, token_count, toxicity, url_filter
 from searchlake.sources.tables import read_table
 
 SHARDS = 40
@@ -23,6 +23,11 @@ URL_RULES = [
 ]
 
 
+def op1_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Masked pseudo-likelihood of all documents."""
+    return lm_score.score(read_table(spark, sf_dir, "documents"))
+
+
 def op2_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents into shards 0 to 39 by jump consistent hash of doc_id."""
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), SHARDS)
@@ -84,6 +89,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_masked_lm": op1_masked_lm,
     "op2_jump_shards": op2_jump_shards,
     "op3_toxicity_cnn": op3_toxicity_cnn,
     "op4_token_counts": op4_token_counts,
