@@ -92,11 +92,16 @@ class Scorer:
         place, starts, parts = indexed(lists)
         known = self.table[parts[:, 0]] + self.table[parts[:, 1]] + self.table[parts[:, 2]]
         n, block, pooled = len(place) - PAD, 0, []
+        # A text's places are its words and one more; the filters that start
+        # further right would reach into the next text.
+        beyond = (starts + np.array([len(x) for x in lists], np.int64) + 1)[:, None] + np.arange(PAD)
+        beyond = beyond[beyond < n]
         for width in WIDTHS:
             r = 0
             for j in range(width):
                 r = r + np.ascontiguousarray(known[:, block : block + FILTERS])[place[j : j + n]]
                 block += FILTERS
+            r[beyond] = -np.inf
             pooled.append(np.maximum.reduceat(r, starts, axis=0))
         x = np.maximum(np.concatenate(pooled, axis=1) + self.shift, 0) @ self.weight + self.bias
         return 1 / (1 + np.exp(-np.clip(x.astype(np.float64), -30, 30)))
