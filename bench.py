@@ -29,6 +29,12 @@ HEADLINE = [
     "fetch_attempts",
     "lease_recovery",
     "latency_percentiles",
+    "index_replace",
+    "index_export",
+    "crawl_summary",
+    "pipeline_counts",
+    "page_search",
+    "stream_lease",
 ]
 
 

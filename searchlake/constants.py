@@ -50,6 +50,3 @@ DISPLAY_ENTITIES = (
     ("&nbsp;", " "),
     ("&amp;", "&"),
 )
-
-# Engine sizing knobs (ours, not the reference's).
-MAX_BROADCAST_ROWS = 2_000_000

@@ -1,8 +1,12 @@
 """URL columns: id, host, robots path, domain filter, href resolution and
 normalisation -- all built from regex and string functions, no UDF.
 
-URLs are split with one pattern, ``scheme://authority path ?query #fragment``;
-a URL is *valid* when it matches that pattern and has no whitespace.
+URLs are split with one pattern, ``scheme://authority path ?query #fragment``.
+A URL is *valid* when every part has only the characters that a URI allows
+there (letters and signs beyond ASCII are allowed, spaces and controls are
+not) and every ``%`` starts a two-digit escape.  A host is a name of letter,
+digit and hyphen labels whose last label starts with a letter, an IPv4
+address or a bracketed IPv6 address; other authorities have no host.
 """
 
 from __future__ import annotations
@@ -10,24 +14,53 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-URL_PARTS = r"^([a-zA-Z][a-zA-Z0-9+.\-]*)://([^/?#\s]*)([^?#\s]*)(\?[^#\s]*)?(#\S*)?$"
-HOST_IN_AUTHORITY = r"^(?:[^@]*@)?(\[[^\]]*\]|[^:]*)"
-ANCHOR_HREF = r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""
+_BEYOND = r"\x{A1}-\x{167F}\x{1681}-\x{1FFF}\x{200B}-\x{2027}\x{202A}-\x{202E}\x{2030}-\x{205E}\x{2060}-\x{2FFF}\x{3001}-\x{10FFFF}"
+_PCHAR = r"a-zA-Z0-9_\-!.~'()*,;:$&+=@%" + _BEYOND
+URL_PARTS = (
+    r"^([a-zA-Z][a-zA-Z0-9+.\-]*)://([" + _PCHAR + r"\[\]]*)((?:/[" + _PCHAR + r"/]*)?)"
+    r"(\?[" + _PCHAR + r"/?\[\]]*)?(#[" + _PCHAR + r"/?\[\]]*)?$"
+)
+ESCAPE = r"%[0-9A-Fa-f]{2}"
+HOST_IN_AUTHORITY = r"^(?:[^@]*@)?(\[[^\]]*\]|[^:]*)(?::[0-9]*)?$"
+HOST_NAME = (
+    r"^(?:(?:[a-zA-Z0-9](?:[a-zA-Z0-9\-]*[a-zA-Z0-9])?\.)*[a-zA-Z](?:[a-zA-Z0-9\-]*[a-zA-Z0-9])?\.?"
+    r"|[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}|\[[0-9a-fA-F:.]+(?:%[a-zA-Z0-9_]+)?\])$"
+)
+# Whole start tags, quoted values included; the first href attribute of one.
+ANCHOR_TAG = r"""(?is)<a\s[^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*>"""
+BASE_TAG = r"""(?is)<base\s[^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*>"""
+HREF = (
+    r"""(?is)^<[a-z]+(?:\s+[^\s"'>/=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?)*?"""
+    r"""\s+href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+)
+HREF_ENTITIES = (
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&#x27;", "'"),
+    ("&#47;", "/"), ("&#x2F;", "/"), ("&#x2f;", "/"), ("&#61;", "="), ("&#x3D;", "="), ("&#x3d;", "="),
+    ("&#38;", "&"), ("&#x26;", "&"), ("&amp;", "&"),
+)
 HTML_CODE_BLOCKS = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
 SCHEME_PREFIX = r"^[a-zA-Z][a-zA-Z0-9+.\-]*:"
-DOT_SEGMENT_PASSES = 8
+PATH_OF_REFERENCE = r"^[^?#]*"
+REST_OF_REFERENCE = r"^[^?#]*(.*)$"
 
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once per row, however often the
+    body uses it (a lambda variable over a one-element array)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _part(url: Column, i: int) -> Column:
     return F.regexp_extract(url, URL_PARTS, i)
 
 
 def is_valid(url) -> Column:
-    return _c(url).rlike(URL_PARTS)
+    u = _c(url)
+    return u.rlike(URL_PARTS) & ~F.regexp_replace(u, ESCAPE, "").contains("%")
 
 
 def url_id(url) -> Column:
@@ -39,7 +72,7 @@ def host(url) -> Column:
     """Lower-cased host, NULL when the URL is invalid or has no host."""
     u = _c(url)
     h = F.lower(F.regexp_extract(_part(u, 2), HOST_IN_AUTHORITY, 1))
-    return F.when(is_valid(u) & (h != ""), h)
+    return F.when(is_valid(u) & h.rlike(HOST_NAME), h)
 
 
 def robots_path(url) -> Column:
@@ -66,19 +99,45 @@ def normalize(url) -> Column:
     the path is longer than 1; scheme, user info, host, port and query kept.
     Invalid input is returned unchanged."""
     u = _c(url)
-    path = _part(u, 3)
-    p = F.when(path == "", F.lit("/")).otherwise(path)
-    p = F.when((F.length(p) > 1) & p.endswith("/"), F.regexp_replace(p, "/$", "")).otherwise(p)
-    out = F.concat(_part(u, 1), F.lit("://"), _part(u, 2), p, _part(u, 4))
+    path = F.when(_part(u, 3) == "", F.lit("/")).otherwise(F.regexp_replace(_part(u, 3), "(.)/$", "$1"))
+    out = F.concat(_part(u, 1), F.lit("://"), _part(u, 2), path, _part(u, 4))
     return F.when(is_valid(u), out).otherwise(u)
 
 
 def _remove_dot_segments(path: Column) -> Column:
-    p = F.regexp_replace(path, r"/(\./)+", "/")
-    p = F.regexp_replace(p, r"/\.$", "/")
-    for _ in range(DOT_SEGMENT_PASSES):
-        p = F.regexp_replace(p, r"/[^/]+/\.\.(/|$)", "/")
-    return F.regexp_replace(p, r"^/\.\.(/|$)", "/")
+    """Fold ``.`` and ``..`` of an absolute path, as a stack over its
+    segments; ``..`` above the root goes, and a path that ends in a dot
+    segment ends in ``/``."""
+
+    def fold(stack: Column, segment: Column) -> Column:
+        return (
+            F.when(segment == ".", stack)
+            .when(segment == "..", F.slice(stack, F.lit(1), F.greatest(F.size(stack) - 1, F.lit(0))))
+            .otherwise(F.concat(stack, F.array(segment)))
+        )
+
+    def folded(p: Column) -> Column:
+        # A last dot segment leaves an empty one behind, for the final "/".
+        segments = F.split(F.regexp_replace(p, r"/(\.\.?)$", "/$1/"), "/")
+        stack = F.aggregate(F.slice(segments, 2, 1 << 20), F.array().cast("array<string>"), fold)
+        return F.when(p.rlike(r"/\.\.?(/|$)"), F.concat(F.lit("/"), F.array_join(stack, "/"))).otherwise(p)
+
+    return _let(path, folded)
+
+
+def _split_url(url: Column) -> Column:
+    names = ("scheme", "authority", "path", "query", "fragment")
+    return F.struct(*[_part(url, i).alias(n) for i, n in enumerate(names, 1)], is_valid(url).alias("valid"))
+
+
+def _fold(url: Column) -> Column:
+    """An absolute URL with the dot segments of its path folded."""
+
+    def whole(u: Column) -> Column:
+        p = _remove_dot_segments(_part(u, 3))
+        return F.when(u.rlike(URL_PARTS), F.concat(_part(u, 1), F.lit("://"), _part(u, 2), p, _part(u, 4), _part(u, 5))).otherwise(u)
+
+    return _let(url, whole)
 
 
 def resolve(base, href) -> Column:
@@ -86,34 +145,55 @@ def resolve(base, href) -> Column:
 
     Handles absolute, scheme-relative (``//h/p``), root-relative (``/p``),
     query-only, fragment-only and path-relative references, folding ``.``
-    and up to 8 levels of ``..``.  NULL when the base is invalid and the
-    reference is not absolute.
+    and ``..`` in paths (never in queries or fragments).  NULL when the base
+    is invalid and the reference is not absolute.
     """
-    b, h = _c(base), F.trim(_c(href))
-    scheme, auth, bpath, bquery = _part(b, 1), _part(b, 2), _part(b, 3), _part(b, 4)
-    origin = F.concat(scheme, F.lit("://"), auth)
-    bpath_nonempty = F.when(bpath == "", F.lit("/")).otherwise(bpath)
-    directory = F.regexp_replace(bpath_nonempty, r"[^/]*$", "")
-    rel = F.concat(origin, _remove_dot_segments(F.concat(directory, h)))
-    resolved = (
-        F.when(h.rlike(SCHEME_PREFIX), h)
-        .when(~is_valid(b), F.lit(None).cast("string"))
-        .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
-        .when(h.startswith("/"), F.concat(origin, _remove_dot_segments(h)))
-        .when(h.startswith("?"), F.concat(origin, bpath, h))
-        .when(h.startswith("#"), F.concat(origin, bpath, bquery, h))
-        .when(h == "", F.concat(origin, bpath, bquery))
-        .otherwise(rel)
+    return _let(_split_url(_c(base)), lambda b: _let(F.trim(_c(href)), lambda h: _resolve(b, h)))
+
+
+def _resolve(b: Column, h: Column) -> Column:
+    """``resolve`` of a trimmed reference against a split base."""
+    origin = F.concat(b["scheme"], F.lit("://"), b["authority"])
+    path = F.regexp_extract(h, PATH_OF_REFERENCE, 0)
+    rest = F.regexp_extract(h, REST_OF_REFERENCE, 1)
+    directory = F.when(b["path"] == "", F.lit("/")).otherwise(F.regexp_replace(b["path"], r"[^/]*$", ""))
+    return (
+        F.when(h.rlike(SCHEME_PREFIX), _fold(h))
+        .when(~b["valid"], F.lit(None).cast("string"))
+        .when(h.startswith("//"), _fold(F.concat(b["scheme"], F.lit(":"), h)))
+        .when(h.startswith("/"), F.concat(origin, _remove_dot_segments(path), rest))
+        .when(h.startswith("?"), F.concat(origin, b["path"], h))
+        .when(h.startswith("#"), F.concat(origin, b["path"], b["query"], h))
+        .when(h == "", F.concat(origin, b["path"], b["query"]))
+        .otherwise(F.concat(origin, _remove_dot_segments(F.concat(directory, path)), rest))
     )
-    return resolved
+
+
+def _href(tag: Column) -> Column:
+    """The trimmed href value of a start tag, entities decoded (``&amp;`` last)."""
+    value = F.concat(*[F.regexp_extract(tag, HREF, i) for i in (1, 2, 3)])
+    for entity, char in HREF_ENTITIES:
+        value = F.replace(value, F.lit(entity), F.lit(char))
+    return F.trim(value)
 
 
 def extract_links(base, html) -> Column:
     """T4: ``array<string>`` of every ``<a href>`` (document order, duplicates
-    kept) resolved against the page URL, kept when http(s), normalised.
-    Script, style and comment content is not scanned."""
-    code_free = F.regexp_replace(_c(html), HTML_CODE_BLOCKS, " ")
-    hrefs = F.regexp_extract_all(code_free, F.lit(ANCHOR_HREF), F.lit(1))
-    absolute = F.transform(hrefs, lambda x: resolve(base, x))
-    kept = F.filter(absolute, lambda x: x.startswith("http://") | x.startswith("https://"))
-    return F.transform(kept, lambda x: normalize(x))
+    kept) resolved against the page URL or the page's ``<base href>``, kept
+    when http(s), normalised.  Script, style and comment content is not
+    scanned."""
+
+    def page_links(code: Column) -> Column:
+        tags = F.filter(F.regexp_extract_all(code, F.lit(ANCHOR_TAG), F.lit(0)), lambda x: x.rlike(HREF))
+        hrefs = F.transform(tags, _href)
+        own = F.regexp_extract(code, BASE_TAG, 0)
+        against = F.when(own.rlike(HREF), F.coalesce(resolve(base, _href(own)), _c(base))).otherwise(_c(base))
+        absolute = _let(_split_url_of(against), lambda b: F.transform(hrefs, lambda h: _resolve(b, h)))
+        kept = F.filter(absolute, lambda x: x.startswith("http://") | x.startswith("https://"))
+        return F.transform(kept, normalize)
+
+    return _let(F.regexp_replace(_c(html), HTML_CODE_BLOCKS, " "), page_links)
+
+
+def _split_url_of(url: Column) -> Column:
+    return _let(url, _split_url)

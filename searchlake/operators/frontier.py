@@ -2,12 +2,11 @@
 frontier counters (G3).
 
 The BFS is a short driver loop of at most ``max_depth`` rounds; every round
-is a distributed join.  The edge table is hash-partitioned by source once
-and checkpointed, so each round shuffles only the (new) frontier, and the
-visited set stays partitioned the same way, so the anti join needs no
-shuffle either.  Each round's result is checkpointed (reliable storage) to
-keep lineage flat and survive executor loss; the visited set is the union
-of those checkpointed levels.
+is a distributed join.  The distinct edges are stored once and each round's
+new level after it, in the shared scratch folder, which keeps lineage flat and
+survives executor loss; the visited set is the union of the stored levels.
+No partitioning is fixed, so adaptive execution may broadcast a small frontier
+(the edges are then only streamed) and splits a hub's edges in a shuffle join.
 """
 
 from __future__ import annotations
@@ -17,7 +16,8 @@ from pyspark.sql import functions as F
 
 from searchlake.constants import DEFAULT_MAX_DEPTH
 from searchlake.functions import urls
-from searchlake.session import materialize
+from searchlake.operators.robots import filter_links, robots_allowed
+from searchlake.session import stored
 
 
 def offer(candidates: DataFrame, visited: DataFrame, url: str = "url", depth: str = "depth") -> DataFrame:
@@ -34,7 +34,6 @@ def bfs(
     max_depth: int = DEFAULT_MAX_DEPTH,
     max_pages: int | None = None,
     fetchable: DataFrame | None = None,
-    partitions: int | None = None,
 ) -> DataFrame:
     """``(url, depth, fetched)`` for every URL offered by a breadth-first
     crawl from ``seeds`` (depth 0).
@@ -45,14 +44,8 @@ def bfs(
     stops at that many; pages beyond the cap are not fetched and their links
     not expanded (the cap is the feature, applied as a bounded top-k).
     """
-    spark = edges.sparkSession
-    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # One shuffle: hash by source, then de-duplicate inside the partitions
-    # (the distinct is satisfied by the source partitioning).
-    e = materialize(edges.select("src", "dst").repartition(p, "src").distinct())
-    ok = None
-    if fetchable is not None:
-        ok = materialize(fetchable.select(F.col("url")).distinct().repartition(p, "url"))
+    e = stored(edges.select("src", "dst").distinct(), "edges")
+    ok = stored(fetchable.select(F.col("url")).distinct(), "fetchable") if fetchable is not None else None
 
     def mark(frontier: DataFrame) -> DataFrame:
         if ok is None:
@@ -63,8 +56,7 @@ def bfs(
     # Seeds are normalised like discovered links, so "http://x" and
     # "http://x/" are one URL (values that are not URLs pass unchanged).
     seed_urls = seeds.select(urls.normalize("url").alias("url")).distinct()
-    level = mark(seed_urls.repartition(p, "url").withColumn("depth", F.lit(0)))
-    level = materialize(level)
+    level = stored(mark(seed_urls.withColumn("depth", F.lit(0))), "level")
     visited = level
     taken = 0
     for d in range(max_depth + 1):
@@ -73,7 +65,7 @@ def bfs(
             if taken + n_fetched >= max_pages:
                 remaining = max_pages - taken
                 keep = level.where("fetched").orderBy("url").limit(remaining).select("url", F.lit(True).alias("keep"))
-                capped = level.join(F.broadcast(keep), "url", "left").select(
+                capped = level.join(stored(keep, "keep"), "url", "left").select(
                     "url", "depth", (F.col("fetched") & F.col("keep").isNotNull()).alias("fetched")
                 )
                 visited = visited.where(F.col("depth") < d).unionByName(capped)
@@ -84,14 +76,32 @@ def bfs(
         expand = level.where("fetched").select(F.col("url").alias("src"))
         nxt = expand.join(e, "src").select(F.col("dst").alias("url")).distinct()
         nxt = nxt.join(visited.select("url"), "url", "left_anti")
-        level = materialize(mark(nxt).withColumn("depth", F.lit(d + 1)))
+        level = stored(mark(nxt).withColumn("depth", F.lit(d + 1)), "level")
         if level.isEmpty():
             break
-        # A union of checkpointed levels: the lineage stays one level deep.
+        # A union of stored levels: the lineage stays one level deep.
         visited = visited.unionByName(level)
     return visited.select("url", F.col("depth").cast("int").alias("depth"), "fetched")
 
 
+def crawl(
+    edges: DataFrame,
+    seeds: DataFrame,
+    rules: DataFrame,
+    allowed_domain: str | None,
+    fetchable: DataFrame,
+    max_depth: int = DEFAULT_MAX_DEPTH,
+    max_pages: int | None = None,
+) -> DataFrame:
+    """G2 as the crawler composes it: ``bfs`` where a link is offered only if
+    its target passes the domain filter (P5) and robots (J3), and a page is
+    taken only if it passes both and is fetchable (present and accepted)."""
+    offered = filter_links(edges.select("src", "dst").distinct(), rules, allowed_domain)
+    inside = fetchable.select("url").where(urls.domain_allowed("url", allowed_domain))
+    taken = robots_allowed(inside, rules).where("allowed")
+    return bfs(offered, seeds, max_depth, max_pages, taken)
+
+
 def frontier_counts(visited: DataFrame) -> DataFrame:
     """Per depth, URLs offered and pages fetched."""
     return visited.groupBy("depth").agg(

@@ -18,44 +18,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from searchlake.functions.text import html_title, html_visible_text, snippet, tokens
-from searchlake.session import materialize as _materialize
-from searchlake.constants import MAX_BROADCAST_ROWS
-from searchlake.session import one_row, scratch_path, spread
+from searchlake.session import one_row, scratch_path, stored
 
+#: One count for every index: writers and searches must agree on it.
 TERM_BUCKETS = 64
 
 
-def term_bucket(term, buckets: int = TERM_BUCKETS) -> Column:
+def term_bucket(term) -> Column:
     """Storage bucket of a term: postings are partitioned by it, so a search
     reads only the buckets of its query terms."""
     t = F.col(term) if isinstance(term, str) else term
-    return F.pmod(F.xxhash64(t), F.lit(buckets)).cast("int")
+    return F.pmod(F.xxhash64(t), F.lit(TERM_BUCKETS)).cast("int")
 
 
-def text_tokens(
-    docs: DataFrame, key: str, text: str | Column, title: Column | None = None, colocate: bool = True
-) -> DataFrame:
-    """``(<key>, title, toks)``: per-row tokenization.
-
-    With ``colocate`` the documents are hash-partitioned by key first.  The
-    per-document (doc, term) aggregation downstream is then satisfied by
-    that partitioning and runs without a second exchange.  This shuffles
-    the raw text once instead of the postings, and the postings are the
-    larger of the two (a ~24-byte row per distinct term vs ~6 bytes of text
-    per token).
-    """
+def text_tokens(docs: DataFrame, key: str, text: str | Column, title: Column | None = None) -> DataFrame:
+    """``(<key>, title, toks)``: per-row tokenization next to the scan.  The
+    text itself is never shuffled; the (doc, term) counts downstream are
+    summed inside the scan's tasks first."""
     txt = F.col(text) if isinstance(text, str) else text
-    src = docs.repartition(key) if colocate else spread(docs)
-    return src.select(
+    return docs.select(
         F.col(key),
         (title if title is not None else F.lit(None).cast("string")).alias("title"),
         tokens(txt).alias("toks"),
     )
 
 
-def html_tokens(pages: DataFrame, key: str = "url", html: str = "html", colocate: bool = True) -> DataFrame:
+def html_tokens(pages: DataFrame, key: str = "url", html: str = "html") -> DataFrame:
     """``(<key>, title, toks)`` for raw HTML: title and visible body tokens."""
-    return text_tokens(pages, key, html_visible_text(html), html_title(html), colocate)
+    return text_tokens(pages, key, html_visible_text(html), html_title(html))
 
 
 def postings_from_tokens(tok: DataFrame, key: str) -> DataFrame:
@@ -66,8 +56,7 @@ def postings_from_tokens(tok: DataFrame, key: str) -> DataFrame:
     ``doc_len`` is functionally dependent on the key and rides along.
     """
     # explode_outer + an explicit filter: a plain explode lets Catalyst infer
-    # ``size(toks) > 0`` and push it below the repartition, which would run
-    # the tokenizer twice.
+    # ``size(toks) > 0`` and evaluate the tokenizer once more for it.
     return (
         tok.select(F.col(key), F.size("toks").cast("int").alias("doc_len"), F.explode_outer("toks").alias("term"))
         .where(F.col("term").isNotNull())
@@ -107,17 +96,23 @@ class Index:
         return "term_bucket" in self.postings.columns
 
     def materialize(self) -> "Index":
-        """Checkpoint every table so repeated searches reuse them."""
-        return Index(
-            self.key,
-            _materialize(self.postings),
-            _materialize(self.doc_stats),
-            _materialize(self.term_stats),
-            _materialize(self.corpus),
-        )
+        """The same index as written tables, postings in term buckets."""
+        spark = self.postings.sparkSession
+        root = scratch_path(spark, "gold")
+        write_tables(self, root)
+        return Index(self.key, *[spark.read.parquet(f"{root}/{t}") for t in ("postings", "doc_stats", "term_stats", "corpus")])
+
+
+def write_tables(index: Index, root: str) -> None:
+    """The four index tables under ``root``, postings in term buckets."""
+    post = index.postings.select(index.key, "doc_len", "term", "tf").withColumn("term_bucket", term_bucket("term"))
+    post = post.hint("rebalance", "term_bucket").sortWithinPartitions("term_bucket", "term")
+    post.write.mode("errorifexists").partitionBy("term_bucket").parquet(f"{root}/postings")
+    for name, table in (("term_stats", index.term_stats), ("doc_stats", index.doc_stats), ("corpus", index.corpus)):
+        table.write.mode("errorifexists").parquet(f"{root}/{name}")
 
 
-def write_gold(postings: DataFrame, key: str, titles: DataFrame | None, base: str, buckets: int = TERM_BUCKETS) -> Index:
+def write_gold(postings: DataFrame, key: str, titles: DataFrame | None, base: str) -> Index:
     """Write the Gold tables as Parquet under ``base`` and return the index
     read back from them.
 
@@ -137,7 +132,7 @@ def write_gold(postings: DataFrame, key: str, titles: DataFrame | None, base: st
     # Each task sorts its rows by term, so every file covers a contiguous
     # term range and the row-group min/max statistics stay tight.
     (
-        postings.withColumn("term_bucket", term_bucket("term", buckets))
+        postings.withColumn("term_bucket", term_bucket("term"))
         .hint("rebalance", "term_bucket")
         .sortWithinPartitions("term_bucket", "term")
         .write.mode("errorifexists").partitionBy("term_bucket").parquet(f"{root}/postings")
@@ -190,15 +185,13 @@ def _lookup(keys: DataFrame, table: DataFrame, key: str) -> DataFrame:
     """``keys`` left-joined with ``table`` on ``key``.
 
     A left outer join can only build its right side, which here is the big
-    table.  When the key set is within the broadcast bound (checked), the
-    big table is instead streamed through a broadcast inner join with the
-    keys, and the small match set is left-joined back to the keys.  No
-    shuffle of the big table happens.
+    table.  So the table is inner-joined with the stored keys first (Spark
+    broadcasts them when their bytes allow it, and then does not shuffle the
+    table), and the matches are left-joined back to the keys.
     """
-    if keys.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
-        matched = table.join(F.broadcast(keys.select(key).distinct()), key)
-        return keys.join(F.broadcast(matched), key, "left")
-    return keys.join(table, key, "left")
+    keys = stored(keys, "lookup-keys")
+    matched = table.join(keys.select(key).distinct(), key)
+    return keys.join(matched, key, "left")
 
 
 def term_lookup(index: Index, terms: DataFrame, term_col: str = "term") -> DataFrame:
@@ -220,28 +213,20 @@ def doc_lookup(index: Index, docs: DataFrame) -> DataFrame:
     )
 
 
-def apply_df_delta(term_stats: DataFrame, delta: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def apply_df_delta(term_stats: DataFrame, delta: DataFrame) -> DataFrame:
     """term_stats + signed df deltas; terms reaching 0 are dropped.
 
-    When the delta is within the broadcast bound (checked), the vocabulary
-    table is only streamed, never shuffled: existing terms are updated by a
-    broadcast left join, and new terms are the delta terms that a broadcast
-    semi join does not find.  Beyond the bound it is one full outer join.
+    The stored delta is broadcast by Spark when its bytes allow it, and the
+    vocabulary table is then only streamed: existing terms are updated by a
+    left join, new terms are the delta terms that a semi join does not find.
     """
-    delta = delta.select("term", "d")
-    if delta.limit(max_rows + 1).count() <= max_rows:
-        small = F.broadcast(delta)
-        updated = term_stats.join(small, "term", "left").select(
-            "term", (F.col("df") + F.coalesce("d", F.lit(0))).cast("long").alias("df")
-        )
-        existing = F.broadcast(term_stats.join(small, "term", "left_semi").select("term"))
-        added = delta.join(existing, "term", "left_anti").select("term", F.col("d").cast("long").alias("df"))
-        merged = updated.unionByName(added)
-    else:
-        merged = term_stats.join(delta, "term", "full").select(
-            "term", (F.coalesce("df", F.lit(0)) + F.coalesce("d", F.lit(0))).cast("long").alias("df")
-        )
-    return merged.where(F.col("df") > 0)
+    delta = stored(delta.select("term", "d"), "df-delta")
+    updated = term_stats.join(delta, "term", "left").select(
+        "term", (F.col("df") + F.coalesce("d", F.lit(0))).cast("long").alias("df")
+    )
+    existing = term_stats.join(delta, "term", "left_semi").select("term")
+    added = delta.join(existing, "term", "left_anti").select("term", F.col("d").cast("long").alias("df"))
+    return updated.unionByName(added).where(F.col("df") > 0)
 
 
 def replace_documents(index: Index, changed_tok: DataFrame, materialize: bool = True) -> Index:
@@ -254,13 +239,12 @@ def replace_documents(index: Index, changed_tok: DataFrame, materialize: bool =
     df 0 are dropped.  The result equals a full rebuild.
     """
     key = index.key
-    changed_keys = changed_tok.select(key).distinct()
-    # A batch of changed documents is normally small next to the index:
-    # broadcast its keys (after a count check) so the postings and document
-    # tables are streamed through the anti/semi joins, not shuffled.
-    if changed_keys.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
-        changed_keys = F.broadcast(changed_keys)
-    new_post = postings_from_tokens(changed_tok, key)
+    # A batch of changed documents is normally small next to the index: its
+    # stored keys are broadcast by Spark when their bytes allow it, and the
+    # postings and document tables are then streamed through the anti/semi
+    # joins, not shuffled.  Tokenized and counted once for all four tables.
+    changed_keys = stored(changed_tok.select(key).distinct(), "changed-keys")
+    new_post = stored(postings_from_tokens(changed_tok, key), "changed-postings")
     base = index.postings.select(key, "doc_len", "term", "tf")
     old_post = base.join(changed_keys, key, "left_semi")
     postings = base.join(changed_keys, key, "left_anti").unionByName(new_post)

@@ -12,13 +12,12 @@ from pyspark.sql import functions as F
 from searchlake.functions import urls
 from searchlake.functions.text import html_title, html_visible_text, tokens
 from searchlake.operators.index import postings_from_tokens
-from searchlake.session import spread
 
 
 def parse_pages(pages: DataFrame, url: str = "url", html: str = "html", keep: tuple[str, ...] = ()) -> DataFrame:
     """``(*keep, url, title, links, toks, doc_len)`` per page."""
     tok = tokens(html_visible_text(html))
-    return spread(pages).select(
+    return pages.select(
         *keep,
         F.col(url).alias("url"),
         html_title(html).alias("title"),
@@ -62,6 +61,13 @@ def silver_documents(parsed: DataFrame, processed_at=None, source_id: str | None
 
 def link_edges(parsed: DataFrame, src: str = "url") -> DataFrame:
     """G1: ``(src, pos, dst)`` one row per kept link, document order in ``pos``."""
-    return parsed.select(F.col(src).alias("src"), F.posexplode("links").alias("pos", "dst")).select(
-        "src", F.col("pos").cast("int").alias("pos"), "dst"
-    )
+    return explode_links(parsed.select(F.col(src).alias("src"), "links")).select("src", "pos", F.col("link").alias("dst"))
+
+
+def explode_links(pages: DataFrame) -> DataFrame:
+    """The other columns of ``pages``, ``pos`` and ``link`` for each entry of
+    ``links``.  The outer form keeps Catalyst from evaluating the link
+    expression once more for an inferred ``size(links) > 0``."""
+    others = [c for c in pages.columns if c != "links"]
+    out = pages.select(*others, F.posexplode_outer("links").alias("pos", "link")).where(F.col("link").isNotNull())
+    return out.withColumn("pos", F.col("pos").cast("int"))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from searchlake.constants import LATENCY_PERCENTILES
-from searchlake.operators.scan import global_index
+from searchlake.operators.scan import running_total
 from searchlake.session import one_row
 
 
@@ -23,26 +23,27 @@ def latency_report(df: DataFrame, group: str, value: str, ts_ms: str, percentile
     """Per group ``n``, nearest-rank percentiles and ``qps``.
 
     Nearest rank: the sorted value at 1-based rank ceil(p*n) clamped to
-    [1, n].  Ranks come from a chunked running index (no group gathered in
-    one task), so this is exact and distributed; qps = n / max(seconds
-    between first and last request, 1e-6).
+    [1, n].  Equal values are counted first (latencies are often tied), then
+    a chunked running total of the counts ranks the distinct values, so this
+    is exact and neither a group nor a value is gathered in one task; qps =
+    n / max(seconds between first and last request, 1e-6).  Null values
+    count in ``n`` and rank first.
     """
     stats = df.groupBy(group).agg(
         F.count(F.lit(1)).alias("n"),
         ((F.max(ts_ms) - F.min(ts_ms)) / 1000.0).alias("elapsed_s"),
     )
-    ranked = global_index(df.select(group, value), group, [F.col(value)], "_idx")
+    counts = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("_times"))
+    ranked = running_total(counts, group, [F.col(value)], "_times", "_idx")
     names = [f"p{int(round(p * 100))}" for p in percentiles]
     targets = stats
     for p, name in zip(percentiles, names):
         r = F.greatest(F.lit(1), F.least(F.col("n"), F.ceil(F.lit(float(p)) * F.col("n"))))
         targets = targets.withColumn("_r_" + name, r.cast("long"))
     j = ranked.join(targets.select(group, *["_r_" + n for n in names]), group)
-    picks = [F.max(F.when(F.col("_idx") == F.col("_r_" + n), F.col(value))).alias(n) for n in names]
-    hit = F.lit(False)
-    for n in names:
-        hit = hit | (F.col("_idx") == F.col("_r_" + n))
-    chosen = j.where(hit).groupBy(group).agg(*picks)
+    # A value covers the ranks above the total before it, up to its own.
+    covers = {n: (F.col("_r_" + n) > F.col("_idx") - F.col("_times")) & (F.col("_r_" + n) <= F.col("_idx")) for n in names}
+    chosen = j.groupBy(group).agg(*[F.max(F.when(c, F.col(value))).alias(n) for n, c in covers.items()])
     qps = F.round(F.col("n") / F.greatest(F.col("elapsed_s"), F.lit(1e-6)), 6)
     return stats.join(chosen, group).select(group, "n", *names, qps.alias("qps"))
 

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from searchlake.constants import USER_AGENT
 from searchlake.functions import urls
-from searchlake.session import broadcast_if_bounded
 
 # Characters escaped when a robots pattern becomes a regex ('*' and a final
 # '$' are handled separately).
@@ -116,12 +115,11 @@ def robots_allowed(targets: DataFrame, rules: DataFrame, url: str = "url") -> Da
     (equi join on the host, wildcard regex evaluated on the joined rule
     list); the longest pattern wins, equal length -> allow wins, no match ->
     allowed.  A URL without a parsable host is disallowed; a host without
-    robots rules is allowed.  The per-domain rule lists are broadcast when
-    their count is within bounds, so URLs are never shuffled and a hot host
-    cannot skew a task; beyond the bound it is a shuffle join on the host,
-    split by AQE's skew handling.
+    robots rules is allowed.  Adaptive execution broadcasts the per-domain
+    rule lists when their bytes allow it; otherwise it is a shuffle join on
+    the host, and a hot host's URLs are split by its skew handling.
     """
-    per_domain = broadcast_if_bounded(rules_by_domain(rules).withColumnRenamed("domain", "_domain"))
+    per_domain = rules_by_domain(rules).withColumnRenamed("domain", "_domain")
     t = targets.withColumn("_domain", urls.host(url)).withColumn(
         "_path", _normalize_path(urls.robots_path(url))
     )

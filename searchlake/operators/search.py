@@ -2,7 +2,7 @@
 
 Plan shape (Catalyst does the physical work):
 
-    query terms (small, size-checked broadcast) ⋈ term_stats  -> idf per (qid, term)
+    query terms (stored: broadcast if their bytes allow) ⋈ term_stats  -> idf per (qid, term)
     postings ⋈ broadcast(idf rows)                           -> BroadcastHashJoin, postings streamed
     groupBy(qid, doc) sum/count                               -> partial agg, one exchange
     top-k per query                                           -> WindowGroupLimit before the exchange
@@ -16,11 +16,11 @@ import re
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from searchlake.constants import BM25_B, BM25_K1, DEFAULT_LIMIT, MAX_BROADCAST_ROWS, MAX_LIMIT, MIN_LIMIT
+from searchlake.constants import BM25_B, BM25_K1, DEFAULT_LIMIT, MAX_LIMIT, MIN_LIMIT
 from searchlake.functions.scoring import idf, term_score
 from searchlake.functions.text import query_tokens
-from searchlake.operators.index import TERM_BUCKETS, Index, term_bucket
-from searchlake.session import one_row
+from searchlake.operators.index import Index, _lookup, term_bucket
+from searchlake.session import one_row, stored
 
 _INT = re.compile(r"[+-]?[0-9]+")
 MAX_PUSHDOWN_TERMS = 1024
@@ -40,30 +40,20 @@ def parse_limit(value: str | None) -> int:
     return min(MAX_LIMIT, max(MIN_LIMIT, n))
 
 
-def _bucket_of(term: str) -> int:
-    """Python twin of ``term_bucket`` (xxhash64 with Spark's seed 42)."""
-    import xxhash
-
-    h = xxhash.xxh64_intdigest(term.encode("utf-8"), seed=42)
-    if h >= 1 << 63:
-        h -= 1 << 64
-    return h % TERM_BUCKETS
-
-
 def query_terms(queries: DataFrame, qid: str = "qid", text: str = "query") -> DataFrame:
     """(qid, term) for each distinct token of each query."""
     return queries.select(F.col(qid), F.explode(query_tokens(text)).alias("term"))
 
 
 def _term_weights(
-    index: Index, qterms: DataFrame, qid: str, literal_terms: list[str] | None = None, small: bool = True
+    index: Index, qterms: DataFrame, qid: str, literal_terms: list[str] | None = None
 ) -> DataFrame:
     """(qid, term, idf, avgdl) for query terms that exist in the index
     (at most one row per query term)."""
     term_stats = index.term_stats
     if literal_terms is not None:
         term_stats = term_stats.where(F.col("term").isin(literal_terms))
-    stats = term_stats.join(F.broadcast(qterms) if small else qterms, "term")
+    stats = term_stats.join(qterms, "term")
     corpus = one_row(index.corpus.select("n_docs", "avgdl"))
     return stats.crossJoin(corpus).select(
         F.col(qid), "term", idf("n_docs", "df").alias("idf"), "avgdl"
@@ -77,16 +67,9 @@ def _scored_candidates(
     k1: float,
     b: float,
     literal_terms: list[str] | None = None,
-    n_terms: int | None = None,
+    single: bool = False,
 ) -> DataFrame:
-    # The weights have at most one row per query term.  A single query's
-    # terms are a handful by construction; for a batch the query-term table
-    # is counted once against the broadcast bound (beyond it: shuffle joins).
-    if n_terms is not None:
-        small = n_terms <= MAX_BROADCAST_ROWS
-    else:
-        small = qterms.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
-    weights = _term_weights(index, qterms, qid, literal_terms, small)
+    weights = _term_weights(index, qterms, qid, literal_terms)
     postings = index.postings
     if index.bucketed:
         # Join on (bucket, term): the broadcast query side prunes bucket
@@ -100,11 +83,14 @@ def _scored_candidates(
         # (partition pruning + row-group skipping on sorted terms).
         postings = postings.where(F.col("term").isin(literal_terms))
         if index.bucketed:
+            # Constant folding turns each bucket into a literal for pruning.
             postings = postings.where(
-                F.col("term_bucket").isin(sorted({_bucket_of(t) for t in literal_terms}) or [-1])
+                F.col("term_bucket").isin([term_bucket(F.lit(t)) for t in literal_terms] or [F.lit(-1)])
             )
-    if small:
-        weights = F.broadcast(weights)
+    # The weights have at most one row per query term.  A single query's are
+    # bounded by its string.  A batch's are stored: Spark broadcasts them when
+    # their bytes allow it and shuffles otherwise.
+    weights = F.broadcast(weights) if single else stored(weights, "query-weights")
     cand = postings.join(weights, keys)
     s = term_score("idf", "tf", "doc_len", "avgdl", k1, b)
     return (
@@ -115,8 +101,9 @@ def _scored_candidates(
 
 
 def _attach_titles(index: Index, top: DataFrame) -> DataFrame:
-    titles = index.doc_stats.select(index.key, "title", "snippet")
-    return F.broadcast(top).join(titles, index.key, "left")
+    """Titles of the top rows; the document table is streamed through a
+    broadcast of their keys."""
+    return _lookup(top, index.doc_stats.select(index.key, "title", "snippet"), index.key)
 
 
 def search_batch(
@@ -137,22 +124,15 @@ def search_batch(
     query that matches every document moves only k rows per partition.
     """
     qterms = query_terms(queries, qid, text)
-    # One count of the (qid, term) rows serves the broadcast check; a small
-    # batch (at most 64 such rows) also pushes its terms into the scans, so
-    # only their buckets are read.  A large batch touches most buckets anyway.
-    n_qterms = qterms.limit(MAX_BROADCAST_ROWS + 1).count()
-    literal = None
-    if n_qterms <= BATCH_PUSHDOWN_TERMS:
-        literal = [r.term for r in qterms.select("term").distinct().collect()]
-    scored = _scored_candidates(index, qterms, qid, k1, b, literal_terms=literal, n_terms=n_qterms)
+    # A small batch pushes its terms into the scans, so only their buckets
+    # are read.  A large batch touches most buckets anyway.
+    qterms = stored(qterms, "query-terms")
+    some = [r.term for r in qterms.select("term").limit(BATCH_PUSHDOWN_TERMS + 1).collect()]
+    literal = sorted(set(some)) if len(some) <= BATCH_PUSHDOWN_TERMS else None
+    scored = _scored_candidates(index, qterms, qid, k1, b, literal_terms=literal)
     w = Window.partitionBy(qid).orderBy(F.desc("score"), F.desc("matched"), F.asc(index.key))
     top = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    if with_titles:
-        n_queries = queries.select(qid).limit(MAX_BROADCAST_ROWS // max(k, 1) + 1).count()
-        if n_queries * k <= MAX_BROADCAST_ROWS:
-            return _attach_titles(index, top)
-        return top.join(index.doc_stats.select(index.key, "title", "snippet"), index.key, "left")
-    return top
+    return _attach_titles(index, top) if with_titles else top
 
 
 def search(
@@ -177,7 +157,7 @@ def search(
     # document used as a query); then the broadcast join alone selects.
     terms = [r.term for r in qterms.collect()]
     literal = terms if len(terms) <= MAX_PUSHDOWN_TERMS else None
-    scored = _scored_candidates(index, qterms, "qid", k1, b, literal_terms=literal, n_terms=len(terms)).drop("qid")
+    scored = _scored_candidates(index, qterms, "qid", k1, b, literal_terms=literal, single=True).drop("qid")
     top = scored.orderBy(F.desc("score"), F.desc("matched"), F.asc(index.key)).limit(limit)
     w = Window.orderBy(F.desc("score"), F.desc("matched"), F.asc(index.key))
     # ``limit`` rows at most, so the unpartitioned window runs on a bounded set.

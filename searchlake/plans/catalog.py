@@ -22,7 +22,8 @@ from searchlake.operators import politeness as _po
 from searchlake.operators import reports as _rp
 from searchlake.operators import robots as _rb
 from searchlake.operators import search as se
-from searchlake.session import materialize, scratch_path
+from searchlake.operators.pipeline import run_pipeline
+from searchlake.session import scratch_path, stored
 from searchlake.sources import bronze as _br
 from searchlake.sources import gold as _gd
 from searchlake.sources.tables import read_table
@@ -152,9 +153,7 @@ def page_terms(spark, sf_dir):
 @register("page_links")
 def page_links(spark, sf_dir):
     p = _parsed_pages(spark, sf_dir)
-    return p.select("page_id", F.posexplode("links").alias("pos", "link")).select(
-        "page_id", F.col("pos").cast("int").alias("pos"), "link"
-    )
+    return _pg.explode_links(p.select("page_id", "links")).select("page_id", "pos", "link")
 
 
 @register("link_edges")
@@ -206,7 +205,11 @@ ROBOTS_LANGS = ("en", "fr", "de", "es")
 
 
 def robots_table(spark, sf_dir):
-    hosts = read_table(spark, sf_dir, "pages").select(_u.host("url").alias("domain")).where("domain IS NOT NULL").distinct()
+    return robots_files(read_table(spark, sf_dir, "pages"))
+
+
+def robots_files(pages):
+    hosts = pages.select(_u.host("url").alias("domain")).where("domain IS NOT NULL").distinct()
     digit = F.expr("instr('0123456789abcdef', substring(sha2(domain, 256), 1, 1)) - 1")
     tmpl = F.element_at(F.array(*[F.lit(t) for t in ROBOTS_TEMPLATES]), (digit % len(ROBOTS_TEMPLATES)) + 1)
     lang = F.element_at(F.array(*[F.lit(x) for x in ROBOTS_LANGS]), (digit % len(ROBOTS_LANGS)) + 1)
@@ -273,10 +276,42 @@ def bfs_capped(spark, sf_dir):
     return v.where("fetched").select("url", "depth")
 
 
+# Seeds of the composed crawl: the URLs of suppliers 1 to 5.
+CRAWL_SEEDS = [f"https://h{k % 50}.example.com/en/s{k}" for k in range(1, 6)]
+
+
+def _supplier_url(key):
+    return F.concat(F.lit("https://h"), (key % 50).cast("string"), F.lit(".example.com/en/s"), key.cast("string"))
+
+
+def _part_url(key):
+    tld = F.when(key % 3 == 0, F.lit("org")).otherwise(F.lit("com"))
+    return F.concat(F.lit("https://h"), (key % 50).cast("string"), F.lit(".example."), tld, F.lit("/fr/p"), key.cast("string"))
+
+
+def _crawled(spark, sf_dir):
+    """The composed crawl over the supplier-part graph as URLs.  Stand-ins: a
+    page exists for every supplier and for three parts of four; every host has
+    a robots file."""
+    li = read_table(spark, sf_dir, "lineitem").select(
+        _supplier_url(F.col("l_suppkey")).alias("s"), _part_url(F.col("l_partkey")).alias("p"), (F.col("l_partkey") % 4 != 3).alias("there")
+    )
+    edges = li.selectExpr("s AS src", "p AS dst").unionByName(li.selectExpr("p AS src", "s AS dst"))
+    pages = li.selectExpr("s AS url").unionByName(li.where("there").selectExpr("p AS url")).distinct()
+    rules = _rb.robots_rules(robots_files(edges.select(F.col("dst").alias("url"))))
+    seeds = spark.createDataFrame([(u,) for u in CRAWL_SEEDS], "url string")
+    return _fr.crawl(edges, seeds, rules, ALLOWED_DOMAIN, pages, BFS_MAX_DEPTH)
+
+
+@register("crawl_bfs")
+def crawl_bfs(spark, sf_dir):
+    """G2 with domain, robots and fetchable filters together."""
+    return _crawled(spark, sf_dir)
+
+
 @register("frontier_counts")
 def frontier_counts(spark, sf_dir):
-    v = _fr.bfs(supplier_part_edges(spark, sf_dir), _seeds(spark), BFS_MAX_DEPTH)
-    return _fr.frontier_counts(v)
+    return _fr.frontier_counts(_crawled(spark, sf_dir))
 
 
 # --- W4, L1-L3, A8, A9: politeness and logs over events -------------------------
@@ -399,11 +434,12 @@ def _changed_documents(spark, sf_dir):
 
 @register("index_replace")
 def index_replace(spark, sf_dir):
+    """Postings, lengths and frequencies after the replacement."""
     idx = documents_index(spark, sf_dir)
     changed = ix.text_tokens(_changed_documents(spark, sf_dir), "doc_id", "text")
     new = ix.replace_documents(idx, changed)
-    c = new.corpus.select(F.col("n_docs").alias("df"), F.lit("__n_docs__").alias("term"))
-    return new.term_stats.select("term", "df").unionByName(c.select("term", "df"))
+    lengths = new.doc_stats.select("doc_id", F.col("doc_len").alias("stat_len"))
+    return new.postings.join(new.term_stats, "term").join(lengths, "doc_id").select("doc_id", "doc_len", "stat_len", "term", "tf", "df")
 
 
 @register("index_export")
@@ -414,26 +450,48 @@ def index_export(spark, sf_dir):
 
 @register("pipeline_counts")
 def pipeline_counts(spark, sf_dir):
-    """Silver documents (latest fetch per URL id) and Gold documents
-    (Silver documents with at least one term)."""
-    f = fetched_pages(spark, sf_dir)
-    b = _br.keep_latest(
-        _br.bronze_records(f.withColumn("headers", F.lit(None).cast("map<string,string>")),
-                           F.timestamp_millis("fetched_ms")), "id", "fetchedAt",
+    """The pipeline run itself (latest accepted fetch per URL id parsed to
+    Silver, Silver loaded to Gold), with the counts of its written stages."""
+    f = fetched_pages(spark, sf_dir).withColumn("headers", F.lit(None).cast("map<string,string>"))
+    bronze = _br.bronze_records(f, F.timestamp_millis("fetched_ms"))
+    stats, _ = run_pipeline(spark, bronze, scratch_path(spark, "silver"), scratch_path(spark, "gold"))
+    return spark.createDataFrame([(stats.silver_documents, stats.gold_documents)], "silver_documents long, gold_documents long")
+
+
+@register("bronze_upsert")
+def bronze_upsert(spark, sf_dir):
+    """S1 over two snapshots: all pages, then a third of them fetched again
+    later with more text; the table keeps the latest of each."""
+    f = fetched_pages(spark, sf_dir).withColumn("headers", F.lit(None).cast("map<string,string>"))
+    again = f.where("page_id % 3 = 0").withColumn("fetched_ms", F.col("fetched_ms") + 1_000_000).withColumn(
+        "html", F.concat("html", F.lit("<p>again</p>"))
     )
-    parsed = _pg.parse_pages(b.where(_fl.accepted("statusCode", "contentType")))
-    return parsed.agg(
-        F.count(F.lit(1)).alias("silver_documents"),
-        F.count(F.when(F.col("doc_len") > 0, 1)).alias("gold_documents"),
+    base = scratch_path(spark, "bronze")
+    for batch in (f, again):
+        _br.upsert_bronze(spark, _br.bronze_records(batch, F.timestamp_millis("fetched_ms")), base)
+    return _br.read_bronze(spark, base).select(
+        "id", "url", F.unix_millis("fetchedAt").alias("fetched_ms"), F.length("html").alias("n_html"), F.md5("html").alias("html_md5")
     )
 
 
+@register("header_flatten")
+def header_flatten(spark, sf_dir):
+    """P3 on stand-in multi-value headers of the fetched pages."""
+    f = fetched_pages(spark, sf_dir)
+    headers = F.create_map(
+        F.lit("content-type"), F.array("contentType"),
+        F.lit("set-cookie"), F.transform(F.sequence(F.lit(1), (F.col("page_id") % 3 + 1).cast("int")), lambda i: F.concat(F.lit("c"), i.cast("string"))),
+    )
+    return f.select("page_id", F.explode(_fl.flatten_headers(headers)).alias("name", "value"))
+
+
 @register("crawl_summary")
 def crawl_summary(spark, sf_dir):
-    f = fetched_pages(spark, sf_dir)
+    """A6 over the accepted fetches: only those are stored and parsed."""
+    f = fetched_pages(spark, sf_dir).where(_fl.accepted("statusCode", "contentType"))
     # Five report branches read the parsed pages: parse the HTML once and
-    # keep only the parsed columns (reliable checkpoint, no HTML).
-    parsed = materialize(_parsed_pages(spark, sf_dir).select("page_id", "url", "links", "toks"))
+    # keep only the parsed columns (a stored table, no HTML).
+    parsed = stored(_pg.parse_pages(f, keep=("page_id",)).select("page_id", "url", "links", "toks"), "parsed")
     offered = parsed.select(_u.normalize("url").alias("url")).unionByName(
         _pg.link_edges(parsed).select(F.col("dst").alias("url"))
     ).distinct()
@@ -458,16 +516,17 @@ def _table_stream(spark, sf_dir, name):
 
 
 def staged_events(spark, sf_dir) -> str:
-    """Stage ``events`` as STREAM_CHUNKS files in event-time order (one
-    append per time range) so a file stream replays them as successive
-    micro-batches.  Returns the folder."""
-    ev = _events(spark, sf_dir)
-    lo, hi = ev.agg(F.min("ts_ms"), F.max("ts_ms")).first()
-    span = max(1, (hi - lo + 1))
+    """Stage ``events`` in STREAM_CHUNKS appends in event-time order (one per
+    time quantile) so a file stream replays them as successive micro-batches.
+    Rows without a time have no place in an event-time stream and are left
+    out, as in the batch twins.  Returns the folder."""
+    ev = _events(spark, sf_dir).where(F.col("ts_ms").isNotNull())
+    cuts = ev.agg(F.percentile_approx("ts_ms", [i / STREAM_CHUNKS for i in range(1, STREAM_CHUNKS)])).first()[0] or []
     path = scratch_path(spark, "events-stream")
-    chunk = F.least(F.floor((F.col("ts_ms") - F.lit(lo)) * STREAM_CHUNKS / F.lit(span)), F.lit(STREAM_CHUNKS - 1))
-    for c in range(STREAM_CHUNKS):
-        ev.where(chunk == c).coalesce(1).write.mode("append").parquet(path)
+    bounds = [None, *cuts, None]
+    for low, high in zip(bounds, bounds[1:]):
+        part = ev.where(F.lit(True) if low is None else F.col("ts_ms") >= low)
+        part.where(F.lit(True) if high is None else F.col("ts_ms") < high).write.mode("append").parquet(path)
     return path
 
 
@@ -511,7 +570,8 @@ def stream_lease(spark, sf_dir):
     kind = F.when(F.col("event_type") == "view", F.lit("poll")).when(F.col("event_type") == "purchase", F.lit("finish"))
     log = ev.select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("task"), kind.alias("kind"),
                     "ts_ms", F.col("event_id").alias("id"))
-    _st.run_available(_st.lease_stream(log, LEASE_MS), out, ck)
+    # The staged files are in time order.
+    _st.run_available(_st.lease_stream(log, LEASE_MS, "0 seconds"), out, ck)
     return spark.read.parquet(out)
 
 
@@ -519,24 +579,29 @@ def stream_lease(spark, sf_dir):
 def stream_politeness(spark, sf_dir):
     out, ck = scratch_path(spark, "polite-out"), scratch_path(spark, "polite-ck")
     ev = _events_stream(spark, sf_dir)
-    req = ev.select(F.col("event_id").alias("id"), F.col("user_id").alias("host"), F.col("ts_ms").alias("arrival_ms"))
+    # Hosts are strings, and signups come without one.
+    host = F.when(F.col("event_type") != "signup", F.concat(F.lit("u"), F.col("user_id").cast("string")))
+    req = ev.select(F.col("event_id").alias("id"), host.alias("host"), F.col("ts_ms").alias("arrival_ms"))
     _st.run_available(_st.politeness_stream(req), out, ck)
     r = spark.read.parquet(out)
-    return r.select(F.col("id").alias("event_id"), F.col("host").alias("user_id"),
-                    (F.col("grant_ms") - F.col("arrival_ms")).alias("wait_ms"))
+    return r.select(F.col("id").alias("event_id"), "host", (F.col("grant_ms") - F.col("arrival_ms")).alias("wait_ms"))
 
 
 @register("silver_documents")
 def silver_documents(spark, sf_dir):
-    """S3/M4: Silver rows for every page (processedAt fixed to the fetch
-    time), flattened for comparison: link count, length and term count."""
-    f = fetched_pages(spark, sf_dir)
+    """S3/M4: Silver rows of the accepted pages, written as JSON lines and
+    read back with the Silver schema; links and terms as sorted text."""
+    f = fetched_pages(spark, sf_dir).where(_fl.accepted("statusCode", "contentType"))
     # The term maps and the page metadata both derive from the parse: parse
-    # the HTML once (reliable checkpoint without the HTML column).
-    parsed = materialize(_pg.parse_pages(f).select("url", "title", "links", "toks", "doc_len"))
-    s = _pg.silver_documents(parsed, processed_at=F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    # the HTML once (a stored table without the HTML column).
+    parsed = stored(_pg.parse_pages(f).select("url", "title", "links", "toks", "doc_len"), "parsed")
+    rows = _pg.silver_documents(parsed, processed_at=F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    path = scratch_path(spark, "silver-json")
+    rows.write.json(path)
+    s = spark.read.schema(rows.schema).json(path)
+    terms = F.transform(F.map_entries("termFrequencies"), lambda e: F.concat(e["key"], F.lit(":"), e["value"].cast("string")))
     return s.select(
-        "id", "url", "title", F.size("links").cast("int").alias("n_links"), "documentLength",
+        "id", "url", "title", F.array_join("links", " ").alias("links"), F.array_join(F.array_sort(terms), " ").alias("terms"), "documentLength",
         F.size("termFrequencies").cast("int").alias("n_terms"),
         F.coalesce(F.aggregate(F.map_values("termFrequencies"), F.lit(0), lambda a, x: a + x), F.lit(0)).cast("int").alias("tf_total"),
     )

@@ -6,6 +6,8 @@ driver's views, and serve as the correctness gate.
 
 from __future__ import annotations
 
+from searchlake.functions import urls
+
 ORACLE: dict[str, str] = {}
 
 TOKS = "list_filter(regexp_extract_all(lower({col}), '[a-z0-9]+'), lambda x: length(x) >= 2)"
@@ -108,9 +110,8 @@ ORACLE["bm25_params"] = _batch(2.0, 0.3)
 
 
 # --- page ETL twins -----------------------------------------------------------
-# SQL text builders mirroring the documented rules (not the Spark code).
-
-URL_RX = r"^([a-zA-Z][a-zA-Z0-9+.\-]*)://([^/?#\s]*)([^?#\s]*)(\?[^#\s]*)?(#\S*)?$"
+# SQL text builders.  They share the patterns of ``functions.urls`` (URL
+# syntax is a fixed rule); literal cases in the tests check the patterns.
 
 
 def q(s: str) -> str:
@@ -118,11 +119,11 @@ def q(s: str) -> str:
 
 
 def part(u: str, i: int) -> str:
-    return f"regexp_extract({u}, {q(URL_RX)}, {i})"
+    return f"regexp_extract({u}, {q(urls.URL_PARTS)}, {i})"
 
 
 def valid(u: str) -> str:
-    return f"regexp_matches({u}, {q(URL_RX)})"
+    return f"(regexp_matches({u}, {q(urls.URL_PARTS)}) AND NOT contains(regexp_replace({u}, {q(urls.ESCAPE)}, '', 'g'), '%'))"
 
 
 def norm_sql(u: str) -> str:
@@ -132,30 +133,36 @@ def norm_sql(u: str) -> str:
 
 
 def dots_sql(p: str) -> str:
-    x = f"regexp_replace({p}, '/(\\./)+', '/', 'g')"
-    x = f"regexp_replace({x}, '/\\.$', '/')"
-    for _ in range(8):
-        x = f"regexp_replace({x}, '/[^/]+/\\.\\.(/|$)', '/')"
-    return f"regexp_replace({x}, '^/\\.\\.(/|$)', '/')"
+    segs = f"string_split({p}, '/')"
+    folded = f"""list_reduce(list_concat([[]::VARCHAR[]], list_transform({segs}[2:], lambda s: [s])),
+        lambda acc, s: CASE s[1] WHEN '.' THEN acc WHEN '..' THEN acc[:len(acc) - 1] ELSE list_concat(acc, s) END)"""
+    last = f"CASE WHEN {segs}[-1] IN ('.', '..') THEN list_concat({folded}, ['']) ELSE {folded} END"
+    return f"(CASE WHEN regexp_matches({p}, '/\\.\\.?(/|$)') THEN '/' || array_to_string({last}, '/') ELSE {p} END)"
+
+
+def fold_sql(u: str) -> str:
+    return f"""(CASE WHEN regexp_matches({u}, {q(urls.URL_PARTS)}) THEN {part(u, 1)} || '://' || {part(u, 2)} ||
+      {dots_sql(part(u, 3))} || {part(u, 4)} || {part(u, 5)} ELSE {u} END)"""
 
 
 def resolve_sql(b: str, h: str) -> str:
     origin = f"({part(b, 1)} || '://' || {part(b, 2)})"
     bpath = part(b, 3)
     bdir = f"regexp_replace(CASE WHEN {bpath} = '' THEN '/' ELSE {bpath} END, '[^/]*$', '')"
-    return f"""(CASE WHEN regexp_matches({h}, '^[a-zA-Z][a-zA-Z0-9+.\\-]*:') THEN {h}
+    hpath, rest = f"regexp_extract({h}, '^[^?#]*')", f"regexp_extract({h}, '^[^?#]*(.*)$', 1)"
+    return f"""(CASE WHEN regexp_matches({h}, '^[a-zA-Z][a-zA-Z0-9+.\\-]*:') THEN {fold_sql(h)}
       WHEN NOT {valid(b)} THEN NULL
-      WHEN starts_with({h}, '//') THEN {part(b, 1)} || ':' || {h}
-      WHEN starts_with({h}, '/') THEN {origin} || {dots_sql(h)}
+      WHEN starts_with({h}, '//') THEN {fold_sql(f"({part(b, 1)} || ':' || {h})")}
+      WHEN starts_with({h}, '/') THEN {origin} || {dots_sql(hpath)} || {rest}
       WHEN starts_with({h}, '?') THEN {origin} || {bpath} || {h}
       WHEN starts_with({h}, '#') THEN {origin} || {bpath} || {part(b, 4)} || {h}
       WHEN {h} = '' THEN {origin} || {bpath} || {part(b, 4)}
-      ELSE {origin} || {dots_sql(f"{bdir} || {h}")} END)"""
+      ELSE {origin} || {dots_sql(f"({bdir} || {hpath})")} || {rest} END)"""
 
 
 def host_sql(u: str) -> str:
-    h = f"lower(regexp_extract({part(u, 2)}, '^(?:[^@]*@)?(\\[[^\\]]*\\]|[^:]*)', 1))"
-    return f"(CASE WHEN {valid(u)} AND {h} <> '' THEN {h} END)"
+    h = f"lower(regexp_extract({part(u, 2)}, {q(urls.HOST_IN_AUTHORITY)}, 1))"
+    return f"(CASE WHEN {valid(u)} AND regexp_matches({h}, {q(urls.HOST_NAME)}) THEN {h} END)"
 
 
 def robots_path_sql(u: str) -> str:
@@ -181,12 +188,23 @@ def title_sql(h: str) -> str:
     return f"trim(regexp_replace({t}, '\\s+', ' ', 'g'))"
 
 
+def href_sql(tag: str) -> str:
+    x = "(" + " || ".join(f"regexp_extract({tag}, {q(urls.HREF)}, {i})" for i in (1, 2, 3)) + ")"
+    for ent, ch in urls.HREF_ENTITIES:
+        x = f"replace({x}, {q(ent)}, {q(ch)})"
+    return f"trim({x})"
+
+
 def links_sql(u: str, h: str) -> str:
+    """The list of a page's links, as a correlated subquery per step so that
+    each expression is written once."""
     code_free = f"regexp_replace({h}, {q(r'(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->')}, ' ', 'g')"
-    hrefs = f"regexp_extract_all({code_free}, {q('''(?i)<a\\s[^>]*?href\\s*=\\s*["']([^"']*)["']''')}, 1)"
-    absl = f"list_transform({hrefs}, lambda x: {resolve_sql(u, 'trim(x)')})"
-    kept = f"list_filter({absl}, lambda x: starts_with(x, 'http://') OR starts_with(x, 'https://'))"
-    return f"list_transform({kept}, lambda x: {norm_sql('x')})"
+    return f"""(SELECT list_transform(list_filter(list_transform(tags, lambda x: {resolve_sql('against', 'x')}),
+          lambda x: starts_with(x, 'http://') OR starts_with(x, 'https://')), lambda x: {norm_sql('x')})
+       FROM (SELECT CASE WHEN base <> '' AND regexp_matches(base, {q(urls.HREF)}) THEN coalesce({resolve_sql('page', href_sql('base'))}, page) ELSE page END AS against,
+                    list_transform(list_filter(tags0, lambda x: regexp_matches(x, {q(urls.HREF)})), lambda x: {href_sql('x')}) AS tags
+             FROM (SELECT page, regexp_extract(code, {q(urls.BASE_TAG)}) AS base, regexp_extract_all(code, {q(urls.ANCHOR_TAG)}) AS tags0
+                   FROM (SELECT {u} AS page, {code_free} AS code))))"""
 
 
 ORACLE["page_title"] = f"SELECT page_id, {title_sql('html')} AS title FROM pages"
@@ -314,7 +332,33 @@ v AS (SELECT url, CAST(min(depth) AS INTEGER) AS depth FROM walk GROUP BY url)
 
 ORACLE["bfs_depth"] = _BFS + "SELECT url, depth FROM v"
 ORACLE["bfs_capped"] = _BFS + "SELECT url, depth FROM v ORDER BY depth, url LIMIT 100"
-ORACLE["frontier_counts"] = _BFS + "SELECT depth, count(*) AS n_offered, count(*) AS n_fetched FROM v GROUP BY depth"
+
+_NODES = """
+li AS (SELECT DISTINCT 'https://h' || l_suppkey % 50 || '.example.com/en/s' || l_suppkey AS s,
+              'https://h' || l_partkey % 50 || '.example.' || CASE WHEN l_partkey % 3 = 0 THEN 'org' ELSE 'com' END || '/fr/p' || l_partkey AS p,
+              l_partkey % 4 <> 3 AS there FROM lineitem),
+e AS (SELECT s AS src, p AS dst FROM li UNION SELECT p, s FROM li),
+nodes AS (SELECT DISTINCT dst AS url FROM e),
+page AS (SELECT s AS url FROM li UNION SELECT p FROM li WHERE there)
+"""
+
+_CRAWL = f"""
+WITH RECURSIVE {_NODES},
+{ROBOTS_CTES.replace('FROM pages WHERE', 'FROM nodes WHERE')},
+tg AS (SELECT url AS _rid, url FROM nodes WHERE coalesce({host_sql('url')} = 'example.com' OR ends_with({host_sql('url')}, '.example.com'), false)),
+{_allowed_sql('tg', 'url')},
+free AS (SELECT url FROM a WHERE allowed),
+seeds AS (SELECT 'https://h' || k || '.example.com/en/s' || k AS url FROM range(1, 6) r(k)),
+walk(url, depth, fetched) AS (
+  SELECT url, 0, url IN (SELECT url FROM free) AND url IN (SELECT url FROM page) FROM seeds
+  UNION
+  SELECT e.dst, w.depth + 1, e.dst IN (SELECT url FROM page)
+  FROM walk w JOIN e ON e.src = w.url JOIN free ON free.url = e.dst WHERE w.fetched AND w.depth < 3),
+v AS (SELECT url, CAST(min(depth) AS INTEGER) AS depth, bool_or(fetched) AS fetched FROM walk GROUP BY url)
+"""
+
+ORACLE["crawl_bfs"] = _CRAWL + "SELECT url, depth, fetched FROM v"
+ORACLE["frontier_counts"] = _CRAWL + "SELECT depth, count(*) AS n_offered, count(CASE WHEN fetched THEN 1 END) AS n_fetched FROM v GROUP BY depth"
 
 ORACLE["frontier_offer"] = f"""
 WITH e0 AS (SELECT {links_sql('url', 'html')} AS links FROM pages),
@@ -410,13 +454,28 @@ SELECT user_id, ts_ms, event_id, event_type FROM (
   FROM events) WHERE rn = 1
 """
 
+ORACLE["bronze_upsert"] = f"""
+WITH {_FETCHED},
+both AS (SELECT url, html, fetched_ms FROM fetched
+         UNION ALL SELECT url, html || '<p>again</p>', fetched_ms + 1000000 FROM fetched WHERE page_id % 3 = 0),
+last AS (SELECT *, row_number() OVER (PARTITION BY left(sha256(url), 16) ORDER BY fetched_ms DESC) AS rn FROM both)
+SELECT left(sha256(url), 16) AS id, url, fetched_ms, CAST(length(html) AS INTEGER) AS n_html, md5(html) AS html_md5 FROM last WHERE rn = 1
+""".replace("both AS", "versions AS").replace("FROM both", "FROM versions")
+
+ORACLE["header_flatten"] = f"""
+WITH {_FETCHED}
+SELECT page_id, 'content-type' AS name, ct AS value FROM fetched
+UNION ALL SELECT page_id, 'set-cookie', ['c1', 'c1, c2', 'c1, c2, c3'][page_id % 3 + 1] FROM fetched
+"""
+
 ORACLE["index_replace"] = f"""
 WITH v2 AS (
   SELECT doc_id, CASE WHEN lang = 'fr' THEN (CASE WHEN n_chars > 1000 THEN text || ' ' || text ELSE '' END) ELSE text END AS text
   FROM documents),
 d AS (SELECT doc_id, {TOKS.format(col='text')} AS toks FROM v2)
-SELECT term, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest(toks) AS term FROM d) GROUP BY term
-UNION ALL SELECT '__n_docs__', count(*) FROM d WHERE len(toks) > 0
+SELECT doc_id, CAST(len(any_value(toks)) AS INTEGER) AS doc_len, CAST(len(any_value(toks)) AS INTEGER) AS stat_len, term,
+       CAST(count(*) AS INTEGER) AS tf, count(*) OVER (PARTITION BY term) AS df
+FROM (SELECT doc_id, toks, unnest(toks) AS term FROM d) GROUP BY doc_id, term
 """
 
 ORACLE["index_export"] = f"""
@@ -439,15 +498,16 @@ FROM kept
 
 ORACLE["crawl_summary"] = f"""
 WITH {_FETCHED},
-toks AS (SELECT page_id, unnest({TOKS.format(col=visible_sql('html'))}) AS term FROM pages),
-offered AS (SELECT {norm_sql('url')} AS u FROM pages UNION SELECT unnest({links_sql('url', 'html')}) FROM pages)
-SELECT (SELECT count(*) FROM fetched) AS pages_stored,
+acc AS (SELECT * FROM fetched WHERE coalesce(status >= 200 AND status < 300 AND (contains(ct, 'text/html') OR contains(ct, 'application/xhtml')), false)),
+toks AS (SELECT page_id, unnest({TOKS.format(col=visible_sql('html'))}) AS term FROM acc),
+offered AS (SELECT {norm_sql('url')} AS u FROM acc UNION SELECT unnest({links_sql('url', 'html')}) FROM acc)
+SELECT (SELECT count(*) FROM acc) AS pages_stored,
        (SELECT count(*) FROM offered) AS urls_discovered,
-       (SELECT count(*) FROM pages) AS silver_docs,
+       (SELECT count(*) FROM acc) AS silver_docs,
        (SELECT count(DISTINCT page_id) FROM toks) AS gold_docs,
        (SELECT count(DISTINCT term) FROM toks) AS terms,
-       (SELECT CAST(max(fetched_ms) - min(fetched_ms) AS BIGINT) FROM fetched) AS elapsed_ms,
-       round((SELECT count(*) FROM fetched) / greatest((SELECT (max(fetched_ms) - min(fetched_ms)) / 1000.0 FROM fetched), 0.001), 6) AS pages_per_second
+       (SELECT CAST(max(fetched_ms) - min(fetched_ms) AS BIGINT) FROM acc) AS elapsed_ms,
+       round((SELECT count(*) FROM acc) / greatest((SELECT (max(fetched_ms) - min(fetched_ms)) / 1000.0 FROM acc), 0.001), 6) AS pages_per_second
 """
 
 
@@ -460,13 +520,24 @@ FROM pages
 """
 ORACLE["stream_gold"] = ORACLE["doc_freq"]
 ORACLE["stream_dedup"] = "SELECT DISTINCT 'https://u' || CAST(user_id AS VARCHAR) || '.example.com/' AS url FROM events"
-ORACLE["stream_politeness"] = ORACLE["politeness_schedule"].replace(
-    "UNION ALL SELECT event_id, user_id, CAST(0 AS BIGINT) FROM events WHERE user_id IS NULL", "")
+ORACLE["stream_politeness"] = """
+WITH e AS (SELECT event_id, CASE WHEN event_type <> 'signup' THEN 'u' || CAST(user_id AS VARCHAR) END AS host, epoch_us(ts) // 1000 AS a
+           FROM events WHERE ts IS NOT NULL),
+r AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY a, event_id) AS i FROM e WHERE host IS NOT NULL),
+g AS (SELECT event_id, host, a,
+             i * 1000 + max(a - i * 1000) OVER (PARTITION BY host ORDER BY i ROWS UNBOUNDED PRECEDING) AS grant_ms
+      FROM r)
+SELECT event_id, host, CAST(grant_ms - a AS BIGINT) AS wait_ms FROM g
+UNION ALL SELECT event_id, host, CAST(0 AS BIGINT) FROM e WHERE host IS NULL
+"""
 
 ORACLE["silver_documents"] = f"""
-WITH p AS (SELECT url, html, {TOKS.format(col=visible_sql('html'))} AS toks FROM pages)
+WITH {_FETCHED},
+p AS (SELECT url, html, {TOKS.format(col=visible_sql('html'))} AS toks FROM fetched
+      WHERE coalesce(status >= 200 AND status < 300 AND (contains(ct, 'text/html') OR contains(ct, 'application/xhtml')), false))
 SELECT left(sha256(url), 16) AS id, url, {title_sql('html')} AS title,
-       CAST(len({links_sql('url', 'html')}) AS INTEGER) AS n_links,
+       array_to_string({links_sql('url', 'html')}, ' ') AS links,
+       array_to_string(list_sort(list_transform(list_distinct(toks), lambda t: t || ':' || len(list_filter(toks, lambda x: x = t)))), ' ') AS terms,
        CAST(len(toks) AS INTEGER) AS documentLength,
        CAST(len(list_distinct(toks)) AS INTEGER) AS n_terms,
        CAST(len(toks) AS INTEGER) AS tf_total

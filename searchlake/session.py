@@ -9,7 +9,6 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from searchlake.constants import MAX_BROADCAST_ROWS
 
 
 def get_spark(master: str | None = None, app: str = "searchlake", **conf) -> SparkSession:
@@ -75,27 +74,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return out
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a written table in the shared scratch folder.
 
-    Beyond the bound the frame is returned unchanged and Spark plans a
-    shuffle join (AQE may still switch to a broadcast at run time).
+    Computed once however often it is used, and of known size: Spark itself
+    broadcasts it in a join when its bytes are below the session's threshold
+    and shuffles it otherwise.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has fewer partitions than task slots.
-
-    A single large file with one row group is read by one task; the regex
-    work after it would then run on one core.  With many input splits (the
-    cluster case) the frame is returned untouched, so no extra shuffle.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def one_row(df: DataFrame) -> DataFrame:

@@ -45,13 +45,15 @@ def keep_latest(df: DataFrame, key: str = "id", ts: str = "fetchedAt") -> DataFr
 
     ``max_by(row, struct(ts, ...))`` is an ordinary aggregate with map-side partial
     aggregation, so a key that is re-fetched millions of times collapses to
-    one row per map task before the shuffle; remaining ties break on the
-    other columns, deterministically.
+    one row per map task before the shuffle.  Remaining ties break on the
+    other columns, deterministically; a long text (the HTML) enters the order
+    by its digest, so it is carried once.
     """
-    others = [c for c in df.columns if c not in (key, ts)]
-    orderable = [c for c in others if not _has_map(df.schema[c].dataType)]
-    order_key = F.struct(F.col(ts), *[F.col(c) for c in orderable])
-    best = F.max_by(F.struct(*[F.col(c) for c in df.columns]), order_key).alias("_b")
+    others = [c for c in df.columns if c not in (key, ts, "html")]
+    order = [F.col(ts), *[F.col(c) for c in others if not _has_map(df.schema[c].dataType)]]
+    if "html" in df.columns:
+        order.append(F.sha2("html", 256))
+    best = F.max_by(F.struct(*[F.col(c) for c in df.columns]), F.struct(*order)).alias("_b")
     return df.groupBy(key).agg(best).select(*[F.col("_b." + c).alias(c) for c in df.columns])
 
 
@@ -89,9 +91,10 @@ def read_bronze_files(spark: SparkSession, bronze_dir: str) -> DataFrame:
     """Read a folder of ``{id}.meta.json`` + ``{id}.html`` files.
 
     Metadata (pretty-printed JSON, explicit schema) joins the HTML bodies on
-    the id taken from each file name; a record whose HTML file is missing is
-    skipped (inner join).  ``wholetext`` is passed as a keyword -- as an
-    option it would be overridden and split the files into lines.
+    the id taken from each file name: that of ``htmlPath`` if there is such a
+    file, else the record's own ``{id}.html``; with neither the record is
+    skipped.  ``wholetext`` is passed as a keyword -- as an option it would be
+    overridden and split the files into lines.
     """
     meta = (
         spark.read.schema(META_SCHEMA).option("multiLine", True)
@@ -101,8 +104,9 @@ def read_bronze_files(spark: SparkSession, bronze_dir: str) -> DataFrame:
         F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.html$", 1).alias("_file_id"),
         F.col("value").alias("html"),
     )
-    file_id = F.coalesce(
-        F.regexp_extract(F.col("htmlPath"), r"([^/\\]+)\.html$", 1).cast("string"), F.col("id")
-    )
-    m = meta.withColumn("_file_id", F.when(file_id == "", F.col("id")).otherwise(file_id))
+    named = F.regexp_extract(F.coalesce("htmlPath", F.lit("")), r"([^/\\]+)\.html$", 1)
+    # Which named files exist: file names only, the bodies are joined once.
+    there = html.select(F.col("_file_id").alias("_named"), F.lit(True).alias("_there"))
+    m = meta.withColumn("_named", named).join(there, "_named", "left")
+    m = m.withColumn("_file_id", F.when(F.col("_there"), F.col("_named")).otherwise(F.col("id")))
     return m.join(html, "_file_id").select(*BRONZE_COLUMNS)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from searchlake.operators.index import TERM_BUCKETS, Index, term_bucket
+from searchlake.operators.index import Index, write_tables
 from searchlake.sources import snapshots
 
 EXPORT_BLOCK = 10_000
@@ -14,18 +14,13 @@ EXPORT_BLOCK = 10_000
 EXPORT_SCHEMA = "term string, df string, block int, postings map<string,string>"
 
 
-def write_index(spark: SparkSession, index: Index, base: str, buckets: int = TERM_BUCKETS) -> str:
+def write_index(spark: SparkSession, index: Index, base: str) -> str:
     """Write postings partitioned by a term bucket (a search that joins
     broadcast query terms on (bucket, term) reads only their buckets through
     dynamic partition pruning), plus the statistics tables; then publish the
     new version.  Returns the version name."""
     version = snapshots.new_version()
-    post = index.postings.select(index.key, "doc_len", "term", "tf").withColumn("term_bucket", term_bucket("term", buckets))
-    post = post.hint("rebalance", "term_bucket").sortWithinPartitions("term_bucket", "term")
-    snapshots.write_versioned(post, base, "postings", version, ["term_bucket"])
-    snapshots.write_versioned(index.term_stats, base, "term_stats", version)
-    snapshots.write_versioned(index.doc_stats, base, "doc_stats", version)
-    snapshots.write_versioned(index.corpus, base, "corpus", version)
+    write_tables(index, f"{base.rstrip('/')}/{version}")
     snapshots.publish(spark, base, version)
     return version
 

@@ -35,14 +35,24 @@ def silver_stream(bronze_stream: DataFrame, key: str = "url", html: str = "html"
     )
 
 
+def _latest(batch: DataFrame, key: str) -> DataFrame:
+    """W5 within a micro-batch: one row per key, the latest by ``fetched_ms``;
+    ties (or no such column) by title and tokens, so a replay keeps the same."""
+    cols = [c for c in batch.columns if c != key]
+    order = [c for c in ("fetched_ms", "title", "toks") if c in cols]
+    best = F.max_by(F.struct(*cols), F.struct(*order)).alias("_b")
+    return batch.groupBy(key).agg(best).select(key, *[F.col(f"_b.{c}").alias(c) for c in cols if c != "fetched_ms"])
+
+
 # --- ST2: Silver -> Gold upsert with foreachBatch ----------------------------------
 
 def gold_upsert_batch(spark: SparkSession, gold_base: str, key: str):
     """A ``foreachBatch`` function: the micro-batch (tokenized rows
-    ``(<key>, title, toks)``, one row per key kept) replaces those documents
-    in the current Gold snapshot (J5 deltas) and publishes a new version
-    named after the batch id.  A replay of a published batch is a no-op; an
-    attempt that died before publishing is redone in a fresh folder."""
+    ``(<key>, title, toks)``, with ``fetched_ms`` the latest of a key's rows
+    wins) replaces those documents in the current Gold snapshot (J5 deltas)
+    and publishes a new version named after the batch id.  A replay of a
+    published batch is a no-op; an attempt that died before publishing is
+    redone in a fresh folder."""
     from searchlake.sources import gold
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -52,7 +62,7 @@ def gold_upsert_batch(spark: SparkSession, gold_base: str, key: str):
             return
         # Several writes read this micro-batch: keep it instead of re-reading
         # and re-tokenizing the source for each of them.
-        batch = batch.dropDuplicates([key]).persist(StorageLevel.MEMORY_AND_DISK)
+        batch = _latest(batch, key).persist(StorageLevel.MEMORY_AND_DISK)
         attempt = f"{version}.{uuid.uuid4().hex[:12]}"
         root = f"{gold_base.rstrip('/')}/{attempt}"
         try:
@@ -61,10 +71,7 @@ def gold_upsert_batch(spark: SparkSession, gold_base: str, key: str):
                 ix.write_gold(ix.postings_from_tokens(batch, key), key, titles, root)
             else:
                 old = gold.read_index(spark, gold_base, key, cur)
-                idx = ix.replace_documents(old, batch, materialize=False)
-                for name, df in (("postings", idx.postings), ("doc_stats", idx.doc_stats),
-                                 ("term_stats", idx.term_stats), ("corpus", idx.corpus)):
-                    df.write.mode("overwrite").parquet(f"{root}/{name}")
+                ix.write_tables(ix.replace_documents(old, batch, materialize=False), root)
             snapshots.publish(spark, gold_base, attempt)
         finally:
             batch.unpersist()
@@ -100,14 +107,19 @@ def _lease_fn(lease_ms: int):
         polls = list(state.get[0]) if state.exists else []
         out: list[tuple] = []
         if not state.hasTimedOut:
-            rows = pd.concat(list(pdfs))
-            rows = rows.sort_values(["ts_ms", "rank", "id"], kind="stable")
-            for kind, t in zip(rows["kind"].to_numpy(), rows["ts_ms"].to_numpy()):
-                if kind == "poll":
-                    polls.append(int(t))
-                else:  # finish: it is the next finish of every outstanding poll
-                    out += [(task, p, p + lease_ms) for p in polls if int(t) > p + lease_ms]
-                    polls = []
+            # Arrow batches of the task's events: polls and finishes apart.
+            asked, ended = [np.array(polls, np.int64)], []
+            for rows in pdfs:
+                ts, done = rows["ts_ms"].to_numpy(np.int64), (rows["kind"] == "finish").to_numpy()
+                asked.append(ts[~done])
+                ended.append(ts[done])
+            asked, ended = np.sort(np.concatenate(asked)), np.sort(np.concatenate(ended))
+            # The next finish after each poll; one at its own time is before it.
+            nxt = np.searchsorted(ended, asked, "right")
+            met = nxt < len(ended)
+            late = asked[met][ended[nxt[met]] > asked[met] + lease_ms]
+            out += [(task, int(p), int(p) + lease_ms) for p in late]
+            polls = asked[~met].tolist()
         # A deadline already behind the watermark cannot be met any more: no
         # finish older than the watermark will arrive.
         wm = state.getCurrentWatermarkMs()
@@ -123,11 +135,16 @@ def _lease_fn(lease_ms: int):
     return fn
 
 
-def lease_stream(task_events: DataFrame, lease_ms: int, delay: str = "0 seconds") -> DataFrame:
+def lease_stream(task_events: DataFrame, lease_ms: int, delay: str) -> DataFrame:
     """ST4: polls whose lease expired.  A poll sets an event-time timer at
     poll + lease; a finish clears the task's outstanding polls (emitting the
     ones it came too late for); a fired timer emits the expired polls.  The
-    per-task state is the list of outstanding polls, bounded by the lease."""
+    per-task state is the list of outstanding polls, bounded by the lease.
+
+    ``delay`` (required) is how late an event may arrive: Spark drops events
+    older than the latest event time seen minus ``delay`` once a micro-batch
+    has moved the watermark, and an expired poll is emitted that much later.
+    Choose it no smaller than the disorder of the source."""
     ev = task_events.where(F.col("kind").isin("poll", "finish")).withColumn(
         "rank", F.when(F.col("kind") == "finish", 0).otherwise(1)
     ).withColumn("event_time", F.timestamp_millis("ts_ms"))
@@ -140,13 +157,12 @@ def lease_stream(task_events: DataFrame, lease_ms: int, delay: str = "0 seconds"
 
 # --- ST5: politeness with keyed state ----------------------------------------------------
 
-POLITE_OUT = "id long, host long, arrival_ms long, grant_ms long"
 POLITE_STATE = "last_grant long"
 
 
 def _polite_fn(delay_ms: int):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(pdfs)).sort_values(["arrival_ms", "id"], kind="stable")
+        rows = pd.concat(list(pdfs), ignore_index=True).sort_values(["arrival_ms", "id"], kind="stable")
         last = state.get[0] if state.exists else None
         a = rows["arrival_ms"].to_numpy(dtype=np.int64)
         i = np.arange(1, len(a) + 1, dtype=np.int64)
@@ -162,14 +178,18 @@ def _polite_fn(delay_ms: int):
 
 
 def politeness_stream(requests: DataFrame, delay_ms: int = DEFAULT_POLITENESS_DELAY_MS) -> DataFrame:
-    """ST5: per-host schedule across micro-batches; state = the host's last
-    grant.  Within a batch the closed form of W4 is applied with numpy; a
-    request older than the last grant is served after it (processing
-    order).  Requests without host are not delayed."""
-    hosted = requests.where(F.col("host").isNotNull())
-    return hosted.groupBy("host").applyInPandasWithState(
-        _polite_fn(delay_ms), POLITE_OUT, POLITE_STATE, "append", GroupStateTimeout.NoTimeout
+    """ST5: per-host schedule of ``requests(id, host, arrival_ms)`` across
+    micro-batches; state = the host's last grant.  Within a batch the closed
+    form of W4 is applied with numpy; a request older than the last grant is
+    served after it (processing order).  Requests without host are not
+    delayed: they pass with their arrival as grant.  Ids and hosts keep the
+    types of the input."""
+    rows = requests.select("id", "host", F.col("arrival_ms").cast("long").alias("arrival_ms"))
+    out = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields) + ", grant_ms long"
+    hosted = rows.where(F.col("host").isNotNull()).groupBy("host").applyInPandasWithState(
+        _polite_fn(delay_ms), out, POLITE_STATE, "append", GroupStateTimeout.NoTimeout
     )
+    return hosted.unionByName(rows.where(F.col("host").isNull()).withColumn("grant_ms", F.col("arrival_ms")))
 
 
 # --- running helpers ----------------------------------------------------------------------

@@ -119,7 +119,7 @@ def test_small_batch_pushdown_matches_single(spark):
     assert not [r for r in batch if r.qid == 3]
 
 
-def test_paths_beyond_broadcast_bound_give_same_results(spark, monkeypatch):
+def test_joins_without_broadcast_give_same_results(spark):
     idx = catalog.documents_index(spark, "/root/testdata/sf0.001")
     bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     keys = spark.createDataFrame([("the",), ("nosuchterm",)], "term string")
@@ -135,6 +135,8 @@ def test_paths_beyond_broadcast_bound_give_same_results(spark, monkeypatch):
         )
 
     small = run()
-    monkeypatch.setattr(se, "MAX_BROADCAST_ROWS", 0)
-    monkeypatch.setattr(ix, "MAX_BROADCAST_ROWS", 0)
-    assert run() == small
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert run() == small
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
