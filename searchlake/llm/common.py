@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -154,6 +155,32 @@ def place(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
 
 
+def without(docs: DataFrame, bad: DataFrame, id_col: str, once: bool = False) -> DataFrame:
+    """``docs`` minus the rows whose id is in ``bad(id_col)``; with ``once``
+    also minus all rows but one of a repeated id.  Rows without an id stay.
+
+    Rows whose id is not in the bitmap of the ids concerned stay where they
+    are; only the others, texts and all, are shuffled to meet the exact list.
+    """
+    bad = written(bad.select(id_col).where(F.col(id_col).isNotNull()).distinct(), "rejected")
+    concerned = bad
+    if once:
+        often = docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).where(F.col(id_col).isNotNull() & (F.col("_n") > 1))
+        concerned = bad.union(often.select(id_col))
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(concerned.select(F.xxhash64(id_col).alias("h"))))
+
+    @F.pandas_udf("boolean")
+    def suspected(h: pd.Series) -> pd.Series:
+        return pd.Series(bits.value[place(h.to_numpy(np.int64).view(np.uint64))])
+
+    marked = docs.withColumn("_suspected", suspected(F.xxhash64(id_col)))
+    sure = marked.where(~F.col("_suspected")).select(*docs.columns)
+    rest = marked.where("_suspected").select(*docs.columns).join(bad, id_col, "left_anti").select(*docs.columns)
+    if once:
+        rest = rest.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(rest.where(F.col(id_col).isNull()))
+    return sure.unionByName(rest)
+
+
 def crc32_mod(col: str, n: int):
     """crc32 of a column's decimal text, modulo ``n`` (null: that of an empty text)."""
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit(""))) % F.lit(n)

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from searchlake.llm.common import ALNUM, WordHash, bitmap, concat, place, slices, utf8, written
+from searchlake.llm.common import ALNUM, WordHash, bitmap, concat, place, slices, utf8, without, written
 
 WINDOW = 10
 
@@ -182,5 +182,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id")
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``docs`` without the rows whose id has a contaminated text; rows
     without an id stay."""
-    bad = decontaminate(docs, benchmark, id_col).where("contaminated").select(id_col).distinct()
-    return docs.join(bad, id_col, "left_anti").select(*docs.columns)
+    return without(docs, decontaminate(docs, benchmark, id_col).where("contaminated"), id_col)

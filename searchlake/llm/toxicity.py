@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from searchlake.llm.common import crc32_mod, slices, utf8, written
+from searchlake.llm.common import crc32_mod, slices, utf8, without, written
 from searchlake.llm.decontaminate import item_words
 
 BUCKETS = 1 << 15
@@ -237,5 +237,4 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> Data
 
 def keep_clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``docs`` without the rows whose id was flagged; rows without an id stay."""
-    bad = classify(docs, labels, id_col).where("flagged").select(id_col).distinct()
-    return docs.join(bad, id_col, "left_anti").select(*docs.columns)
+    return without(docs, classify(docs, labels, id_col).where("flagged"), id_col)
