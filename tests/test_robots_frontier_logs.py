@@ -35,8 +35,8 @@ def test_robots_cases(spark, content, path, allowed):
 def test_robots_no_host_and_unknown_host(spark):
     rb = spark.createDataFrame([("ex.com", "User-agent: *\nDisallow: /\n")], "domain string, content string")
     t = spark.createDataFrame([("https://other.org/x",), ("nonsense",)], "url string")
-    got = [r.allowed for r in robots.robots_allowed(t, robots.robots_rules(rb)).collect()]
-    assert got == [True, False]
+    got = {r.url: r.allowed for r in robots.robots_allowed(t, robots.robots_rules(rb)).collect()}
+    assert got == {"https://other.org/x": True, "nonsense": False}
 
 
 def test_offer_dedup(spark):
