@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from searchlake.functions.text import html_title, html_visible_text, snippet, tokens
-from searchlake.session import one_row, scratch_path, stored
+from searchlake.session import one_row, scratch_path, spread, stored
 
 #: One count for every index: writers and searches must agree on it.
 TERM_BUCKETS = 64
@@ -32,11 +32,11 @@ def term_bucket(term) -> Column:
 
 
 def text_tokens(docs: DataFrame, key: str, text: str | Column, title: Column | None = None) -> DataFrame:
-    """``(<key>, title, toks)``: per-row tokenization next to the scan.  The
-    text itself is never shuffled; the (doc, term) counts downstream are
-    summed inside the scan's tasks first."""
+    """``(<key>, title, toks)``: per-row tokenization next to the scan (``spread``
+    only deals out inputs with fewer splits than task slots).  The (doc, term)
+    counts downstream are summed inside the same tasks first."""
     txt = F.col(text) if isinstance(text, str) else text
-    return docs.select(
+    return spread(docs).select(
         F.col(key),
         (title if title is not None else F.lit(None).cast("string")).alias("title"),
         tokens(txt).alias("toks"),

@@ -86,6 +86,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that has fewer partitions than task slots.
+
+    A single small file with one row group is read by one task; the work per
+    row after it would then run on one core.  With at least as many input
+    splits as slots (the cluster case) the frame is returned untouched, so
+    texts are never shuffled there.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
 def one_row(df: DataFrame) -> DataFrame:
     """Broadcast a global aggregate; it has exactly one row by construction."""
     return F.broadcast(df)
