@@ -43,9 +43,12 @@ SIMILAR = 75
 BINS = 128
 BAND_ROWS = 4
 #: One-bit coordinates agree with probability (1 + similarity) / 2: 0.875 for
-#: a link, with a deviation of 0.0103.  Five deviations below are still compared.
-CODE_BITS = 1024
-CODE_DIFFER = 183
+#: a link, with a deviation of 0.0052 (0.0103 for the first quarter of them).
+#: Five deviations below are still compared.
+CODE_BITS = 4096
+CODE_DIFFER = 618
+QUICK_BITS = 1024
+QUICK_DIFFER = 183
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -68,7 +71,7 @@ def sketch(sets: list[np.ndarray], bins: int = BINS, seed: int = 6) -> np.ndarra
         if not len(flat):
             break
         h = mix(flat ^ seed_of[r])
-        value = (h >> np.uint64(12)) | np.uint64(r << 52)
+        value = (h >> np.uint64(14)) | np.uint64(r << 50)
         place = owner + ((h & np.uint64(bins - 1)).astype(np.int64) if r < bins else r - bins)
         np.minimum.at(table, place, value)
         todo = (table.reshape(n, bins) == _EMPTY).any(axis=1)[owner // bins]
@@ -123,16 +126,17 @@ def codes(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _own_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows whose text has the digest asked for (rows may share an id), with
-    the codes of their sets."""
+    """Rows whose text has the digest asked for (rows may share an id)."""
+    for part in slices(batches):
+        same = [xxhash.xxh3_128_digest(b" ".join(ws_words(t))) == n for t, n in zip(utf8(part), part.column("node").to_pylist())]
+        yield part.filter(pa.array(same, pa.bool_()))
+
+
+def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cache = WordHash()
     for part in slices(batches):
-        lists = [ws_words(t) for t in utf8(part)]
-        same = [xxhash.xxh3_128_digest(b" ".join(w)) == n for w, n in zip(lists, part.column("node").to_pylist())]
-        if any(same):
-            bits = codes(shingle_sets([w for w, s in zip(lists, same) if s], cache, WIDTH))
-            own = part.filter(pa.array(same, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([own.column("node"), own.column("text"), long_list(bits)], names=["node", "text", "code"])
+        bits = codes(shingle_sets([ws_words(t) for t in utf8(part)], cache, WIDTH))
+        yield pa.RecordBatch.from_arrays([part.column("node"), long_list(bits)], names=["node", "code"])
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,18 +160,20 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             inter.append(both)
             union.append(len(sa) + len(sb) - both)
         yield pa.RecordBatch.from_arrays(
-            [part.column("a"), part.column("b"), pa.array(inter, pa.int64()), pa.array(union, pa.int64())],
-            names=["a", "b", "inter", "union"],
+            [*(part.column(c) for c in "abuv"), pa.array(inter, pa.int64()), pa.array(union, pa.int64())],
+            names=["a", "b", "u", "v", "inter", "union"],
         )
 
 
 def _compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``pairs(a, b)`` with the exact sizes; a hub that is ``b`` of very many
-    pairs is a skewed join key, which adaptive execution splits."""
-    a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(
-        _compared, "a binary, b binary, inter long, union long"
+    """``pairs(a, b)`` with the ids ``u`` and ``v`` that stand for them and the
+    exact sizes; a hub that is ``b`` of very many pairs is a skewed join key,
+    which adaptive execution splits."""
+    a = texts.select(F.col("node").alias("a"), F.col("rep").alias("u"), F.col("text").alias("text_a"))
+    b = texts.select(F.col("node").alias("b"), F.col("rep").alias("v"), F.col("text").alias("text_b"))
+    kind = texts.schema["rep"].dataType.simpleString()
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "u", "v", "text_a", "text_b").mapInArrow(
+        _compared, f"a binary, b binary, u {kind}, v {kind}, inter long, union long"
     )
 
 
@@ -187,7 +193,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .groupBy("node").agg(F.min("id").alias("rep"), F.max("n_shingles").alias("n"), F.first("bands").alias("bands")),
         "classes",
     )
-    banded = classes.select("node", F.explode("bands").alias("key"))
+    banded = classes.select("node", F.posexplode("bands").alias("band", "key"))
     buckets = banded.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1")
     members = written(banded.join(buckets.select("key", "hub"), "key"), "members")
 
@@ -195,44 +201,47 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = written(nodes, "nodes")
     wanted = spark.sparkContext.broadcast(bitmap(nodes.select(F.xxhash64("rep").alias("h"))))
     few = base.select("id", "text", F.xxhash64("id").alias("h")).mapInArrow(_candidates(wanted), f"id {id_type}, text string")
-    texts = few.join(nodes.select(F.col("rep").alias("id"), "node"), "id").select("node", "text")
-    texts = written(texts.mapInArrow(_own_text, "node binary, text string, code array<bigint>").dropDuplicates(["node"]), "texts")
+    texts = few.join(nodes.select(F.col("rep").alias("id"), "node"), "id").select("node", F.col("id").alias("rep"), "text")
+    texts = written(texts.mapInArrow(_own_text, f"node binary, rep {id_type}, text string").dropDuplicates(["node"]), "texts")
 
     # Every member against its bucket's hub.
     star = members.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     near = written(_compare(star, texts), "star")
     linked = F.expr(f"100 * inter >= {SIMILAR} * union")
-    rep_a = nodes.select(F.col("node").alias("a"), F.col("rep").alias("u"))
-    rep_b = nodes.select(F.col("node").alias("b"), F.col("rep").alias("v"))
-    links = near.where(linked).select("a", "b")
-    first = connected_components(links.join(rep_a, "a").join(rep_b, "b").select("u", "v"))
+    links = near.where(linked).select("u", "v")
+    first = connected_components(links)
 
     # Pairs across components of one bucket that are still possible.
     part = nodes.join(first.withColumnRenamed("node", "rep"), "rep", "left").select(
         "node", "n", F.coalesce("component", "rep").alias("component")
     )
-    part = written(part.join(texts.select("node", "code"), "node"), "parts")
+    part = written(part, "parts")
     hub_part = part.select(F.col("node").alias("hub"), F.col("component").alias("hub_component"))
     apart = F.expr("1 - inter / union").alias("d")
     seen = members.where("node <> hub").join(part, "node").join(hub_part, "hub")
     torn = seen.where("component <> hub_component").select("key").distinct()
     dist = near.select(F.col("a").alias("node"), F.col("b").alias("hub"), apart)
-    rest = written(seen.join(torn, "key").join(dist, ["node", "hub"]), "rest")
+    rest = seen.join(torn, "key").join(dist, ["node", "hub"])
+    coded = texts.join(seen.join(torn, "key").select("node").distinct(), "node", "left_semi").select("node", "text")
+    rest = rest.join(coded.mapInArrow(_coded, "node binary, code array<bigint>"), "node")
+    rest = written(rest.join(classes.select("node", "bands"), "node"), "rest")
     x = rest.where("component <> hub_component").select(
-        "key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("d").alias("da"), F.col("component").alias("ca"),
+        "key", "band", F.col("bands").alias("ba"), F.col("node").alias("a"), F.col("n").alias("na"), F.col("d").alias("da"), F.col("component").alias("ca"),
         F.col("code").alias("wa"),
     )
-    y = rest.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("d").alias("db"),
+    y = rest.select("key", F.col("bands").alias("bb"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("d").alias("db"),
                     F.col("component").alias("cb"), F.col("hub_component").alias("ch"), F.col("code").alias("wb"))
-    # Distances, set sizes and codes must allow a similarity of SIMILAR / 100.
-    differ = " + ".join(f"bit_count(wa[{i}] ^ wb[{i}])" for i in range(CODE_BITS // 64))
+    # Distances, set sizes and codes must allow a similarity of SIMILAR / 100;
+    # a pair is taken in the first bucket that it shares.
+    quick = " + ".join(f"bit_count(wa[{i}] ^ wb[{i}])" for i in range(QUICK_BITS // 64))
+    whole = "aggregate(zip_with(wa, wb, (x, y) -> bit_count(x ^ y)), 0, (s, n) -> s + n)"
     may = f"ca <> cb and (cb = ch or a < b) and abs(da - db) <= {1 - SIMILAR / 100} + 1e-9" \
           f" and 100 * least(na, nb) >= {SIMILAR} * greatest(na, nb)" \
-          f" and {differ} <= {CODE_DIFFER}"
+          f" and {quick} <= {QUICK_DIFFER} and {whole} <= {CODE_DIFFER}" \
+          " and array_position(zip_with(ba, bb, (x, y) -> x = y), true) = band + 1"
     cross = x.join(y, "key").where(may).select("a", "b").distinct()
-    more = written(_compare(cross, texts).where(linked).select("a", "b"), "cross")
-    links = links.union(more).distinct()
-    ends = written(links.join(rep_a, "a").join(rep_b, "b").select("u", "v"), "ends")
+    more = written(_compare(cross, texts).where(linked).select("u", "v"), "cross")
+    ends = written(links.union(more).distinct(), "ends")
     # An id with several texts ties their classes together.
     known = rows.where("node is not null and id is not null").select("id", "node")
     several = known.groupBy("id").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last")
