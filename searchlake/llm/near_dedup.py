@@ -67,6 +67,7 @@ def sketch(sets: list[np.ndarray], bins: int = BINS, seed: int = 6) -> np.ndarra
     flat = np.concatenate(sets) if n else np.empty(0, np.uint64)
     owner = np.repeat(np.arange(n, dtype=np.int64) * bins, sizes)
     seed_of = seeds(2 * bins, seed)
+    rows, todo, check = table.reshape(n, bins), sizes > 0, 0
     for r in range(2 * bins):
         if not len(flat):
             break
@@ -74,9 +75,15 @@ def sketch(sets: list[np.ndarray], bins: int = BINS, seed: int = 6) -> np.ndarra
         value = (h >> np.uint64(14)) | np.uint64(r << 50)
         place = owner + ((h & np.uint64(bins - 1)).astype(np.int64) if r < bins else r - bins)
         np.minimum.at(table, place, value)
-        todo = (table.reshape(n, bins) == _EMPTY).any(axis=1)[owner // bins]
-        if not todo.all():
-            flat, owner = flat[todo], owner[todo]
+        # A round more changes nothing in a full sketch, so looking for full
+        # ones can wait longer the more rounds there were.
+        if r >= check:
+            check = r + 1 + r // 8
+            still = np.flatnonzero(todo)
+            todo[still] = (rows[still] == _EMPTY).any(axis=1)
+            if len(still) != todo.sum():
+                keep = todo[owner // bins]
+                flat, owner = flat[keep], owner[keep]
     return table.reshape(n, bins)
 
 
@@ -121,8 +128,11 @@ def _candidates(bits):
 
 def codes(sets: list[np.ndarray]) -> np.ndarray:
     """``CODE_BITS`` one-bit coordinates of every set, as 64-bit words."""
-    rows = mix(sketch(sets, CODE_BITS, 77) ^ seeds(CODE_BITS, 777)) & np.uint64(1)
-    return np.packbits(rows.astype(np.uint8), axis=1).view(np.uint64)
+    out = np.empty((len(sets), CODE_BITS // 64), np.uint64)
+    for at in range(0, len(sets), 512):  # a sketch takes 32 KB here
+        rows = mix(sketch(sets[at : at + 512], CODE_BITS, 77) ^ seeds(CODE_BITS, 777)) & np.uint64(1)
+        out[at : at + 512] = np.packbits(rows.astype(np.uint8), axis=1).view(np.uint64)
+    return out
 
 
 def _own_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
