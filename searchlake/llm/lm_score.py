@@ -4,10 +4,16 @@ A bidirectional window network predicts every word from two words on either
 side, the word itself masked.  A text's score is the sum of the conditional
 log-probabilities of all its words.
 
-Vocabulary: the ``WORDS`` most frequent words of the whole corpus (counted in
-Spark) and ``OTHERS`` hash buckets for all other words.  The output layer is
-a two-level softmax, class then word within the class, so probabilities are
-normalised exactly.
+Vocabulary: every word of the corpus, counted in Spark.  The network knows
+the ``WORDS`` most frequent ones and ``OTHERS`` hash buckets for all others;
+its output layer is a two-level softmax, class then word within the class.
+A word of a bucket also costs -ln p(word | bucket), from the smoothed counts
+of the corpus; one share of every bucket is left for words never seen.  So
+probabilities are normalised exactly over words, not over buckets.
+
+The counts are a table that grows with the corpus.  At most ``HEAD`` of its
+words, the most frequent, are broadcast; the occurrences of all others meet
+the table in a Spark join.  A word's probability is the same on either way.
 
 Training reads every text of the corpus once, in ``ROUNDS`` hash folds of
 the documents.  In a round each task starts from the current weights and
@@ -22,16 +28,18 @@ rows get equal results.  An empty corpus leaves the initial network.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from searchlake.llm.common import concat, slices, utf8
+from searchlake.llm.common import concat, slices, utf8, written
 from searchlake.llm.decontaminate import item_words
 
 WORDS = 960
@@ -44,17 +52,51 @@ ROUNDS = 2
 BATCH = 8192
 RATE = 0.1
 BLOCK = 4096
+#: Most words whose counts are broadcast (16 bytes each).
+HEAD = 1 << 20
+#: Added to the count of every word of a bucket, and to that of unseen words.
+SMOOTH = 0.5
+#: A word's number: its place in the output layer, a mark that its cost in the
+#: bucket is yet to be joined, and that cost in units of 1 / ``UNITS`` nats.
+PLACE = 0xFFFF
+JOINED = 1 << 16
+COST = 17
+UNITS = 1 << 20
 
 VOCABULARY = WORDS + OTHERS
 PER_CLASS = VOCABULARY // CLASSES
 
 
+def word_hash(word: bytes) -> int:
+    """Spark's ``xxhash64``, unsigned."""
+    return xxhash.xxh64_intdigest(word, 42)
+
+
+class Vocabulary(list):
+    """The network's words, with what gives the others their costs: hashes
+    (sorted) and counts of the most frequent words, and per bucket the sum of
+    its smoothed counts."""
+
+    def __init__(self, words: list[bytes], keys: np.ndarray, counts: np.ndarray, sums: np.ndarray):
+        super().__init__(words)
+        self.keys, self.counts, self.sums = keys, counts, sums
+
+    def __reduce__(self):
+        return Vocabulary, (list(self), self.keys, self.counts, self.sums)
+
+
 class Words(dict):
-    """Word numbers; unknown words are hashed to a bucket and remembered."""
+    """Word numbers; unknown words are hashed to a bucket and remembered.  A
+    plain list of words has no counts: its buckets are not told apart."""
 
     def __init__(self, vocabulary: list[bytes]):
         super().__init__(zip(vocabulary, range(WORDS)))
         self.vocabulary = vocabulary
+        self.costs = None
+        if isinstance(vocabulary, Vocabulary):
+            own = vocabulary.sums[(vocabulary.keys % np.uint64(OTHERS)).astype(np.int64)]
+            self.costs = np.rint(UNITS * np.log(own / (vocabulary.counts + SMOOTH))).astype(np.int64).clip(0)
+            self.keys, self.costs = memoryview(vocabulary.keys), memoryview(self.costs)
 
     def __missing__(self, word: bytes) -> int:
         if len(self) > 200_000:
@@ -62,7 +104,12 @@ class Words(dict):
             self.update(zip(self.vocabulary, range(WORDS)))
             if word in self:
                 return self[word]
-        n = self[word] = WORDS + xxhash.xxh3_64_intdigest(word) % OTHERS
+        h = word_hash(word)
+        n = WORDS + h % OTHERS
+        if self.costs is not None:
+            at = bisect_left(self.keys, h)
+            n |= self.costs[at] << COST if at < len(self.keys) and self.keys[at] == h else JOINED
+        self[word] = n
         return n
 
 
@@ -75,7 +122,7 @@ def windows(lists: list[list[bytes]], known: Words) -> tuple[np.ndarray, np.ndar
     token = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
     spread = np.full(len(words) + pad * (len(lists) + 1), VOCABULARY, np.int64)
     at = np.arange(len(words)) + pad * (1 + np.repeat(np.arange(len(lists)), sizes))
-    spread[at] = token
+    spread[at] = token & PLACE
     return token, np.stack([spread[at + k] for k in WINDOW]), sizes
 
 
@@ -105,10 +152,11 @@ class Network:
         return np.tanh(h)
 
     def log_probability(self, token: np.ndarray, window: np.ndarray) -> np.ndarray:
-        """ln p(word | window) of each word."""
+        """ln p(word | window) of each word; of a word marked ``JOINED`` that
+        of its bucket."""
         out = np.empty(len(token), np.float32)
         for at in range(0, len(token), BATCH):
-            t, w = token[at : at + BATCH], window[:, at : at + BATCH]
+            t, w = token[at : at + BATCH] & PLACE, window[:, at : at + BATCH]
             order = np.argsort(t // PER_CLASS, kind="stable")
             t, h = t[order], self._forward(w[:, order])
             c, i = t // PER_CLASS, t % PER_CLASS
@@ -121,12 +169,12 @@ class Network:
                 if a < b:
                     low[a:b] = h[a:b] @ self.low[k] + self.low0[k]
             out[at + order] = logp + _log_softmax(low)[rows, i]
-        return out
+        return out - (token >> COST) / np.float32(UNITS)
 
     def train(self, token: np.ndarray, window: np.ndarray, past: Network) -> None:
         """One pass over the words; ``past`` holds the sums of squares."""
         for at in range(0, len(token), BATCH):
-            t, w = token[at : at + BATCH], window[:, at : at + BATCH]
+            t, w = token[at : at + BATCH] & PLACE, window[:, at : at + BATCH]
             order = np.argsort(t // PER_CLASS, kind="stable")
             t, w = t[order], w[:, order]
             n, c, i = len(t), t // PER_CLASS, t % PER_CLASS
@@ -167,9 +215,9 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
-def vocabulary(docs: DataFrame) -> list[bytes]:
-    """The most frequent words of ``docs(text)``: counted per task, summed in
-    Spark, ties by the word."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """``word, n, h, grade`` of every word of ``docs(text)``: counted per task,
+    summed in Spark.  Grades rise with the counts, four for a doubling."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
@@ -182,7 +230,28 @@ def vocabulary(docs: DataFrame) -> list[bytes]:
         yield _counts(total)
 
     counts = docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [bytes(r["word"]) for r in counts.orderBy(F.col("n").desc(), "word").limit(WORDS).collect()]
+    return written(counts, "word-counts").withColumns({"h": F.xxhash64("word"), "grade": F.floor(4 * F.log2("n"))})
+
+
+def vocabulary(counts: DataFrame) -> tuple[Vocabulary, int]:
+    """The vocabulary and the least grade of the words whose counts it holds.
+    Ties of the network's words are broken by the word."""
+    top = counts.orderBy(F.col("n").desc(), "word").limit(WORDS).collect()
+    sums = np.full(OTHERS, SMOOTH)  # of unseen words
+    for r in counts.groupBy(F.pmod("h", F.lit(OTHERS)).alias("b")).agg(F.sum(F.col("n") + SMOOTH).alias("n")).collect():
+        sums[r["b"]] += r["n"]
+    for r in top:  # the network's words are in no bucket
+        sums[r["h"] % OTHERS] -= r["n"] + SMOOTH
+    least, held = 0, 0
+    for r in sorted(counts.groupBy("grade").agg(F.count(F.lit(1)).alias("m")).collect(), reverse=True):
+        held += r["m"]
+        if held > HEAD:
+            least = r["grade"] + 1
+            break
+    head = counts.where(F.col("grade") >= least).select("h", "n").toArrow()  # HEAD rows at most
+    keys, n = (head.column(c).to_numpy() for c in ("h", "n"))
+    order = np.argsort(keys.view(np.uint64))
+    return Vocabulary([bytes(r["word"]) for r in top], keys.view(np.uint64)[order], n[order], sums), least
 
 
 def _counts(total: Counter) -> pa.RecordBatch:
@@ -224,43 +293,78 @@ def _averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         })
 
 
-def fit(docs: DataFrame) -> tuple[list[bytes], np.ndarray]:
+def fit(docs: DataFrame) -> tuple[Vocabulary, np.ndarray]:
     """Vocabulary and weights after one pass over ``docs(text)``."""
-    spark = docs.sparkSession
-    words, weights = vocabulary(docs), Network().flat
+    words, _ = vocabulary(word_counts(docs))
+    return words, trained(docs, words)
+
+
+def trained(docs: DataFrame, words: list[bytes]) -> np.ndarray:
+    """The network's weights after one pass over ``docs(text)``."""
+    spark, weights = docs.sparkSession, Network().flat
     schema = "block int, n long, weights array<float>"
     for r in range(ROUNDS):
-        shared = spark.sparkContext.broadcast((words, weights))
+        shared = spark.sparkContext.broadcast((list(words), weights))
         fold = docs.where(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == r)
         blocks = fold.mapInArrow(_trained(shared), schema).repartition("block").mapInArrow(_averaged, schema)
         parts = {row["block"]: row["weights"] for row in blocks.collect()}  # one network
         if parts:
             weights = np.concatenate([np.array(parts[b], np.float32) for b in sorted(parts)])
-    return words, weights
+    return weights
 
 
 def _scored(shared):
+    """Rows are numbered by task; ``rest`` has the hashes of the words whose
+    costs are yet to be joined, once an occurrence."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, weights = shared.value
         known, network = Words(words), Network()
         network.flat[:] = weights
+        row = TaskContext.get().partitionId() << 40
         for part in slices(batches):
-            token, window, sizes = windows([item_words(t) for t in utf8(part)], known)
+            lists = [item_words(t) for t in utf8(part)]
+            token, window, sizes = windows(lists, known)
             total = np.zeros(len(sizes))
+            starts = np.cumsum(sizes) - sizes
             if len(token):
                 some = sizes > 0
                 logs = network.log_probability(token, window).astype(np.float64)
-                total[some] = np.add.reduceat(logs, (np.cumsum(sizes) - sizes)[some])
-            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(sizes), pa.array(total)], names=["id", "n_words", "pll"])
+                total[some] = np.add.reduceat(logs, starts[some])
+            rest = np.flatnonzero(token & JOINED)
+            own = np.searchsorted(starts + sizes, rest, "right")
+            hashes = [word_hash(lists[k][i]) for k, i in zip(own.tolist(), (rest - starts[own]).tolist())]
+            ends = np.searchsorted(own, np.arange(len(sizes) + 1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(row + np.arange(len(sizes))), part.column("id"), pa.array(sizes), pa.array(total),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(np.array(hashes, np.uint64).view(np.int64))),
+                ],
+                names=["row", "id", "n_words", "pll", "rest"],
+            )
+            row += len(sizes)
 
     return run
 
 
+def _cost(sums: np.ndarray) -> Column:
+    """-ln p(word | bucket) of ``h`` with count ``n`` (null: never seen)."""
+    own = F.element_at(F.array(*map(F.lit, sums.tolist())), (F.pmod("h", F.lit(OTHERS)) + 1).cast("int"))
+    return F.log(own / (F.coalesce("n", F.lit(0)) + SMOOTH))
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, n_words, pll, mean_pll`` of each row's whole text, under the
-    network trained on all of them."""
+    network trained on all of them and the counts of all their words."""
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(fit(base.select("text")))
+    counts = word_counts(base)
+    words, least = vocabulary(counts)
+    shared = docs.sparkSession.sparkContext.broadcast((words, trained(base.select("text"), words)))
     kind = base.schema["id"].dataType.simpleString()
-    out = base.mapInArrow(_scored(shared), f"id {kind}, n_words long, pll double")
-    return out.withColumn("mean_pll", F.when(F.col("n_words") > 0, F.col("pll") / F.col("n_words"))).withColumnRenamed("id", id_col)
+    rows = written(base.mapInArrow(_scored(shared), f"row long, id {kind}, n_words long, pll double, rest array<long>"), "scores")
+    # A word outside the head has few occurrences: no hot key in this join.
+    rest = rows.select("row", F.explode("rest").alias("h")).join(counts.where(F.col("grade") < least).select("h", "n"), "h", "left")
+    rest = rest.groupBy("row").agg(F.sum(_cost(words.sums)).alias("cost"))
+    out = rows.drop("rest").join(rest, "row", "left").withColumn("pll", F.col("pll") - F.coalesce("cost", F.lit(0.0)))
+    out = out.select("id", "n_words", "pll", F.when(F.col("n_words") > 0, F.col("pll") / F.col("n_words")).alias("mean_pll"))
+    return out.withColumnRenamed("id", id_col)

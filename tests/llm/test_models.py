@@ -237,3 +237,63 @@ def test_scores_add_up_and_windows_stay_inside_texts(odd_docs, no_docs):
         assert (got["mean_pll"] is None) == (not own)
     assert lm_score.score(no_docs).count() == 0
     assert re.fullmatch(r"\w+", words[0].decode())
+
+
+def plain_bucket_costs(texts):
+    """-ln p(word | bucket) of every word outside the network, from dictionaries."""
+    from collections import Counter
+
+    n = Counter(w for t in texts for w in lm_score.item_words(t.encode()))
+    for w in sorted(n, key=lambda w: (-n[w], w))[: lm_score.WORDS]:
+        del n[w]
+    total = Counter()
+    for w, c in n.items():
+        total[lm_score.word_hash(w) % lm_score.OTHERS] += c + lm_score.SMOOTH
+    return {w: math.log((total[lm_score.word_hash(w) % lm_score.OTHERS] + lm_score.SMOOTH) / (c + lm_score.SMOOTH)) for w, c in n.items()}
+
+
+@pytest.mark.parametrize("head", [1 << 20, 1300, 960])
+def test_rare_words_have_their_own_probability(spark, monkeypatch, head):
+    """Also when their counts are joined instead of broadcast."""
+    monkeypatch.setattr(lm_score, "HEAD", head)
+    rnd = random.Random(5)
+    vocab = [f"w{i}" for i in range(4000)]
+    texts = [" ".join(vocab[int(4000 * rnd.random() ** 4)] for _ in range(rnd.randrange(40))) for _ in range(1200)]
+    # The network's words get counts that keep them in any head.
+    texts += [" ".join(f"f{i}" for i in range(800))] * 150
+    costs = plain_bucket_costs(texts)
+    bucket = {}
+    for w in sorted(costs):
+        bucket.setdefault(lm_score.word_hash(w) % lm_score.OTHERS, []).append(w)
+    # Two texts that differ in one rare word of the same bucket.
+    a, b = next((sorted(x, key=costs.get)[len(x) // 2], max(x, key=costs.get)) for x in bucket.values() if len({costs[w] for w in x}) > 4)
+    texts += [f"f1 f2 {a.decode()} f3", f"f1 f2 {b.decode()} f3"]
+    costs = plain_bucket_costs(texts)
+    docs = spark.createDataFrame([(i // 2 if i % 7 else None, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+    words, least = lm_score.vocabulary(lm_score.word_counts(docs))
+    assert len(words.keys) <= head and (least > 0) == (head < 1 << 20)
+    got = sorted((r["doc_id"] or -1, r["n_words"], round(r["pll"], 1)) for r in lm_score.score(docs).collect())
+    net = lm_score.Network()
+    net.flat[:] = lm_score.trained(docs.selectExpr("coalesce(text, '') as text"), words)
+    plain, pll = lm_score.Words(list(words)), {}
+    for t in set(texts):
+        own = lm_score.item_words(t.encode())
+        token, window, _ = lm_score.windows([own], plain)
+        pll[t] = (float(net.log_probability(token, window).sum()) if own else 0.0) - sum(costs.get(w, 0.0) for w in own)
+    want = sorted((r["doc_id"] or -1, len(lm_score.item_words(r["text"].encode())), pll[r["text"]]) for r in docs.collect())
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert np.allclose(sorted(g[2] for g in got), sorted(w[2] for w in want), atol=0.2, rtol=1e-3)
+    assert abs(pll[texts[-2]] - pll[texts[-1]] - costs[b] + costs[a]) < 1e-3 and costs[b] > costs[a]
+
+
+def test_bucket_probabilities_are_normalised(spark):
+    rnd = random.Random(6)
+    texts = [" ".join(f"w{rnd.randrange(3000)}" for _ in range(30)) for _ in range(300)]
+    words, _ = lm_score.vocabulary(lm_score.word_counts(spark.createDataFrame([(t,) for t in texts], "text string")))
+    known, mass = lm_score.Words(words), np.zeros(lm_score.OTHERS)
+    for w in {w for t in texts for w in lm_score.item_words(t.encode())} - set(words):
+        n = known[w]
+        assert not n & lm_score.JOINED
+        mass[(n & lm_score.PLACE) - lm_score.WORDS] += math.exp(-(n >> lm_score.COST) / lm_score.UNITS)
+    assert np.allclose(mass + lm_score.SMOOTH / words.sums, 1, atol=1e-4)
+    assert known[b"never-seen"] & lm_score.JOINED
