@@ -135,11 +135,19 @@ def codes(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _own_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def sequence_digest(text: bytes) -> bytes:
+    return xxhash.xxh3_128_digest(b" ".join(ws_words(text)))
+
+
+def _own_text(digest):
     """Rows whose text has the digest asked for (rows may share an id)."""
-    for part in slices(batches):
-        same = [xxhash.xxh3_128_digest(b" ".join(ws_words(t))) == n for t, n in zip(utf8(part), part.column("node").to_pylist())]
-        yield part.filter(pa.array(same, pa.bool_()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            same = [digest(t) == n for t, n in zip(utf8(part), part.column("node").to_pylist())]
+            yield part.filter(pa.array(same, pa.bool_()))
+
+    return run
 
 
 def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,39 +195,29 @@ def _compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: ``id_col, n_shingles, component_id, n_links``
-    and ``kept``.  ``component_id`` is the smallest id reachable through
-    links (its own at least); ``n_links`` counts the verified links of the
-    row's class to other classes that the plan needed."""
-    spark = docs.sparkSession
-    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+def class_links(classes: DataFrame, base: DataFrame, digest=sequence_digest) -> DataFrame:
+    """``a, b, u, v, inter, union`` of the verified links between classes that
+    the plan needed: enough to connect all classes that links connect.
+    ``classes(node, rep, n, bands)`` have one row a class; ``base(id, text)``
+    has their texts, of id ``rep`` and with ``digest(text)`` = ``node``."""
     id_type = base.schema["id"].dataType.simpleString()
-    rows = written(base.mapInArrow(_sketched, f"id {id_type}, node binary, n_shingles long, bands array<long>"), "sketch")
-
-    # One class per word sequence; the smallest id stands for it.
-    classes = written(
-        rows.where("node is not null and id is not null")
-        .groupBy("node").agg(F.min("id").alias("rep"), F.max("n_shingles").alias("n"), F.first("bands").alias("bands")),
-        "classes",
-    )
     banded = classes.select("node", F.posexplode("bands").alias("band", "key"))
     buckets = banded.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1")
     members = written(banded.join(buckets.select("key", "hub"), "key"), "members")
 
     nodes = members.select("node").distinct().join(classes.select("node", "rep", "n"), "node")
     nodes = written(nodes, "nodes")
-    wanted = spark.sparkContext.broadcast(bitmap(nodes.select(F.xxhash64("rep").alias("h"))))
+    wanted = base.sparkSession.sparkContext.broadcast(bitmap(nodes.select(F.xxhash64("rep").alias("h"))))
     few = base.select("id", "text", F.xxhash64("id").alias("h")).mapInArrow(_candidates(wanted), f"id {id_type}, text string")
     texts = few.join(nodes.select(F.col("rep").alias("id"), "node"), "id").select("node", F.col("id").alias("rep"), "text")
-    texts = written(texts.mapInArrow(_own_text, f"node binary, rep {id_type}, text string").dropDuplicates(["node"]), "texts")
+    texts = written(texts.mapInArrow(_own_text(digest), f"node binary, rep {id_type}, text string").dropDuplicates(["node"]), "texts")
 
     # Every member against its bucket's hub.
     star = members.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     near = written(_compare(star, texts), "star")
     linked = F.expr(f"100 * inter >= {SIMILAR} * union")
-    links = near.where(linked).select("u", "v")
-    first = connected_components(links)
+    links = near.where(linked)
+    first = connected_components(links.select("u", "v"))
 
     # Pairs across components of one bucket that are still possible.
     part = nodes.join(first.withColumnRenamed("node", "rep"), "rep", "left").select(
@@ -250,8 +248,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
           f" and {quick} <= {QUICK_DIFFER} and {whole} <= {CODE_DIFFER}" \
           " and array_position(zip_with(ba, bb, (x, y) -> x = y), true) = band + 1"
     cross = x.join(y, "key").where(may).select("a", "b").distinct()
-    more = written(_compare(cross, texts).where(linked).select("u", "v"), "cross")
-    ends = written(links.union(more).distinct(), "ends")
+    more = _compare(cross, texts).where(linked)
+    return written(links.union(more), "links")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: ``id_col, n_shingles, component_id, n_links``
+    and ``kept``.  ``component_id`` is the smallest id reachable through
+    links (its own at least); ``n_links`` counts the verified links of the
+    row's class to other classes that the plan needed."""
+    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    id_type = base.schema["id"].dataType.simpleString()
+    rows = written(base.mapInArrow(_sketched, f"id {id_type}, node binary, n_shingles long, bands array<long>"), "sketch")
+
+    # One class per word sequence; the smallest id stands for it.
+    classes = written(
+        rows.where("node is not null and id is not null")
+        .groupBy("node").agg(F.min("id").alias("rep"), F.max("n_shingles").alias("n"), F.first("bands").alias("bands")),
+        "classes",
+    )
+    ends = written(class_links(classes, base).select("u", "v").distinct(), "ends")
     # An id with several texts ties their classes together.
     known = rows.where("node is not null and id is not null").select("id", "node")
     several = known.groupBy("id").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last")

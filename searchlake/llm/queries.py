@@ -44,8 +44,9 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of all documents, their edited texts and next documents."""
-    return fingerprint.with_edits(read_table(spark, sf_dir, "documents"))
+    """Fingerprints of all documents, their edited texts and next documents,
+    classes of equal texts and verified links."""
+    return fingerprint.with_links(read_table(spark, sf_dir, "documents"))
 
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

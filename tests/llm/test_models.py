@@ -201,6 +201,38 @@ def test_similarity_estimate_and_near_pairs(spark):
     assert abs((sig[0] == sig[1]).mean() - 291 / 301) < 0.15
 
 
+def test_op5_links_rows_of_repeated_ids_and_large_groups(spark, monkeypatch):
+    """Links by the text's digest, a few a member in a group of near copies."""
+    from searchlake.llm import queries
+
+    rnd = random.Random(8)
+    words = [f"w{i}" for i in range(5000)]
+    base, other = ([rnd.choice(words) for _ in range(300)] for _ in range(2))
+
+    def edit(x, k):
+        return " ".join([*x[:k], f"e{k}", *x[k + 1 :]])
+
+    rows = [(i, edit(base, i)) for i in range(200)]
+    # The same id stands for a copy of one group and a text of the other.
+    rows += [(5, " ".join(other)), (300, edit(other, 7)), (None, edit(other, 9)), (301, edit(other, 7)), (302, ""), (None, None), (303, " ".join(words[:50]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    monkeypatch.setattr(queries, "read_table", lambda *_: docs)
+    out = queries.op5_minhash(spark, "").collect()
+    plain = fingerprint.with_edits(docs)
+    assert sorted(map(str, ((r["doc_id"], r["n_chars"], r["near_next"]) for r in out))) == sorted(map(str, ((r["doc_id"], r["n_chars"], r["near_next"]) for r in plain.collect())))
+    got = sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["n_chars"], r["class_id"], r["n_links"] > 0) for r in out)
+    first = {}
+    for i, t in rows:
+        first[t or ""] = min([x for x in (i, first.get(t or "")) if x is not None], default=None)
+    want = sorted((i if i is not None else -1, len(t or ""), first[t or ""], t not in ("", None, " ".join(words[:50]))) for i, t in rows)
+    assert list(map(str, got)) == list(map(str, want))
+    classes, found = fingerprint.links(docs)
+    assert classes.count() == len(first)
+    near = found.collect()
+    # Each member with the first of its buckets, not the 19,903 pairs.
+    assert 199 + 2 <= len(near) <= 10 * 203 and all(r["jaccard"] >= 0.75 for r in near)
+
+
 # --- masked language model ---------------------------------------------------------------
 
 
