@@ -84,6 +84,11 @@ def test_model_equals_plain_dictionaries(spark):
     assert abs(sum(p("the", "cat", w) for w in uni) + p("the", "cat", "never") - 1) < 1e-9
 
 
+def test_sample_has_4000_trusted_documents(spark):
+    labels = spark.range(9000).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
+    assert quality.trusted_sample(None, labels, "doc_id").count() == 4000
+
+
 def test_quality_separates_and_keeps_good_documents(spark, tables):
     docs, labels = tables
     out = quality.classify(docs, labels)
