@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from searchlake.llm import bpe, decontaminate, fingerprint, lm_score, near_dedup, oracle, quality, sharding, token_count, toxicity, url_filter
+from searchlake.llm import (
+    bpe, conversation_repair, decontaminate, fingerprint, language_id, lm_score, near_dedup, oracle, quality, sharding,
+    token_count, toxicity, url_filter, vector_codes,
+)
 from searchlake.sources.tables import read_table
 
 SHARDS = 40
@@ -89,6 +92,22 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged as the task says, and repaired."""
+    rows = conversation_repair.damaged(read_table(spark, sf_dir, "conversations"))
+    return conversation_repair.repair(rows, copies_col="copies")
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents."""
+    return language_id.identify(read_table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all embeddings."""
+    return vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_masked_lm": op1_masked_lm,
     "op2_jump_shards": op2_jump_shards,
@@ -100,6 +119,9 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_quality_kn": op9_quality_kn,
     "op10_decontaminate": op10_decontaminate,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_language_id": op12_language_id,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 ORACLE: dict[str, str] = {
@@ -107,4 +129,6 @@ ORACLE: dict[str, str] = {
     "op6_near_dedup": oracle.OP6,
     "op8_url_filter": oracle.OP8,
     "op10_decontaminate": oracle.OP10,
+    "op11_conversation_repair": oracle.OP11,
+    "op13_vector_codes": oracle.OP13,
 }
