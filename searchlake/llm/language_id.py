@@ -12,7 +12,7 @@ A word is a run of letters (and number signs) of the lower-cased text that
 holds at least one letter.
 
 The model is fitted on at most ``SAMPLE_ROWS`` labelled rows of each language,
-those with the smallest hash of id and text, none longer than
+with the smallest hashes of id and text, none longer than
 ``SAMPLE_CHARS``: so the counts that reach the driver are bounded, and the
 model that each task gets is two arrays.  Counting is a Spark aggregation over
 64-bit n-gram hashes.  The model grows with the number of languages, not with
@@ -46,6 +46,9 @@ from searchlake.llm.common import crc32_mod, slices, written
 #: Bounds of the sample the model is fitted on.
 SAMPLE_ROWS, SAMPLE_CHARS = 1000, 20_000
 
+#: Rows of a language that are ranked for the sample, in units of SAMPLE_ROWS.
+DRAW = 4
+
 #: Lengths of character n-grams, as they are tried.
 GRAMS = (5, 4, 3, 2, 1)
 
@@ -101,11 +104,11 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFr
     for the rows below their language's last hash."""
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.length(text_col) <= SAMPLE_CHARS))
     rows = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col, text_col).alias("h"))
-    # Map-side: repeats go by partial aggregation, and a group limit keeps the
-    # first SAMPLE_ROWS of a language in each task before the exchange.
-    ranked = rows.select("lang", "h").distinct().withColumn(
-        "rank", F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    )
+    # Hashes are even: a few times SAMPLE_ROWS lie below this share of them, so
+    # what is ranked doesn't grow with the rows of a language.
+    sizes = written(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("size")), "lang-sizes")
+    low = rows.join(sizes, "lang").where(F.col("h") / float(2**64) + 0.5 <= DRAW * SAMPLE_ROWS / F.col("size"))
+    ranked = low.select("lang", "h").distinct().withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
     last = written(ranked.where(F.col("rank") <= SAMPLE_ROWS).groupBy("lang").agg(F.max("h").alias("last")), "lang-sample")
     chosen = rows.join(last, "lang").where(F.col("h") <= F.col("last"))
     return chosen.groupBy("lang", "h").agg(F.min("text").alias("text")).select("lang", "text")
