@@ -33,20 +33,23 @@ HTML_CONTENT_TYPES = ("text/html", "application/xhtml")
 # --- fixed values: latency report ---------------------------------------------
 LATENCY_PERCENTILES = (0.50, 0.95, 0.99)
 
-# --- fixed values: HTML inline elements (text joined without a space) --------
-INLINE_TAGS = (
-    "a", "abbr", "b", "bdi", "bdo", "cite", "code", "em", "font", "i", "kbd",
-    "mark", "q", "s", "samp", "small", "span", "strong", "sub", "sup", "u",
-    "var",
+# --- fixed values: HTML elements that part words in displayed text ------------
+BLOCK_TAGS = (
+    "address", "applet", "article", "aside", "audio", "blockquote", "body", "canvas", "caption", "center", "col",
+    "colgroup", "dd", "del", "details", "dir", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form",
+    "frame", "frameset", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hgroup", "hr", "html", "ins", "li",
+    "link", "listing", "main", "marquee", "math", "menu", "meta", "nav", "noframes", "noscript", "ol", "p",
+    "plaintext", "pre", "script", "section", "style", "svg", "table", "tbody", "td", "template", "tfoot", "th",
+    "thead", "title", "tr", "ul", "video",
 )
 
-# --- fixed values: HTML entities decoded for display text (title) ------------
-DISPLAY_ENTITIES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&nbsp;", " "),
-    ("&amp;", "&"),
-)
+# --- fixed values: HTML elements that don't begin the body of a page ----------
+HEAD_TAGS = ("html", "head", "base", "basefont", "bgsound", "link", "meta", "noscript", "template")
+
+# --- fixed values: numeric references read as Windows-1252 (HTML standard) ----
+WINDOWS_1252 = {
+    0x80: 0x20AC, 0x82: 0x201A, 0x83: 0x0192, 0x84: 0x201E, 0x85: 0x2026, 0x86: 0x2020, 0x87: 0x2021, 0x88: 0x02C6,
+    0x89: 0x2030, 0x8A: 0x0160, 0x8B: 0x2039, 0x8C: 0x0152, 0x8E: 0x017D, 0x91: 0x2018, 0x92: 0x2019, 0x93: 0x201C,
+    0x94: 0x201D, 0x95: 0x2022, 0x96: 0x2013, 0x97: 0x2014, 0x98: 0x02DC, 0x99: 0x2122, 0x9A: 0x0161, 0x9B: 0x203A,
+    0x9C: 0x0153, 0x9E: 0x017E, 0x9F: 0x0178,
+}

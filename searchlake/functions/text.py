@@ -10,24 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from searchlake.constants import (
-    DISPLAY_ENTITIES,
-    INLINE_TAGS,
-    MIN_TOKEN_LENGTH,
-    TOKEN_PATTERN,
-)
-
-# Regular expressions for the HTML -> visible text chain.  They use only
-# constructs shared by Java regex and RE2, so the DuckDB twins in
-# ``plans.oracle`` run the very same patterns.
-HTML_DROP_BLOCKS = (
-    r"(?is)<head\b.*?</head\s*>|<script\b.*?</script\s*>"
-    r"|<style\b.*?</style\s*>|<!--.*?-->"
-)
-HTML_INLINE_TAG = r"(?i)</?(?:" + "|".join(INLINE_TAGS) + r")(?:\s[^>]*)?>"
-HTML_ANY_TAG = r"(?s)<[^>]*>"
-HTML_ENTITY = r"&(?:[a-zA-Z][a-zA-Z0-9]*|#[0-9]+|#[xX][0-9a-fA-F]+);"
-HTML_TITLE = r"(?is)<title[^>]*>(.*?)</title"
+from searchlake.constants import MIN_TOKEN_LENGTH, TOKEN_PATTERN
+from searchlake.functions.html import let, split_page, text_of, title_of
 
 
 def _c(col) -> Column:
@@ -48,38 +32,14 @@ def query_tokens(text) -> Column:
     return F.array_distinct(tokens(text))
 
 
-def term_frequency_map(term_tf) -> Column:
-    """``map<string,int>`` from an array of ``struct(term, tf)`` (Silver form)."""
-    return F.map_from_entries(_c(term_tf))
-
-
 def html_visible_text(html) -> Column:
-    """Body text of an HTML page: head, script, style and comments removed,
-    inline tags joined without a space, other tags turned into a space and
-    entities blanked (entities never decode to token characters here)."""
-    t = F.regexp_replace(_c(html), HTML_DROP_BLOCKS, " ")
-    t = F.regexp_replace(t, HTML_INLINE_TAG, "")
-    t = F.regexp_replace(t, HTML_ANY_TAG, " ")
-    return F.regexp_replace(t, HTML_ENTITY, " ")
-
-
-def decode_display_entities(text) -> Column:
-    """Decode the common named entities (``&amp;`` last) for display text."""
-    t = _c(text)
-    for ent, ch in DISPLAY_ENTITIES:
-        t = F.replace(t, F.lit(ent), F.lit(ch))
-    return t
-
-
-def collapse_whitespace(text) -> Column:
-    return F.trim(F.regexp_replace(_c(text), r"\s+", " "))
+    """Displayed text of a page's body (see ``functions.html``)."""
+    return let(split_page(html), text_of)
 
 
 def html_title(html) -> Column:
-    """Text of the first ``<title>`` element, entity-decoded, whitespace
-    collapsed and trimmed; '' when there is none."""
-    raw = F.regexp_extract(_c(html), HTML_TITLE, 1)
-    return collapse_whitespace(decode_display_entities(raw))
+    """The page's title, entities decoded, blanks collapsed; '' if none."""
+    return let(split_page(html), title_of)
 
 
 def snippet(title) -> Column:

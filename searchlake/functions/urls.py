@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from searchlake.functions.html import hrefs_of, let, split_page
+
 _BEYOND = r"\x{A1}-\x{167F}\x{1681}-\x{1FFF}\x{200B}-\x{2027}\x{202A}-\x{202E}\x{2030}-\x{205E}\x{2060}-\x{2FFF}\x{3001}-\x{10FFFF}"
 _PCHAR = r"a-zA-Z0-9_\-!.~'()*,;:$&+=@%" + _BEYOND
 URL_PARTS = (
@@ -21,24 +23,17 @@ URL_PARTS = (
     r"(\?[" + _PCHAR + r"/?\[\]]*)?(#[" + _PCHAR + r"/?\[\]]*)?$"
 )
 ESCAPE = r"%[0-9A-Fa-f]{2}"
+ESCAPES = r"(?:%[0-9A-Fa-f]{2})+|[^%]+"
+# What a normalised URL may hold as it is: the rest is written as escapes.
+PLAIN = "A-Za-z0-9_\\-.!~*'():@&=+$,;" + _BEYOND
+PATH_PIECES = "[" + PLAIN + "/]+|(?s:.)"
+QUERY_PIECES = "[" + PLAIN + r"/?\[\]" + "]+|(?s:.)"
+USER_PIECES = "[" + PLAIN.replace("@", "") + "]+|(?s:.)"
 HOST_IN_AUTHORITY = r"^(?:[^@]*@)?(\[[^\]]*\]|[^:]*)(?::[0-9]*)?$"
 HOST_NAME = (
     r"^(?:(?:[a-zA-Z0-9](?:[a-zA-Z0-9\-]*[a-zA-Z0-9])?\.)*[a-zA-Z](?:[a-zA-Z0-9\-]*[a-zA-Z0-9])?\.?"
     r"|[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}|\[[0-9a-fA-F:.]+(?:%[a-zA-Z0-9_]+)?\])$"
 )
-# Whole start tags, quoted values included; the first href attribute of one.
-ANCHOR_TAG = r"""(?is)<a\s[^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*>"""
-BASE_TAG = r"""(?is)<base\s[^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*>"""
-HREF = (
-    r"""(?is)^<[a-z]+(?:\s+[^\s"'>/=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?)*?"""
-    r"""\s+href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-)
-HREF_ENTITIES = (
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&#x27;", "'"),
-    ("&#47;", "/"), ("&#x2F;", "/"), ("&#x2f;", "/"), ("&#61;", "="), ("&#x3D;", "="), ("&#x3d;", "="),
-    ("&#38;", "&"), ("&#x26;", "&"), ("&amp;", "&"),
-)
-HTML_CODE_BLOCKS = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
 SCHEME_PREFIX = r"^[a-zA-Z][a-zA-Z0-9+.\-]*:"
 PATH_OF_REFERENCE = r"^[^?#]*"
 REST_OF_REFERENCE = r"^[^?#]*(.*)$"
@@ -48,12 +43,6 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once per row, however often the
-    body uses it (a lambda variable over a one-element array)."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _part(url: Column, i: int) -> Column:
     return F.regexp_extract(url, URL_PARTS, i)
 
@@ -94,14 +83,51 @@ def domain_allowed(url, domain: str | None) -> Column:
     return F.coalesce((h == F.lit(d)) | h.endswith("." + d), F.lit(False))
 
 
+def unescape(text: Column) -> Column:
+    """Escapes decoded, each run of them as UTF-8 bytes; bytes that are no
+    UTF-8 become the replacement character."""
+
+    def piece(p: Column) -> Column:
+        raw = F.unhex(F.replace(p, F.lit("%"), F.lit(""))).cast("string")
+        return F.when(p.startswith("%"), F.make_valid_utf8(raw)).otherwise(p)
+
+    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(ESCAPES), F.lit(0)), piece), "")
+
+
+def escape(text: Column, pieces: str) -> Column:
+    """Characters that ``pieces`` doesn't take as they are, as the escapes of
+    their UTF-8 bytes."""
+    kept = "^" + pieces.split("|(?s")[0] + r"\z"
+
+    def piece(p: Column) -> Column:
+        return F.when(p.rlike(kept), p).otherwise(F.regexp_replace(F.hex(F.encode(p, "UTF-8")), "(..)", "%$1"))
+
+    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(pieces), F.lit(0)), piece), "")
+
+
+def _again(text: Column, pieces: str) -> Column:
+    """Decoded and escaped again; most texts hold no escape."""
+    return F.when(text.contains("%"), escape(unescape(text), pieces)).otherwise(text)
+
+
 def normalize(url) -> Column:
-    """T5: drop the fragment, empty path -> '/', strip one trailing '/' when
-    the path is longer than 1; scheme, user info, host, port and query kept.
+    """T5: path, query and user info decoded and escaped again (so ``%7E``
+    becomes ``~``, ``%2F`` a slash and ``%25`` stays), the fragment dropped,
+    an empty path ``/``, one trailing ``/`` stripped from the decoded path
+    when it is longer than 1, an empty port dropped; scheme and host kept.
     Invalid input is returned unchanged."""
-    u = _c(url)
-    path = F.when(_part(u, 3) == "", F.lit("/")).otherwise(F.regexp_replace(_part(u, 3), "(.)/$", "$1"))
-    out = F.concat(_part(u, 1), F.lit("://"), _part(u, 2), path, _part(u, 4))
-    return F.when(is_valid(u), out).otherwise(u)
+
+    def whole(part: Column) -> Column:
+        bare = F.when(part["path"].contains("%"), unescape(part["path"])).otherwise(part["path"])
+        bare = F.when(bare == "", F.lit("/")).otherwise(F.regexp_replace(bare, r"(?s)(.)/\z", "$1"))
+        path = F.when(part["path"].contains("%"), escape(bare, PATH_PIECES)).otherwise(bare)
+        user = F.regexp_extract(part["authority"], "^([^@]*)@", 1)
+        host = F.regexp_replace(F.regexp_replace(part["authority"], "^[^@]*@", ""), ":$", "")
+        at = F.when(part["authority"].contains("@"), F.concat(_again(user, USER_PIECES), F.lit("@"))).otherwise(F.lit(""))
+        query = F.when(part["query"] != "", F.concat(F.lit("?"), _again(F.substring(part["query"], 2, 1 << 30), QUERY_PIECES)))
+        return F.concat(part["scheme"], F.lit("://"), at, host, path, F.coalesce(query, F.lit("")))
+
+    return let(_c(url), lambda u: F.when(is_valid(u), let(_split_url(u), whole)).otherwise(u))
 
 
 def _remove_dot_segments(path: Column) -> Column:
@@ -122,7 +148,7 @@ def _remove_dot_segments(path: Column) -> Column:
         stack = F.aggregate(F.slice(segments, 2, 1 << 20), F.array().cast("array<string>"), fold)
         return F.when(p.rlike(r"/\.\.?(/|$)"), F.concat(F.lit("/"), F.array_join(stack, "/"))).otherwise(p)
 
-    return _let(path, folded)
+    return let(path, folded)
 
 
 def _split_url(url: Column) -> Column:
@@ -137,7 +163,7 @@ def _fold(url: Column) -> Column:
         p = _remove_dot_segments(_part(u, 3))
         return F.when(u.rlike(URL_PARTS), F.concat(_part(u, 1), F.lit("://"), _part(u, 2), p, _part(u, 4), _part(u, 5))).otherwise(u)
 
-    return _let(url, whole)
+    return let(url, whole)
 
 
 def resolve(base, href) -> Column:
@@ -148,7 +174,7 @@ def resolve(base, href) -> Column:
     and ``..`` in paths (never in queries or fragments).  NULL when the base
     is invalid and the reference is not absolute.
     """
-    return _let(_split_url(_c(base)), lambda b: _let(F.trim(_c(href)), lambda h: _resolve(b, h)))
+    return let(_split_url(_c(base)), lambda b: let(F.trim(_c(href)), lambda h: _resolve(b, h)))
 
 
 def _resolve(b: Column, h: Column) -> Column:
@@ -169,31 +195,18 @@ def _resolve(b: Column, h: Column) -> Column:
     )
 
 
-def _href(tag: Column) -> Column:
-    """The trimmed href value of a start tag, entities decoded (``&amp;`` last)."""
-    value = F.concat(*[F.regexp_extract(tag, HREF, i) for i in (1, 2, 3)])
-    for entity, char in HREF_ENTITIES:
-        value = F.replace(value, F.lit(entity), F.lit(char))
-    return F.trim(value)
-
-
 def extract_links(base, html) -> Column:
     """T4: ``array<string>`` of every ``<a href>`` (document order, duplicates
-    kept) resolved against the page URL or the page's ``<base href>``, kept
-    when http(s), normalised.  Script, style and comment content is not
-    scanned."""
-
-    def page_links(code: Column) -> Column:
-        tags = F.filter(F.regexp_extract_all(code, F.lit(ANCHOR_TAG), F.lit(0)), lambda x: x.rlike(HREF))
-        hrefs = F.transform(tags, _href)
-        own = F.regexp_extract(code, BASE_TAG, 0)
-        against = F.when(own.rlike(HREF), F.coalesce(resolve(base, _href(own)), _c(base))).otherwise(_c(base))
-        absolute = _let(_split_url_of(against), lambda b: F.transform(hrefs, lambda h: _resolve(b, h)))
-        kept = F.filter(absolute, lambda x: x.startswith("http://") | x.startswith("https://"))
-        return F.transform(kept, normalize)
-
-    return _let(F.regexp_replace(_c(html), HTML_CODE_BLOCKS, " "), page_links)
-
-
-def _split_url_of(url: Column) -> Column:
-    return _let(url, _split_url)
+    kept) resolved against the page URL or the page's first ``<base href>``,
+    kept when http(s), normalised.  Tags in scripts, comments and other raw
+    text are not scanned."""
+    return let(split_page(html), lambda parts: page_links(base, parts))
+
+
+def page_links(base, parts: Column) -> Column:
+    """``extract_links`` of a page that ``html.split_page`` has cut."""
+    own = F.get(F.filter(hrefs_of(parts, "base"), lambda h: h != ""), 0)
+    against = F.when(own.isNotNull(), F.coalesce(resolve(base, own), _c(base))).otherwise(_c(base))
+    absolute = let(let(against, _split_url), lambda b: F.transform(hrefs_of(parts, "a"), lambda h: _resolve(b, h)))
+    kept = F.filter(absolute, lambda x: x.startswith("http://") | x.startswith("https://"))
+    return F.transform(kept, normalize)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from searchlake.constants import DEFAULT_MAX_DEPTH
 from searchlake.functions import urls
 from searchlake.operators.robots import filter_links, robots_allowed
+from searchlake.operators.scan import running_total
 from searchlake.session import stored
 
 
@@ -102,6 +103,33 @@ def crawl(
     return bfs(offered, seeds, max_depth, max_pages, taken)
 
 
+def frontier_timeline(log: DataFrame, url: str, kind: str, ts_ms: str, bucket_ms: int) -> DataFrame:
+    """G3 over an event log of offers, polls and finishes: per time bucket
+    ``(bucket, queued, visited, in_flight, idle)`` at its end.
+
+    A URL is visited and queued by its first offer; a poll takes a task from
+    the queue and a finish ends it.  The queue is idle when nothing is queued
+    or in flight.  Deltas are summed per bucket first; the running totals are a
+    chunked scan over the ordered buckets, so no task sees them all."""
+    rows = log.select(F.col(url).alias("u"), F.col(kind).alias("k"), F.col(ts_ms).alias("t")).where(F.col("t").isNotNull())
+    first = rows.where("k = 'offer'").groupBy("u").agg(F.min("t").alias("t")).select("t", F.lit(1).alias("v"), F.lit(0).alias("p"), F.lit(0).alias("e"))
+    moves = rows.where("k in ('poll', 'finish')").select(
+        "t", F.lit(0).alias("v"), (F.col("k") == "poll").cast("int").alias("p"), (F.col("k") == "finish").cast("int").alias("e")
+    )
+    deltas = first.unionByName(moves).groupBy(F.floor(F.col("t") / F.lit(bucket_ms)).cast("long").alias("bucket")).agg(
+        *[F.sum(c).alias(c) for c in ("v", "p", "e")]
+    )
+    deltas = stored(deltas.withColumn("all", F.lit(0)), "frontier-deltas")
+    out = deltas
+    for c in ("v", "p", "e"):
+        out = running_total(out, "all", [F.col("bucket")], c, f"run_{c}")
+    queued, flying = F.col("run_v") - F.col("run_p"), F.col("run_p") - F.col("run_e")
+    return out.select(
+        "bucket", queued.alias("queued"), F.col("run_v").alias("visited"), flying.alias("in_flight"),
+        ((queued <= 0) & (flying <= 0)).alias("idle"),
+    )
+
+
 def frontier_counts(visited: DataFrame) -> DataFrame:
     """Per depth, URLs offered and pages fetched."""
     return visited.groupBy("depth").agg(

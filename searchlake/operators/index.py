@@ -12,12 +12,15 @@ Layout (one row per posting, never a per-term map as the working form):
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from searchlake.functions.text import html_title, html_visible_text, snippet, tokens
+from searchlake.functions.html import split_page, text_of, title_of
+from searchlake.functions.text import snippet, tokens
+from searchlake.operators.shards import Shards, shard_count, write_shards
 from searchlake.session import one_row, scratch_path, spread, stored
 
 #: One count for every index: writers and searches must agree on it.
@@ -31,6 +34,18 @@ def term_bucket(term) -> Column:
     return F.pmod(F.xxhash64(t), F.lit(TERM_BUCKETS)).cast("int")
 
 
+#: Buckets of the document statistics.
+DOC_BUCKETS = 64
+
+#: Lookups of at most so many keys push them into the scan.
+PUSHED_KEYS = 10
+
+
+def doc_bucket(key: str) -> Column:
+    """Storage bucket of a document key in ``doc_stats``."""
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(DOC_BUCKETS)).cast("int")
+
+
 def text_tokens(docs: DataFrame, key: str, text: str | Column, title: Column | None = None) -> DataFrame:
     """``(<key>, title, toks)``: per-row tokenization next to the scan (``spread``
     only deals out inputs with fewer splits than task slots).  The (doc, term)
@@ -45,7 +60,8 @@ def text_tokens(docs: DataFrame, key: str, text: str | Column, title: Column | N
 
 def html_tokens(pages: DataFrame, key: str = "url", html: str = "html") -> DataFrame:
     """``(<key>, title, toks)`` for raw HTML: title and visible body tokens."""
-    return text_tokens(pages, key, html_visible_text(html), html_title(html))
+    cut = spread(pages).select(F.col(key), split_page(html).alias("_parts"))
+    return cut.select(key, title_of(F.col("_parts")).alias("title"), tokens(text_of(F.col("_parts"))).alias("toks"))
 
 
 def postings_from_tokens(tok: DataFrame, key: str) -> DataFrame:
@@ -90,6 +106,8 @@ class Index:
     doc_stats: DataFrame  # (<key>, doc_len, title, snippet)
     term_stats: DataFrame  # (term, df)
     corpus: DataFrame  # one row
+    shards: Shards | None = None  # document shards, for batch search
+    root: str | None = None  # the folder of the written tables
 
     @property
     def bucketed(self) -> bool:
@@ -100,16 +118,71 @@ class Index:
         spark = self.postings.sparkSession
         root = scratch_path(spark, "gold")
         write_tables(self, root)
-        return Index(self.key, *[spark.read.parquet(f"{root}/{t}") for t in ("postings", "doc_stats", "term_stats", "corpus")])
+        return open_tables(spark, root, self.key, self.doc_stats.schema)
+
+
+def open_tables(spark: SparkSession, root: str, key: str, doc_schema: T.StructType | None = None) -> Index:
+    """The index whose tables lie under ``root``."""
+    doc_schema = doc_schema or spark.read.parquet(f"{root}/doc_stats").schema
+    return Index(
+        key, spark.read.parquet(f"{root}/postings"), read_stats(spark, root, "doc_stats", doc_schema),
+        read_stats(spark, root, "term_stats", T.StructType.fromDDL("term string, df long")), spark.read.parquet(f"{root}/corpus"), root=root,
+    )
+
+
+def sharded(index: Index, root: str | None = None, shards: int | None = None) -> Index:
+    """The index with its document shards written under ``root``."""
+    spark = index.postings.sparkSession
+    n_docs = index.corpus.select("n_docs").first()["n_docs"]
+    count = shards or shard_count(n_docs, spark.sparkContext.defaultParallelism)
+    tables = write_shards(index.postings, index.doc_stats, index.key, root or scratch_path(spark, "shards"), count)
+    return replace(index, shards=tables)
 
 
 def write_tables(index: Index, root: str) -> None:
     """The four index tables under ``root``, postings in term buckets."""
-    post = index.postings.select(index.key, "doc_len", "term", "tf").withColumn("term_bucket", term_bucket("term"))
-    post = post.hint("rebalance", "term_bucket").sortWithinPartitions("term_bucket", "term")
-    post.write.mode("errorifexists").partitionBy("term_bucket").parquet(f"{root}/postings")
-    for name, table in (("term_stats", index.term_stats), ("doc_stats", index.doc_stats), ("corpus", index.corpus)):
-        table.write.mode("errorifexists").parquet(f"{root}/{name}")
+    write_postings(index.postings.select(index.key, "doc_len", "term", "tf"), root)
+    write_stats(index.term_stats, root, "term_stats", "term")
+    write_stats(index.doc_stats, root, "doc_stats", index.key)
+    index.corpus.write.mode("errorifexists").parquet(f"{root}/corpus")
+
+
+#: The bucket column of each statistics table.
+STATS_BUCKET = {"term_stats": "term_bucket", "doc_stats": "doc_bucket"}
+
+
+def write_stats(table: DataFrame, root: str, name: str, key: str) -> None:
+    """A statistics table under ``root``, partitioned by a bucket of its key,
+    sorted by it, with a bloom filter on it in every row group: a lookup reads
+    the partitions of its keys and skips row groups without them."""
+    bucket = STATS_BUCKET[name]
+    rows = table.withColumn(bucket, term_bucket(key) if name == "term_stats" else doc_bucket(key))
+    rows = rows.hint("rebalance", bucket).sortWithinPartitions(bucket, key)
+    rows.write.mode("errorifexists").option(f"parquet.bloom.filter.enabled#{key}", "true").partitionBy(bucket).parquet(f"{root}/{name}")
+
+
+def read_stats(spark: SparkSession, root: str, name: str, schema: T.StructType, buckets: list[int] | None = None) -> DataFrame:
+    """A table of ``write_stats`` without its bucket column; with ``buckets``
+    only those partitions."""
+    bucket = STATS_BUCKET[name]
+    fields = [f for f in schema.fields if f.name != bucket]
+    rows = spark.read.schema(T.StructType([*fields, T.StructField(bucket, T.IntegerType())])).parquet(f"{root}/{name}")
+    if buckets is not None:
+        rows = rows.where(F.col(bucket).isin(buckets or [-1]))
+    return rows.select(*[f.name for f in fields])
+
+
+def write_postings(postings: DataFrame, root: str) -> None:
+    """Postings under ``root``, partitioned by term bucket and sorted by term.
+
+    REBALANCE on the bucket: AQE coalesces small partitions and splits a
+    skewed one (the bucket of a term like "the", which has a posting in
+    nearly every document) across several tasks, without a sampling job.
+    Each task sorts its rows by term, so every file covers a contiguous
+    term range and the row-group min/max statistics stay tight."""
+    bucketed = postings.withColumn("term_bucket", term_bucket("term")).hint("rebalance", "term_bucket")
+    bucketed = bucketed.sortWithinPartitions("term_bucket", "term")
+    bucketed.write.mode("errorifexists").partitionBy("term_bucket").parquet(f"{root}/postings")
 
 
 def write_gold(postings: DataFrame, key: str, titles: DataFrame | None, base: str) -> Index:
@@ -126,25 +199,17 @@ def write_gold(postings: DataFrame, key: str, titles: DataFrame | None, base: st
     """
     spark = postings.sparkSession
     root = base.rstrip("/")
-    # REBALANCE on the bucket: AQE coalesces small partitions and splits a
-    # skewed one (the bucket of a term like "the", which has a posting in
-    # nearly every document) across several tasks, without a sampling job.
-    # Each task sorts its rows by term, so every file covers a contiguous
-    # term range and the row-group min/max statistics stay tight.
-    (
-        postings.withColumn("term_bucket", term_bucket("term"))
-        .hint("rebalance", "term_bucket")
-        .sortWithinPartitions("term_bucket", "term")
-        .write.mode("errorifexists").partitionBy("term_bucket").parquet(f"{root}/postings")
-    )
-    post = spark.read.parquet(f"{root}/postings")
+    write_postings(postings, root)
+    # An empty index has no files to take the columns from.
+    schema = T.StructType([*postings.schema.fields, T.StructField("term_bucket", T.IntegerType())])
+    post = spark.read.schema(schema).parquet(f"{root}/postings")
     idx = index_from_postings(post, key, titles)
-    idx.doc_stats.write.mode("errorifexists").parquet(f"{root}/doc_stats")
-    idx.term_stats.write.mode("errorifexists").parquet(f"{root}/term_stats")
-    ds = spark.read.parquet(f"{root}/doc_stats")
-    ts = spark.read.parquet(f"{root}/term_stats")
+    write_stats(idx.doc_stats, root, "doc_stats", key)
+    write_stats(idx.term_stats, root, "term_stats", "term")
+    ds = read_stats(spark, root, "doc_stats", idx.doc_stats.schema)
+    ts = read_stats(spark, root, "term_stats", idx.term_stats.schema)
     corpus_statistics(ds, ts).write.mode("errorifexists").parquet(f"{root}/corpus")
-    return Index(key, post, ds, ts, spark.read.parquet(f"{root}/corpus"))
+    return Index(key, post, ds, ts, spark.read.parquet(f"{root}/corpus"), root=root)
 
 
 def index_from_postings(postings: DataFrame, key: str, titles: DataFrame | None = None) -> Index:
@@ -152,7 +217,8 @@ def index_from_postings(postings: DataFrame, key: str, titles: DataFrame | None
     without terms have no posting and do not count)."""
     lengths = postings.groupBy(key).agg(F.max("doc_len").alias("doc_len"))
     if titles is not None:
-        lengths = lengths.join(titles.select(key, "title"), key, "left")
+        named = titles.select(F.col(key).alias("_key"), "title")
+        lengths = lengths.join(named, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
     else:
         lengths = lengths.withColumn("title", F.lit(None).cast("string"))
     doc_stats = lengths.select(key, "doc_len", "title", snippet("title").alias("snippet"))
@@ -178,26 +244,42 @@ def build_index(tok: DataFrame, key: str, materialize: bool = True) -> Index:
 
 def posting_list(index: Index, term: str) -> DataFrame:
     """A5: the postings of one term (looked up lower-cased)."""
-    return index.postings.where(F.col("term") == F.lower(F.lit(term))).select("term", index.key, "tf")
+    wanted = F.lower(F.lit(term))
+    rows = index.postings.where(F.col("term") == wanted)
+    if index.bucketed:
+        # Folded to a literal: one partition of the table is read.
+        rows = rows.where(F.col("term_bucket") == term_bucket(wanted))
+    return rows.select("term", index.key, "tf")
 
 
-def _lookup(keys: DataFrame, table: DataFrame, key: str) -> DataFrame:
-    """``keys`` left-joined with ``table`` on ``key``.
+def _lookup(keys: DataFrame, index: Index, name: str, key: str, columns: list[str]) -> DataFrame:
+    """``keys`` left-joined with ``columns`` of a statistics table on ``key``.
 
     A left outer join can only build its right side, which here is the big
     table.  So the table is inner-joined with the stored keys first (Spark
     broadcasts them when their bytes allow it, and then does not shuffle the
-    table), and the matches are left-joined back to the keys.
+    table), and the matches are left-joined back to the keys.  Of a written
+    index only the partitions of the keys are read, at most one bucket number
+    each is collected; a few keys are pushed into the scan, where bloom
+    filters skip row groups.
     """
     keys = stored(keys, "lookup-keys")
-    matched = table.join(keys.select(key).distinct(), key)
+    table = getattr(index, name)
+    if index.root:
+        bucket = term_bucket(key) if name == "term_stats" else doc_bucket(key)
+        buckets = sorted(r["b"] for r in keys.select(bucket.alias("b")).distinct().collect())
+        table = read_stats(keys.sparkSession, index.root, name, table.schema, buckets)
+    few = keys.select(key).distinct().limit(PUSHED_KEYS + 1).collect()
+    if len(few) <= PUSHED_KEYS:
+        table = table.where(F.col(key).isin([r[key] for r in few if r[key] is not None] or [None]))
+    matched = table.select(key, *columns).join(keys.select(key).distinct(), key)
     return keys.join(matched, key, "left")
 
 
 def term_lookup(index: Index, terms: DataFrame, term_col: str = "term") -> DataFrame:
     """Q6: df for a table of terms; unknown terms get 0."""
     keys = terms.select(F.lower(F.col(term_col)).alias("term"))
-    return _lookup(keys, index.term_stats, "term").select(
+    return _lookup(keys, index, "term_stats", "term", ["df"]).select(
         "term", F.coalesce("df", F.lit(0)).cast("long").alias("df")
     )
 
@@ -205,7 +287,7 @@ def term_lookup(index: Index, terms: DataFrame, term_col: str = "term") -> DataF
 def doc_lookup(index: Index, docs: DataFrame) -> DataFrame:
     """Q6: length, title and snippet for a table of document keys
     (missing -> 0 / NULL)."""
-    return _lookup(docs.select(index.key), index.doc_stats, index.key).select(
+    return _lookup(docs.select(index.key), index, "doc_stats", index.key, ["doc_len", "title", "snippet"]).select(
         index.key,
         F.coalesce("doc_len", F.lit(0)).cast("int").alias("doc_len"),
         "title",

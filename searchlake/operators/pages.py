@@ -10,21 +10,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from searchlake.functions import urls
-from searchlake.functions.text import html_title, html_visible_text, tokens
+from searchlake.functions.html import split_page, text_of, title_of
+from searchlake.functions.text import tokens
 from searchlake.operators.index import postings_from_tokens
 from searchlake.session import spread
 
 
 def parse_pages(pages: DataFrame, url: str = "url", html: str = "html", keep: tuple[str, ...] = ()) -> DataFrame:
     """``(*keep, url, title, links, toks, doc_len)`` per page."""
-    tok = tokens(html_visible_text(html))
-    return spread(pages).select(
+    return page_columns(spread(pages), url, html, keep).withColumn("doc_len", F.size("toks").cast("int"))
+
+
+def page_columns(pages: DataFrame, url: str, html: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(*keep, url, title, links, toks)``, per row: the page is cut into
+    tokens once (Catalyst keeps a costly column that is used three times)."""
+    cut = pages.select(*keep, F.col(url).alias("_url"), split_page(html).alias("_parts"))
+    return cut.select(
         *keep,
-        F.col(url).alias("url"),
-        html_title(html).alias("title"),
-        urls.extract_links(url, html).alias("links"),
-        tok.alias("toks"),
-    ).withColumn("doc_len", F.size("toks").cast("int"))
+        F.col("_url").alias("url"),
+        title_of(F.col("_parts")).alias("title"),
+        urls.page_links("_url", F.col("_parts")).alias("links"),
+        tokens(text_of(F.col("_parts"))).alias("toks"),
+    )
 
 
 def silver_documents(parsed: DataFrame, processed_at=None, source_id: str | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ Plan shape (Catalyst does the physical work):
     postings ⋈ broadcast(idf rows)                           -> BroadcastHashJoin, postings streamed
     groupBy(qid, doc) sum/count                               -> partial agg, one exchange
     top-k per query                                           -> WindowGroupLimit before the exchange
+                                                                 (a batch: k rows per document shard)
     top-k ⋈ doc_stats (titles)                                -> late materialisation, k rows per query
 """
 
@@ -20,6 +21,7 @@ from searchlake.constants import BM25_B, BM25_K1, DEFAULT_LIMIT, MAX_LIMIT, MIN_
 from searchlake.functions.scoring import idf, term_score
 from searchlake.functions.text import query_tokens
 from searchlake.operators.index import Index, _lookup, term_bucket
+from searchlake.operators.shards import top_in_shards, with_keys
 from searchlake.session import one_row, stored
 
 _INT = re.compile(r"[+-]?[0-9]+")
@@ -101,9 +103,8 @@ def _scored_candidates(
 
 
 def _attach_titles(index: Index, top: DataFrame) -> DataFrame:
-    """Titles of the top rows; the document table is streamed through a
-    broadcast of their keys."""
-    return _lookup(top, index.doc_stats.select(index.key, "title", "snippet"), index.key)
+    """Titles of the top rows: a lookup of their keys."""
+    return _lookup(top, index, "doc_stats", index.key, ["title", "snippet"])
 
 
 def search_batch(
@@ -119,9 +120,11 @@ def search_batch(
     """Top-``k`` documents per query for a whole table of queries.
 
     Ranking: score (rounded to 6 places) desc, matched terms desc, key asc.
-    The row_number filter becomes a WindowGroupLimit that trims every
-    partition to k rows per query *before* the exchange on qid, so even a
-    query that matches every document moves only k rows per partition.
+    An index with document shards is searched shard by shard, and at most k
+    rows per query and shard are shuffled (see ``operators.shards``).  Without
+    them every candidate is scored and shuffled by (query, document); the
+    row_number filter then becomes a WindowGroupLimit that trims every
+    partition to k rows per query *before* the exchange on qid.
     """
     qterms = query_terms(queries, qid, text)
     # A small batch pushes its terms into the scans, so only their buckets
@@ -129,12 +132,27 @@ def search_batch(
     qterms = stored(qterms, "query-terms")
     some = [r.term for r in qterms.select("term").limit(BATCH_PUSHDOWN_TERMS + 1).collect()]
     literal = sorted(set(some)) if len(some) <= BATCH_PUSHDOWN_TERMS else None
-    scored = _scored_candidates(index, qterms, qid, k1, b, literal_terms=literal)
+    if index.shards is not None and k > 0:
+        scored = _best_of_shards(index, qterms, qid, k, k1, b, literal)
+    else:
+        scored = _scored_candidates(index, qterms, qid, k1, b, literal_terms=literal)
     w = Window.partitionBy(qid).orderBy(F.desc("score"), F.desc("matched"), F.asc(index.key))
     top = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     return _attach_titles(index, top) if with_titles else top
 
 
+def _best_of_shards(index: Index, qterms: DataFrame, qid: str, k: int, k1: float, b: float, literal: list[str] | None) -> DataFrame:
+    """``(qid, <key>, score, matched)``: the best k of each query and all that
+    tie with the k-th in score and matched terms."""
+    size = qterms.agg(F.sum(F.octet_length("term") + 24)).first()[0] or 0
+    weights = _term_weights(index, qterms, qid, literal)
+    found = top_in_shards(index.shards, weights, qid, k, k1, b, size, literal)
+    found = found.select(qid, "shard", "ord", F.round("raw_score", 6).alias("score"), "matched")
+    place = F.rank().over(Window.partitionBy(qid).orderBy(F.desc("score"), F.desc("matched")))
+    best = found.withColumn("_place", place).where(F.col("_place") <= k).drop("_place")
+    return with_keys(index.shards, best, index.key).select(qid, index.key, "score", "matched")
+
+
 def search(
     index: Index,
     query: str,

@@ -26,6 +26,7 @@ from searchlake.operators.pipeline import run_pipeline
 from searchlake.session import scratch_path, stored
 from searchlake.sources import bronze as _br
 from searchlake.sources import gold as _gd
+from searchlake.sources import segments as _sg
 from searchlake.sources.tables import read_table
 from searchlake.streaming import jobs as _st
 
@@ -55,7 +56,7 @@ def documents_index(spark: SparkSession, sf_dir: str) -> ix.Index:
     key = _cache_key(spark, sf_dir, "documents")
     if key not in _INDEX_CACHE:
         docs = read_table(spark, sf_dir, "documents")
-        _INDEX_CACHE[key] = ix.build_index(ix.text_tokens(docs, "doc_id", "text"), "doc_id")
+        _INDEX_CACHE[key] = ix.sharded(ix.build_index(ix.text_tokens(docs, "doc_id", "text"), "doc_id"))
     return _INDEX_CACHE[key]
 
 
@@ -309,6 +310,16 @@ def crawl_bfs(spark, sf_dir):
     return _crawled(spark, sf_dir)
 
 
+@register("frontier_timeline")
+def frontier_timeline(spark, sf_dir):
+    """G3 over the event log: views and signups offer the user's URL, clicks
+    poll, purchases finish."""
+    ev = _events(spark, sf_dir)
+    kind = F.when(F.col("event_type").isin("view", "signup"), "offer").when(F.col("event_type") == "click", "poll").otherwise("finish")
+    log = ev.select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("url"), kind.alias("kind"), "ts_ms")
+    return _fr.frontier_timeline(log, "url", "kind", "ts_ms", 3_600_000)
+
+
 @register("frontier_counts")
 def frontier_counts(spark, sf_dir):
     return _fr.frontier_counts(_crawled(spark, sf_dir))
@@ -434,10 +445,11 @@ def _changed_documents(spark, sf_dir):
 
 @register("index_replace")
 def index_replace(spark, sf_dir):
-    """Postings, lengths and frequencies after the replacement."""
-    idx = documents_index(spark, sf_dir)
+    """Postings, lengths and frequencies after the replacement: the index is
+    one segment, the changed documents become a second one."""
+    old = _sg.of_index(documents_index(spark, sf_dir))
     changed = ix.text_tokens(_changed_documents(spark, sf_dir), "doc_id", "text")
-    new = ix.replace_documents(idx, changed)
+    new = _sg.replace(spark, old, changed, scratch_path(spark, "segment")).index(spark)
     lengths = new.doc_stats.select("doc_id", F.col("doc_len").alias("stat_len"))
     return new.postings.join(new.term_stats, "term").join(lengths, "doc_id").select("doc_id", "doc_len", "stat_len", "term", "tf", "df")
 
@@ -474,6 +486,55 @@ def bronze_upsert(spark, sf_dir):
     )
 
 
+def bronze_folder(spark, sf_dir) -> str:
+    """Stand-in Bronze folders of the fetched pages: ``meta`` with one JSON
+    record each, ``bodies`` with a folder ``{name}.html`` each.  A fifth of
+    the records name a body of their own: of those every second is missing,
+    so the record's ``{id}.html`` counts; a ninth of the pages have no
+    ``{id}.html``."""
+    f = fetched_pages(spark, sf_dir).withColumn("headers", F.create_map(F.lit("n"), F.col("page_id").cast("string")))
+    rows = _br.bronze_records(f, F.timestamp_millis("fetched_ms")).join(f.select(_u.url_id("url").alias("id"), "page_id"), "id")
+    own = F.concat(F.col("id"), F.when(F.col("page_id") % 5 == 0, F.lit("-v2")).otherwise(F.lit("")))
+    base = scratch_path(spark, "bronze-files")
+    meta = rows.withColumn("htmlPath", F.concat(F.lit("bronze/"), own, F.lit(".html"))).select(*_br.META_SCHEMA.names)
+    meta.write.json(f"{base}/meta")
+    first = rows.where("page_id % 9 <> 4").select(F.col("id").alias("name"), "html")
+    second = rows.where("page_id % 10 = 0").select(F.concat("id", F.lit("-v2")).alias("name"), F.concat("html", F.lit("<p>named</p>")).alias("html"))
+    files = first.unionByName(second).select(F.concat("name", F.lit(".html")).alias("file"), "html")
+    files.repartition("file").write.partitionBy("file").text(f"{base}/bodies")
+    return base
+
+
+def _body(df):
+    # The text writer ends each file with a line break.
+    return df.select(_br.file_id(F.col("_metadata.file_path")).alias("file_id"), F.expr("left(value, length(value) - 1)").alias("html"),
+                     F.col("_metadata.file_modification_time").alias("at"))
+
+
+def _bodies_of(records):
+    return records.select("id", "url", "statusCode", F.unix_millis("fetchedAt").alias("fetched_ms"), F.col("headers")["n"].alias("n"), F.md5("html").alias("html_md5"))
+
+
+@register("bronze_files")
+def bronze_files(spark, sf_dir):
+    """A Bronze folder read back, with the fallback body."""
+    base = bronze_folder(spark, sf_dir)
+    meta = spark.read.schema(_br.META_SCHEMA).json(f"{base}/meta")
+    html = _body(spark.read.text(f"{base}/bodies", wholetext=True, recursiveFileLookup=True))
+    return _bodies_of(_br.join_bodies(meta, html))
+
+
+@register("stream_bronze_files")
+def stream_bronze_files(spark, sf_dir):
+    """S2, J6 as a stream-stream join: records and bodies arrive apart."""
+    base = bronze_folder(spark, sf_dir)
+    out, ck = scratch_path(spark, "bronze-joined"), scratch_path(spark, "bronze-joined-ck")
+    meta = spark.readStream.schema(_br.META_SCHEMA).json(f"{base}/meta").withColumn("at", F.col("_metadata.file_modification_time"))
+    files = _body(spark.readStream.option("recursiveFileLookup", "true").text(f"{base}/bodies", wholetext=True))
+    _st.run_available(_st.bronze_files_stream(meta, files, "1 hour"), out, ck)
+    return _bodies_of(_br.best_bodies(spark.read.parquet(out)))
+
+
 @register("header_flatten")
 def header_flatten(spark, sf_dir):
     """P3 on stand-in multi-value headers of the fetched pages."""
@@ -546,23 +607,55 @@ def stream_silver(spark, sf_dir):
 
 @register("stream_gold")
 def stream_gold(spark, sf_dir):
-    gold_base, ck = scratch_path(spark, "gold"), scratch_path(spark, "gold-ck")
-    docs = _table_stream(spark, sf_dir, "documents")
-    tok = docs.select("doc_id", F.lit(None).cast("string").alias("title"), tokens("text").alias("toks"))
+    """ST2 over three crawls in three files: all documents, the French ones
+    again (some empty by now), and every seventh once more."""
+    gold_base, ck, crawls = scratch_path(spark, "gold"), scratch_path(spark, "gold-ck"), scratch_path(spark, "crawls")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    third = docs.where("doc_id % 7 = 0").select("doc_id", F.concat_ws(" ", F.lit("third crawl"), "text").alias("text"))
+    for crawl in (docs, _changed_documents(spark, sf_dir), third):
+        crawl.coalesce(1).write.mode("append").parquet(crawls)
+    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(crawls)
+    tok = stream.select("doc_id", F.lit(None).cast("string").alias("title"), tokens("text").alias("toks"))
     _st.run_foreach_batch(tok, _st.gold_upsert_batch(spark, gold_base, "doc_id"), ck)
-    return _gd.read_index(spark, gold_base, "doc_id").term_stats
+    idx = _gd.read_index(spark, gold_base, "doc_id")
+    found = idx.postings.join(idx.term_stats, "term").join(idx.doc_stats.select("doc_id", F.col("doc_len").alias("stat_len")), "doc_id")
+    total = idx.corpus.select("n_docs", "n_terms", "total_len")
+    return found.crossJoin(F.broadcast(total)).select("doc_id", "stat_len", "term", "tf", "df", "n_docs", "n_terms", "total_len")
+
+
+def _offers_stream(spark, sf_dir):
+    url = F.concat(F.lit("https://u"), F.col("user_id").cast("string"), F.lit(".example.com/"))
+    return _events_stream(spark, sf_dir).select(url.alias("url"), F.timestamp_millis("ts_ms").alias("ts"))
 
 
 @register("stream_dedup")
 def stream_dedup(spark, sf_dir):
+    """ST3, exact: every URL once, over a visited table."""
+    out, ck = scratch_path(spark, "visited"), scratch_path(spark, "dedup-ck")
+    _st.run_foreach_batch(_offers_stream(spark, sf_dir), _st.visited_batch(spark, out), ck)
+    return _st.read_visited(spark, out)
+
+
+@register("stream_dedup_bounded")
+def stream_dedup_bounded(spark, sf_dir):
+    """ST3, bounded: one offer of a URL a day; state goes two days after it."""
     out, ck = scratch_path(spark, "dedup-out"), scratch_path(spark, "dedup-ck")
-    ev = _events_stream(spark, sf_dir)
-    offers = ev.select(F.concat(F.lit("https://u"), F.col("user_id").cast("string"), F.lit(".example.com/")).alias("url"),
-                       F.timestamp_millis("ts_ms").alias("ts"))
-    _st.run_available(_st.dedup_stream(offers, "url", "ts", exact=True).select("url"), out, ck)
+    offers = _offers_stream(spark, sf_dir).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    _st.run_available(_st.dedup_stream(offers, ["url", "day"], "ts", "2 days").select("url", "day"), out, ck)
     return spark.read.parquet(out)
 
 
+@register("stream_metrics")
+def stream_metrics(spark, sf_dir):
+    """A9 as a stream: the last update of each hour."""
+    out, ck = scratch_path(spark, "metrics"), scratch_path(spark, "metrics-ck")
+    log = _events_stream(spark, sf_dir).select(F.timestamp_millis("ts_ms").alias("at"), "value")
+    _st.run_updates(_st.metrics_stream(log, "at", "value", "1 hour"), out, ck)
+    last = _st.latest_updates(spark, out, "start")
+    bucket = F.floor(F.unix_millis("start") / F.lit(3_600_000)).cast("long")
+    return last.select(bucket.alias("bucket"), "n_requests", F.round("total_ms", 6).alias("total_ms"), "max_ms")
+
+
 @register("stream_lease")
 def stream_lease(spark, sf_dir):
     out, ck = scratch_path(spark, "lease-out"), scratch_path(spark, "lease-ck")

@@ -6,7 +6,8 @@ driver's views, and serve as the correctness gate.
 
 from __future__ import annotations
 
-from searchlake.functions import urls
+from searchlake.constants import BLOCK_TAGS, WINDOWS_1252
+from searchlake.functions import html, urls
 
 ORACLE: dict[str, str] = {}
 
@@ -126,10 +127,40 @@ def valid(u: str) -> str:
     return f"(regexp_matches({u}, {q(urls.URL_PARTS)}) AND NOT contains(regexp_replace({u}, {q(urls.ESCAPE)}, '', 'g'), '%'))"
 
 
+def _let(value: str, name: str, body: str) -> str:
+    return f"list_transform([{value}], lambda {name}: {body})[1]"
+
+
+#: UTF-8 in pairs of hexadecimal digits: whole characters first, then what may
+#: be the start of one (a single replacement), then any other byte.
+_UTF8 = "[0-7].|C[2-9A-F][89AB].|D.[89AB].|E0[AB].[89AB].|E[1-9ABCEF][89AB].[89AB].|ED[89].[89AB].|F0[9AB].[89AB].[89AB].|F[123][89AB].[89AB].[89AB].|F48.[89AB].[89AB]."
+_CUT_UTF8 = "E0[AB].|E[1-9ABCEF][89AB].|ED[89].|F0[9AB].(?:[89AB].)?|F[123][89AB].(?:[89AB].)?|F48.(?:[89AB].)?|.."
+
+
+def unescape_sql(x: str) -> str:
+    char = f"CASE WHEN regexp_full_match(h, '{_UTF8}') THEN decode(unhex(h)) ELSE chr(65533) END"
+    run = f"array_to_string(list_transform(regexp_extract_all(upper(replace(e, '%', '')), '{_UTF8}|{_CUT_UTF8}'), lambda h: {char}), '')"
+    return f"""array_to_string(list_transform(regexp_extract_all({x}, {q(urls.ESCAPES)}), lambda e:
+        CASE WHEN starts_with(e, '%') THEN {run} ELSE e END), '')"""
+
+
+def escape_sql(x: str, pieces: str) -> str:
+    kept = q("^" + pieces.split("|(?s")[0] + "$")
+    return f"""array_to_string(list_transform(regexp_extract_all({x}, {q(pieces)}), lambda g:
+        CASE WHEN regexp_matches(g, {kept}) THEN g ELSE regexp_replace(hex(encode(g)), '(..)', '%\\1', 'g') END), '')"""
+
+
 def norm_sql(u: str) -> str:
-    path = f"(CASE WHEN {part(u, 3)} = '' THEN '/' ELSE {part(u, 3)} END)"
-    path2 = f"(CASE WHEN length({path}) > 1 AND ends_with({path}, '/') THEN left({path}, length({path}) - 1) ELSE {path} END)"
-    return f"(CASE WHEN {valid(u)} THEN {part(u, 1)} || '://' || {part(u, 2)} || {path2} || {part(u, 4)} ELSE {u} END)"
+    bare = _let(f"(CASE WHEN contains(pt, '%') THEN {unescape_sql('pt')} ELSE pt END)", "w",
+                "(CASE WHEN w = '' THEN '/' WHEN length(w) > 1 AND ends_with(w, '/') THEN left(w, length(w) - 1) ELSE w END)")
+    path = _let(part(u, 3), "pt", _let(bare, "bp", f"(CASE WHEN contains(pt, '%') THEN {escape_sql('bp', urls.PATH_PIECES)} ELSE bp END)"))
+    user = "regexp_extract(au, '^([^@]*)@', 1)"
+    host = "regexp_replace(regexp_replace(au, '^[^@]*@', ''), ':$', '')"
+    at = f"(CASE WHEN contains(au, '@') THEN {escape_sql(unescape_sql(user), urls.USER_PIECES)} || '@' ELSE '' END)"
+    authority = _let(part(u, 2), "au", f"{at} || {host}")
+    query = _let(f"substring({part(u, 4)}, 2)", "qy", escape_sql(unescape_sql("qy"), urls.QUERY_PIECES))
+    query = f"(CASE WHEN {part(u, 4)} <> '' THEN '?' || {query} ELSE '' END)"
+    return f"(CASE WHEN {valid(u)} THEN {part(u, 1)} || '://' || ({authority}) || {path} || {query} ELSE {u} END)"
 
 
 def dots_sql(p: str) -> str:
@@ -171,40 +202,91 @@ def robots_path_sql(u: str) -> str:
     return f"(CASE WHEN {valid(u)} THEN (CASE WHEN trim({query}) <> '' THEN {path} || '?' || {query} ELSE {path} END) END)"
 
 
-INLINE = "a|abbr|b|bdi|bdo|cite|code|em|font|i|kbd|mark|q|s|samp|small|span|strong|sub|sup|u|var"
+_P = html.pattern_set(possessive=False)
+_JOINT, _SHY, _ZWSP, _NBSP = "chr(64976)", "chr(173)", "chr(8203)", "chr(160)"
+
+
+def _map(table: dict) -> str:
+    keys, values = ([q(x) if isinstance(x, str) else str(x) for x in part] for part in zip(*sorted(table.items())))
+    return f"map([{', '.join(keys)}], [{', '.join(values)}])"
+
+
+_NAMES, _WINDOWS = _map(html.entity_table()), _map(WINDOWS_1252)
+
+
+def decode_sql(t: str, attribute: bool = False) -> str:
+    """References decoded, piece by piece after each '&'."""
+    number = """(CASE WHEN length(digits) > 7 THEN 1073741824 WHEN digits = '' THEN 0
+        WHEN lower(r[2]) = 'x' THEN ('0x' || digits)::BIGINT ELSE digits::BIGINT END)"""
+    point = "(CASE WHEN w = 0 OR w BETWEEN 55296 AND 57343 OR w > 1114111 THEN 65533 ELSE w END)"
+    digits = "regexp_extract(r, '^#[xX]?0*([0-9a-fA-F]*)', 1)"
+    numeric = _let(digits, "digits", _let(_let(number, "n", f"coalesce({_WINDOWS}[n], n)"), "w", f"chr({point}::INTEGER)"))
+    named = f"{_NAMES}[r]"
+    if attribute:
+        named = f"CASE WHEN ends_with(r, ';') OR NOT starts_with(substr(p, length(r) + 1), '=') THEN {_NAMES}[r] END"
+    char = f"CASE WHEN r = '' THEN NULL WHEN starts_with(r, '#') THEN {numeric} ELSE {named} END"
+    piece = _let(f"regexp_extract(p, {q(html.REFERENCE)})", "r", f"coalesce(({char}) || substr(p, length(r) + 1), '&' || p)")
+    return _let(f"string_split({t}, '&')", "ps", f"ps[1] || array_to_string(list_transform(ps[2:], lambda p: {piece}), '')")
+
+
+def _head_sql(h: str) -> str:
+    return f"regexp_extract(replace(coalesce({h}, ''), {_JOINT}, ' '), {q(_P['head'])})"
+
+
+def _tokens_sql(text: str) -> str:
+    return f"regexp_extract_all({text}, {q(_P['token'])})"
+
+
+def _is(t: str, tags: str) -> str:
+    return f"regexp_matches({t}, '(?i)^</?(?:{tags})[\\t\\n\\f\\r />]') AND NOT starts_with({t}, '</')"
+
+
+def _content_sql(t: str) -> str:
+    end = f"'(?i)</' || regexp_extract({t}, '^<([a-zA-Z]+)', 1) || '(?:>|[\\t\\n\\f\\r /][^>]*>)\\z'"
+    return f"regexp_replace(regexp_replace({t}, {q(_P['raw_opening'])}, ''), {end}, '')"
 
 
 def visible_sql(h: str) -> str:
-    x = f"regexp_replace({h}, {q(r'(?is)<head\b.*?</head\s*>|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->')}, ' ', 'g')"
-    x = f"regexp_replace({x}, {q('(?i)</?(?:' + INLINE + r')(?:\s[^>]*)?>')}, '', 'g')"
-    x = f"regexp_replace({x}, {q(r'(?s)<[^>]*>')}, ' ', 'g')"
-    return f"regexp_replace({x}, {q(r'&(?:[a-zA-Z][a-zA-Z0-9]*|#[0-9]+|#[xX][0-9a-fA-F]+);')}, ' ', 'g')"
+    content = _content_sql("t")
+    raw = f"replace({content}, '&', '&' || {_JOINT})"
+    blocks = "|".join(("br", *BLOCK_TAGS))
+    piece = f"""CASE WHEN NOT starts_with(t, '<') OR t = '<' THEN t WHEN {_is('t', 'script|style')} THEN ' '
+        WHEN {_is('t', 'title')} THEN ' ' || {content} || ' ' WHEN {_is('t', 'textarea')} THEN {content}
+        WHEN {_is('t', '|'.join(html.RAW))} THEN {raw}
+        WHEN regexp_matches(t, '(?i)^</?(?:{blocks})[\\t\\n\\f\\r />]') THEN ' ' ELSE {_JOINT} END"""
+    whole = f"replace(coalesce({h}, ''), {_JOINT}, ' ')"
+    body = f"substr({whole}, length({_head_sql(h)}) + 1)"
+    joined = f"array_to_string(list_transform({_tokens_sql(body)}, lambda t: {piece}), '')"
+    return f"replace(replace(replace({decode_sql(joined)}, {_JOINT}, ''), {_SHY}, ''), {_ZWSP}, '')"
 
 
 def title_sql(h: str) -> str:
-    t = f"regexp_extract({h}, {q(r'(?is)<title[^>]*>(.*?)</title')}, 1)"
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        t = f"replace({t}, {q(ent)}, {q(ch)})"
-    return f"trim(regexp_replace({t}, '\\s+', ' ', 'g'))"
+    first = f"list_filter({_tokens_sql(_head_sql(h))}, lambda t: {_is('t', 'title')})[1]"
+    text = decode_sql(_let(f"coalesce({first}, '')", "t", _content_sql("t")))
+    text = f"replace(replace(replace({text}, {_SHY}, ''), {_ZWSP}, ''), {_NBSP}, ' ')"
+    return f"trim(regexp_replace({text}, '[\\t\\n\\f\\r ]+', ' ', 'g'))"
 
 
-def href_sql(tag: str) -> str:
-    x = "(" + " || ".join(f"regexp_extract({tag}, {q(urls.HREF)}, {i})" for i in (1, 2, 3)) + ")"
-    for ent, ch in urls.HREF_ENTITIES:
-        x = f"replace({x}, {q(ent)}, {q(ch)})"
-    return f"trim({x})"
+def hrefs_sql(tokens: str, tag: str) -> str:
+    """The href values of all start tags of a name, a null where it has none."""
+    attributes = f"regexp_extract_all(regexp_replace(t, '^<[^\\t\\n\\f\\r />]+', ''), {q(_P['attribute'])})"
+    own = f"list_filter({attributes}, lambda a: regexp_matches(a, {q(html.HREF_ATTRIBUTE)}))[1]"
+    value = " || ".join(f"regexp_extract(o, {q(_P['attribute_value'])}, {i})" for i in (1, 2, 3))
+    href = _let(own, "o", f"trim(regexp_replace({decode_sql(f'({value})', attribute=True)}, '[\\x00-\\x1F]', '', 'g'))")
+    return f"list_transform(list_filter({tokens}, lambda t: regexp_matches(t, {q(html.tag_token(tag, _P))})), lambda t: {href})"
 
 
 def links_sql(u: str, h: str) -> str:
     """The list of a page's links, as a correlated subquery per step so that
     each expression is written once."""
-    code_free = f"regexp_replace({h}, {q(r'(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->')}, ' ', 'g')"
-    return f"""(SELECT list_transform(list_filter(list_transform(tags, lambda x: {resolve_sql('against', 'x')}),
+    head = _head_sql(h)
+    body = f"substr(replace(coalesce({h}, ''), {_JOINT}, ' '), length({head}) + 1)"
+    return f"""(SELECT list_transform(list_filter(list_transform(hrefs, lambda x: {resolve_sql('against', 'x')}),
           lambda x: starts_with(x, 'http://') OR starts_with(x, 'https://')), lambda x: {norm_sql('x')})
-       FROM (SELECT CASE WHEN base <> '' AND regexp_matches(base, {q(urls.HREF)}) THEN coalesce({resolve_sql('page', href_sql('base'))}, page) ELSE page END AS against,
-                    list_transform(list_filter(tags0, lambda x: regexp_matches(x, {q(urls.HREF)})), lambda x: {href_sql('x')}) AS tags
-             FROM (SELECT page, regexp_extract(code, {q(urls.BASE_TAG)}) AS base, regexp_extract_all(code, {q(urls.ANCHOR_TAG)}) AS tags0
-                   FROM (SELECT {u} AS page, {code_free} AS code))))"""
+       FROM (SELECT CASE WHEN own IS NOT NULL THEN coalesce({resolve_sql('page', 'own')}, page) ELSE page END AS against, hrefs
+             FROM (SELECT page, list_filter({hrefs_sql('toks', 'base')}, lambda x: x <> '')[1] AS own,
+                          list_filter({hrefs_sql('toks', 'a')}, lambda x: x IS NOT NULL) AS hrefs
+                   FROM (SELECT {u} AS page, list_concat({_tokens_sql(head)}, {_tokens_sql(body)}) AS toks))))"""
 
 
 ORACLE["page_title"] = f"SELECT page_id, {title_sql('html')} AS title FROM pages"
@@ -360,6 +442,18 @@ v AS (SELECT url, CAST(min(depth) AS INTEGER) AS depth, bool_or(fetched) AS fetc
 ORACLE["crawl_bfs"] = _CRAWL + "SELECT url, depth, fetched FROM v"
 ORACLE["frontier_counts"] = _CRAWL + "SELECT depth, count(*) AS n_offered, count(CASE WHEN fetched THEN 1 END) AS n_fetched FROM v GROUP BY depth"
 
+ORACLE["frontier_timeline"] = """
+WITH ev AS (SELECT 'u' || CAST(user_id AS VARCHAR) AS u, epoch_us(ts) // 1000 AS t,
+                   CASE WHEN event_type IN ('view', 'signup') THEN 'offer' WHEN event_type = 'click' THEN 'poll' ELSE 'finish' END AS k
+            FROM events WHERE ts IS NOT NULL),
+moves AS (SELECT min(t) AS t, 1 AS v, 0 AS p, 0 AS e FROM ev WHERE k = 'offer' GROUP BY u
+          UNION ALL SELECT t, 0, CASE WHEN k = 'poll' THEN 1 ELSE 0 END, CASE WHEN k = 'finish' THEN 1 ELSE 0 END FROM ev WHERE k <> 'offer'),
+d AS (SELECT CAST(floor(t / 3600000) AS BIGINT) AS bucket, sum(v) AS v, sum(p) AS p, sum(e) AS e FROM moves GROUP BY 1),
+r AS (SELECT bucket, CAST(sum(v) OVER w AS BIGINT) AS v, CAST(sum(p) OVER w AS BIGINT) AS p, CAST(sum(e) OVER w AS BIGINT) AS e
+      FROM d WINDOW w AS (ORDER BY bucket ROWS UNBOUNDED PRECEDING))
+SELECT bucket, v - p AS queued, v AS visited, p - e AS in_flight, v - p <= 0 AND p - e <= 0 AS idle FROM r
+"""
+
 ORACLE["frontier_offer"] = f"""
 WITH e0 AS (SELECT {links_sql('url', 'html')} AS links FROM pages),
 e AS (SELECT CAST(generate_subscripts(links, 1) - 1 AS INTEGER) AS pos, unnest(links) AS dst FROM e0),
@@ -462,6 +556,14 @@ last AS (SELECT *, row_number() OVER (PARTITION BY left(sha256(url), 16) ORDER B
 SELECT left(sha256(url), 16) AS id, url, fetched_ms, CAST(length(html) AS INTEGER) AS n_html, md5(html) AS html_md5 FROM last WHERE rn = 1
 """.replace("both AS", "versions AS").replace("FROM both", "FROM versions")
 
+ORACLE["bronze_files"] = f"""
+WITH {_FETCHED}
+SELECT left(sha256(url), 16) AS id, url, status AS "statusCode", fetched_ms, CAST(page_id AS VARCHAR) AS n,
+       md5(CASE WHEN page_id % 10 = 0 THEN html || '<p>named</p>' ELSE html END) AS html_md5
+FROM fetched WHERE page_id % 10 = 0 OR page_id % 9 <> 4
+"""
+ORACLE["stream_bronze_files"] = ORACLE["bronze_files"]
+
 ORACLE["header_flatten"] = f"""
 WITH {_FETCHED}
 SELECT page_id, 'content-type' AS name, ct AS value FROM fetched
@@ -518,8 +620,24 @@ SELECT page_id, left(sha256(url), 16) AS id, {title_sql('html')} AS title,
        CAST(len({TOKS.format(col=visible_sql('html'))}) AS INTEGER) AS doc_len
 FROM pages
 """
-ORACLE["stream_gold"] = ORACLE["doc_freq"]
+ORACLE["stream_gold"] = f"""
+WITH last AS (
+  SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'third crawl ' || text
+      WHEN lang = 'fr' THEN (CASE WHEN n_chars > 1000 THEN text || ' ' || text ELSE '' END) ELSE text END AS text
+  FROM documents),
+d AS (SELECT doc_id, {TOKS.format(col='text')} AS toks FROM last),
+post AS (SELECT doc_id, CAST(len(any_value(toks)) AS INTEGER) AS stat_len, term, CAST(count(*) AS INTEGER) AS tf
+         FROM (SELECT doc_id, toks, unnest(toks) AS term FROM d) GROUP BY doc_id, term),
+cs AS (SELECT (SELECT count(*) FROM d WHERE len(toks) > 0) AS n_docs, (SELECT count(DISTINCT term) FROM post) AS n_terms,
+              (SELECT CAST(sum(len(toks)) AS BIGINT) FROM d) AS total_len)
+SELECT doc_id, stat_len, term, tf, count(*) OVER (PARTITION BY term) AS df, n_docs, n_terms, total_len FROM post, cs
+"""
 ORACLE["stream_dedup"] = "SELECT DISTINCT 'https://u' || CAST(user_id AS VARCHAR) || '.example.com/' AS url FROM events"
+ORACLE["stream_dedup_bounded"] = """
+SELECT DISTINCT 'https://u' || CAST(user_id AS VARCHAR) || '.example.com/' AS url, strftime(ts, '%Y-%m-%d') AS day
+FROM events WHERE ts IS NOT NULL
+"""
+ORACLE["stream_metrics"] = ORACLE["search_metrics"].replace("FROM events", "FROM events WHERE ts IS NOT NULL")
 ORACLE["stream_politeness"] = """
 WITH e AS (SELECT event_id, CASE WHEN event_type <> 'signup' THEN 'u' || CAST(user_id AS VARCHAR) END AS host, epoch_us(ts) // 1000 AS a
            FROM events WHERE ts IS NOT NULL),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +21,16 @@ FETCHED_SCHEMA = T.StructType([
 
 BRONZE_COLUMNS = ("id", "url", "statusCode", "contentType", "fetchedAt", "headers", "html")
 
+BRONZE_SCHEMA = T.StructType([
+    T.StructField("id", T.StringType()),
+    T.StructField("url", T.StringType()),
+    T.StructField("statusCode", T.IntegerType()),
+    T.StructField("contentType", T.StringType()),
+    T.StructField("fetchedAt", T.TimestampType()),
+    T.StructField("headers", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("html", T.StringType()),
+])
+
 META_SCHEMA = T.StructType([
     T.StructField("id", T.StringType()),
     T.StructField("url", T.StringType()),
@@ -67,24 +79,69 @@ def _has_map(dt: T.DataType) -> bool:
     return False
 
 
-def upsert_bronze(spark: SparkSession, new_rows: DataFrame, base: str) -> str:
-    """S1 as a table: union the current snapshot with the new rows, keep the
-    latest per id, write a new version and publish it.  Returns its path."""
-    cur = snapshots.current_version(spark, base)
-    rows = new_rows.select(*BRONZE_COLUMNS)
-    if cur:
-        rows = spark.read.parquet(f"{base.rstrip('/')}/{cur}/bronze").select(*BRONZE_COLUMNS).unionByName(rows)
+#: Buckets of a new Bronze table.
+BUCKETS = 256
+
+
+def bucket_of(id_col: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(id_col), F.lit(buckets)).cast("int")
+
+
+def _current(spark: SparkSession, base: str) -> tuple[int, dict[int, str]] | None:
+    """``(buckets, {bucket: version})`` of the table, None if there is none."""
+    published = snapshots.current_version(spark, base)
+    if published is None:
+        return None
+    m = json.loads(published)
+    return m["buckets"], {int(b): v for b, v in m["versions"].items()}
+
+
+def _read_buckets(spark: SparkSession, base: str, versions: dict[int, str]) -> DataFrame:
+    paths = [f"{base.rstrip('/')}/{v}/bucket={b}" for b, v in sorted(versions.items())]
+    if not paths:
+        return spark.createDataFrame([], BRONZE_SCHEMA)
+    return spark.read.schema(BRONZE_SCHEMA).parquet(*paths)
+
+
+def upsert_bronze(spark: SparkSession, new_rows: DataFrame, base: str, buckets: int = BUCKETS) -> str:
+    """S1 as a table in hash buckets of the id: the latest row of each id.
+
+    Only buckets that get a row are read and written again, as new folders of
+    a new version; the published list says which version holds each bucket,
+    so nothing that is read is overwritten.  ``buckets`` counts for a new
+    table; an old one keeps its number.  Returns the version."""
+    old = _current(spark, base)
+    buckets, versions = old or (buckets, {})
+    rows = new_rows.select(*[F.col(c).cast(BRONZE_SCHEMA[c].dataType) for c in BRONZE_COLUMNS])
+    # One row a bucket at most; only the id is computed for it.
+    touched = {r["b"] for r in rows.select(bucket_of("id", buckets).alias("b")).distinct().collect()}
     version = snapshots.new_version()
-    path = snapshots.write_versioned(keep_latest(rows), base, "bronze", version)
-    snapshots.publish(spark, base, version)
-    return path
+    there = {b: v for b, v in versions.items() if b in touched}
+    if there:
+        rows = _read_buckets(spark, base, there).unionByName(rows)
+    latest = keep_latest(rows).withColumn("bucket", bucket_of("id", buckets))
+    latest.hint("rebalance", "bucket").write.mode("errorifexists").partitionBy("bucket").parquet(f"{base.rstrip('/')}/{version}")
+    versions = versions | dict.fromkeys(touched, version)
+    snapshots.publish(spark, base, json.dumps({"buckets": buckets, "versions": versions}))
+    return version
 
 
 def read_bronze(spark: SparkSession, base: str) -> DataFrame:
-    cur = snapshots.current_version(spark, base)
+    """All rows of the table as it was published last."""
+    cur = _current(spark, base)
+    if cur is None:
+        raise FileNotFoundError(f"no bronze snapshot under {base}")
+    return _read_buckets(spark, base, cur[1])
+
+
+def read_bronze_ids(spark: SparkSession, base: str, ids: list[str]) -> DataFrame:
+    """The rows of a few ids; only their buckets are read."""
+    cur = _current(spark, base)
     if cur is None:
         raise FileNotFoundError(f"no bronze snapshot under {base}")
-    return spark.read.parquet(f"{base.rstrip('/')}/{cur}/bronze")
+    wanted = spark.createDataFrame([(i,) for i in ids], "id string").select(bucket_of("id", cur[0]).alias("b")).distinct()
+    found = {r["b"] for r in wanted.collect()}
+    return _read_buckets(spark, base, {b: v for b, v in cur[1].items() if b in found}).where(F.col("id").isin(ids))
 
 
 def read_bronze_files(spark: SparkSession, bronze_dir: str) -> DataFrame:
@@ -101,12 +158,36 @@ def read_bronze_files(spark: SparkSession, bronze_dir: str) -> DataFrame:
         .json(bronze_dir, pathGlobFilter="*.meta.json")
     )
     html = spark.read.text(bronze_dir, wholetext=True, pathGlobFilter="*.html").select(
-        F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.html$", 1).alias("_file_id"),
-        F.col("value").alias("html"),
+        file_id(F.col("_metadata.file_path")).alias("file_id"), F.col("value").alias("html")
     )
-    named = F.regexp_extract(F.coalesce("htmlPath", F.lit("")), r"([^/\\]+)\.html$", 1)
+    return join_bodies(meta, html)
+
+
+def file_id(path: Column) -> Column:
+    """The id in a body's path: the name before ``.html`` of the file, or of
+    the folder that holds its parts."""
+    return F.regexp_extract(path, r"([^/\\=]+)\.html(?:/[^/]*)?$", 1)
+
+
+def named_file(html_path: str) -> Column:
+    """The body file that a record names, '' if none."""
+    return file_id(F.coalesce(html_path, F.lit("")))
+
+
+def join_bodies(meta: DataFrame, html: DataFrame) -> DataFrame:
+    """Records of ``meta`` (META_SCHEMA) with the body of ``html(file_id,
+    html)`` that they name, else the one of their own id; else skipped."""
     # Which named files exist: file names only, the bodies are joined once.
-    there = html.select(F.col("_file_id").alias("_named"), F.lit(True).alias("_there"))
-    m = meta.withColumn("_named", named).join(there, "_named", "left")
-    m = m.withColumn("_file_id", F.when(F.col("_there"), F.col("_named")).otherwise(F.col("id")))
-    return m.join(html, "_file_id").select(*BRONZE_COLUMNS)
+    there = html.select(F.col("file_id").alias("_named"), F.lit(True).alias("_there"))
+    m = meta.withColumn("_named", named_file("htmlPath")).join(there, "_named", "left")
+    m = m.withColumn("file_id", F.when(F.col("_there"), F.col("_named")).otherwise(F.col("id")))
+    return m.join(html, "file_id").select(*BRONZE_COLUMNS)
+
+
+def best_bodies(joined: DataFrame) -> DataFrame:
+    """One row a record out of a stream of ``BRONZE_COLUMNS`` and ``named``:
+    the body that the record names, else that of its own id."""
+    cols = [F.col(c) for c in BRONZE_COLUMNS if c not in ("id", "fetchedAt")]
+    best = F.max_by(F.struct(*cols), F.col("named")).alias("_b")
+    out = joined.groupBy("id", "fetchedAt").agg(best)
+    return out.select(*[F.col(c) if c in ("id", "fetchedAt") else F.col(f"_b.{c}").alias(c) for c in BRONZE_COLUMNS])

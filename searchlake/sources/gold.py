@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from searchlake.operators.index import Index, write_tables
-from searchlake.sources import snapshots
+from searchlake.operators.index import Index, open_tables, write_tables
+from searchlake.sources import segments, snapshots
 
 EXPORT_BLOCK = 10_000
 # Read exports back with this schema; inference would turn the posting map
@@ -26,17 +26,14 @@ def write_index(spark: SparkSession, index: Index, base: str) -> str:
 
 
 def read_index(spark: SparkSession, base: str, key: str, version: str | None = None) -> Index:
+    """The index published last under ``base``: whole tables or segments."""
     v = version or snapshots.current_version(spark, base)
     if v is None:
         raise FileNotFoundError(f"no index under {base}")
+    if segments.is_manifest(v):
+        return segments.from_manifest(v).index(spark)
     root = f"{base.rstrip('/')}/{v}"
-    return Index(
-        key,
-        spark.read.parquet(f"{root}/postings"),
-        spark.read.parquet(f"{root}/doc_stats"),
-        spark.read.parquet(f"{root}/term_stats"),
-        spark.read.parquet(f"{root}/corpus"),
-    )
+    return open_tables(spark, root, key)
 
 
 def export_rows(index: Index, block: int = EXPORT_BLOCK) -> DataFrame:

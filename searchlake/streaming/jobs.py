@@ -7,32 +7,48 @@ foreachBatch), and can run continuously or with ``availableNow``.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from searchlake.constants import DEFAULT_POLITENESS_DELAY_MS
 from searchlake.functions import urls
-from searchlake.functions.text import html_title, html_visible_text, tokens
-from searchlake.operators import index as ix
-from searchlake.sources import snapshots
+from searchlake.operators.pages import page_columns
+from searchlake.session import stored
+from searchlake.sources import bronze, segments
 
 
 # --- ST1: Bronze -> Silver, stateless ----------------------------------------------
 
 def silver_stream(bronze_stream: DataFrame, key: str = "url", html: str = "html", keep: tuple[str, ...] = ()) -> DataFrame:
     """ST1: parse each arriving page (T6) -- stateless, append mode."""
-    tok = tokens(html_visible_text(html))
-    return bronze_stream.select(
-        *keep, F.col(key).alias("url"), urls.url_id(key).alias("id"), html_title(html).alias("title"),
-        urls.extract_links(key, html).alias("links"), F.size(tok).cast("int").alias("doc_len"),
-    )
+    parsed = page_columns(bronze_stream, key, html, keep)
+    return parsed.select(*keep, "url", urls.url_id("url").alias("id"), "title", "links", F.size("toks").cast("int").alias("doc_len"))
+
+
+def bronze_files_stream(meta: DataFrame, html: DataFrame, span: str) -> DataFrame:
+    """S2/J6 for files that arrive apart: ``BRONZE_COLUMNS`` and ``named`` for
+    each record of ``meta`` (META_SCHEMA and ``at``) and each body of
+    ``html(file_id, html, at)`` that is its own, as soon as both are there.
+
+    ``at`` is the arrival; a record and its body meet if they arrive within
+    ``span`` of each other, and state older than that is dropped with the
+    watermark.  A record whose named file and own file are both there comes
+    out twice; ``bronze.best_bodies`` takes the named one."""
+    named = F.col("name") != ""
+    files = F.array(F.struct(F.col("name").alias("f"), F.lit(True).alias("n")), F.struct(F.col("id").alias("f"), F.lit(False).alias("n")))
+    records = meta.withWatermark("at", span).withColumn("name", bronze.named_file("htmlPath"))
+    wanted = records.withColumn("w", F.explode(F.when(named & (F.col("name") != F.col("id")), files).otherwise(F.slice(files, 2, 1))))
+    wanted = wanted.select(*[c for c in bronze.BRONZE_COLUMNS if c != "html"], F.col("w.f").alias("wanted"), F.col("w.n").alias("named"), F.col("at").alias("seen"))
+    bodies = html.select("file_id", "html", F.col("at").alias("came")).withWatermark("came", span)
+    step = F.expr(f"INTERVAL {span}")
+    near = (F.col("came") >= F.col("seen") - step) & (F.col("came") <= F.col("seen") + step)
+    return wanted.join(bodies, (F.col("wanted") == F.col("file_id")) & near).select(*bronze.BRONZE_COLUMNS, "named")
 
 
 def _latest(batch: DataFrame, key: str) -> DataFrame:
@@ -49,32 +65,15 @@ def _latest(batch: DataFrame, key: str) -> DataFrame:
 def gold_upsert_batch(spark: SparkSession, gold_base: str, key: str):
     """A ``foreachBatch`` function: the micro-batch (tokenized rows
     ``(<key>, title, toks)``, with ``fetched_ms`` the latest of a key's rows
-    wins) replaces those documents in the current Gold snapshot (J5 deltas)
-    and publishes a new version named after the batch id.  A replay of a
+    wins) replaces those documents by one more index segment (J5), and the
+    new list of segments is published with the batch id.  A replay of a
     published batch is a no-op; an attempt that died before publishing is
     redone in a fresh folder."""
-    from searchlake.sources import gold
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        version = f"v=batch-{batch_id:012d}"
-        cur = snapshots.current_version(spark, gold_base)
-        if cur is not None and cur.split(".")[0] == version:
-            return
-        # Several writes read this micro-batch: keep it instead of re-reading
-        # and re-tokenizing the source for each of them.
-        batch = _latest(batch, key).persist(StorageLevel.MEMORY_AND_DISK)
-        attempt = f"{version}.{uuid.uuid4().hex[:12]}"
-        root = f"{gold_base.rstrip('/')}/{attempt}"
-        try:
-            if cur is None:
-                titles = batch.select(key, "title") if "title" in batch.columns else None
-                ix.write_gold(ix.postings_from_tokens(batch, key), key, titles, root)
-            else:
-                old = gold.read_index(spark, gold_base, key, cur)
-                ix.write_tables(ix.replace_documents(old, batch, materialize=False), root)
-            snapshots.publish(spark, gold_base, attempt)
-        finally:
-            batch.unpersist()
+        cur = segments.current(spark, gold_base)
+        if cur is None or cur.batch != batch_id:
+            segments.apply(spark, gold_base, _latest(batch, key), key, batch_id)
 
     return run
 
@@ -82,77 +81,142 @@ def gold_upsert_batch(spark: SparkSession, gold_base: str, key: str):
 # --- ST3: URL de-duplication ---------------------------------------------------------
 
 def dedup_stream(
-    offers: DataFrame, url: str = "url", event_time: str = "ts", delay: str = "1 hour", exact: bool = False
+    offers: DataFrame, url: str | list[str] = "url", event_time: str = "ts", delay: str = "1 hour", exact: bool = False
 ) -> DataFrame:
     """ST3: first offer of a URL wins.
 
     Default: state bounded by the watermark (a URL offered again after the
     watermark passed its first offer is let through again, and offers later
     than the watermark are dropped -- the late-data rule).  ``exact`` keeps
-    every URL ever seen, like the reference's unbounded visited set."""
+    every URL ever seen in streaming state, like an unbounded visited set;
+    ``visited_batch`` keeps them in a table instead."""
+    keys = [url] if isinstance(url, str) else url
     if exact:
-        return offers.dropDuplicates([url])
-    return offers.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([url])
+        return offers.dropDuplicates(keys)
+    return offers.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
 
 
-# --- ST4: lease expiry with event-time timers ----------------------------------------
+#: Buckets of the visited table, and 64-bit words of its bitmap (1 MiB).
+VISITED_BUCKETS, VISITED_WORDS = 64, 1 << 17
 
-LEASE_OUT = "task string, poll_ms long, recover_ms long"
-LEASE_STATE = "polls array<long>"
 
+def _read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
-def _lease_fn(lease_ms: int):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        (task,) = key
-        polls = list(state.get[0]) if state.exists else []
-        out: list[tuple] = []
-        if not state.hasTimedOut:
-            # Arrow batches of the task's events: polls and finishes apart.
-            asked, ended = [np.array(polls, np.int64)], []
-            for rows in pdfs:
-                ts, done = rows["ts_ms"].to_numpy(np.int64), (rows["kind"] == "finish").to_numpy()
-                asked.append(ts[~done])
-                ended.append(ts[done])
-            asked, ended = np.sort(np.concatenate(asked)), np.sort(np.concatenate(ended))
-            # The next finish after each poll; one at its own time is before it.
-            nxt = np.searchsorted(ended, asked, "right")
-            met = nxt < len(ended)
-            late = asked[met][ended[nxt[met]] > asked[met] + lease_ms]
-            out += [(task, int(p), int(p) + lease_ms) for p in late]
-            polls = asked[~met].tolist()
-        # A deadline already behind the watermark cannot be met any more: no
-        # finish older than the watermark will arrive.
-        wm = state.getCurrentWatermarkMs()
-        out += [(task, p, p + lease_ms) for p in polls if p + lease_ms + 1 <= wm]
-        polls = [p for p in polls if p + lease_ms + 1 > wm]
-        if polls:
-            state.update((polls,))
-            state.setTimeoutTimestamp(min(polls) + lease_ms + 1)
-        else:
-            state.remove()
-        yield pd.DataFrame(out, columns=["task", "poll_ms", "recover_ms"])
 
-    return fn
+def visited_batch(spark: SparkSession, base: str, url: str = "url"):
+    """ST3, exact: a ``foreachBatch`` function that adds each URL to a visited
+    table the first time it is offered; streaming state stays empty.
+
+    ``base/visited/batch=N`` holds the URLs that batch N brought, in hash
+    buckets: it is the result and the memory.  ``base/bits`` is a bitmap of
+    fixed size over all of them.  A URL whose bit is not set is new without a
+    look at the table; the others are anti-joined with the buckets concerned.
+    A batch that is run again reads only earlier batches and replaces its own
+    folders, so nothing is lost or doubled.  A null URL is no offer."""
+    root = base.rstrip("/")
+    visited_schema, bits_schema = f"`{url}` string, batch long, bucket int", "at int, bits long, batch long"
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        h = F.xxhash64(url)
+        offers = batch.select(F.col(url)).where(F.col(url).isNotNull()).distinct().select(
+            url, F.pmod(h, F.lit(VISITED_BUCKETS)).cast("int").alias("bucket"),
+            F.pmod(F.shiftrightunsigned(h, 6), F.lit(VISITED_WORDS)).cast("int").alias("at"),
+            F.shiftrightunsigned(h, 58).cast("int").alias("bit"),
+        )
+        earlier = _read_if_there(spark, f"{root}/bits", bits_schema).where(F.col("batch") < batch_id)
+        last = earlier.agg(F.max("batch")).first()[0]
+        bits = earlier.where(F.col("batch") == F.lit(last)).select("at", "bits")
+        marked = offers.join(F.broadcast(bits), "at", "left")  # VISITED_WORDS rows at most
+        marked = stored(marked.withColumn("maybe", F.coalesce(F.getbit("bits", F.col("bit")) == 1, F.lit(False))).drop("bits"), "offers")
+        known = _read_if_there(spark, f"{root}/visited", visited_schema).where((F.col("batch") < batch_id) & (F.col("bucket") >= 0))
+        # Joined on the bucket too: only the buckets of the offers are read.
+        unsure = marked.where("maybe").join(known.select("bucket", url), ["bucket", url], "left_anti")
+        new = marked.where("not maybe").select(url, "bucket", "at", "bit").unionByName(unsure.select(url, "bucket", "at", "bit"))
+        new.select(url, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/visited/batch={batch_id}")
+        words = marked.select("at", F.expr("shiftleft(1L, bit)").alias("bits")).unionByName(bits)
+        words.groupBy("at").agg(F.bit_or("bits").alias("bits")).write.mode("overwrite").parquet(f"{root}/bits/batch={batch_id}")
+
+    return run
+
+
+def read_visited(spark: SparkSession, base: str, url: str = "url") -> DataFrame:
+    """The URLs of a visited table, each once."""
+    return _read_if_there(spark, f"{base.rstrip('/')}/visited", f"`{url}` string, batch long, bucket int").select(url)
+
+
+# --- ST4: lease expiry as an interval join ---------------------------------------------
 
 
 def lease_stream(task_events: DataFrame, lease_ms: int, delay: str) -> DataFrame:
-    """ST4: polls whose lease expired.  A poll sets an event-time timer at
-    poll + lease; a finish clears the task's outstanding polls (emitting the
-    ones it came too late for); a fired timer emits the expired polls.  The
-    per-task state is the list of outstanding polls, bounded by the lease.
+    """ST4: ``(task, poll_ms, recover_ms)`` of the polls whose lease expired.
+
+    Polls are left-outer-joined with the finishes of their task in (poll, poll
+    + lease]; a poll without any comes out once the watermark has passed its
+    deadline, and state older than that is dropped.  Time slices of one lease
+    are part of the join key (a finish is given to its own slice and the one
+    before), so the polls of a hot task are spread over partitions.
 
     ``delay`` (required) is how late an event may arrive: Spark drops events
     older than the latest event time seen minus ``delay`` once a micro-batch
     has moved the watermark, and an expired poll is emitted that much later.
     Choose it no smaller than the disorder of the source."""
-    ev = task_events.where(F.col("kind").isin("poll", "finish")).withColumn(
-        "rank", F.when(F.col("kind") == "finish", 0).otherwise(1)
-    ).withColumn("event_time", F.timestamp_millis("ts_ms"))
-    return (
-        ev.withWatermark("event_time", delay)
-        .groupBy("task")
-        .applyInPandasWithState(_lease_fn(lease_ms), LEASE_OUT, LEASE_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    events = task_events.select("task", "kind", "ts_ms", F.timestamp_millis("ts_ms").alias("at")).withWatermark("at", delay)
+    # Kinds are told apart above the watermark (the condition reads the event
+    # time), so every event moves it, also when a task never finishes.
+    kind = F.when(F.col("at").isNotNull(), F.col("kind"))
+    slice_ = F.floor(F.col("ts_ms") / F.lit(lease_ms))
+    polls = events.where(kind == "poll").select("task", F.col("ts_ms").alias("poll_ms"), F.col("at").alias("poll_at"), slice_.alias("slice"))
+    ends = events.where(kind == "finish").select(
+        F.col("task").alias("end_task"), F.col("at").alias("end_at"), F.explode(F.array(slice_, slice_ - 1)).alias("end_slice")
+    )
+    met = (
+        F.col("task").eqNullSafe(F.col("end_task")) & (F.col("slice") == F.col("end_slice")) & (F.col("end_at") > F.col("poll_at"))
+        & (F.col("end_at") <= F.col("poll_at") + F.expr(f"INTERVAL '{lease_ms / 1000:.3f}' SECOND"))
     )
+    missed = polls.join(ends, met, "left_outer").where(F.col("end_at").isNull())
+    return missed.select("task", "poll_ms", (F.col("poll_ms") + F.lit(lease_ms)).cast("long").alias("recover_ms"))
+
+
+# --- A9: request metrics by event-time windows -------------------------------------------
+
+
+def metrics_stream(log: DataFrame, event_time: str, took_ms: str, delay: str, bucket: str = "1 hour") -> DataFrame:
+    """A9 running: per event-time window the request count and the timer's
+    total and maximum.  In update mode a window comes out again whenever it
+    changes; rows older than the watermark are dropped, and so is the state of
+    windows behind it."""
+    log = log.withWatermark(event_time, delay)
+    out = log.groupBy(F.window(event_time, bucket).alias("w")).agg(
+        F.count(F.lit(1)).alias("n_requests"), F.sum(took_ms).alias("total_ms"), F.max(took_ms).alias("max_ms")
+    )
+    return out.select(F.col("w.start").alias("start"), "n_requests", "total_ms", "max_ms")
+
+
+def run_updates(stream: DataFrame, sink: str, checkpoint: str) -> None:
+    """Run an update-mode stream into a table of updates, one folder for each
+    batch: a batch that is run again replaces its own folder."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch={batch_id}")
+
+    q = stream.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+
+
+def latest_updates(spark: SparkSession, sink: str, key: str) -> DataFrame:
+    """The last state of each key in a table of updates."""
+    rows = spark.read.parquet(sink)
+    cols = [c for c in rows.columns if c not in (key, "batch")]
+    last = F.max_by(F.struct(*cols), F.col("batch")).alias("_l")
+    return rows.groupBy(key).agg(last).select(key, *[F.col(f"_l.{c}").alias(c) for c in cols])
 
 
 # --- ST5: politeness with keyed state ----------------------------------------------------

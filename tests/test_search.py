@@ -144,3 +144,33 @@ def test_joins_without_broadcast_give_same_results(spark):
         assert run() == small
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_lookups_read_only_the_partitions_of_their_keys(spark, tmp_path):
+    from searchlake.sources import gold
+
+    docs = spark.createDataFrame([(f"k{i}", f"common word{i} title") for i in range(500)], "k string, text string")
+    built = ix.build_index(ix.text_tokens(docs, "k", "text", F.col("k")), "k")
+    base = str(tmp_path / "g")
+    gold.write_index(spark, built, base)
+    for index in (built, gold.read_index(spark, base, "k")):
+        found = se.search(index, "word7 word13", 10, with_titles=True)
+        assert {(r["k"], r["title"]) for r in found.collect()} == {("k7", "k7"), ("k13", "k13")}
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [doc_bucket" in plan and "PushedFilters: [In(k, [" in plan
+        keys = spark.createDataFrame([("k3",), ("nosuch",), ("k3",), (None,)], "k string")
+        got = ix.doc_lookup(index, keys)
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(
+            [("k3", 3, "k3", "k3"), ("k3", 3, "k3", "k3"), ("nosuch", 0, None, None), (None, 0, None, None)], key=repr
+        )
+        terms = spark.createDataFrame([("Common",), ("word9",), ("nosuch",)], "term string")
+        assert sorted(map(tuple, ix.term_lookup(index, terms).collect())) == [("common", 500), ("nosuch", 0), ("word9", 1)]
+    # Files read out of 64 partitions, from the scan's own count.
+    few = ix.read_stats(spark, built.root, "doc_stats", built.doc_stats.schema, [3, 5])
+    plan = few._jdf.queryExecution().executedPlan()
+    few.collect()
+    scan = plan.collectLeaves().head()
+    assert scan.metrics().get("numFiles").get().value() <= 2
+    assert len(list((tmp_path / "g").rglob("doc_stats/doc_bucket=*"))) > 50
+
+

@@ -37,6 +37,20 @@ HOSTS = [
 ]
 
 
+#: A normalised URL holds its path and query decoded and escaped again.
+NORMAL = [
+    ("https://h.com/a%2Fb", "https://h.com/a/b"), ("https://h.com/%7Euser/", "https://h.com/~user"),
+    ("https://h.com/a%20b?q=%26x%3D1", "https://h.com/a%20b?q=&x=1"), ("https://h.com/100%25", "https://h.com/100%25"),
+    ("https://h.com/a%2F", "https://h.com/a"), ("https://h.com/%2f", "https://h.com/"), ("https://h.com//", "https://h.com/"),
+    ("https://h.com/%C3%A9%c3%a9", "https://h.com/éé"), ("https://h.com/é?ü#x", "https://h.com/é?ü"),
+    ("https://h.com/%FFx%E2%82y%F0%9F%98%80", "https://h.com/\ufffdx\ufffdy\U0001F600"),
+    ("https://h.com/%ED%A0%80%C0%AF", "https://h.com/" + "\ufffd" * 5), ("https://h.com/%zz/#f", "https://h.com/%zz/#f"),
+    ("https://h.com/a%2", "https://h.com/a%2"), ("https://h.com/%C2%A0x%0A", "https://h.com/%C2%A0x%0A"),
+    ("https://h.com/%5B%5D%7C%3F%23", "https://h.com/%5B%5D%7C%3F%23"), ("https://h.com/?%5B%5D%3F%23%20", "https://h.com/?[]?%23%20"),
+    ("http://u%40x:%7Ep@h.com:/p", "http://u%40x:~p@h.com/p"), ("http://h.com:80?", "http://h.com:80/?"), ("http://h.com:/", "http://h.com/"),
+]
+
+
 @pytest.fixture(scope="module")
 def con():
     return duckdb.connect()
@@ -63,3 +77,16 @@ def test_hosts_and_invalid_urls_stay_as_they_are(spark, con):
     con.executemany("INSERT INTO q VALUES (?, ?)", [(i, u) for i, (u, _) in enumerate(HOSTS)])
     twin = con.execute(f"SELECT {oracle.host_sql('u')} FROM q ORDER BY i").fetchall()
     assert [t[0] for t in twin] == [w for _, w in HOSTS]
+
+
+def test_normalised_urls_are_escaped_again(spark, con):
+    df = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(NORMAL)], "i int, u string")
+    got = {r["i"]: r["n"] for r in df.select("i", urls.normalize("u").alias("n")).collect()}
+    want = {i: n for i, (_, n) in enumerate(NORMAL)}
+    assert got == want
+    con.execute("CREATE OR REPLACE TABLE nu (i INT, u VARCHAR)")
+    con.executemany("INSERT INTO nu VALUES (?, ?)", [(i, u) for i, (u, _) in enumerate(NORMAL)])
+    assert dict(con.execute(f"SELECT i, {oracle.norm_sql('u')} FROM nu").fetchall()) == want
+    # Normalising twice is normalising once, but for text that looks escaped.
+    again = {r["i"]: r["n"] for r in spark.createDataFrame(list(got.items()), "i int, u string").select("i", urls.normalize("u").alias("n")).collect()}
+    assert again == got
