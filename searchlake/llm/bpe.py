@@ -11,12 +11,20 @@ query for all new matches of a slice of texts:
 * ordered aggregation lists the tokens of a match, and decodes lists of ids
   by concatenating the tokens' bytes in order.
 
-A match that is a token itself is not split, as in the library.  Matches
+A match that is a token itself is not split, as in the library.  A match over
+``LONG`` bytes (text without spaces) is cut first wherever no token of the
+vocabulary occurs across a place: no contraction can join what such a cut
+parts.  An Aho-Corasick automaton finds the occurrences; the segments are short
+as a rule, and encoded and remembered like matches.  Segments that are still
 over ``LONG`` bytes contract, in one step, all occurrences of the minimum
 rank from the left, each second one of an overlapping run.  That equals the
-one-by-one order as long as no new pair has a lower rank; a match where one
+one-by-one order as long as no new pair has a lower rank; a segment where one
 has is encoded again one by one.
 
+A worker remembers pieces of text in two generations of at most half of
+``CACHE_BYTES`` each: when the younger is full, the older goes, and what is
+still met moves to the younger.  Pieces over ``LONG`` characters are not kept.
+
 Null texts are empty; empty texts have no ids.  Repeated rows get equal
 results.  Ids outside the vocabulary can't be decoded: the text is null.
 """
@@ -27,6 +35,7 @@ import base64
 import re
 from collections.abc import Iterator
 
+import ahocorasick
 import duckdb
 import numpy as np
 import pyarrow as pa
@@ -38,7 +47,10 @@ from pyspark.sql import functions as F
 from searchlake.llm.common import slices
 
 LONG = 64
-CACHE_PIECES = 400_000
+CACHE_BYTES = 192 << 20
+#: Bytes that a remembered piece takes besides its characters and ids.
+ENTRY_BYTES = 190
+CACHE_SEGMENTS = 200_000
 BATCH_MATCHES = 30_000
 
 #: A space before another character than white space starts a match under
@@ -99,7 +111,8 @@ class Tokenizer:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.find = ranks, regex.compile(pattern).findall
         self.single = np.array([ranks[bytes([i])] for i in range(256)], np.int64)
-        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "300MB"})
+        # Without a temp folder DuckDB writes nothing beside its memory.
+        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         pairs = [
             (ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks
         ]
@@ -111,6 +124,27 @@ class Tokenizer:
         #: (None: that space may belong to another match).
         self.heads: dict[str, bytes] = {}
         self.tails: dict[str, bytes | None] = {}
+        self.old_heads: dict[str, bytes] = {}
+        self.old_tails: dict[str, bytes | None] = {}
+        self.size, self.long = 0, []
+        self.segments: dict[bytes, bytes] = {}
+        self.automaton = None
+
+    def cut(self, word: bytes) -> list[bytes]:
+        """The word in segments that no token crosses."""
+        if self.automaton is None:
+            self.automaton = ahocorasick.Automaton()
+            for t in self.ranks:
+                if len(t) > 1:
+                    self.automaton.add_word(t.decode("latin-1"), len(t))
+            self.automaton.make_automaton()
+        crossed = np.zeros(len(word) + 2, np.int64)
+        for end, n in self.automaton.iter(word.decode("latin-1")):
+            crossed[end - n + 2] += 1
+            crossed[end + 1] -= 1
+        # crossed[i] now counts the tokens across the place before byte i.
+        places = (np.flatnonzero(np.cumsum(crossed)[1 : len(word)] == 0) + 1).tolist()
+        return [word[a:z] for a, z in zip([0, *places], [*places, len(word)])]
 
     def _table(self, name: str, columns: dict) -> None:
         data = pa.table(columns)
@@ -136,10 +170,20 @@ class Tokenizer:
             part = short[start : start + BATCH_MATCHES]
             for i, ids in zip(part, self._contract([words[i] for i in part], _STEP)[0]):
                 out[i] = ids
-        for i in (i for i, w in enumerate(words) if len(w) > LONG):
-            (out[i],), broken = self._contract([words[i]], _STEP_LONG)
-            if broken:
-                (out[i],), _ = self._contract([words[i]], _STEP)
+        cut = {i: self.cut(w) for i, w in enumerate(words) if len(w) > LONG}
+        if cut:
+            if len(self.segments) > CACHE_SEGMENTS:
+                self.segments = {}
+            new = {s for own in cut.values() for s in own} - self.segments.keys()
+            few = [s for s in new if len(s) <= LONG]
+            known = dict(zip(few, self.encode_matches(few)))
+            for s in new - known.keys():
+                (known[s],), broken = self._contract([s], _STEP_LONG)
+                if broken:
+                    (known[s],), _ = self._contract([s], _STEP)
+            for i, own in cut.items():
+                out[i] = b"".join([known[s] if s in known else self.segments[s] for s in own])
+            self.segments.update((s, ids) for s, ids in known.items() if len(s) <= LONG)
         return out
 
     def _learn(self, heads: set[str], tails: set[str]) -> None:
@@ -148,44 +192,67 @@ class Tokenizer:
         self.tails.update(dict.fromkeys(odd))
         split = [(self.heads, h, self.find(h)) for h in heads] + [(self.tails, t, self.find(" " + t)) for t in tails - odd]
 
-        def place(match: str) -> tuple[dict, str]:
+        def place(match: str) -> tuple[dict, dict, str]:
             after = len(match) > 1 and match[0] == " " and not match[1].isspace()
-            return (self.tails, match[1:]) if after else (self.heads, match)
+            return (self.tails, self.old_tails, match[1:]) if after else (self.heads, self.old_heads, match)
 
         rest, words = [], []
         for m in {m for _, _, own in split for m in own}:
-            known, key = place(m)
+            known, old, key = place(m)
             if key not in known:
                 w = m.encode()
-                if (whole := self.ranks.get(w)) is None:
+                if key in old:
+                    self._keep(known, key, old[key])
+                elif (whole := self.ranks.get(w)) is None:
                     rest.append((known, key))
                     words.append(w)
                 else:
-                    known[key] = np.int32(whole).tobytes()
+                    self._keep(known, key, np.int32(whole).tobytes())
         for (known, key), ids in zip(rest, self.encode_matches(words)):
-            known[key] = ids
+            self._keep(known, key, ids)
         for known, piece, own in split:
             if piece not in known:
                 parts = [place(m) for m in own]
-                known[piece] = b"".join([d[key] for d, key in parts])
+                self._keep(known, piece, b"".join([d[key] for d, _, key in parts]))
+
+    def _keep(self, known: dict, piece: str, ids: bytes | None) -> None:
+        known[piece] = ids
+        if len(piece) > LONG:
+            self.long.append((known, piece))
+        self.size += ENTRY_BYTES + len(piece) + len(ids or b"")
+
+    def _recall(self, wanted: set[str], known: dict, old: dict) -> set[str]:
+        """The wanted pieces that are not known; those of the older
+        generation move to the younger."""
+        for piece in (wanted := wanted - known.keys()) & old.keys():
+            self._keep(known, piece, old[piece])
+        return wanted - known.keys()
+
+    def _forget(self) -> None:
+        """Long pieces go at once, the older generation when the younger is full."""
+        for known, piece in self.long:
+            known.pop(piece, None)
+        self.long = []
+        if self.size > CACHE_BYTES // 2:
+            self.old_heads, self.old_tails = self.heads, self.tails
+            self.heads, self.tails, self.size = {}, {}, 0
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        if len(self.heads) + len(self.tails) > CACHE_PIECES:
-            self.heads, self.tails = {}, {}
+        self._forget()
         cut, heads, tails = [t.split(" ") for t in texts], set(), set()
         for own in cut:
             heads.add(own[0])
             tails.update(own[1:])
-        heads -= self.heads.keys()
-        tails -= self.tails.keys()
+        heads = self._recall(heads, self.heads, self.old_heads)
+        tails = self._recall(tails, self.tails, self.old_tails)
         if heads or tails:
             self._learn(heads, tails)
         done = [[self.heads[own[0]], *map(self.tails.__getitem__, own[1:])] for own in cut]
         odd = {i: _CUT.split(texts[i]) for i, found in enumerate(done) if None in found}
         if odd:
             odd = {i: [own[0], *[" " + x for x in own[1:]]] for i, own in odd.items()}
-            self._learn({x for own in odd.values() for x in own} - self.heads.keys(), set())
+            self._learn(self._recall({x for own in odd.values() for x in own}, self.heads, self.old_heads), set())
             for i, own in odd.items():
                 done[i] = [self.heads[x] for x in own]
         return [np.frombuffer(b"".join(found), np.int32) for found in done]

@@ -7,6 +7,7 @@ holds the words of one slice at a time, however many rows a batch has.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -14,7 +15,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from searchlake.session import scratch_path
@@ -60,6 +61,16 @@ class WordHash(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+#: Bytes of an Arrow batch that a task is given at once.
+ARROW_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Let Spark hand texts to Python in batches of bounded bytes (one row at
+    least), not of a fixed number of rows however long they are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """The batches, cut so that a slice holds a few MB of text (or one row)."""
     for batch in batches:
@@ -165,7 +176,7 @@ def without(docs: DataFrame, bad: DataFrame, id_col: str, once: bool = False) ->
     bad = written(bad.select(id_col).where(F.col(id_col).isNotNull()).distinct(), "rejected")
     concerned = bad
     if once:
-        often = docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).where(F.col(id_col).isNotNull() & (F.col("_n") > 1))
+        often = docs.select(id_col).groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).where(F.col(id_col).isNotNull() & (F.col("_n") > 1))
         concerned = bad.union(often.select(id_col))
     bits = docs.sparkSession.sparkContext.broadcast(bitmap(concerned.select(F.xxhash64(id_col).alias("h"))))
 
@@ -173,9 +184,10 @@ def without(docs: DataFrame, bad: DataFrame, id_col: str, once: bool = False) ->
     def suspected(h: pd.Series) -> pd.Series:
         return pd.Series(bits.value[place(h.to_numpy(np.int64).view(np.uint64))])
 
-    marked = docs.withColumn("_suspected", suspected(F.xxhash64(id_col)))
-    sure = marked.where(~F.col("_suspected")).select(*docs.columns)
-    rest = marked.where("_suspected").select(*docs.columns).join(bad, id_col, "left_anti").select(*docs.columns)
+    mark = f"suspected_{os.urandom(6).hex()}"  # no column of the input
+    marked = docs.withColumn(mark, suspected(F.xxhash64(id_col)))
+    sure = marked.where(~F.col(mark)).select(*docs.columns)
+    rest = marked.where(F.col(mark)).select(*docs.columns).join(bad, id_col, "left_anti").select(*docs.columns)
     if once:
         rest = rest.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(rest.where(F.col(id_col).isNull()))
     return sure.unionByName(rest)

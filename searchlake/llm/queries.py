@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +13,7 @@ from searchlake.llm import (
     bpe, conversation_repair, decontaminate, fingerprint, language_id, lm_score, near_dedup, oracle, quality, sharding,
     token_count, toxicity, url_filter, vector_codes,
 )
+from searchlake.llm.common import bounded_batches
 from searchlake.sources.tables import read_table
 
 SHARDS = 40
@@ -108,6 +112,15 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
 
 
+def _bounded(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        bounded_batches(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES = {
     "op1_masked_lm": op1_masked_lm,
     "op2_jump_shards": op2_jump_shards,
@@ -124,6 +137,8 @@ QUERIES = {
     "op13_vector_codes": op13_vector_codes,
 }
 
+QUERIES = {name: _bounded(query) for name, query in QUERIES.items()}
+
 ORACLE: dict[str, str] = {
     "op2_jump_shards": oracle.OP2,
     "op6_near_dedup": oracle.OP6,

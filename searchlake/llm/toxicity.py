@@ -213,6 +213,8 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> Data
     drawn = [known.where(F.col("toxic") == t).orderBy(F.xxhash64("id"), "id").limit(n)
              for t, n in ((1, SAMPLE_TOXIC), (0, SAMPLE_CLEAN))]
     sample = base.where(F.length("text") <= SAMPLE_CHARS).join(F.broadcast(drawn[0].union(drawn[1])), "id")  # bounded
+    # One row an id: repeated ids don't make the sample larger.
+    sample = sample.groupBy("id", "toxic").agg(F.min("text").alias("text"))
     rows = sample.select("toxic", "text").orderBy("toxic", F.xxhash64("text")).toArrow()
     texts = list(zip(rows.column("toxic").to_pylist(), utf8(rows.combine_chunks())))
     scorer = fitted([item_words(x) for t, x in texts if t == 1], [item_words(x) for t, x in texts if t == 0],
