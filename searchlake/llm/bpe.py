@@ -190,16 +190,29 @@ class Tokenizer:
         """Encode the matches of pieces of text that are not known yet."""
         odd = {t for t in tails if not t or t[0].isspace()}
         self.tails.update(dict.fromkeys(odd))
-        split = [(self.heads, h, self.find(h)) for h in heads] + [(self.tails, t, self.find(" " + t)) for t in tails - odd]
+        split = [(self.heads, h, self.find(h)) for h in heads]
+        rest, words = [], []
+        # Most pieces after a space are one match: those need no parts.
+        find, ranks = self.find, self.ranks
+        for t in tails - odd:
+            spaced = " " + t
+            own = find(spaced)
+            if len(own) > 1:
+                split.append((self.tails, t, own))
+            elif (whole := ranks.get(w := spaced.encode())) is None:
+                rest.append((self.tails, t))
+                words.append(w)
+            else:
+                self._keep(self.tails, t, np.int32(whole).tobytes())
+        single = {t for _, t in rest}
 
         def place(match: str) -> tuple[dict, dict, str]:
             after = len(match) > 1 and match[0] == " " and not match[1].isspace()
             return (self.tails, self.old_tails, match[1:]) if after else (self.heads, self.old_heads, match)
 
-        rest, words = [], []
         for m in {m for _, _, own in split for m in own}:
             known, old, key = place(m)
-            if key not in known:
+            if key not in known and not (known is self.tails and key in single):
                 w = m.encode()
                 if key in old:
                     self._keep(known, key, old[key])

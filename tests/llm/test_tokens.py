@@ -118,3 +118,57 @@ def test_count_table(odd_docs, no_docs):
     assert got == {(r["doc_id"], len(r["text"] or ""), count.text(r["text"] or "")) for r in odd_docs.collect()}
     assert token_count.count_tokens(no_docs, UNIGRAM_PATH).count() == 0
     assert odd_docs.where(F.col("doc_id") == 3).count() == 1
+
+
+def test_texts_without_spaces_are_cut_where_no_token_crosses():
+    """Long matches equal the library's ids, at about the cost of spaced text."""
+    import random
+    import time
+
+    import public_tokenizers
+    import tiktoken
+
+    from searchlake.llm import bpe
+
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
+        ranks = bpe.parse_ranks(f.read())
+    library = tiktoken.Encoding("x", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(4)
+    cjk = ["".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(300)) for _ in range(60)] + ["漢字仮名交じり文の長い文章" * 300]
+    runs = ["a" * 5000, "ab" * 2000, "é" * 400, "aaab" * 500 + "b" * 300, "x" * 65, "0" * 200, "-" * 300 + "=" * 300]
+    spaced = [" ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(150)) for _ in range(60)]
+    for texts in (cjk, runs, spaced):
+        got = bpe.Tokenizer(ranks, public_tokenizers.PATTERN).encode(texts)
+        assert [x.tolist() for x in got] == [library.encode_ordinary(t) for t in texts]
+    took = []
+    for texts in (spaced, cjk):
+        tokenizer = bpe.Tokenizer(ranks, public_tokenizers.PATTERN)
+        tokenizer.encode([texts[0]])
+        start = time.perf_counter()
+        tokenizer.encode(texts)
+        took.append((time.perf_counter() - start) / sum(len(t.encode()) for t in texts))
+    assert took[1] < 3 * took[0]
+    # A word is cut only where the parts can't meet: never inside a token.
+    tokenizer = bpe.Tokenizer(ranks, public_tokenizers.PATTERN)
+    for word in ("漢字かな交じり文".encode(), b"tionthereand", b"\xff\x00\xff"):
+        assert b"".join(tokenizer.cut(word)) == word
+
+
+def test_forgetting_pieces_changes_no_ids(monkeypatch):
+    import random
+
+    import public_tokenizers
+
+    from searchlake.llm import bpe
+
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
+        ranks = bpe.parse_ranks(f.read())
+    rng = random.Random(5)
+    words = ["".join(rng.choice("etaoin'sr,.") for _ in range(rng.randint(1, 9))) for _ in range(300)]
+    texts = [" ".join(rng.choices(words, k=60)) + rng.choice(["", "  ", "\n\n x", " " * 5]) + "y" * rng.choice([1, 200]) for _ in range(60)]
+    want = [x.tolist() for x in bpe.Tokenizer(ranks, public_tokenizers.PATTERN).encode(texts)]
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 20_000)
+    tokenizer = bpe.Tokenizer(ranks, public_tokenizers.PATTERN)
+    for _ in range(2):
+        assert [x.tolist() for t in texts for x in tokenizer.encode([t])] == want
+    assert tokenizer.size < 40_000 and not any(len(p) > bpe.LONG for p in tokenizer.old_tails)
