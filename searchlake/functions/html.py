@@ -191,15 +191,15 @@ def _content(token: Column) -> Column:
 def _text_of_token(t: Column) -> Column:
     # Entities stay undecoded in raw content: the joint parts "&" from names.
     raw = F.replace(_content(t), F.lit("&"), F.lit("&" + JOINT))
-    return (
-        F.when(~t.startswith("<") | (t == "<"), t)
-        .when(t.rlike(CODE_TOKEN), F.lit(" "))
+    element = (
+        F.when(t.rlike(CODE_TOKEN), F.lit(" "))
         .when(t.rlike(TITLE_TOKEN), F.concat(F.lit(" "), _content(t), F.lit(" ")))
         .when(t.rlike(TEXTAREA_TOKEN), _content(t))
-        .when(t.rlike(RAW_TOKEN), raw)
-        .when(t.rlike(_BLOCK), F.lit(" "))
-        .otherwise(F.lit(JOINT))
+        .otherwise(raw)
     )
+    # Most tokens are text or plain tags: two patterns tell those apart.
+    tag = F.when(t.rlike(RAW_TOKEN), element).when(t.rlike(_BLOCK), F.lit(" ")).otherwise(F.lit(JOINT))
+    return F.when(~t.startswith("<") | (t == "<"), t).otherwise(tag)
 
 
 def text_of(parts: Column) -> Column:

@@ -27,8 +27,12 @@ def schedule(
     rid: str = "id",
     delay_ms: int = DEFAULT_POLITENESS_DELAY_MS,
     partitions: int | None = None,
+    last: DataFrame | None = None,
 ) -> DataFrame:
-    """``requests`` plus ``grant_ms`` and ``wait_ms`` (= grant - arrival)."""
+    """``requests`` plus ``grant_ms`` and ``wait_ms`` (= grant - arrival).
+
+    ``last(<host>, last_ms)`` has the last grant of hosts that were served
+    before: their first request here waits for it plus the delay."""
     order = [F.col(arrival_ms), F.col(rid)]
     hosted = requests.where(F.col(host).isNotNull())
     c = chunk_rows(hosted, host, order, partitions)
@@ -36,6 +40,9 @@ def schedule(
     c = c.withColumn("_v", v_local).withColumn("_run", F.max("_v").over(local_window(host, order)))
     summary = c.groupBy(host, "_chunk").agg(F.count(F.lit(1)).alias("_n"), F.max("_v").alias("_cmax"))
     summary = _prefix(summary, host, delay_ms)
+    if last is not None:
+        # An earlier grant is position 0 of its host's order.
+        summary = summary.join(last.select(host, "last_ms"), host, "left").withColumn("_prev", F.greatest("_prev", "last_ms"))
     # The summary has one row per (host, chunk); AQE turns this join into a
     # broadcast at run time when its measured size is small.
     summary = summary.select(host, "_chunk", "_off", "_prev")

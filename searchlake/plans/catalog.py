@@ -456,7 +456,10 @@ def index_replace(spark, sf_dir):
 
 @register("index_export")
 def index_export(spark, sf_dir):
-    rows = _gd.export_rows(documents_index(spark, sf_dir))
+    """The export written as JSON lines and read back."""
+    path = scratch_path(spark, "export")
+    _gd.export_index(documents_index(spark, sf_dir), path)
+    rows = spark.read.schema(_gd.EXPORT_SCHEMA).json(f"{path}/terms")
     return rows.select("term", "df", F.explode("postings").alias("doc", "tf"))
 
 
@@ -568,14 +571,6 @@ def crawl_summary(spark, sf_dir):
 STREAM_CHUNKS = 4
 
 
-def _table_stream(spark, sf_dir, name):
-    schema = read_table(spark, sf_dir, name).schema
-    return (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-        .option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir.rstrip("/"))
-    )
-
-
 def staged_events(spark, sf_dir) -> str:
     """Stage ``events`` in STREAM_CHUNKS appends in event-time order (one per
     time quantile) so a file stream replays them as successive micro-batches.
@@ -599,9 +594,14 @@ def _events_stream(spark, sf_dir):
 
 @register("stream_silver")
 def stream_silver(spark, sf_dir):
-    out, ck = scratch_path(spark, "silver-out"), scratch_path(spark, "silver-ck")
-    s = _st.silver_stream(_table_stream(spark, sf_dir, "pages"), keep=("page_id",))
-    _st.run_available(s.select("page_id", "id", "title", "doc_len"), out, ck)
+    """ST1 over three files, one micro-batch each, links included."""
+    out, ck, src = scratch_path(spark, "silver-out"), scratch_path(spark, "silver-ck"), scratch_path(spark, "pages-stream")
+    pages = read_table(spark, sf_dir, "pages")
+    for i in range(3):
+        pages.where(F.pmod("page_id", F.lit(3)) == i).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    s = _st.silver_stream(stream, keep=("page_id",))
+    _st.run_available(s.select("page_id", "id", "title", "doc_len", F.array_join("links", " ").alias("links")), out, ck)
     return spark.read.parquet(out)
 
 
@@ -670,13 +670,13 @@ def stream_lease(spark, sf_dir):
 
 @register("stream_politeness")
 def stream_politeness(spark, sf_dir):
-    out, ck = scratch_path(spark, "polite-out"), scratch_path(spark, "polite-ck")
+    out, ck = scratch_path(spark, "polite"), scratch_path(spark, "polite-ck")
     ev = _events_stream(spark, sf_dir)
     # Hosts are strings, and signups come without one.
     host = F.when(F.col("event_type") != "signup", F.concat(F.lit("u"), F.col("user_id").cast("string")))
     req = ev.select(F.col("event_id").alias("id"), host.alias("host"), F.col("ts_ms").alias("arrival_ms"))
-    _st.run_available(_st.politeness_stream(req), out, ck)
-    r = spark.read.parquet(out)
+    _st.run_foreach_batch(req, _st.politeness_batch(spark, out), ck)
+    r = _st.read_grants(spark, out)
     return r.select(F.col("id").alias("event_id"), "host", (F.col("grant_ms") - F.col("arrival_ms")).alias("wait_ms"))
 
 

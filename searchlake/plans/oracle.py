@@ -617,7 +617,8 @@ SELECT (SELECT count(*) FROM acc) AS pages_stored,
 
 ORACLE["stream_silver"] = f"""
 SELECT page_id, left(sha256(url), 16) AS id, {title_sql('html')} AS title,
-       CAST(len({TOKS.format(col=visible_sql('html'))}) AS INTEGER) AS doc_len
+       CAST(len({TOKS.format(col=visible_sql('html'))}) AS INTEGER) AS doc_len,
+       array_to_string({links_sql('url', 'html')}, ' ') AS links
 FROM pages
 """
 ORACLE["stream_gold"] = f"""

@@ -7,17 +7,13 @@ foreachBatch), and can run continuously or with ``availableNow``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from searchlake.constants import DEFAULT_POLITENESS_DELAY_MS
 from searchlake.functions import urls
+from searchlake.operators import politeness
 from searchlake.operators.pages import page_columns
 from searchlake.session import stored
 from searchlake.sources import bronze, segments
@@ -219,41 +215,39 @@ def latest_updates(spark: SparkSession, sink: str, key: str) -> DataFrame:
     return rows.groupBy(key).agg(last).select(key, *[F.col(f"_l.{c}").alias(c) for c in cols])
 
 
-# --- ST5: politeness with keyed state ----------------------------------------------------
+# --- ST5: politeness with a table of last grants ------------------------------------------
+
 
-POLITE_STATE = "last_grant long"
+def politeness_batch(spark: SparkSession, base: str, delay_ms: int = DEFAULT_POLITENESS_DELAY_MS):
+    """ST5: a ``foreachBatch`` function that schedules ``requests(id, host,
+    arrival_ms)`` across micro-batches with the chunked scan of W4, so a host
+    with a third of a batch's rows is spread over tasks.
 
+    ``base/grants/batch=N`` holds the batch's rows with ``grant_ms``;
+    ``base/last/batch=N`` the last grant of its hosts, which later batches
+    start from.  A request older than its host's last grant is served after it
+    (processing order).  Requests without host are not delayed: they pass with
+    their arrival as grant.  A batch that is run again reads only earlier
+    batches and replaces its own folders."""
+    root = base.rstrip("/")
 
-def _polite_fn(delay_ms: int):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(pdfs), ignore_index=True).sort_values(["arrival_ms", "id"], kind="stable")
-        last = state.get[0] if state.exists else None
-        a = rows["arrival_ms"].to_numpy(dtype=np.int64)
-        i = np.arange(1, len(a) + 1, dtype=np.int64)
-        run = np.maximum.accumulate(a - i * delay_ms)
-        if last is not None:
-            run = np.maximum(run, np.int64(last))
-        grant = i * delay_ms + run
-        state.update((int(grant[-1]),))
-        yield pd.DataFrame({"id": rows["id"].to_numpy(), "host": rows["host"].to_numpy(),
-                            "arrival_ms": a, "grant_ms": grant})
+    def run(batch: DataFrame, batch_id: int) -> None:
+        rows = stored(batch.select("id", "host", F.col("arrival_ms").cast("long").alias("arrival_ms")), "requests")
+        kind = rows.schema["host"].dataType.simpleString()
+        hosts = rows.select("host").where(F.col("host").isNotNull()).distinct()
+        before = _read_if_there(spark, f"{root}/last", f"host {kind}, last_ms long, batch long").where(F.col("batch") < batch_id)
+        last = before.join(hosts, "host", "left_semi").groupBy("host").agg(F.max("last_ms").alias("last_ms"))
+        out = politeness.schedule(rows, delay_ms=delay_ms, last=last).drop("wait_ms")
+        out.write.mode("overwrite").parquet(f"{root}/grants/batch={batch_id}")
+        done = spark.read.schema(out.schema).parquet(f"{root}/grants/batch={batch_id}").where(F.col("host").isNotNull())
+        done.groupBy("host").agg(F.max("grant_ms").alias("last_ms")).write.mode("overwrite").parquet(f"{root}/last/batch={batch_id}")
 
-    return fn
+    return run
 
 
-def politeness_stream(requests: DataFrame, delay_ms: int = DEFAULT_POLITENESS_DELAY_MS) -> DataFrame:
-    """ST5: per-host schedule of ``requests(id, host, arrival_ms)`` across
-    micro-batches; state = the host's last grant.  Within a batch the closed
-    form of W4 is applied with numpy; a request older than the last grant is
-    served after it (processing order).  Requests without host are not
-    delayed: they pass with their arrival as grant.  Ids and hosts keep the
-    types of the input."""
-    rows = requests.select("id", "host", F.col("arrival_ms").cast("long").alias("arrival_ms"))
-    out = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields) + ", grant_ms long"
-    hosted = rows.where(F.col("host").isNotNull()).groupBy("host").applyInPandasWithState(
-        _polite_fn(delay_ms), out, POLITE_STATE, "append", GroupStateTimeout.NoTimeout
-    )
-    return hosted.unionByName(rows.where(F.col("host").isNull()).withColumn("grant_ms", F.col("arrival_ms")))
+def read_grants(spark: SparkSession, base: str) -> DataFrame:
+    """The scheduled requests of all batches."""
+    return spark.read.parquet(f"{base.rstrip('/')}/grants").drop("batch")
 
 
 # --- running helpers ----------------------------------------------------------------------

@@ -77,11 +77,30 @@ def test_politeness_stream_keeps_requests_without_host(spark, tmp_path):
     batches = [[(1, "a.org", 0), (2, None, 5)], [(3, "a.org", 10), (4, "b.org", 10), (5, None, 11)]]
     stream = _staged(spark, tmp_path, "req", batches, "id long, host string, arrival_ms long")
     out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
-    jobs.run_available(jobs.politeness_stream(stream, 1000), out, ck)
-    got = {r["id"]: (r["host"], r["grant_ms"]) for r in spark.read.parquet(out).collect()}
+    jobs.run_foreach_batch(stream, jobs.politeness_batch(spark, out, 1000), ck)
+    got = {r["id"]: (r["host"], r["grant_ms"]) for r in jobs.read_grants(spark, out).collect()}
     assert got == {1: ("a.org", 0), 2: (None, 5), 3: ("a.org", 1000), 4: ("b.org", 10), 5: (None, 11)}
 
 
+def test_politeness_batches_of_a_hot_host_equal_sequential_grants(spark, tmp_path):
+    """Late arrivals wait for the last grant; a batch run again changes nothing."""
+    import random
+
+    rng, out = random.Random(1), str(tmp_path / "p")
+    run, last, want = jobs.politeness_batch(spark, out, 1000), {}, {}
+    for n in range(3):
+        rows = [(n * 300 + i, rng.choice(["hot", "hot", f"h{rng.randrange(9)}", None]), rng.randrange(200_000) + n * 50_000) for i in range(300)]
+        df = spark.createDataFrame(rows, "id long, host string, arrival_ms long")
+        run(df, n)
+        run(df, n)
+        for i, host, at in sorted(rows, key=lambda r: (r[2], r[0])):
+            want[i] = at if host is None else max(at, last.get(host, -10**9) + 1000)
+            if host:
+                last[host] = want[i]
+    got = {r["id"]: r["grant_ms"] for r in jobs.read_grants(spark, out).collect()}
+    assert got == want
+
+
 def test_lease_stream_sees_late_events_within_the_delay(spark, tmp_path):
     schema = "task string, kind string, ts_ms long, id long"
     batches = [
