@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from searchlake.llm.common import slices
+from searchlake.llm.common import KEPT, slices
 
 LONG = 64
 CACHE_BYTES = 192 << 20
@@ -280,22 +280,19 @@ class Tokenizer:
         return [found.get(i) if n else b"" for i, n in enumerate(sizes.tolist())]
 
 
-#: The tokenizer of this worker process, by the digest of its definition.
-_WORKERS: dict[str, Tokenizer] = {}
-
-
 def _worker(name: str, shared) -> Tokenizer:
-    if name not in _WORKERS:
-        _WORKERS.clear()
+    """The tokenizer of this worker process, by the digest of its definition."""
+    if name not in KEPT:
+        KEPT.clear()
         content, pattern = shared.value
-        _WORKERS[name] = Tokenizer(parse_ranks(content), pattern)
-    return _WORKERS[name]
+        KEPT[name] = Tokenizer(parse_ranks(content), pattern)
+    return KEPT[name]
 
 
 def _runner(name: str, shared, decode: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _worker(name, shared)
-        for part in slices(batches):
+        for part in slices(batches, keeps=name):
             ids = tokenizer.encode([t or "" for t in part.column("text").to_pylist()])
             ends = np.zeros(len(ids) + 1, np.int32)
             np.cumsum([len(x) for x in ids], out=ends[1:])

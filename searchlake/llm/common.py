@@ -71,8 +71,15 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches, cut so that a slice holds a few MB of text (or one row)."""
+#: What a worker process keeps between its tasks, of one operator at a time.
+KEPT: dict[str, object] = {}
+
+
+def slices(batches: Iterable[pa.RecordBatch], column: str = "text", keeps: str | None = None) -> Iterator[pa.RecordBatch]:
+    """The batches, cut so that a slice holds a few MB of text (or one row).
+    What another operator than ``keeps`` kept in this process is let go."""
+    for name in KEPT.keys() - {keeps}:
+        del KEPT[name]
     for batch in batches:
         n = batch.num_rows
         if not n:
