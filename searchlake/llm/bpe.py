@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from searchlake.llm.common import KEPT, slices
 
 LONG = 64
-CACHE_BYTES = 192 << 20
+CACHE_BYTES = 128 << 20
 #: Bytes that a remembered piece takes besides its characters and ids.
 ENTRY_BYTES = 190
 CACHE_SEGMENTS = 200_000
