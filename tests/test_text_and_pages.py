@@ -76,3 +76,13 @@ def test_host_path_domain(spark):
     rows = df.select(urls.host("u").alias("h"), urls.robots_path("u").alias("p"),
                      urls.domain_allowed("u", "ex.com").alias("d")).collect()
     assert [(r.h, r.p, r.d) for r in rows] == [("m.ex.com", "/a/b?q=1", True), ("ex.com", "/", True), (None, None, False)]
+
+
+def test_silver_rows_of_one_url_keep_their_own_terms(spark):
+    """Pages that share a URL, or have none, count their terms row by row."""
+    rows = [("https://h/a", "b a b"), ("https://h/a", "b c"), ("https://h/a", None), (None, "x y x"), (None, "x")]
+    df = spark.createDataFrame(rows, "url string, text string").withColumn("title", F.lit("t")).withColumn("links", F.array(F.lit("l")))
+    toks = df.withColumn("toks", F.split("text", " ")).withColumn("doc_len", F.size("toks"))
+    out = pages.silver_documents(toks, processed_at=F.lit("2024-01-01").cast("timestamp")).collect()
+    got = sorted((r["url"] or "", sorted(r["termFrequencies"].items())) for r in out)
+    assert got == [("", [("x", 1)]), ("", [("x", 2), ("y", 1)]), ("https://h/a", []), ("https://h/a", [("a", 1), ("b", 2)]), ("https://h/a", [("b", 1), ("c", 1)])]
