@@ -14,7 +14,9 @@ bucket are compared with its first, and only members that no verified link
 connects yet with each other (operator 6), so a group of near copies has a few
 links a member, not all its pairs.  The Jaccard similarity of the full shingle sets is verified.  With 32
 bands two documents of similarity 0.75 share no band with probability 5e-6.
-``with_links`` adds each row's class and number of verified links.
+``with_links`` adds each row's class and number of links: inside a component
+of the verified links, all pairs of classes are compared on full sets
+(``link_counts``), block by block, so none is left out.
 
 ``with_edits`` compares each document with an edited text of its own, made
 from the next document by ascending id, and with that next document.  The
@@ -40,8 +42,9 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from searchlake.llm.common import WordHash, long_list, seeds, shingle_sets, slices, utf8, written
-from searchlake.llm.near_dedup import SIMILAR, band_keys, class_links, ws_words
+from searchlake.llm.common import WordHash, bitmap, long_list, seeds, shingle_sets, slices, utf8, written
+from searchlake.llm.components import connected_components
+from searchlake.llm.near_dedup import SIMILAR, _candidates, _own_text, band_keys, class_links, ws_words
 
 WIDTH = 5
 PERMUTATIONS = 64
@@ -52,6 +55,10 @@ RANGES = 8
 #: Shingles hashed at once: the working table stays in the processor's cache.
 BLOCK = 512
 
+#: Classes and shingles of a block of ``link_counts``, and the shingles of its
+#: matrix at once.
+BLOCK_CLASSES, BLOCK_SHINGLES, COLUMNS = 256, 500_000, 4096
+
 _A = seeds(PLACES, 5) | np.uint64(1)
 _B = seeds(PLACES, 55)
 
@@ -117,6 +124,13 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     distinct text and the smallest id of its rows (null: none has an id);
     ``links(a, b, jaccard)`` the verified links between digests that connect
     all classes which links connect.  Empty texts have no links."""
+    classes, found, _ = _links(docs, id_col, text_col)
+    return classes.select("node", "class_id"), found.select("a", "b", (F.col("inter") / F.col("union")).alias("jaccard"))
+
+
+def _links(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``classes(node, class_id, rep, n)``, the links of ``class_links`` and
+    the texts ``(id, text)`` of the representatives ``rep``, among others."""
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = base.schema["id"].dataType.simpleString()
     rows = base.mapInArrow(_banded, f"id {kind}, node binary, n long, bands array<long>")
@@ -127,10 +141,63 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     rep = F.coalesce(F.col("class_id").cast("string"), F.concat(F.lit("text:"), F.hex("node")))
     named = base.where("id is not null").select(F.col("id").cast("string").alias("id"), "text")
     unnamed = base.where("id is null").select("text").mapInArrow(_digests, "id string, text string").dropDuplicates(["id"])
-    found = class_links(
-        classes.where("n > 0").select("node", rep.alias("rep"), "n", "bands"), named.unionByName(unnamed), xxhash.xxh3_128_digest,
+    texts = named.unionByName(unnamed)
+    found = class_links(classes.where("n > 0").select("node", rep.alias("rep"), "n", "bands"), texts, xxhash.xxh3_128_digest)
+    return classes.select("node", "class_id", rep.alias("rep"), "n"), found, texts
+
+
+def link_counts(classes: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame:
+    """``(node, n_links)`` for each class with links, out of ``_links``: the
+    number of other classes with a similarity of ``SIMILAR`` / 100 or more.
+
+    Every link lies in a component, and two classes that are one have just
+    their link.  A larger component is cut into blocks by a hash of the
+    digest, of about ``BLOCK_CLASSES`` classes and ``BLOCK_SHINGLES`` shingles
+    at most, and each pair of blocks is one group, so a task holds two blocks
+    however large a component is."""
+    parts = connected_components(found.select("u", "v")).withColumnRenamed("node", "rep").join(classes.select("node", "rep", "n"), "rep")
+    parts = written(parts, "link-parts")
+    sizes = parts.groupBy("component").agg(
+        F.count(F.lit(1)).alias("size"), F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")
     )
-    return classes.select("node", "class_id"), found.select("a", "b", (F.col("inter") / F.col("union")).alias("jaccard"))
+    sized = written(parts.join(sizes, "component"), "link-sizes")
+    pairs = sized.where("size = 2").select("node", F.lit(1).cast("long").alias("n_links"))
+    large = sized.where("size > 2").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    bits = texts.sparkSession.sparkContext.broadcast(bitmap(large.select(F.xxhash64("rep").alias("h"))))
+    few = texts.select("id", "text", F.xxhash64("id").alias("h")).mapInArrow(_candidates(bits), "id string, text string")
+    few = few.join(large.select(F.col("rep").alias("id"), "node", "component", "own", "blocks"), "id")
+    schema = "node binary, text string, component string, own int, blocks int"
+    few = few.select("node", "text", "component", "own", "blocks").mapInArrow(_own_text(xxhash.xxh3_128_digest), schema).dropDuplicates(["node"])
+    dealt = few.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    group = ["component", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")]
+    counted = dealt.select("node", "text", "own", *group).groupBy("component", "low", "high").applyInArrow(_counted_links, "node binary, n_links long")
+    return pairs.unionByName(counted).groupBy("node").agg(F.sum("n_links").alias("n_links")).where("n_links > 0")
+
+
+def _counted_links(table: pa.Table) -> pa.Table:
+    """Links of each class between two blocks, or inside the one block."""
+    texts = [t.encode() for t in table.column("text").to_pylist()]
+    sets = sets_of(texts, WordHash())
+    sizes = np.array([len(s) for s in sets], np.int64)
+    _, column, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), sizes)
+    # A shingle of one set only is in no intersection.
+    shared = often[column] > 1
+    place = (np.cumsum(often > 1) - 1)[column[shared]]
+    order = np.argsort(place, kind="stable")
+    row, place = row[shared][order], place[order]
+    inter = np.zeros((len(sets), len(sets)))
+    ends = np.searchsorted(place, np.arange(0, place[-1] + 1 + COLUMNS, COLUMNS)) if len(place) else [0]
+    for i, (a, z) in enumerate(zip(ends[:-1], ends[1:])):
+        has = np.zeros((len(sets), COLUMNS), np.float32)
+        has[row[a:z], place[a:z] - i * COLUMNS] = 1
+        inter += has @ has.T
+    linked = 100 * inter >= SIMILAR * (sizes[:, None] + sizes[None, :] - inter)
+    np.fill_diagonal(linked, False)
+    if table.column("low")[0] != table.column("high")[0]:
+        own = table.column("own").to_numpy()
+        linked &= own[:, None] != own[None, :]
+    return pa.table({"node": table.column("node"), "n_links": pa.array(linked.sum(axis=1).astype(np.int64))})
 
 
 def near_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -216,9 +283,9 @@ def with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def with_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``with_edits`` and ``class_id, n_links``: the smallest id among the rows
-    of the same text, and the number of verified ``links`` of that text."""
-    classes, found = links(docs, id_col, text_col)
-    degree = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
+    of the same text, and the number of other texts that it links with."""
+    classes, found, texts = _links(docs, id_col, text_col)
+    degree = link_counts(classes, found, texts)
     label = classes.join(degree, "node", "left").select("node", "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
     return _with_edits(docs, id_col, text_col).join(written(label, "labels"), "node", "left").drop("node")
 

@@ -334,3 +334,25 @@ def test_bucket_probabilities_are_normalised(spark):
         mass[(n & lm_score.PLACE) - lm_score.WORDS] += math.exp(-(n >> lm_score.COST) / lm_score.UNITS)
     assert np.allclose(mass + lm_score.SMOOTH / words.sums, 1, atol=1e-4)
     assert known[b"never-seen"] & lm_score.JOINED
+
+
+def test_op5_counts_every_link_between_different_texts(spark, monkeypatch):
+    """Each text's links as by brute force, also where a component has many blocks."""
+    rnd = random.Random(21)
+    words = [f"w{i}" for i in range(900)]
+    rows = []
+    for g in range(6):
+        text = [rnd.choice(words) for _ in range(80)]
+        for _ in range(2 + 5 * g):
+            # A walk: texts near in order are linked, those far apart are not.
+            text[rnd.randrange(80)] = rnd.choice(words)
+            rows.append((len(rows), " ".join(text)))
+    rows += [(900, rows[3][1]), (None, rows[9][1]), (901, " "), (902, None)]
+    sets = {t: set(fingerprint.sets_of([t.encode()], WordHash())[0].tolist()) for _, t in rows if t}
+    want = {t: sum(100 * len(s & o) >= 75 * len(s | o) for u, o in sets.items() if u != t) for t, s in sets.items()}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for size in (256, 4):
+        monkeypatch.setattr(fingerprint, "BLOCK_CLASSES", size)
+        out = fingerprint.with_links(docs).collect()
+        got = sorted((str(r["doc_id"]), r["n_links"]) for r in out)
+        assert got == sorted((str(i), want.get(t, 0)) for i, t in rows)
