@@ -2,7 +2,7 @@
 frontier counters (G3).
 
 The BFS is a short driver loop of at most ``max_depth`` rounds; every round
-is a distributed join.  The distinct edges are stored once and each round's
+is a distributed join.  The edges are stored once and each round's
 new level after it, in the shared scratch folder, which keeps lineage flat and
 survives executor loss; the visited set is the union of the stored levels.
 No partitioning is fixed, so adaptive execution may broadcast a small frontier
@@ -11,12 +11,14 @@ No partitioning is fixed, so adaptive execution may broadcast a small frontier
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from searchlake.constants import DEFAULT_MAX_DEPTH
 from searchlake.functions import urls
-from searchlake.operators.robots import filter_links, robots_allowed
+from searchlake.operators.robots import filter_links
 from searchlake.operators.scan import running_total
 from searchlake.session import stored
 
@@ -35,6 +37,7 @@ def bfs(
     max_depth: int = DEFAULT_MAX_DEPTH,
     max_pages: int | None = None,
     fetchable: DataFrame | None = None,
+    admitted: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """``(url, depth, fetched)`` for every URL offered by a breadth-first
     crawl from ``seeds`` (depth 0).
@@ -44,14 +47,18 @@ def bfs(
     ``max_pages`` the crawl takes fetched pages in (depth, url) order and
     stops at that many; pages beyond the cap are not fetched and their links
     not expanded (the cap is the feature, applied as a bounded top-k).
+    ``admitted`` is a filter of ``(url)`` rows: only URLs that pass it are
+    offered by a link, and fetched.  It sees each round's new URLs, not links.
     """
-    e = stored(edges.select("src", "dst").distinct(), "edges")
+    e = stored(edges.select("src", "dst"), "edges")
     ok = stored(fetchable.select(F.col("url")).distinct(), "fetchable") if fetchable is not None else None
 
     def mark(frontier: DataFrame) -> DataFrame:
         if ok is None:
             return frontier.withColumn("fetched", F.lit(True))
-        hit = ok.select("url", F.lit(True).alias("fetched"))
+        hit = frontier.select("url").join(ok, "url", "left_semi")
+        # Stored first: else Spark moves the filter down, to all of ``ok``.
+        hit = (admitted(stored(hit, "hit")) if admitted else hit).select("url", F.lit(True).alias("fetched"))
         return frontier.join(hit, "url", "left").withColumn("fetched", F.coalesce("fetched", F.lit(False)))
 
     # Seeds are normalised like discovered links, so "http://x" and
@@ -77,6 +84,7 @@ def bfs(
         expand = level.where("fetched").select(F.col("url").alias("src"))
         nxt = expand.join(e, "src").select(F.col("dst").alias("url")).distinct()
         nxt = nxt.join(visited.select("url"), "url", "left_anti")
+        nxt = admitted(stored(nxt, "found")) if admitted else nxt
         level = stored(mark(nxt).withColumn("depth", F.lit(d + 1)), "level")
         if level.isEmpty():
             break
@@ -97,10 +105,8 @@ def crawl(
     """G2 as the crawler composes it: ``bfs`` where a link is offered only if
     its target passes the domain filter (P5) and robots (J3), and a page is
     taken only if it passes both and is fetchable (present and accepted)."""
-    offered = filter_links(edges.select("src", "dst").distinct(), rules, allowed_domain)
-    inside = fetchable.select("url").where(urls.domain_allowed("url", allowed_domain))
-    taken = robots_allowed(inside, rules).where("allowed")
-    return bfs(offered, seeds, max_depth, max_pages, taken)
+    rules = stored(rules, "rules")
+    return bfs(edges, seeds, max_depth, max_pages, fetchable, lambda found: filter_links(found, rules, allowed_domain, "url"))
 
 
 def frontier_timeline(log: DataFrame, url: str, kind: str, ts_ms: str, bucket_ms: int) -> DataFrame:

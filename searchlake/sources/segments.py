@@ -126,7 +126,7 @@ def first_segment(tok: DataFrame, key: str, root: str) -> SegmentedIndex:
     """A new index out of tokenized rows ``(<key>, title, toks)``."""
     tok = stored(tok, "first")
     titles = tok.select(key, "title").where(F.col("title").isNotNull()) if "title" in tok.columns else None
-    return of_index(ix.write_gold(ix.postings_from_tokens(tok, key), key, titles, root))
+    return of_index(ix.write_gold(ix.postings_from_tokens(tok, key), key, titles, root, dealt=True))
 
 
 def replace(spark: SparkSession, old: SegmentedIndex, tok: DataFrame, root: str) -> SegmentedIndex:
@@ -136,7 +136,7 @@ def replace(spark: SparkSession, old: SegmentedIndex, tok: DataFrame, root: str)
     title = F.col("title") if "title" in tok.columns else F.lit(None).cast("string")
     changed = stored(tok.select(key, title.cast("string").alias("title"), "toks"), "changed")
     keys = changed.select(key).distinct()
-    ix.write_postings(ix.postings_from_tokens(changed, key), root)
+    ix.write_postings(ix.postings_from_tokens(changed, key), root, dealt=True)
     keys.write.mode("errorifexists").parquet(f"{root}/deletes")
     # Two columns, of unlike documents under one key the longer one's.
     lengths = changed.groupBy(key).agg(F.max(F.struct(F.size("toks").alias("doc_len"), "title")).alias("d")).where("d.doc_len > 0")

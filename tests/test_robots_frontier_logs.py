@@ -159,3 +159,18 @@ def test_silver_postings_fold_case(spark):
     s = spark.createDataFrame([("u", {"Java": 2, "java": 1, "go": 1})], "url string, termFrequencies map<string,int>")
     got = sorted((r.term, r.tf, r.doc_len) for r in silver_postings(s).collect())
     assert got == [("go", 1, 4), ("java", 3, 4)]
+
+
+def test_crawl_judges_urls_not_links(spark, monkeypatch):
+    """The filters see each round's new URLs once, however many links name them."""
+    page = "https://a.example.com/p{}"
+    links = [(page.format(i), page.format(j)) for i in range(4) for j in range(8)] * 5 + [(page.format(0), "https://other.org/x")]
+    seen = []
+    plain = frontier.filter_links
+    monkeypatch.setattr(frontier, "filter_links", lambda e, *rest: seen.append(e.count()) or plain(e, *rest))
+    rules = robots.robots_rules(spark.createDataFrame([("a.example.com", "User-agent: *\nDisallow: /p7\n")], "domain string, content string"))
+    frame = spark.createDataFrame
+    out = frontier.crawl(frame(links, "src string, dst string"), frame([(page.format(0),)], "url string"), rules, "example.com",
+                         frame([(page.format(i),) for i in range(5)], "url string"), 2).collect()
+    assert sorted((r.url, r.depth, r.fetched) for r in out) == [(page.format(i), int(i > 0), i < 5) for i in range(7)]
+    assert sum(seen) <= 20
