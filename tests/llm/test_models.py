@@ -89,6 +89,33 @@ def test_sample_has_4000_trusted_documents(spark):
     assert quality.trusted_sample(None, labels, "doc_id").count() == 4000
 
 
+@pytest.mark.parametrize("head", [1 << 20, 40, 0])
+def test_quality_fits_on_all_trusted_documents(spark, monkeypatch, head):
+    """Also on more than 4,000 and on long ones, and with weights joined
+    instead of broadcast; scores as by plain dictionaries."""
+    monkeypatch.setattr(quality, "HEAD", head)
+    rnd = random.Random(10)
+    vocab = "the cat dog sat on a mat and ran home . , !".split()
+    rows = [(i, " ".join(rnd.choice(vocab[: rnd.randrange(3, 13)]) for _ in range(rnd.randrange(9)))) for i in range(7000)]
+    rows += [(7001 + i, "far " * 30_000 + "mat !") for i in range(4)]
+    rows += [(8000, None), (8001, "zzz cat the unseen"), (8002, "far far"), (8002, "the"), (None, "a cat")]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string").repartition(5)
+    labels = spark.createDataFrame([(i, 1) for i in range(7999)], "doc_id long, quality int")
+    chosen = {r["id"] for r in quality.trusted(labels).where("fit").collect()}
+    assert len(chosen) > 4500
+    p, _ = plain_kneser_ney([t for i, t in rows if i in chosen])
+    nats, n = {}, {}
+    for t in {t or "" for _, t in rows}:
+        own = [None, None, *quality.tokens(t.encode())]
+        n[t], nats[t] = len(own) - 2, -sum(math.log(p(*own[i : i + 3])) for i in range(len(own) - 2))
+    held = [t for i, t in rows if i is not None and i < 7999 and i not in chosen]
+    mean = sum(nats[t] for t in held) / sum(n[t] for t in held)
+    want = sorted((str(i), n[t or ""], math.exp((nats[t or ""] + quality.PRIOR * mean) / (n[t or ""] + quality.PRIOR))) for i, t in rows)
+    got = sorted((str(r["doc_id"]), r["n_tokens"], r["perplexity"]) for r in quality.classify(docs, labels).collect())
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert np.allclose([g[2] for g in got], [w[2] for w in want], rtol=1e-4)
+
+
 def test_quality_separates_and_keeps_good_documents(spark, tables):
     docs, labels = tables
     out = quality.classify(docs, labels)
