@@ -88,14 +88,40 @@ def _rows(sets: list[np.ndarray], places: int) -> np.ndarray:
     out = np.full((len(sets), places), 0xFFFFFFFF, np.uint32)
     for i, s in enumerate(sets):
         if len(s):
-            out[i] = np.minimum(minima(s, places) >> np.uint64(32), np.uint64(0xFFFFFFFE)).astype(np.uint32)
+            out[i] = _high(minima(s, places))
     return out
 
 
+def _high(best: np.ndarray) -> np.ndarray:
+    return np.minimum(best >> np.uint64(32), np.uint64(0xFFFFFFFE)).astype(np.uint32)
+
+
+def edited_signatures(texts: list[bytes], changed: list[bytes], cache: WordHash) -> tuple[np.ndarray, np.ndarray]:
+    """``signatures`` of texts and of their edited texts.  What both sets of a
+    text have in common is evaluated once."""
+    out = np.full((2, len(texts), PERMUTATIONS), 0xFFFFFFFF, np.uint32)
+    for i, (a, b) in enumerate(zip(sets_of(texts, cache), sets_of(changed, cache))):
+        common = np.isin(a, b, assume_unique=True)
+        both = minima(a[common])
+        for row, s, rest in ((out[0, i], a, a[~common]), (out[1, i], b, b[~np.isin(b, a, assume_unique=True)])):
+            if len(s):
+                row[:] = _high(np.minimum(both, minima(rest)))
+    return out[0], out[1]
+
+
 def hexes(rows: np.ndarray) -> list[str]:
     return [r.tobytes().hex() for r in rows.astype(">u4")]
 
 
+def _bytes(rows: np.ndarray) -> pa.Array:
+    return pa.array([r.tobytes() for r in rows.astype(">u4")], pa.binary())
+
+
+def _in_hex(out: DataFrame) -> DataFrame:
+    """Digests and fingerprints as text; until then half the bytes travel."""
+    return out.withColumns({c: F.lower(F.hex(c)) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")})
+
+
 # --- near pairs ---------------------------------------------------------------------
 
 
@@ -236,15 +262,15 @@ def _compared(cache: WordHash, rows: list[tuple], chained: bool, id_type: pa.Dat
     ids, own, follow = zip(*rows)
     texts = [t.encode() for t in own]
     changed = [edited(a, b).encode() for a, b in zip(own, follow)]
-    sig, sig_new = signatures(texts, cache), signatures(changed, cache)
+    sig, sig_new = edited_signatures(texts, changed, cache)
     if chained:
         after = np.concatenate([sig[1:], signatures([follow[-1].encode()], cache)])
     else:
         after = signatures([t.encode() for t in follow], cache)
     return pa.RecordBatch.from_pydict({
         "id": pa.array(ids, id_type), "node": pa.array(map(xxhash.xxh3_128_digest, texts), pa.binary()), "n_chars": pa.array([len(t) for t in own], pa.int64()),
-        "edited_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in changed], pa.string()),
-        "fingerprint": pa.array(hexes(sig), pa.string()), "edited_fingerprint": pa.array(hexes(sig_new), pa.string()),
+        "edited_sha256": pa.array([hashlib.sha256(t).digest() for t in changed], pa.binary()),
+        "fingerprint": _bytes(sig), "edited_fingerprint": _bytes(sig_new),
         "near_edited": pa.array((sig == sig_new).mean(axis=1)), "near_next": pa.array((sig == after).mean(axis=1)),
     })
 
@@ -278,7 +304,7 @@ def _alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next`` for each row."""
-    return _with_edits(docs, id_col, text_col).drop("node")
+    return _in_hex(_with_edits(docs, id_col, text_col).drop("node"))
 
 
 def with_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -287,14 +313,14 @@ def with_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     classes, found, texts = _links(docs, id_col, text_col)
     degree = link_counts(classes, found, texts)
     label = classes.join(degree, "node", "left").select("node", "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    return _with_edits(docs, id_col, text_col).join(written(label, "labels"), "node", "left").drop("node")
+    return _in_hex(_with_edits(docs, id_col, text_col).join(written(label, "labels"), "node", "left").drop("node"))
 
 
 def _with_edits(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = base.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, node binary, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, " \
+    schema = f"id {kind}, node binary, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, " \
              "near_edited double, near_next double"
     alone = base.where("id is null").mapInArrow(_alone, schema)
 

@@ -204,6 +204,17 @@ def test_fingerprints_of_edited_and_next_texts(spark, odd_docs, no_docs):
     assert fingerprint.with_edits(no_docs).count() == 0
 
 
+def test_fingerprints_travel_as_bytes_and_share_common_shingles(spark, odd_docs):
+    rnd = random.Random(4)
+    texts = ["", "x", "! ?", *[" ".join(rnd.choice("abcdefgh") for _ in range(n)) for n in (1, 4, 5, 6, 40, 900)]]
+    changed = [fingerprint.edited(a, b) for a, b in zip(texts, texts[1:] + texts[:1])]
+    texts, changed = ([t.encode() for t in x] for x in (texts, changed))
+    own, new = fingerprint.edited_signatures(texts, changed, WordHash())
+    assert (own == fingerprint.signatures(texts, WordHash())).all() and (new == fingerprint.signatures(changed, WordHash())).all()
+    rows = fingerprint._with_edits(odd_docs, "doc_id", "text").select("fingerprint", "edited_fingerprint", "edited_sha256").collect()
+    assert {tuple(map(len, r)) for r in rows} == {(256, 256, 32)}
+
+
 def test_edited_takes_code_points():
     assert fingerprint.edited("abcde", "XYZ") == "abcXY"
     assert fingerprint.edited("äöü\U0001F600", "日") == "äö日"
