@@ -42,7 +42,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from searchlake.llm.common import WordHash, bitmap, long_list, seeds, shingle_sets, slices, utf8, written
+from searchlake.llm.common import WordHash, bitmap, long_list, passing, seeds, shingle_sets, slices, utf8, written
 from searchlake.llm.components import connected_components
 from searchlake.llm.near_dedup import SIMILAR, _candidates, _own_text, band_keys, class_links, ws_words
 
@@ -101,9 +101,12 @@ def edited_signatures(texts: list[bytes], changed: list[bytes], cache: WordHash)
     text have in common is evaluated once."""
     out = np.full((2, len(texts), PERMUTATIONS), 0xFFFFFFFF, np.uint32)
     for i, (a, b) in enumerate(zip(sets_of(texts, cache), sets_of(changed, cache))):
-        common = np.isin(a, b, assume_unique=True)
+        at = np.searchsorted(a, b)
+        known = np.append(a, a[:1])[at] == b if len(a) else np.zeros(len(b), bool)
+        common = np.zeros(len(a), bool)
+        common[at[known]] = True
         both = minima(a[common])
-        for row, s, rest in ((out[0, i], a, a[~common]), (out[1, i], b, b[~np.isin(b, a, assume_unique=True)])):
+        for row, s, rest in ((out[0, i], a, a[~common]), (out[1, i], b, b[~known])):
             if len(s):
                 row[:] = _high(np.minimum(both, minima(rest)))
     return out[0], out[1]
@@ -310,10 +313,13 @@ def with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def with_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``with_edits`` and ``class_id, n_links``: the smallest id among the rows
     of the same text, and the number of other texts that it links with."""
-    classes, found, texts = _links(docs, id_col, text_col)
-    degree = link_counts(classes, found, texts)
-    label = classes.join(degree, "node", "left").select("node", "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    return _in_hex(_with_edits(docs, id_col, text_col).join(written(label, "labels"), "node", "left").drop("node"))
+    with passing(docs.sparkSession):
+        classes, found, texts = _links(docs, id_col, text_col)
+        degree = link_counts(classes, found, texts)
+        label = classes.join(degree, "node", "left").select("node", "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+        label = written(label, "labels", lasting=True)
+        rows = _with_edits(docs, id_col, text_col)
+    return _in_hex(rows.join(label, "node", "left").drop("node"))
 
 
 def _with_edits(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
