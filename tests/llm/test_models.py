@@ -116,6 +116,40 @@ def test_quality_fits_on_all_trusted_documents(spark, monkeypatch, head):
     assert np.allclose([g[2] for g in got], [w[2] for w in want], rtol=1e-4)
 
 
+def test_quality_in_slices_is_the_same_and_leaves_no_tables(spark, monkeypatch, tmp_path):
+    """A slice's tables are gone before the next; they used to stay, all at
+    once, until the session ended."""
+    monkeypatch.setattr(quality, "HEAD", 8)
+    rnd = random.Random(4)
+    vocab = "the cat dog sat on a mat and ran home . , ! é".split()
+    rows = [(i, " ".join(rnd.choice(vocab) for _ in range(rnd.randrange(20)))) for i in range(400)] + [(400, None), (5, "the cat"), (None, "a mat")]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(300)], "doc_id long, quality int")
+    paths = []
+    monkeypatch.setattr("searchlake.llm.common.scratch_path", lambda _, name: paths.append(tmp_path / f"{len(paths)}-{name}") or str(paths[-1]))
+
+    def found(per_slice):
+        monkeypatch.setattr(quality, "PER_SLICE", per_slice)
+        out = quality.classify(docs, labels)
+        assert {p.name.split("-", 1)[1] for p in paths if p.exists()} == {"scores", "thresholds"}
+        return sorted((str(r["doc_id"]), r["n_tokens"], r["perplexity"], r["threshold"]) for r in out.collect())
+
+    one, several = found(1 << 30), found(1000)
+    assert sum(p.name.endswith("-weights") for p in paths) > 4
+    assert one == several
+
+
+def test_hashes_tell_tokens_apart():
+    rnd = random.Random(5)
+    texts = [bytes(rnd.choices(b"ab9A \n\t\x0b.,\x00\xc3\xa9", k=rnd.randrange(60))) for _ in range(300)]
+    texts += [b"x" * 300_000 + b" y", b"ab " * 100_000, b"", b"." * 140_000]
+    h, n = quality.hashes(texts)
+    want = [quality.tokens(t) for t in texts]
+    assert n.tolist() == [len(x) for x in want]
+    flat = [w for x in want for w in x]
+    assert len(set(zip(flat, h.tolist()))) == len(set(flat)) == len(set(h.tolist()))
+
+
 def test_quality_separates_and_keeps_good_documents(spark, tables):
     docs, labels = tables
     out = quality.classify(docs, labels)
