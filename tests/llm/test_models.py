@@ -428,3 +428,17 @@ def test_op5_counts_every_link_between_different_texts(spark, monkeypatch):
         out = fingerprint.with_links(docs).collect()
         got = sorted((str(r["doc_id"]), r["n_links"]) for r in out)
         assert got == sorted((str(i), want.get(t, 0)) for i, t in rows)
+
+
+def test_links_leave_one_table(spark, monkeypatch, tmp_path):
+    """The tables behind the links are gone when the last step begins; all of
+    them used to stay beside its shuffle."""
+    docs = spark.createDataFrame([(i, f"one two three four five six {i // 2} " * 9) for i in range(20)], "doc_id long, text string")
+    paths = []
+    monkeypatch.setattr("searchlake.llm.common.scratch_path", lambda _, name: paths.append(tmp_path / f"{len(paths)}-{name}") or str(paths[-1]))
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    out = fingerprint.with_links(docs)
+    assert len(paths) > 5 and [p.name.split("-", 1)[1] for p in paths if p.exists()] == ["labels"]
+    assert spark.conf.get(key, None) == before
+    assert sorted((r["doc_id"], r["class_id"]) for r in out.collect()) == [(i, i - i % 2) for i in range(20)]
