@@ -163,6 +163,64 @@ def read_bronze_files(spark: SparkSession, bronze_dir: str) -> DataFrame:
     return join_bodies(meta, html)
 
 
+def _local(spark: SparkSession, path: str) -> tuple[object, object, str | None]:
+    """Spark's file system and path, and the plain path if that is a mounted
+    folder, else None."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs, p, p.toUri().getPath() if fs.getUri().getScheme() == "file" else None
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """The names of the folders in a folder."""
+    fs, p, _ = _local(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
+
+
+def write_files(files: DataFrame, folder: str, parts: int) -> None:
+    """S1 as files: each row of ``files(file, html)`` is a file, closed by a
+    line break, in one of ``parts`` folders.
+
+    In a mounted folder the tasks write the files themselves: Spark's writer
+    makes a folder and a checksum for each and starts a ``chmod`` for both.
+    Elsewhere it writes them, as ``{file}/part-...``."""
+    fs, p, plain = _local(files.sparkSession, folder)
+    rows = files.select(F.pmod(F.xxhash64("file"), F.lit(parts)).alias("part"), "file", "html")
+    if plain is None:
+        rows.write.partitionBy("part", "file").text(folder)
+        return
+    fs.mkdirs(p)
+    rows = rows.withColumn("html", F.col("html").cast("binary"))
+    rows.mapInArrow(_file_writer(plain), "files long").write.format("noop").mode("overwrite").save()
+
+
+def _file_writer(folder: str):
+    """Writes rows ``(part, file, html)``.  A file gets its name when it is
+    whole, so a task that is run again replaces it and a lost one leaves none
+    that is read."""
+
+    def write(batches):
+        import os
+        import uuid
+
+        import pyarrow as pa
+
+        made, tag = set(), uuid.uuid4().hex
+        for batch in batches:
+            for part, file, html in zip(*batch.columns, strict=True):
+                into = f"{folder}/part={part.as_py()}"
+                if into not in made:
+                    os.makedirs(into, exist_ok=True)
+                    made.add(into)
+                with open(f"{into}/.{tag}", "wb") as out:
+                    out.write(html.as_buffer())
+                    out.write(b"\n")
+                os.replace(out.name, f"{into}/{file.as_py()}")
+            yield pa.RecordBatch.from_pydict({"files": pa.array([batch.num_rows], pa.int64())})
+
+    return write
+
+
 def file_id(path: Column) -> Column:
     """The id in a body's path: the name before ``.html`` of the file, or of
     the folder that holds its parts."""
